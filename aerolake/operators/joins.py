@@ -1,10 +1,14 @@
 """Dimension joins with an explicit size check before any broadcast.
 
-A broadcast copies one side to every executor, so it is only safe when that
-side is provably small. ``bounded_broadcast`` proves it with a bounded probe
-(``limit(cap + 1).count()`` never counts more than ``cap + 1`` rows per task);
-above the cap the join is left to the planner (sort-merge or shuffled hash,
-with AQE skew splitting), so nothing large is ever pinned to the driver.
+A broadcast copies one side to every executor, so it is only used when that
+side is proven small. ``fits_broadcast`` proves it with a bounded probe:
+``take(cap + 1)`` runs incrementally (one partition first, then a growing
+number) and stops as soon as ``cap + 1`` rows are seen, so its cost is bounded
+by the cap, not by the table. Above the cap the join is left to the planner
+(sort-merge or shuffled hash, with AQE splitting skewed partitions).
+
+Probe results are memoised per session and logical plan (``semanticHash``),
+so repeated plans over the same inputs do not probe again.
 """
 
 from __future__ import annotations
@@ -17,10 +21,16 @@ from aerolake.schema import SEED_COLUMNS, SEED_ROLE_COLUMNS
 # A dimension up to this many rows is broadcast; the airport seed has 44.
 DIMENSION_BROADCAST_MAX_ROWS = 100_000
 
+_PROBED: dict[tuple[str, int, int], bool] = {}
+
 
 def fits_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (bounded probe)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """True when ``dim`` has at most ``max_rows`` rows (bounded, memoised probe)."""
+    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), int(max_rows))
+    if key not in _PROBED:
+        seen = dim.select(F.lit(1).alias("one")).take(max_rows + 1)
+        _PROBED[key] = len(seen) <= max_rows
+    return _PROBED[key]
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -28,6 +38,16 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_RO
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
+def join_with_checked_side(big: DataFrame, side: DataFrame, condition, probe: DataFrame,
+                           max_rows: int, how: str = "inner") -> DataFrame:
+    """Join ``big`` to ``side``: broadcast ``side`` when ``probe`` (the table that
+    bounds its row count) is small, otherwise a sort-merge join. The merge hint
+    keeps the planner from broadcasting ``big`` on a low size estimate."""
+    if fits_broadcast(probe, max_rows):
+        return big.join(F.broadcast(side), condition, how)
+    return big.hint("merge").join(side, condition, how)
+
+
 def role_dimension(airports: DataFrame, role: str) -> DataFrame:
     """The airport dimension renamed for one role (``origem`` / ``destino``)."""
     return airports.select(

@@ -19,11 +19,11 @@ from aerolake.schema import (
 def conform_bronze(df: DataFrame) -> DataFrame:
     """Bronze shape: every documented column (missing ones as NULL STRING) + lineage."""
     present = set(df.columns)
-    cols = [
-        F.col(c) if c in present else F.lit(None).cast("string").alias(c)
+    exprs = [
+        f"`{c}`" if c in present else f"CAST(NULL AS STRING) AS `{c}`"
         for c in (*BRONZE_COLUMNS, SOURCE_FILE)
     ]
-    return df.select(*cols)
+    return df.selectExpr(*exprs)
 
 
 def measure_cast(column: str, target: str):

@@ -17,10 +17,21 @@ from aerolake.sources.adapter import airports_from_tables, flights_from_tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_LAYERS: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
 def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    bronze = flights_from_tables(spark, sf_dir)
-    airports = airports_from_tables(spark, sf_dir)
-    return bronze, airports, build_silver(bronze, airports)
+    """(bronze, airports, silver) plans over ``sf_dir``; built once per session.
+
+    DataFrames are immutable logical plans, so reusing them across queries is
+    safe and saves rebuilding a ~100-column plan through py4j every time.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYERS:
+        bronze = flights_from_tables(spark, sf_dir)
+        airports = airports_from_tables(spark, sf_dir)
+        _LAYERS[key] = (bronze, airports, build_silver(bronze, airports))
+    return _LAYERS[key]
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

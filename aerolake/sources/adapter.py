@@ -21,10 +21,18 @@ source_file                 file name of the lineitem scan (``_metadata``)
 The airport dimension is nation x region, one airport per nation, covering
 every region but MIDDLE EAST, so the silver LEFT joins also see misses.
 
-Joins: the fixed 25-row nation/region pair is broadcast after a bounded probe;
-customer and supplier get no hint, so the planner's size threshold (and AQE
-at run time) decides between broadcast and a shuffle join; lineitem x orders
-is the big-big key join (sort-merge, AQE splits a skewed order key).
+Join order and strategy (fact-sized shuffles at scale: 2, not 3):
+
+1. nation x region -> geography (25 rows; probed, broadcast);
+2. customer x geography, supplier x geography (broadcast of the 25 rows);
+3. orders x customers on the customer key;
+4. lineitem x (orders x customers) on the order key;
+5. x suppliers on the supplier key.
+
+Steps 3-5 broadcast the smaller side only when a bounded probe of the table
+that bounds it (customer, orders, supplier) proves it small; otherwise they
+are sort-merge joins, hinted so the fact side is never chosen for broadcast,
+and AQE splits a skewed key (one customer or order holding a large share).
 """
 
 from __future__ import annotations
@@ -32,7 +40,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.operators.joins import bounded_broadcast
+from aerolake.operators.joins import bounded_broadcast, join_with_checked_side
+from aerolake.operators.partitioning import ensure_parallelism
 from aerolake.operators.silver import conform_bronze
 
 # Fixed values of the mapping.
@@ -41,6 +50,10 @@ UF_PREFIX = "U"
 UNCOVERED_REGION = "MIDDLE EAST"
 LEGACY_DATE_LINE = 7
 
+# Row caps of the probes that allow a broadcast of a growing table.
+GEOGRAPHY_MAX_ROWS = 10_000
+GROWING_SIDE_MAX_ROWS = 200_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -54,8 +67,9 @@ def nation_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(nation key, nation name, region name); both inputs are tiny, probed, broadcast."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return nation.join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")) \
-        .select("n_nationkey", "n_name", "r_name")
+    joined = nation.join(bounded_broadcast(region, GEOGRAPHY_MAX_ROWS),
+                         F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select("n_nationkey", "n_name", "r_name")
 
 
 def airports_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,32 +101,35 @@ def _day_text(ts: Column, pattern: str = "dd/MM/yyyy") -> Column:
 
 def flights_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped flight rows (all STRING, 92 columns + ``source_file``)."""
-    geo = bounded_broadcast(nation_geography(spark, sf_dir))
+    geo = bounded_broadcast(nation_geography(spark, sf_dir), GEOGRAPHY_MAX_ROWS)
+    customer = read_table(spark, sf_dir, "customer")
+    supplier = read_table(spark, sf_dir, "supplier")
+    orders = read_table(spark, sf_dir, "orders")
     customers = (
-        read_table(spark, sf_dir, "customer")
-        .select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("sg_empresa_icao"))
+        customer.select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("sg_empresa_icao"))
         .join(_endpoint(geo, "c_nationkey", "origem"), "c_nationkey")
         .drop("c_nationkey")
     )
     suppliers = (
-        read_table(spark, sf_dir, "supplier")
-        .select("s_suppkey", "s_nationkey")
+        supplier.select("s_suppkey", "s_nationkey")
         .join(_endpoint(geo, "s_nationkey", "destino"), "s_nationkey")
         .drop("s_nationkey")
     )
-    orders = (
-        read_table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .drop("o_custkey", "c_custkey")
-    )
-    items = read_table(spark, sf_dir, "lineitem").select(
+    orders_c = join_with_checked_side(
+        orders.select("o_orderkey", "o_custkey", "o_orderdate"), customers,
+        F.col("o_custkey") == F.col("c_custkey"), customer, GROWING_SIDE_MAX_ROWS,
+    ).drop("o_custkey", "c_custkey")
+    items = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate",
         F.col("_metadata.file_name").alias("source_file"),
+    ), "l_orderkey")
+    joined = join_with_checked_side(
+        items, orders_c, F.col("l_orderkey") == F.col("o_orderkey"), orders,
+        GROWING_SIDE_MAX_ROWS,
     )
-    joined = (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    joined = join_with_checked_side(
+        joined, suppliers, F.col("l_suppkey") == F.col("s_suppkey"), supplier,
+        GROWING_SIDE_MAX_ROWS,
     )
     flights = joined.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
