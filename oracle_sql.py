@@ -255,3 +255,36 @@ def oracle_queries() -> dict[str, str]:
         "(SELECT count(*) AS total_voos, count(origem_cidade) AS voos_origem_enriquecida, "
         "count(destino_cidade) AS voos_destino_enriquecida FROM silver) t")
     return q
+
+
+_STATUS_ENCODING = ("CASE o_orderstatus WHEN 'F' THEN 'UTF-8' WHEN 'O' THEN 'windows-1252' "
+                    "ELSE 'UTF-16' END")
+_PRIORITY_WORD = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'urgente' WHEN '2-HIGH' THEN 'alta' "
+                  "WHEN '3-MEDIUM' THEN 'média' WHEN '4-NOT SPECIFIED' THEN 'não especificada' "
+                  "WHEN '5-LOW' THEN 'baixa' END")
+
+
+def ingest_oracle_queries() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["ingest_text_roundtrip"] = (
+        f"SELECT o_orderstatus, {_STATUS_ENCODING} AS encoding, count(*) AS rows, "
+        "CAST(sum(o_orderkey) AS BIGINT) AS key_sum, "
+        "count(*) FILTER (WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW')) AS notes, "
+        "count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS media_rows, "
+        "count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS quoted_rows, "
+        f"CAST(sum(length({_PRIORITY_WORD})) AS BIGINT) AS word_chars "
+        "FROM orders GROUP BY o_orderstatus")
+    q["parquet_profile"] = (
+        "SELECT CAST(count(*) AS BIGINT) AS total_rows, 6 AS columns, true AS all_valid FROM orders")
+    q["ingest_unified_append"] = (
+        "SELECT o_orderstatus, count(*) AS bronze_rows, count(DISTINCT o_orderkey) AS distinct_orders, "
+        "CAST(0 AS BIGINT) AS second_run_rows FROM orders GROUP BY o_orderstatus")
+    q["consolidate_files"] = (
+        "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum "
+        "FROM orders GROUP BY o_orderstatus")
+    q["sample_rows"] = "SELECT count(*) AS sampled_rows FROM (SELECT * FROM orders LIMIT 100) s"
+    base = oracle_queries()
+    q["catalog_layers"] = base["gold_volume_by_period"]
+    q["pipeline_gold_volume"] = base["gold_volume_by_period"]
+    q["pipeline_declared_tests"] = base["dq_declared_tests"]
+    return q
