@@ -57,7 +57,7 @@ def list_inputs(spark: SparkSession, directory: str, pattern: str = PATTERN_TXT,
             .select("path", "length", "modificationTime")
         )
     except AnalysisException as exc:  # missing directory or nothing to read
-        log.warning("no input under %s (%s)", directory, exc.getErrorClass())
+        log.warning("no input under %s (%s)", directory, exc.getCondition())
         schema = "path string, length bigint, modificationTime timestamp"
         return spark.createDataFrame([], schema).withColumn("file_name", F.lit(None).cast("string"))
     return listing.withColumn(
