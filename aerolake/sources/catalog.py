@@ -44,7 +44,10 @@ def materialise_silver(silver: DataFrame, database: str, path: str,
     partition; they read back unchanged (the punctuality model needs them).
     """
     name = f"{_ident(database)}.{_ident(table)}"
-    (silver.write.mode("overwrite").format("parquet")
+    # REBALANCE clusters rows by the partition columns with AQE-sized output
+    # partitions: a hot month is split over several tasks, small months are
+    # coalesced, and no task writes one small file into every month.
+    (silver.hint("rebalance", "ano", "mes").write.mode("overwrite").format("parquet")
      .partitionBy("ano", "mes").option("path", path).saveAsTable(name))
     return name
 

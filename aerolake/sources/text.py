@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.functions.text import normalise_na
+from aerolake.functions.text import normalise_na_sql
 from aerolake.schema import SOURCE_FILE
 from aerolake.sources.encoding import FIELD_SEPARATOR, profile_text_files
 
@@ -96,10 +96,25 @@ class ExtractResult:
                 "falhos": list(self.failed)}
 
 
+def header_columns(header: str | None, sep: str = FIELD_SEPARATOR) -> list[str] | None:
+    """Column names from a header line already seen by the profile pass, if plain ASCII."""
+    if not header or not header.isascii() or "\x00" in header:
+        return None
+    names = [h.strip().strip('"') for h in header.rstrip("\r").split(sep)]
+    if any(not n for n in names) or len(set(names)) != len(names):
+        return None
+    return names
+
+
 def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
-                    multiline: bool, sep: str = FIELD_SEPARATOR) -> DataFrame:
-    """One CSV scan of files sharing encoding and header; every column STRING."""
-    df = (
+                    multiline: bool, sep: str = FIELD_SEPARATOR,
+                    columns: list[str] | None = None) -> DataFrame:
+    """One CSV scan of files sharing encoding and header; every column STRING.
+
+    With ``columns`` known from the profile the schema is given (no inference
+    job); the header line of every file is skipped.
+    """
+    reader = (
         spark.read.option("sep", sep)
         .option("header", True)
         .option("encoding", encoding)
@@ -107,13 +122,14 @@ def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("inferSchema", False)
-        .csv(paths)
-    )
-    data_cols = list(df.columns)
-    return df.select(
-        *[normalise_na(F.col(f"`{c}`")).alias(c) for c in data_cols],
-        processed_name(F.col("_metadata.file_name")).alias(SOURCE_FILE),
     )
+    if columns:
+        reader = reader.schema(", ".join(f"`{c}` STRING" for c in columns))
+    df = reader.csv(paths)
+    exprs = [normalise_na_sql(c) for c in df.columns]
+    lineage = (f"concat(regexp_replace(_metadata.file_name, '\\\\.[^.]*$', ''), '.parquet') "
+               f"AS {SOURCE_FILE}")
+    return df.selectExpr(*exprs, lineage)
 
 
 def read_text_files(spark: SparkSession, paths: list[str],
@@ -132,8 +148,11 @@ def read_text_files(spark: SparkSession, paths: list[str],
         if not r.too_many_fields:
             groups.setdefault((r.encoding, r.multiline, r.header), []).append(r.file_path)
     ok = sorted(r.file_name for r in rows if not r.too_many_fields)
-    frames = [read_text_group(spark, ps, enc, ml, sep) for (enc, ml, _), ps in sorted(
-        groups.items(), key=lambda kv: kv[1][0])]
+    frames = [
+        read_text_group(spark, ps, enc, ml, sep,
+                        None if (enc == "UTF-16" or ml) else header_columns(head, sep))
+        for (enc, ml, head), ps in sorted(groups.items(), key=lambda kv: kv[1][0])
+    ]
     data = None
     for f in frames:
         data = f if data is None else data.unionByName(f, allowMissingColumns=True)
