@@ -50,7 +50,8 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     """One row per file of a ``spark.read.text`` frame (with ``_metadata``).
 
     Columns: file_path, file_name, lines, encoding, multiline, header,
-    header_fields, max_fields, too_many_fields.
+    header_key (64-bit hash of the header line), header_fields, max_fields,
+    too_many_fields.
     """
     value = F.col("value")
     as_bytes = value.cast("binary")
@@ -90,7 +91,7 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         "file_path", "file_name", "lines",
         encoding.alias("encoding"),
         multiline.alias("multiline"),
-        "header", "header_fields", "max_fields",
+        "header", F.xxhash64("header").alias("header_key"), "header_fields", "max_fields",
         # Per-line field counts are exact only when no quoted field spans lines.
         (~multiline & (F.col("max_fields") > F.col("header_fields"))).alias("too_many_fields"),
     )

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions.text import normalise_na_sql
 from aerolake.schema import SOURCE_FILE
+from aerolake.session import checkpoint_root
 from aerolake.sources.encoding import FIELD_SEPARATOR, profile_text_files
 
 log = logging.getLogger(__name__)
@@ -136,22 +137,31 @@ def read_text_files(spark: SparkSession, paths: list[str],
                     sep: str = FIELD_SEPARATOR) -> tuple[DataFrame | None, DataFrame, list[str], list[str]]:
     """Profile, then read the good files. Returns (rows, profile, ok names, failed names)."""
     allow_java_charsets(spark)
-    profile = profile_text_files(spark.read.text(paths), sep)
-    # One row per file: the plan of the reads needs it on the driver.
-    rows = profile.select("file_path", "file_name", "encoding", "multiline", "header",
+    # One pass over all bytes; the small per-file result is checkpointed in the
+    # shared checkpoint folder because it is read several times below and later.
+    checkpoint_root(spark)
+    profile = profile_text_files(spark.read.text(paths), sep).checkpoint()
+    # One small row per file (no header text): the read plan needs the paths on
+    # the driver, as any file scan's index does. Header text comes once per
+    # distinct header, grouped on the executors.
+    rows = profile.select("file_path", "file_name", "encoding", "multiline", "header_key",
                           "too_many_fields").collect()
+    headers = {
+        r.header_key: r.header
+        for r in profile.groupBy("header_key").agg(F.first("header").alias("header")).collect()
+    }
     seen = {_plain(r.file_path) for r in rows}
     empty = {p.rsplit("/", 1)[-1] for p in paths if _plain(p) not in seen}
     failed = sorted({r.file_name for r in rows if r.too_many_fields} | empty)
     groups: dict[tuple, list[str]] = {}
     for r in rows:
         if not r.too_many_fields:
-            groups.setdefault((r.encoding, r.multiline, r.header), []).append(r.file_path)
+            groups.setdefault((r.encoding, r.multiline, r.header_key), []).append(r.file_path)
     ok = sorted(r.file_name for r in rows if not r.too_many_fields)
     frames = [
         read_text_group(spark, ps, enc, ml, sep,
-                        None if (enc == "UTF-16" or ml) else header_columns(head, sep))
-        for (enc, ml, head), ps in sorted(groups.items(), key=lambda kv: kv[1][0])
+                        None if (enc == "UTF-16" or ml) else header_columns(headers.get(key), sep))
+        for (enc, ml, key), ps in sorted(groups.items(), key=lambda kv: kv[1][0])
     ]
     data = None
     for f in frames:
