@@ -25,7 +25,14 @@ from aerolake.schema import SOURCE_FILE
 from aerolake.session import scratch_dir
 from aerolake.sources import catalog
 from aerolake.sources.adapter import airports_from_tables, flights_from_tables, read_table
-from aerolake.sources.parquet import consolidate, parquet_profile, read_processed, sample_rows
+from aerolake.operators import quality
+from aerolake.sources.parquet import (
+    consolidate,
+    file_row_counts,
+    parquet_profile,
+    read_processed,
+    sample_rows,
+)
 from aerolake.sources.text import (
     PATTERN_CSV,
     allow_java_charsets,
@@ -129,21 +136,39 @@ def q_parquet_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_ingest_unified_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load into bronze twice; the second run adds nothing."""
+def order_bronze(spark: SparkSession, sf_dir: str):
+    """Bronze loaded twice from the processed order files: (bronze dir, first, second)."""
     def build():
         root, processed, _ = order_ingest(spark, sf_dir)
         bronze, ckpt = f"{root}/bronze", f"{root}/_checkpoints/bronze"
         first = load_incremental(spark, processed, bronze, ckpt)
         second = load_incremental(spark, processed, bronze, ckpt)
         return bronze, first, second
-    bronze, _, second = _memo(spark, sf_dir, "order_bronze", build)
+    return _memo(spark, sf_dir, "order_bronze", build)
+
+
+def q_ingest_unified_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load into bronze twice; the second run adds nothing."""
+    bronze, _, second = order_bronze(spark, sf_dir)
     return spark.read.parquet(bronze).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_distinct("o_orderkey").alias("distinct_orders"),
     ).withColumn("second_run_rows", F.lit(second.rows_added).cast("bigint"))
 
 
+def q_dq_load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12: per file, rows in the processed source = rows loaded into bronze."""
+    _, processed, _ = order_ingest(spark, sf_dir)
+    bronze, _, _ = order_bronze(spark, sf_dir)
+    expected = file_row_counts(read_processed(spark, processed))
+    rec = quality.load_reconciliation(expected, spark.read.parquet(bronze))
+    return rec.agg(
+        F.sum("source_rows").cast("bigint").alias("source_rows"),
+        F.sum("loaded_rows").cast("bigint").alias("loaded_rows"),
+        F.bool_and("reconciled").alias("all_reconciled"),
+    )
+
+
 def q_consolidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The per-file Parquet folders read as one dataset by column name."""
     _, processed, result = order_ingest(spark, sf_dir)
@@ -211,6 +236,7 @@ INGEST_QUERIES = {
     "ingest_text_roundtrip": q_ingest_text_roundtrip,
     "parquet_profile": q_parquet_profile,
     "ingest_unified_append": q_ingest_unified_append,
+    "dq_load_reconciliation": q_dq_load_reconciliation,
     "consolidate_files": q_consolidate_files,
     "sample_rows": q_sample_rows,
     "catalog_layers": q_catalog_layers,

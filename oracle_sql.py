@@ -279,6 +279,8 @@ def ingest_oracle_queries() -> dict[str, str]:
     q["ingest_unified_append"] = (
         "SELECT o_orderstatus, count(*) AS bronze_rows, count(DISTINCT o_orderkey) AS distinct_orders, "
         "CAST(0 AS BIGINT) AS second_run_rows FROM orders GROUP BY o_orderstatus")
+    q["dq_load_reconciliation"] = (
+        "SELECT count(*) AS source_rows, count(*) AS loaded_rows, true AS all_reconciled FROM orders")
     q["consolidate_files"] = (
         "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum "
         "FROM orders GROUP BY o_orderstatus")

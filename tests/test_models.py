@@ -98,3 +98,12 @@ def test_quality_on_fixture(spark):
     assert rec.bronze_rows == rec.silver_rows == 12 and rec.rows_match
     cov = quality.enrichment_coverage(s).first()
     assert cov.total_voos == 12 and cov.voos_origem_enriquecida == 10
+
+
+def test_strict_mode_raises(spark):
+    import pytest
+    report = quality.not_null(silver_f1(spark), "silver_voos", ("rota", "nr_voo"))
+    with pytest.raises(AssertionError, match="rota not_null: 1"):
+        quality.enforce(report)
+    ok = quality.not_null(silver_f1(spark), "silver_voos", ("nr_voo",))
+    assert quality.enforce(ok) is ok
