@@ -33,17 +33,34 @@ def fits_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS)
     return _PROBED[key]
 
 
+_BYTES: dict[tuple[str, str], int] = {}
+
+# A base table is broadcast up to this many bytes of stored files (compressed
+# Parquet), the same measure Spark's own broadcast threshold uses.
+TABLE_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
+
+
+def stored_bytes(spark, path: str) -> int:
+    """Total size of the files under ``path``; only file metadata is read."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _BYTES:
+        listing = spark.read.format("binaryFile").load(path).select("length")
+        _BYTES[key] = int(listing.agg(F.sum("length")).first()[0] or 0)
+    return _BYTES[key]
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:
     """``dim`` with a broadcast hint if the probe proves it small, else unchanged."""
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
-def join_with_checked_side(big: DataFrame, side: DataFrame, condition, probe: DataFrame,
-                           max_rows: int, how: str = "inner") -> DataFrame:
-    """Join ``big`` to ``side``: broadcast ``side`` when ``probe`` (the table that
-    bounds its row count) is small, otherwise a sort-merge join. The merge hint
+def join_with_checked_side(big: DataFrame, side: DataFrame, condition, side_table_path: str,
+                           max_bytes: int = TABLE_BROADCAST_MAX_BYTES,
+                           how: str = "inner") -> DataFrame:
+    """Join ``big`` to ``side``: broadcast ``side`` when the stored table that bounds
+    it (``side_table_path``) is small, otherwise a sort-merge join. The merge hint
     keeps the planner from broadcasting ``big`` on a low size estimate."""
-    if fits_broadcast(probe, max_rows):
+    if stored_bytes(big.sparkSession, side_table_path) <= max_bytes:
         return big.join(F.broadcast(side), condition, how)
     return big.hint("merge").join(side, condition, how)
 

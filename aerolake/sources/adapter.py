@@ -29,8 +29,8 @@ Join order and strategy (fact-sized shuffles at scale: 2, not 3):
 4. lineitem x (orders x customers) on the order key;
 5. x suppliers on the supplier key.
 
-Steps 3-5 broadcast the smaller side only when a bounded probe of the table
-that bounds it (customer, orders, supplier) proves it small; otherwise they
+Steps 3-5 broadcast the smaller side only when the stored size of the table
+that bounds it (customer, orders, supplier) is small (file metadata only); otherwise they
 are sort-merge joins, hinted so the fact side is never chosen for broadcast,
 and AQE splits a skewed key (one customer or order holding a large share).
 """
@@ -40,7 +40,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.operators.joins import bounded_broadcast, join_with_checked_side
+from aerolake.operators.joins import (
+    TABLE_BROADCAST_MAX_BYTES,
+    bounded_broadcast,
+    join_with_checked_side,
+)
 from aerolake.operators.partitioning import ensure_parallelism
 from aerolake.operators.silver import conform_bronze
 
@@ -50,13 +54,16 @@ UF_PREFIX = "U"
 UNCOVERED_REGION = "MIDDLE EAST"
 LEGACY_DATE_LINE = 7
 
-# Row caps of the probes that allow a broadcast of a growing table.
+# Row cap of the probe that allows broadcasting the (fixed-size) geography.
 GEOGRAPHY_MAX_ROWS = 10_000
-GROWING_SIDE_MAX_ROWS = 200_000
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def _code(prefix: str, key: Column) -> Column:
@@ -99,7 +106,8 @@ def _day_text(ts: Column, pattern: str = "dd/MM/yyyy") -> Column:
     return F.date_format(ts, pattern)
 
 
-def flights_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flights_from_tables(spark: SparkSession, sf_dir: str,
+                        max_broadcast_bytes: int = TABLE_BROADCAST_MAX_BYTES) -> DataFrame:
     """Bronze-shaped flight rows (all STRING, 92 columns + ``source_file``)."""
     geo = bounded_broadcast(nation_geography(spark, sf_dir), GEOGRAPHY_MAX_ROWS)
     customer = read_table(spark, sf_dir, "customer")
@@ -117,19 +125,20 @@ def flights_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders_c = join_with_checked_side(
         orders.select("o_orderkey", "o_custkey", "o_orderdate"), customers,
-        F.col("o_custkey") == F.col("c_custkey"), customer, GROWING_SIDE_MAX_ROWS,
+        F.col("o_custkey") == F.col("c_custkey"), table_path(sf_dir, "customer"),
+        max_broadcast_bytes,
     ).drop("o_custkey", "c_custkey")
     items = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate",
         F.col("_metadata.file_name").alias("source_file"),
     ), "l_orderkey")
     joined = join_with_checked_side(
-        items, orders_c, F.col("l_orderkey") == F.col("o_orderkey"), orders,
-        GROWING_SIDE_MAX_ROWS,
+        items, orders_c, F.col("l_orderkey") == F.col("o_orderkey"), table_path(sf_dir, "orders"),
+        max_broadcast_bytes,
     )
     joined = join_with_checked_side(
-        joined, suppliers, F.col("l_suppkey") == F.col("s_suppkey"), supplier,
-        GROWING_SIDE_MAX_ROWS,
+        joined, suppliers, F.col("l_suppkey") == F.col("s_suppkey"), table_path(sf_dir, "supplier"),
+        max_broadcast_bytes,
     )
     flights = joined.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"),

@@ -41,8 +41,12 @@ def _count_char(text: Column, ch: str) -> Column:
 
 
 def field_count(line: Column, sep: str = FIELD_SEPARATOR) -> Column:
-    """Fields of one physical line, separators inside ``"..."`` not counted."""
-    unquoted = F.regexp_replace(line, '"[^"]*"', "")
+    """Fields of one physical line, separators inside ``"..."`` not counted.
+
+    The quote-stripping regex only runs on lines that contain a quote.
+    """
+    has_quote = F.instr(line, QUOTE) > 0
+    unquoted = F.when(has_quote, F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
     return _count_char(unquoted, sep) + F.lit(1)
 
 
@@ -55,19 +59,23 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     """
     value = F.col("value")
     as_bytes = value.cast("binary")
-    undefined = reduce(
+    utf8 = F.is_valid_utf8(value)
+    # byte checks only on lines that are not valid UTF-8 (CASE branches are lazy)
+    undefined = F.when(~utf8, reduce(
         lambda a, b: a | b,
         [F.contains(as_bytes, F.unhex(F.lit(x))) for x in CP1252_UNDEFINED_BYTES],
-    )
+    )).otherwise(F.lit(False))
+    open_quote = F.when(F.instr(value, QUOTE) > 0, _count_char(value, QUOTE) % 2 == 1) \
+        .otherwise(F.lit(False))
     lines = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.struct(F.input_file_block_start().alias("block"),
                  F.monotonically_increasing_id().alias("pos")).alias("order"),
         value.alias("line"),
-        F.is_valid_utf8(value).alias("utf8"),
+        utf8.alias("utf8"),
         undefined.alias("undefined"),
-        (_count_char(value, QUOTE) % 2 == 1).alias("open_quote"),
+        open_quote.alias("open_quote"),
         field_count(value, sep).alias("fields"),
     )
     per_file = lines.groupBy("file_path", "file_name").agg(
