@@ -3,7 +3,8 @@
 ``spark.read.text`` keeps each line's raw bytes (it does not decode), so one
 aggregation grouped by file decides the encoding of every file at once:
 
-1. the first line starts with a UTF-16 byte-order mark -> ``UTF-16``;
+1. the first line starts with a UTF-16 byte-order mark -> ``UTF-16BE`` or
+   ``UTF-16LE`` by the mark, so the file can still be split into lines;
 2. every line is valid UTF-8 -> ``UTF-8`` (a UTF-8 BOM is dropped by the line
    reader, so UTF-8 with BOM lands here too);
 3. some byte is one that windows-1252 leaves undefined -> ``ISO-8859-1``;
@@ -24,11 +25,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Byte-order marks and the five bytes windows-1252 leaves undefined.
-UTF16_BOMS = ("FEFF", "FFFE")
+UTF16_BE_BOM = "FEFF"
+UTF16_LE_BOM = "FFFE"
 CP1252_UNDEFINED_BYTES = ("81", "8D", "8F", "90", "9D")
 
 UTF8 = "UTF-8"
 UTF16 = "UTF-16"
+UTF16_BE = "UTF-16BE"
+UTF16_LE = "UTF-16LE"
 LATIN1 = "ISO-8859-1"
 CP1252 = "windows-1252"
 
@@ -54,8 +58,8 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     """One row per file of a ``spark.read.text`` frame (with ``_metadata``).
 
     Columns: file_path, file_name, lines, encoding, multiline, header,
-    header_key (64-bit hash of the header line), header_fields, max_fields,
-    too_many_fields.
+    header_bytes, header_key (64-bit hash of the header line), header_fields,
+    max_fields, too_many_fields.
     """
     value = F.col("value")
     as_bytes = value.cast("binary")
@@ -89,17 +93,19 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     )
     head_hex = F.hex(F.substring(F.col("header").cast("binary"), 1, 2))
     encoding = (
-        F.when(head_hex.isin(list(UTF16_BOMS)), F.lit(UTF16))
+        F.when(head_hex == UTF16_BE_BOM, F.lit(UTF16_BE))
+        .when(head_hex == UTF16_LE_BOM, F.lit(UTF16_LE))
         .when(F.col("all_utf8"), F.lit(UTF8))
         .when(F.col("any_undefined"), F.lit(LATIN1))
         .otherwise(F.lit(CP1252))
     )
-    multiline = (encoding == UTF16) | F.col("any_open_quote")
+    multiline = F.col("any_open_quote")
     return per_file.select(
         "file_path", "file_name", "lines",
         encoding.alias("encoding"),
         multiline.alias("multiline"),
-        "header", F.xxhash64("header").alias("header_key"), "header_fields", "max_fields",
+        "header", F.col("header").cast("binary").alias("header_bytes"),
+        F.xxhash64("header").alias("header_key"), "header_fields", "max_fields",
         # Per-line field counts are exact only when no quoted field spans lines.
         (~multiline & (F.col("max_fields") > F.col("header_fields"))).alias("too_many_fields"),
     )
@@ -108,3 +114,19 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
 def detect_encodings(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Encoding profile of the given text files (see ``profile_text_files``)."""
     return profile_text_files(spark.read.text(paths))
+
+
+def decode_header(raw: bytes | bytearray | None, encoding: str) -> str | None:
+    """Header text from the raw first line of a file (driver side, once per header)."""
+    if raw is None:
+        return None
+    data = bytes(raw)
+    if encoding in (UTF16_BE, UTF16_LE):
+        data = data[2:]                       # the byte-order mark
+        if len(data) % 2:                     # split at 0x0A inside the newline char
+            data = data[:-1] if encoding == UTF16_BE else data[1:]
+        text = data.decode("utf-16-be" if encoding == UTF16_BE else "utf-16-le", "replace")
+    else:
+        codec = {UTF8: "utf-8-sig", CP1252: "cp1252", LATIN1: "latin-1"}.get(encoding, "latin-1")
+        text = data.decode(codec, "replace")
+    return text.replace("\x00", "").rstrip("\r")

@@ -29,7 +29,14 @@ from pyspark.sql import functions as F
 from aerolake.functions.text import normalise_na_sql
 from aerolake.schema import SOURCE_FILE
 from aerolake.session import checkpoint_root
-from aerolake.sources.encoding import FIELD_SEPARATOR, profile_text_files
+from aerolake.sources.encoding import (
+    FIELD_SEPARATOR,
+    UTF16,
+    UTF16_BE,
+    UTF16_LE,
+    decode_header,
+    profile_text_files,
+)
 
 log = logging.getLogger(__name__)
 
@@ -98,8 +105,8 @@ class ExtractResult:
 
 
 def header_columns(header: str | None, sep: str = FIELD_SEPARATOR) -> list[str] | None:
-    """Column names from a header line already seen by the profile pass, if plain ASCII."""
-    if not header or not header.isascii() or "\x00" in header:
+    """Column names from a decoded header line, or None to let the reader infer them."""
+    if not header or "\ufffd" in header:
         return None
     names = [h.strip().strip('"') for h in header.rstrip("\r").split(sep)]
     if any(not n for n in names) or len(set(names)) != len(names):
@@ -113,17 +120,24 @@ def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
     """One CSV scan of files sharing encoding and header; every column STRING.
 
     With ``columns`` known from the profile the schema is given (no inference
-    job); the header line of every file is skipped.
+    job); the header line of every file is skipped. UTF-16 files are read in
+    line mode with the byte order taken from their mark (``lineSep`` is then
+    encoded in that charset), so they are split like any other text file;
+    only files with a quoted field spanning lines need ``multiLine`` (one task
+    per file).
     """
+    utf16 = encoding in (UTF16_BE, UTF16_LE)
     reader = (
         spark.read.option("sep", sep)
         .option("header", True)
-        .option("encoding", encoding)
+        .option("encoding", UTF16 if (utf16 and multiline) else encoding)
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("inferSchema", False)
     )
+    if utf16 and not multiline:
+        reader = reader.option("lineSep", "\n")
     if columns:
         reader = reader.schema(", ".join(f"`{c}` STRING" for c in columns))
     df = reader.csv(paths)
@@ -147,8 +161,10 @@ def read_text_files(spark: SparkSession, paths: list[str],
     rows = profile.select("file_path", "file_name", "encoding", "multiline", "header_key",
                           "too_many_fields").collect()
     headers = {
-        r.header_key: r.header
-        for r in profile.groupBy("header_key").agg(F.first("header").alias("header")).collect()
+        r.header_key: (r.encoding, r.header_bytes)
+        for r in profile.groupBy("header_key").agg(
+            F.first("encoding").alias("encoding"),
+            F.first("header_bytes").alias("header_bytes")).collect()
     }
     seen = {_plain(r.file_path) for r in rows}
     empty = {p.rsplit("/", 1)[-1] for p in paths if _plain(p) not in seen}
@@ -160,7 +176,7 @@ def read_text_files(spark: SparkSession, paths: list[str],
     ok = sorted(r.file_name for r in rows if not r.too_many_fields)
     frames = [
         read_text_group(spark, ps, enc, ml, sep,
-                        None if (enc == "UTF-16" or ml) else header_columns(headers.get(key), sep))
+                        None if ml else header_columns(decode_header(headers[key][1], enc), sep))
         for (enc, ml, key), ps in sorted(groups.items(), key=lambda kv: kv[1][0])
     ]
     data = None

@@ -258,7 +258,7 @@ def oracle_queries() -> dict[str, str]:
 
 
 _STATUS_ENCODING = ("CASE o_orderstatus WHEN 'F' THEN 'UTF-8' WHEN 'O' THEN 'windows-1252' "
-                    "ELSE 'UTF-16' END")
+                    "ELSE 'UTF-16BE' END")
 _PRIORITY_WORD = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'urgente' WHEN '2-HIGH' THEN 'alta' "
                   "WHEN '3-MEDIUM' THEN 'média' WHEN '4-NOT SPECIFIED' THEN 'não especificada' "
                   "WHEN '5-LOW' THEN 'baixa' END")

@@ -27,7 +27,8 @@ def inputs(scratch):
     write(f"{d}/utf8bom.txt", body, bom=b"\xef\xbb\xbf")
     write(f"{d}/cp1252.txt", body, "cp1252")
     write(f"{d}/latin1_81.txt", HEADER + "\n1;GLO;S\x81o\n", "latin-1")
-    write(f"{d}/utf16.txt", body, "utf-16")
+    write(f"{d}/utf16.txt", body, "utf-16")          # Python writes little-endian + BOM
+    write(f"{d}/utf16be.txt", body, "utf-16-be", bom=b"\xfe\xff")
     write(f"{d}/late_accent.txt", HEADER + "\n" + "".join(f"{i};AAA;x\n" for i in range(6000))
           + "9;GLO;Goiânia\n", "cp1252")
     write(f"{d}/too_many.txt", HEADER + "\n1;GLO;x\n2;TAM;y;extra\n")
@@ -43,7 +44,7 @@ def inputs(scratch):
 def test_listing(spark, inputs, scratch):
     names = sorted(r.file_name for r in list_inputs(spark, inputs).collect())
     # zero-length files yield no split, so Spark's listing does not return them
-    assert "ignored.csv" not in names and "empty.txt" not in names and len(names) == 11
+    assert "ignored.csv" not in names and "empty.txt" not in names and len(names) == 12
     missing = list_inputs(spark, os.path.join(scratch, "nope"))
     assert missing.count() == 0
     with pytest.raises(FileNotFoundError):
@@ -56,7 +57,8 @@ def test_encoding_detection(spark, inputs):
     assert prof["utf8bom.txt"].encoding == "UTF-8"
     assert prof["cp1252.txt"].encoding == "windows-1252"
     assert prof["latin1_81.txt"].encoding == "ISO-8859-1"
-    assert prof["utf16.txt"].encoding == "UTF-16" and prof["utf16.txt"].multiline
+    assert prof["utf16.txt"].encoding == "UTF-16LE" and not prof["utf16.txt"].multiline
+    assert prof["utf16be.txt"].encoding == "UTF-16BE"
     assert prof["late_accent.txt"].encoding == "windows-1252"   # byte after the first 50,000
     assert prof["too_many.txt"].too_many_fields and not prof["too_few.txt"].too_many_fields
     assert prof["multiline.txt"].multiline
@@ -68,10 +70,10 @@ def test_extract_values_and_failures(spark, inputs, scratch):
     out = os.path.join(scratch, "processed")
     res = extract_text_files(spark, paths, out)
     assert sorted(res.failed) == ["too_many.txt"]
-    assert res.stats()["sucessos"] == 10 and res.stats()["falhas"] == 1
+    assert res.stats()["sucessos"] == 11 and res.stats()["falhas"] == 1
     df = read_processed(spark, out)
     rows = {(r.source_file, r.id_combinada): r for r in df.collect()}
-    for f in ("utf8", "utf8bom", "cp1252", "utf16"):
+    for f in ("utf8", "utf8bom", "cp1252", "utf16", "utf16be"):
         assert rows[(f + ".parquet", "1")].nm_municipio_origem == "São Paulo"
         assert rows[(f + ".parquet", "2")].nm_municipio_origem == "Belém"
     assert rows[("late_accent.parquet", "9")].nm_municipio_origem == "Goiânia"
