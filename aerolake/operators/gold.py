@@ -99,12 +99,14 @@ def ranking_sql(min_volume: int = DEFAULT_MIN_VOLUME, top_k: int | None = None,
     keys = ", ".join(RANKING_KEYS)
     top = f"WHERE r.ranking_volume_em_voo <= {int(top_k)}" if top_k is not None else ""
     order = "ORDER BY ranking_volume_em_voo" if ordered else ""
+    # Every row kept is either arrived or in flight, so arrived = total - in flight.
+    # Both branches below then need the same aggregate (count, in-flight count),
+    # and the planner reuses its shuffle instead of aggregating the routes twice.
     return f"""
 WITH agregado_rota AS (
   SELECT {keys},
          count(*) AS total_voos,
-         count_if(flag_situacao = '{_F}') AS voos_em_voo,
-         count_if(flag_situacao = '{_A}') AS voos_realizados
+         count_if(flag_situacao = '{_F}') AS voos_em_voo
   FROM {{silver}}
   WHERE flag_situacao IN ('{_A}', '{_F}')
   GROUP BY {keys}
@@ -118,7 +120,10 @@ rank_por_valor AS (
   FROM (SELECT voos_em_voo, count(*) AS n FROM agregado_rota GROUP BY voos_em_voo)
 )
 SELECT /*+ BROADCAST(r) */
-       a.*,
+       {", ".join("a." + k for k in RANKING_KEYS)},
+       a.total_voos,
+       a.voos_em_voo,
+       a.total_voos - a.voos_em_voo AS voos_realizados,
        {pct_sql("a.voos_em_voo", "a.total_voos")} AS taxa_em_voo_pct,
        r.ranking_volume_em_voo
 FROM agregado_rota a

@@ -58,3 +58,10 @@ def test_size_check_fallback_gives_same_rows(spark):
     h = lambda df: df.select(F.sum(F.pmod(F.xxhash64(*cols), F.lit(1000003))).alias("h"),
                              F.count("*").alias("n")).first()
     assert h(small) == h(big)
+
+
+def test_ranking_aggregates_routes_once(spark):
+    """Both branches of the rank share one route aggregate (the shuffle is reused)."""
+    df = Q.q_gold_route_ranking(spark, SF)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
