@@ -27,6 +27,7 @@ from aerolake.sources import catalog
 from aerolake.sources.adapter import airports_from_tables, flights_from_tables, read_table
 from aerolake.operators import quality
 from aerolake.sources.parquet import (
+    column_type_profile,
     consolidate,
     file_row_counts,
     parquet_profile,
@@ -169,6 +170,14 @@ def q_dq_load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_dq_type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narrowest type each text column's values fit, over all files."""
+    _, processed, _ = order_ingest(spark, sf_dir)
+    prof = column_type_profile(read_processed(spark, processed))
+    return prof.filter(F.col("inferred_type") != "null") \
+        .select("column_name", "inferred_type").distinct()
+
+
 def q_consolidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The per-file Parquet folders read as one dataset by column name."""
     _, processed, result = order_ingest(spark, sf_dir)
@@ -237,6 +246,7 @@ INGEST_QUERIES = {
     "parquet_profile": q_parquet_profile,
     "ingest_unified_append": q_ingest_unified_append,
     "dq_load_reconciliation": q_dq_load_reconciliation,
+    "dq_type_profile": q_dq_type_profile,
     "consolidate_files": q_consolidate_files,
     "sample_rows": q_sample_rows,
     "catalog_layers": q_catalog_layers,

@@ -42,6 +42,9 @@ class PipelineConfig:
     pattern: str = PATTERN_TXT
     database_prefix: str = ""
     strict_tests: bool = False
+    # Each micro-batch of the bronze load takes at most this many new files, so a
+    # large backlog is committed in restartable pieces.
+    max_files_per_batch: int | None = 1000
 
     @property
     def processed_dir(self) -> str:
@@ -103,7 +106,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig,
     stage("validate", "ok", n_valid)
 
     try:
-        loaded = load_incremental(spark, cfg.processed_dir, cfg.bronze_dir, cfg.bronze_checkpoint)
+        loaded = load_incremental(spark, cfg.processed_dir, cfg.bronze_dir, cfg.bronze_checkpoint,
+                                  max_files_per_batch=cfg.max_files_per_batch)
         stage("load_bronze", "ok", None, loaded.rows_added)
     except Exception as exc:  # reported; later stages use what bronze holds
         stage("load_bronze", "failed", None, None, type(exc).__name__)

@@ -9,7 +9,6 @@ setting is unset, as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,16 +55,3 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/aerolake/{tag}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers in tests can open the path."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
-def is_local_fs(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or os.path.exists(uri)

@@ -59,3 +59,41 @@ def sample_rows(df: DataFrame, target_dir: str, n: int = 100) -> DataFrame:
     """The first ``n`` rows (no order promised) written to ``target_dir``, replaced."""
     df.limit(n).write.mode("overwrite").parquet(target_dir)
     return df.sparkSession.read.parquet(target_dir)
+
+
+def column_type_profile(df: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
+    """Per file and STRING column, the narrowest type all its values fit.
+
+    ``bigint`` if every non-NULL value casts to BIGINT, else ``double`` if every
+    one casts to DOUBLE (decimal comma accepted), else ``string``; an all-NULL
+    column reports ``null``. One aggregate pass, unpivoted with ``stack``; two
+    files disagreeing on a column is the type drift a per-file inference
+    would meet.
+    """
+    cols = [c for c, t in df.dtypes if t == "string" and c != by]
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`")
+        aggs += [
+            F.count(v).alias(f"n{i}"),
+            F.count(v.try_cast("bigint")).alias(f"i{i}"),
+            F.count(F.regexp_replace(v, ",", ".").try_cast("double")).alias(f"d{i}"),
+        ]
+    per_file = df.groupBy(by).agg(*aggs)
+    kinds = [
+        f"'{c}', CASE WHEN n{i} = 0 THEN 'null' WHEN i{i} = n{i} THEN 'bigint' "
+        f"WHEN d{i} = n{i} THEN 'double' ELSE 'string' END"
+        for i, c in enumerate(cols)
+    ]
+    return per_file.selectExpr(
+        f"`{by}`", f"stack({len(cols)}, {', '.join(kinds)}) AS (column_name, inferred_type)")
+
+
+def type_drift(profile: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
+    """Columns whose inferred type differs between files (NULL-only files ignored)."""
+    typed = profile.filter(F.col("inferred_type") != "null")
+    return typed.groupBy("column_name").agg(
+        F.count_distinct("inferred_type").alias("types"),
+        F.count(F.lit(1)).alias("files"),
+        F.array_sort(F.collect_set("inferred_type")).alias("inferred_types"),
+    ).filter(F.col("types") > 1)

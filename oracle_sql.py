@@ -281,6 +281,22 @@ def ingest_oracle_queries() -> dict[str, str]:
         "CAST(0 AS BIGINT) AS second_run_rows FROM orders GROUP BY o_orderstatus")
     q["dq_load_reconciliation"] = (
         "SELECT count(*) AS source_rows, count(*) AS loaded_rows, true AS all_reconciled FROM orders")
+    texts = (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
+        "o_orderstatus, strftime(o_orderdate, '%d/%m/%Y') AS dt_pedido, "
+        f"{_PRIORITY_WORD} AS ds_prioridade, "
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'atenção; \"urgente\"' "
+        "WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN NULL ELSE o_orderpriority END "
+        "AS ds_observacao FROM orders")
+
+    def kind(c: str) -> str:
+        return (f"SELECT '{c}' AS column_name, CASE WHEN count({c}) = 0 THEN 'null' "
+                f"WHEN count(TRY_CAST({c} AS BIGINT)) = count({c}) THEN 'bigint' "
+                f"WHEN count(TRY_CAST(replace({c}, ',', '.') AS DOUBLE)) = count({c}) THEN 'double' "
+                f"ELSE 'string' END AS inferred_type FROM t")
+
+    cols = ("o_orderkey", "o_custkey", "o_orderstatus", "dt_pedido", "ds_prioridade", "ds_observacao")
+    q["dq_type_profile"] = f"WITH t AS ({texts})\n" + "\nUNION ALL\n".join(kind(c) for c in cols)
     q["consolidate_files"] = (
         "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum "
         "FROM orders GROUP BY o_orderstatus")

@@ -112,3 +112,22 @@ def test_incremental_load_once(spark, inputs, scratch):
     assert bronze_row_count(spark, bronze) == total
     per_file = spark.read.parquet(bronze).groupBy("source_file").count()
     assert per_file.filter(F.col("source_file") == "utf8.parquet").first()["count"] == 2
+
+
+def test_type_profile_detects_drift(spark, scratch):
+    from aerolake.sources.parquet import column_type_profile, type_drift
+
+    d = os.path.join(scratch, "drift")
+    os.makedirs(d)
+    write(f"{d}/a.txt", "nr_voo;kg_carga_paga;nm_empresa\n1;1,5;GOL\n2;3;TAM\n")
+    write(f"{d}/b.txt", "nr_voo;kg_carga_paga;nm_empresa\nAB12;2;AZUL\n3;;GOL\n")
+    paths = [r.path for r in list_inputs(spark, d).collect()]
+    out = os.path.join(scratch, "p")
+    extract_text_files(spark, paths, out)
+    prof = {(r.source_file, r.column_name): r.inferred_type
+            for r in column_type_profile(read_processed(spark, out)).collect()}
+    assert prof[("a.parquet", "nr_voo")] == "bigint" and prof[("b.parquet", "nr_voo")] == "string"
+    assert prof[("a.parquet", "kg_carga_paga")] == "double"
+    assert prof[("b.parquet", "kg_carga_paga")] == "bigint"
+    drift = {r.column_name: r.inferred_types for r in type_drift(column_type_profile(read_processed(spark, out))).collect()}
+    assert drift == {"nr_voo": ["bigint", "string"], "kg_carga_paga": ["bigint", "double"]}
