@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.schema import SEED_COLUMNS, SEED_ROLE_COLUMNS
+from aerolake.session import session_key
 
 # A dimension up to this many rows is broadcast; the airport seed has 44.
 DIMENSION_BROADCAST_MAX_ROWS = 100_000
@@ -26,7 +27,7 @@ _PROBED: dict[tuple[str, int, int], bool] = {}
 
 def fits_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> bool:
     """True when ``dim`` has at most ``max_rows`` rows (bounded, memoised probe)."""
-    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(), int(max_rows))
+    key = (session_key(dim.sparkSession), dim.semanticHash(), int(max_rows))
     if key not in _PROBED:
         seen = dim.select(F.lit(1).alias("one")).take(max_rows + 1)
         _PROBED[key] = len(seen) <= max_rows
@@ -42,7 +43,7 @@ TABLE_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 
 def stored_bytes(spark, path: str) -> int:
     """Total size of the files under ``path``; only file metadata is read."""
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _BYTES:
         listing = spark.read.format("binaryFile").load(path).select("length")
         _BYTES[key] = int(listing.agg(F.sum("length")).first()[0] or 0)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from aerolake.session import default_parallelism
+
 
 def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores.
@@ -14,7 +16,11 @@ def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
     spread is a hash partitioning on them, which a following sort-merge join or
     aggregation on the same keys reuses instead of shuffling again.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from aerolake.operators.joins import bounded_broadcast
 from aerolake.operators.partitioning import ensure_parallelism
 from aerolake.schema import SOURCE_FILE
-from aerolake.session import scratch_dir
+from aerolake.session import scratch_dir, session_key
 from aerolake.sources import catalog
 from aerolake.sources.adapter import airports_from_tables, flights_from_tables, read_table
 from aerolake.operators import quality
@@ -62,7 +62,7 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, what: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+    key = (session_key(spark), sf_dir, what)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]

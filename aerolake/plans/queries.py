@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolake.operators import gold, quality
 from aerolake.operators.silver import build_silver
+from aerolake.session import session_key
 from aerolake.sources.adapter import airports_from_tables, flights_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +27,7 @@ def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
     DataFrames are immutable logical plans, so reusing them across queries is
     safe and saves rebuilding a ~100-column plan through py4j every time.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _LAYERS:
         bronze = flights_from_tables(spark, sf_dir)
         airports = airports_from_tables(spark, sf_dir)

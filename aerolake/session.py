@@ -37,9 +37,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (memo keys); works without a SparkContext."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect exposes no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", None)
+                   or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session; set one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side names the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
