@@ -53,10 +53,21 @@ def not_null(df: DataFrame, model: str, columns: Iterable[str]) -> DataFrame:
     return _report(df, model, [(c, "not_null", F.count_if(F.col(c).isNull())) for c in columns])
 
 
+def _accepted_test(column: str, values: Sequence[str]):
+    bad = F.when(~F.col(column).isin(list(values)), F.col(column))
+    return (column, "accepted_values", F.count_distinct(bad))
+
+
 def accepted_values(df: DataFrame, model: str, column: str,
                     values: Sequence[str] = STATUS_VALUES) -> DataFrame:
-    bad = F.when(~F.col(column).isin(list(values)), F.col(column))
-    return _report(df, model, [(column, "accepted_values", F.count_distinct(bad))])
+    return _report(df, model, [_accepted_test(column, values)])
+
+
+def not_null_and_accepted(df: DataFrame, model: str, columns: Iterable[str], column: str,
+                          values: Sequence[str] = STATUS_VALUES) -> DataFrame:
+    """The not_null tests and one accepted_values test in a single pass over ``df``."""
+    tests = [(c, "not_null", F.count_if(F.col(c).isNull())) for c in columns]
+    return _report(df, model, tests + [_accepted_test(column, values)])
 
 
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
@@ -72,8 +83,7 @@ def declared_tests(silver: DataFrame, seed: DataFrame, punctuality: DataFrame,
                    volume: DataFrame, ranking: DataFrame) -> DataFrame:
     """All 21 declared tests (19 not_null, 1 unique, 1 accepted_values)."""
     parts = [
-        not_null(silver, "silver_voos", SILVER_NOT_NULL),
-        accepted_values(silver, "silver_voos", STATUS_COLUMN),
+        not_null_and_accepted(silver, "silver_voos", SILVER_NOT_NULL, STATUS_COLUMN),
         not_null(punctuality, "gold_pontualidade", PUNCTUALITY_NOT_NULL),
         not_null(volume, "gold_volume_periodo", VOLUME_NOT_NULL),
         not_null(ranking, "gold_ranking_rotas_atrasadas", RANKING_NOT_NULL),
