@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions.text import normalise_na_sql
 from aerolake.schema import SOURCE_FILE
-from aerolake.session import checkpoint_root
+from aerolake.session import scratch_dir
 from aerolake.sources.encoding import (
     FIELD_SEPARATOR,
     UTF16,
@@ -151,10 +151,12 @@ def read_text_files(spark: SparkSession, paths: list[str],
                     sep: str = FIELD_SEPARATOR) -> tuple[DataFrame | None, DataFrame, list[str], list[str]]:
     """Profile, then read the good files. Returns (rows, profile, ok names, failed names)."""
     allow_java_charsets(spark)
-    # One pass over all bytes; the small per-file result is checkpointed in the
-    # shared checkpoint folder because it is read several times below and later.
-    checkpoint_root(spark)
-    profile = profile_text_files(spark.read.text(paths), sep).checkpoint()
+    # One pass over all bytes. The small per-file result is read several times
+    # below and later, so it is written once as a table in the shared folder
+    # (``checkpoint()`` would compute the scan twice: once to count, once to save).
+    profile_dir = scratch_dir(spark, "text-profile")
+    profile_text_files(spark.read.text(paths), sep).write.parquet(profile_dir)
+    profile = spark.read.parquet(profile_dir)
     # One small row per file (no header text): the read plan needs the paths on
     # the driver, as any file scan's index does. Header text comes once per
     # distinct header, grouped on the executors.
