@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame
 from aerolake.session import default_parallelism
 
 
-def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
+def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores.
 
     A Parquet row group cannot be split, so a small table written as one row
     group is read by one task. Large inputs already have far more splits than
-    cores and are returned unchanged (no shuffle). When ``keys`` are given the
-    spread is a hash partitioning on them, which a following sort-merge join or
-    aggregation on the same keys reuses instead of shuffling again.
+    cores and are returned unchanged (no shuffle). The spread is round-robin:
+    a fixed-count hash repartition on a join key would pin the partitioning
+    and keep AQE from splitting a hot key in a later sort-merge join.
     """
     target = default_parallelism(df.sparkSession)
     try:
@@ -23,4 +23,4 @@ def ensure_parallelism(df: DataFrame, *keys: str) -> DataFrame:
         return df
     if splits >= target:
         return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    return df.repartition(target)

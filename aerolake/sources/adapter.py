@@ -131,7 +131,7 @@ def flights_from_tables(spark: SparkSession, sf_dir: str,
     items = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate",
         F.col("_metadata.file_name").alias("source_file"),
-    ), "l_orderkey")
+    ))
     joined = join_with_checked_side(
         items, orders_c, F.col("l_orderkey") == F.col("o_orderkey"), table_path(sf_dir, "orders"),
         max_broadcast_bytes,
