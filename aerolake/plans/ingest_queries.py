@@ -209,36 +209,36 @@ def q_catalog_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"`{gold_db}`.`gold_volume_periodo`")
 
 
-def pipeline_run(spark: SparkSession, sf_dir: str):
+def workflow_run(spark: SparkSession, sf_dir: str):
     """The full pipeline over flight text files in mixed encodings; once per session."""
     def build():
-        from aerolake.plans.pipeline import PipelineConfig, run_pipeline
-        root = scratch_dir(spark, "pipeline")
+        from aerolake.plans.workflow import WorkflowConfig, run_workflow
+        root = scratch_dir(spark, "workflow")
         flights = flights_from_tables(spark, sf_dir).drop(SOURCE_FILE)
         for airline, encoding in AIRLINE_ENCODINGS:
             write_text(flights.filter(F.col("sg_empresa_icao") == airline),
                        f"{root}/input/{airline}", encoding)
-        cfg = PipelineConfig(input_dir=f"{root}/input", lake_root=f"{root}/lake",
+        cfg = WorkflowConfig(input_dir=f"{root}/input", lake_root=f"{root}/lake",
                              pattern=PATTERN_CSV, database_prefix="p" + root.rsplit("-", 1)[-1] + "_")
         # the input folder has one sub-folder per airline
-        return run_pipeline(spark, cfg, airports_from_tables(spark, sf_dir), recursive=True)
-    return _memo(spark, sf_dir, "pipeline", build)
+        return run_workflow(spark, cfg, airports_from_tables(spark, sf_dir), recursive=True)
+    return _memo(spark, sf_dir, "workflow", build)
 
 
-def q_pipeline_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_workflow_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per pipeline stage."""
-    return pipeline_run(spark, sf_dir).stats
+    return workflow_run(spark, sf_dir).stats
 
 
-def q_pipeline_gold_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_workflow_gold_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End to end: mixed-encoding text -> bronze -> silver table -> gold volume view."""
-    run = pipeline_run(spark, sf_dir)
+    run = workflow_run(spark, sf_dir)
     return spark.table(run.gold_views[1])
 
 
-def q_pipeline_declared_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_workflow_declared_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 21 declared tests as run by the pipeline on its own tables."""
-    return pipeline_run(spark, sf_dir).tests
+    return workflow_run(spark, sf_dir).tests
 
 
 INGEST_QUERIES = {
@@ -250,7 +250,7 @@ INGEST_QUERIES = {
     "consolidate_files": q_consolidate_files,
     "sample_rows": q_sample_rows,
     "catalog_layers": q_catalog_layers,
-    "pipeline_stages": q_pipeline_stages,
-    "pipeline_gold_volume": q_pipeline_gold_volume,
-    "pipeline_declared_tests": q_pipeline_declared_tests,
+    "workflow_stages": q_workflow_stages,
+    "workflow_gold_volume": q_workflow_gold_volume,
+    "workflow_declared_tests": q_workflow_declared_tests,
 }

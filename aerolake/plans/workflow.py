@@ -36,7 +36,7 @@ STATS_SCHEMA = "stage string, status string, files bigint, rows bigint, detail s
 
 
 @dataclass
-class PipelineConfig:
+class WorkflowConfig:
     input_dir: str
     lake_root: str
     pattern: str = PATTERN_TXT
@@ -52,11 +52,11 @@ class PipelineConfig:
 
     @property
     def bronze_dir(self) -> str:
-        return f"{self.lake_root}/bronze/bronze_anac"
+        return f"{self.lake_root}/bronze/bronze_voos"
 
     @property
     def bronze_checkpoint(self) -> str:
-        return f"{self.lake_root}/_checkpoints/bronze_anac"
+        return f"{self.lake_root}/_checkpoints/bronze_voos"
 
     @property
     def silver_dir(self) -> str:
@@ -64,23 +64,23 @@ class PipelineConfig:
 
 
 @dataclass
-class PipelineRun:
+class WorkflowRun:
     stats: DataFrame
     silver_table: str | None = None
     gold_views: list[str] | None = None
     tests: DataFrame | None = None
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig,
-                 airports: DataFrame | None = None, recursive: bool = False) -> PipelineRun:
+def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
+                 airports: DataFrame | None = None, recursive: bool = False) -> WorkflowRun:
     rows: list[tuple] = []
 
     def stage(name, status, files=None, n=None, detail=""):
         rows.append((name, status, files, n, detail))
         log.info("stage %s: %s files=%s rows=%s %s", name, status, files, n, detail)
 
-    def done(**kw) -> PipelineRun:
-        return PipelineRun(stats=spark.createDataFrame(rows, STATS_SCHEMA), **kw)
+    def done(**kw) -> WorkflowRun:
+        return WorkflowRun(stats=spark.createDataFrame(rows, STATS_SCHEMA), **kw)
 
     listing = list_inputs(spark, cfg.input_dir, cfg.pattern, recursive=recursive)
     paths = [r.path for r in listing.select("path").collect()]

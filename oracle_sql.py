@@ -303,6 +303,6 @@ def ingest_oracle_queries() -> dict[str, str]:
     q["sample_rows"] = "SELECT count(*) AS sampled_rows FROM (SELECT * FROM orders LIMIT 100) s"
     base = oracle_queries()
     q["catalog_layers"] = base["gold_volume_by_period"]
-    q["pipeline_gold_volume"] = base["gold_volume_by_period"]
-    q["pipeline_declared_tests"] = base["dq_declared_tests"]
+    q["workflow_gold_volume"] = base["gold_volume_by_period"]
+    q["workflow_declared_tests"] = base["dq_declared_tests"]
     return q

@@ -14,7 +14,7 @@ FAST = ["date_guard", "calendar_parts", "flight_status", "route_key", "airport_e
         "gold_punctuality", "gold_volume_by_period", "gold_route_ranking", "route_ranking_top10",
         "dq_declared_tests", "dq_row_reconciliation", "dq_status_distribution",
         "dq_enrichment_coverage", "ingest_text_roundtrip", "ingest_unified_append",
-        "pipeline_gold_volume"]
+        "workflow_gold_volume"]
 
 
 def norm(row):
@@ -51,4 +51,4 @@ def test_entry_and_registry(spark):
     assert entry.entry(spark).count() > 0
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"dq_column_catalogue", "pipeline_stages"}
+    assert set(q) - set(o) == {"dq_column_catalogue", "workflow_stages"}

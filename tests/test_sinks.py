@@ -10,12 +10,12 @@ from tests.fixtures import f1_bronze
 
 
 def test_jdbc_options():
-    t = JdbcTarget(host="db", database="anac/bronze", user="u", password="p")
-    o = t.options("bronze_anac", "bronze")
-    assert o["url"] == "jdbc:mysql://db:3306/anac" and o["dbtable"] == "bronze.bronze_anac"
+    t = JdbcTarget(host="db", database="flights/bronze", user="u", password="p")
+    o = t.options("bronze_voos", "bronze")
+    assert o["url"] == "jdbc:mysql://db:3306/flights" and o["dbtable"] == "bronze.bronze_voos"
     assert o["batchsize"] == "50000"
-    pg = JdbcTarget(host="db", database="anac", user="u", password="p", port=6543, dialect="postgres")
-    assert pg.options("t")["url"] == "jdbc:postgresql://db:6543/anac"
+    pg = JdbcTarget(host="db", database="flights", user="u", password="p", port=6543, dialect="postgres")
+    assert pg.options("t")["url"] == "jdbc:postgresql://db:6543/flights"
     with pytest.raises(ValueError):
         JdbcTarget(host="db", database="x", user="u", password="").options("t")
 
