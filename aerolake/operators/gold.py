@@ -50,7 +50,7 @@ RANKING_KEYS = (
 _A, _F, _S = STATUS_ARRIVED, STATUS_IN_FLIGHT, STATUS_SCHEDULED
 
 PUNCTUALITY_SQL = f"""
-WITH agregado AS (
+WITH group_counts AS (
   SELECT {", ".join(PUNCTUALITY_KEYS)},
          count(*) AS total_voos,
          count_if(flag_situacao = '{_A}') AS voos_realizados,
@@ -64,11 +64,11 @@ SELECT *,
        {pct_sql("voos_realizados", "total_voos")} AS taxa_realizacao_pct,
        {pct_sql("voos_em_voo", "total_voos")} AS taxa_em_voo_pct,
        {pct_sql("voos_programados", "total_voos")} AS taxa_programado_pct
-FROM agregado
+FROM group_counts
 """
 
 VOLUME_SQL = f"""
-WITH agregado_mensal AS (
+WITH monthly_counts AS (
   SELECT {", ".join(VOLUME_KEYS)},
          count(*) AS total_voos,
          count_if(flag_situacao = '{_A}') AS voos_realizados,
@@ -80,16 +80,16 @@ WITH agregado_mensal AS (
   WHERE ano IS NOT NULL AND mes IS NOT NULL
   GROUP BY {", ".join(VOLUME_KEYS)}
 ),
-com_variacao AS (
+with_previous_month AS (
   SELECT *,
          lag(total_voos) OVER (PARTITION BY nm_regiao_origem ORDER BY ano, mes)
            AS total_voos_mes_anterior
-  FROM agregado_mensal
+  FROM monthly_counts
 )
 SELECT *,
        {pct_sql("total_voos - total_voos_mes_anterior", "total_voos_mes_anterior")}
          AS variacao_pct_mes_anterior
-FROM com_variacao
+FROM with_previous_month
 """
 
 
@@ -103,7 +103,7 @@ def ranking_sql(min_volume: int = DEFAULT_MIN_VOLUME, top_k: int | None = None,
     # Both branches below then need the same aggregate (count, in-flight count),
     # and the planner reuses its shuffle instead of aggregating the routes twice.
     return f"""
-WITH agregado_rota AS (
+WITH route_counts AS (
   SELECT {keys},
          count(*) AS total_voos,
          count_if(flag_situacao = '{_F}') AS voos_em_voo
@@ -112,12 +112,12 @@ WITH agregado_rota AS (
   GROUP BY {keys}
   HAVING count(*) >= {int(min_volume)}
 ),
-rank_por_valor AS (
+rank_of_count AS (
   SELECT voos_em_voo,
          CAST(1 + coalesce(sum(n) OVER (ORDER BY voos_em_voo DESC
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
               AS BIGINT) AS ranking_volume_em_voo
-  FROM (SELECT voos_em_voo, count(*) AS n FROM agregado_rota GROUP BY voos_em_voo)
+  FROM (SELECT voos_em_voo, count(*) AS n FROM route_counts GROUP BY voos_em_voo)
 )
 SELECT /*+ BROADCAST(r) */
        {", ".join("a." + k for k in RANKING_KEYS)},
@@ -126,8 +126,8 @@ SELECT /*+ BROADCAST(r) */
        a.total_voos - a.voos_em_voo AS voos_realizados,
        {pct_sql("a.voos_em_voo", "a.total_voos")} AS taxa_em_voo_pct,
        r.ranking_volume_em_voo
-FROM agregado_rota a
-JOIN rank_por_valor r ON a.voos_em_voo = r.voos_em_voo
+FROM route_counts a
+JOIN rank_of_count r ON a.voos_em_voo = r.voos_em_voo
 {top}
 {order}
 """

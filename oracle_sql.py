@@ -134,7 +134,7 @@ gold_pontualidade AS (
     FROM silver WHERE flag_situacao IS NOT NULL
     GROUP BY sg_empresa_icao, sg_icao_origem, origem_cidade, origem_estado, nm_regiao_origem,
              sg_icao_destino, destino_cidade, destino_estado, nm_regiao_destino, rota, ano, mes
-  ) agregado
+  ) group_counts
 )"""
 
 GOLD_VOLUME_CTE = f"""
@@ -154,8 +154,8 @@ gold_volume_periodo AS (
              count(DISTINCT rota) AS qtd_rotas_ativas
       FROM silver WHERE ano IS NOT NULL AND mes IS NOT NULL
       GROUP BY ano, mes, nome_mes, trimestre, nm_regiao_origem
-    ) agregado_mensal
-  ) com_variacao
+    ) monthly_counts
+  ) with_previous_month
 )"""
 
 GOLD_RANKING_CTE = f"""
@@ -173,7 +173,7 @@ gold_ranking_rotas_atrasadas AS (
     GROUP BY rota, sg_icao_origem, origem_cidade, sg_uf_origem, sg_icao_destino, destino_cidade,
              sg_uf_destino
     HAVING count(*) >= 30
-  ) agregado_rota
+  ) route_counts
 )"""
 
 ALL_GOLD = ",\n".join([GOLD_PUNCTUALITY_CTE, GOLD_VOLUME_CTE, GOLD_RANKING_CTE])
