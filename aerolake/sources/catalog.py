@@ -8,6 +8,7 @@ survives the session and any executor loss.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aerolake.operators import gold
 
@@ -36,18 +37,42 @@ def create_layers(spark: SparkSession, lake_root: str, prefix: str = "") -> dict
     return names
 
 
+# A task that would write into more month folders than this gets its rows
+# clustered first (REBALANCE); fewer means the input is already month-aligned.
+MAX_MONTHS_PER_TASK = 8
+
+
+def months_per_task(silver: DataFrame) -> int:
+    """Most distinct (ano, mes) values any input partition holds.
+
+    Only the reference-date column is read (column pruning), so this costs a
+    small fraction of the write it decides about.
+    """
+    probe = silver.select(F.spark_partition_id().alias("task"),
+                          F.coalesce(F.col("ano") * 100 + F.col("mes"), F.lit(-1)).alias("ym"))
+    per_task = probe.groupBy("task").agg(F.count_distinct("ym").alias("months"))
+    return int(per_task.agg(F.max("months")).first()[0] or 0)
+
+
 def materialise_silver(silver: DataFrame, database: str, path: str,
-                       table: str = SILVER_TABLE) -> str:
+                       table: str = SILVER_TABLE, cluster: bool | None = None) -> str:
     """Silver as a Parquet table partitioned by (ano, mes), replaced each run.
 
     Rows with an unparsed date have NULL ano/mes and land in the default
     partition; they read back unchanged (the punctuality model needs them).
+
+    ``cluster=None`` decides from the data: input split into files per month
+    (as monthly source files are) is written as it is, each task into the one
+    or two month folders it holds; input with months scattered over every
+    split is first clustered with a REBALANCE hint, whose AQE-sized partitions
+    split a hot month over several tasks and coalesce small ones, so no task
+    writes a small file into every month.
     """
     name = f"{_ident(database)}.{_ident(table)}"
-    # REBALANCE clusters rows by the partition columns with AQE-sized output
-    # partitions: a hot month is split over several tasks, small months are
-    # coalesced, and no task writes one small file into every month.
-    (silver.hint("rebalance", "ano", "mes").write.mode("overwrite").format("parquet")
+    if cluster is None:
+        cluster = months_per_task(silver) > MAX_MONTHS_PER_TASK
+    out = silver.hint("rebalance", "ano", "mes") if cluster else silver
+    (out.write.mode("overwrite").format("parquet")
      .partitionBy("ano", "mes").option("path", path).saveAsTable(name))
     return name
 

@@ -39,3 +39,20 @@ def test_catalog_layers_roundtrip(spark, scratch):
     assert "ranking_volume_em_voo" in ranking.columns
     p = spark.table(table).filter("ano = 2025").select("rota")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ano" in p
+
+
+def test_clustering_decision(spark, scratch):
+    """Month-aligned input is written without a shuffle; scattered input is rebalanced."""
+    from pyspark.sql import functions as F
+
+    days = spark.range(0, 24 * 30).select(
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")),
+                      "dd/MM/yyyy").alias("dt_referencia"))
+    silver = build_silver(days.withColumn("sg_icao_origem", F.lit("SBGR")), load_airport_seed(spark))
+    aligned = silver.repartitionByRange(24, "dt_referencia_ts")
+    scattered = silver.repartition(4)
+    assert catalog.months_per_task(aligned) <= 2
+    assert catalog.months_per_task(scattered) > catalog.MAX_MONTHS_PER_TASK
+    dbs = catalog.create_layers(spark, scratch, prefix="c_")
+    t = catalog.materialise_silver(scattered, dbs["silver"], f"{scratch}/s1")
+    assert spark.table(t).count() == 720
