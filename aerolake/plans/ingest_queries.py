@@ -68,9 +68,12 @@ def _memo(spark: SparkSession, sf_dir: str, what: str, build):
     return _MEMO[key]
 
 
-def write_text(df: DataFrame, path: str, encoding: str) -> None:
+def write_text(df: DataFrame, path: str, encoding: str, partition_by: str | None = None) -> None:
     allow_java_charsets(df.sparkSession)
-    (df.write.mode("overwrite").option("sep", ";").option("header", True)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    (writer.option("sep", ";").option("header", True)
      .option("encoding", encoding).option("escape", '"').csv(path))
 
 

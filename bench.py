@@ -2,7 +2,8 @@
 
 Prints ONE JSON line: {"metric", "value" (sum of timed stages, sec), "unit",
 "queries": {stage: sec}, "sf", ...}. Setup (writing the input text files from
-the tables) is not timed. A warm-up run of the same pipeline on the next
+the tables, one file per reference month as in the reference's inputs) is
+not timed. A warm-up run of the same pipeline on the next
 smaller table set (sf0.01, else sf0.001) compiles the JVM hot paths first, as
 on a long-running cluster; its time is reported separately as warmup_sec.
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from aerolake.operators import quality  # noqa: E402
 from aerolake.operators.silver import build_silver  # noqa: E402
 from aerolake.plans import queries as Q  # noqa: E402
-from aerolake.plans.ingest_queries import AIRLINE_ENCODINGS, write_text  # noqa: E402
+from aerolake.plans.ingest_queries import write_text  # noqa: E402
 from aerolake.schema import SOURCE_FILE  # noqa: E402
 from aerolake.session import local_session, scratch_dir  # noqa: E402
 from aerolake.sources import catalog  # noqa: E402
@@ -33,6 +34,10 @@ from aerolake.sources.text import PATTERN_CSV, extract_text_files, list_inputs
 from aerolake.streaming.incremental import load_incremental  # noqa: E402
 
 
+# Input encodings by month of the year.
+MONTH_ENCODINGS = (("01", "04", "UTF-8"), ("05", "08", "windows-1252"), ("09", "12", "UTF-16"))
+
+
 def log(*a):
     print(*a, file=sys.stderr, flush=True)
 
@@ -52,9 +57,18 @@ def timed(results: dict, name: str, fn):
 def run_flow(spark, sf_dir: str, results: dict, tag: str) -> int:
     root = scratch_dir(spark, f"bench-{tag}")
     # --- setup (not timed): the input text files, one folder per airline/encoding
+    # like the reference's inputs: one file per reference month; the encoding
+    # varies with the month of the year (every row is written exactly once)
     flights = flights_from_tables(spark, sf_dir).drop(SOURCE_FILE)
-    for airline, encoding in AIRLINE_ENCODINGS:
-        write_text(flights.filter(F.col("sg_empresa_icao") == airline), f"{root}/input/{airline}", encoding)
+    dt = F.col("dt_referencia")
+    month = F.when(dt.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"),
+                   F.concat(F.substring(dt, 7, 4), F.substring(dt, 4, 2))) \
+        .otherwise(F.concat(F.substring(dt, 1, 4), F.substring(dt, 6, 2)))
+    monthly = flights.withColumn("mes_arquivo", month)
+    month_of_year = F.substring("mes_arquivo", 5, 2)
+    for first, last, encoding in MONTH_ENCODINGS:
+        part = monthly.filter(month_of_year.between(first, last)).repartition("mes_arquivo")
+        write_text(part, f"{root}/input/{encoding}", encoding, partition_by="mes_arquivo")
     airports = airports_from_tables(spark, sf_dir)
     paths = [r.path for r in list_inputs(spark, f"{root}/input", PATTERN_CSV, recursive=True).collect()]
 
