@@ -3,7 +3,8 @@
 Stage order and gates:
 
 1. list the input files; stop if none match;
-2. extract text -> processed Parquet; stop if no file succeeded;
+2. extract the files not extracted before -> processed Parquet; stop if
+   there were new files and none succeeded;
 3. validate the processed files; stop if none is valid;
 4. load new processed files into bronze (exactly once); a failure here is
    reported and the run continues with what bronze already holds;
@@ -27,7 +28,13 @@ from aerolake.schema import SOURCE_FILE
 from aerolake.sources import catalog
 from aerolake.sources.parquet import validate_parquet
 from aerolake.sources.seed import load_airport_seed
-from aerolake.sources.text import PATTERN_TXT, extract_text_files, list_inputs
+from aerolake.sources.text import (
+    PATTERN_TXT,
+    extract_text_files,
+    list_inputs,
+    new_inputs,
+    processed_file_name,
+)
 from aerolake.streaming.incremental import load_incremental
 
 log = logging.getLogger(__name__)
@@ -89,15 +96,20 @@ def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
         return done()
     stage("list_inputs", "ok", len(paths))
 
-    extracted = extract_text_files(spark, paths, cfg.processed_dir)
-    if not extracted.succeeded:
-        stage("extract", "stopped", 0, None, "no file could be read")
-        return done()
-    stage("extract", "ok", len(extracted.succeeded), None,
-          "failed: " + ",".join(extracted.failed) if extracted.failed else "")
-
-    expected = spark.createDataFrame(
-        [(n.rsplit(".", 1)[0] + ".parquet",) for n in extracted.succeeded], f"{SOURCE_FILE} string")
+    # Only files not extracted before: a re-run with the same inputs adds nothing.
+    todo = new_inputs(spark, paths, cfg.processed_dir)
+    if todo:
+        extracted = extract_text_files(spark, todo, cfg.processed_dir)
+        if not extracted.succeeded:
+            stage("extract", "stopped", 0, None, "no file could be read")
+            return done()
+        stage("extract", "ok", len(extracted.succeeded), None,
+              "failed: " + ",".join(extracted.failed) if extracted.failed else "")
+    else:
+        stage("extract", "ok", 0, None, "no new input file")
+
+    known = sorted({processed_file_name(p) for p in paths})
+    expected = spark.createDataFrame([(n,) for n in known], f"{SOURCE_FILE} string")
     validation = validate_parquet(spark, cfg.processed_dir, expected)
     n_valid = validation.filter("valid").count()
     if n_valid == 0:

@@ -84,6 +84,28 @@ def require_inputs(listing: DataFrame) -> list[str]:
     return paths
 
 
+def processed_file_name(path: str) -> str:
+    """``<stem>.parquet`` for a source path (driver side, same rule as ``processed_name``)."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    stem = name.rsplit(".", 1)[0] if "." in name else name
+    return f"{stem}.parquet"
+
+
+def already_processed(spark: SparkSession, processed_dir: str) -> set[str]:
+    """``source_file`` values present in the processed dataset (empty if none yet)."""
+    try:
+        done = spark.read.parquet(processed_dir).select(SOURCE_FILE).distinct()
+        return {r[0] for r in done.collect()}
+    except AnalysisException:
+        return set()
+
+
+def new_inputs(spark: SparkSession, paths: list[str], processed_dir: str) -> list[str]:
+    """The input files whose processed output does not exist yet."""
+    done = already_processed(spark, processed_dir)
+    return [p for p in paths if processed_file_name(p) not in done]
+
+
 def processed_name(file_name_col):
     """``<stem>.parquet`` for a source file name."""
     stem = F.regexp_replace(file_name_col, r"\.[^.]*$", "")
