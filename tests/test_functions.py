@@ -1,7 +1,6 @@
 """P4-P20 and traps T1-T6, T9 on tiny frames."""
 
 import duckdb
-from pyspark.sql import functions as F
 
 from aerolake.functions import (
     calendar_parts,
