@@ -37,21 +37,21 @@ def create_layers(spark: SparkSession, lake_root: str, prefix: str = "") -> dict
     return names
 
 
-# A task that would write into more month folders than this gets its rows
-# clustered first (REBALANCE); fewer means the input is already month-aligned.
-MAX_MONTHS_PER_TASK = 8
+# Writing as-is makes one file per (task, month) pair; below this many rows per
+# file on average the rows are clustered by month first (REBALANCE).
+MIN_ROWS_PER_FILE = 200_000
 
 
-def months_per_task(silver: DataFrame) -> int:
-    """Most distinct (ano, mes) values any input partition holds.
+def rows_per_output_file(silver: DataFrame) -> float:
+    """Average rows per (input partition, month) pair, i.e. per file a direct
+    partitioned write would create.
 
     Only the reference-date column is read (column pruning), so this costs a
     small fraction of the write it decides about.
     """
-    probe = silver.select(F.spark_partition_id().alias("task"),
-                          F.coalesce(F.col("ano") * 100 + F.col("mes"), F.lit(-1)).alias("ym"))
-    per_task = probe.groupBy("task").agg(F.count_distinct("ym").alias("months"))
-    return int(per_task.agg(F.max("months")).first()[0] or 0)
+    ym = F.coalesce(F.col("ano") * 100 + F.col("mes"), F.lit(-1))
+    pairs = silver.groupBy(F.spark_partition_id().alias("task"), ym.alias("ym")).count()
+    return float(pairs.agg(F.avg("count")).first()[0] or 0.0)
 
 
 def materialise_silver(silver: DataFrame, database: str, path: str,
@@ -61,16 +61,16 @@ def materialise_silver(silver: DataFrame, database: str, path: str,
     Rows with an unparsed date have NULL ano/mes and land in the default
     partition; they read back unchanged (the punctuality model needs them).
 
-    ``cluster=None`` decides from the data: input split into files per month
-    (as monthly source files are) is written as it is, each task into the one
-    or two month folders it holds; input with months scattered over every
-    split is first clustered with a REBALANCE hint, whose AQE-sized partitions
-    split a hot month over several tasks and coalesce small ones, so no task
-    writes a small file into every month.
+    ``cluster=None`` decides from the data. Month-aligned input (large monthly
+    source files: each split holds one or two months) is written as it is,
+    one large file per split and month, with no shuffle. Input whose months
+    are scattered over the splits would leave a small file per split and
+    month, so it is first clustered with a REBALANCE hint, whose AQE-sized
+    partitions also split a hot month over several tasks.
     """
     name = f"{_ident(database)}.{_ident(table)}"
     if cluster is None:
-        cluster = months_per_task(silver) > MAX_MONTHS_PER_TASK
+        cluster = rows_per_output_file(silver) < MIN_ROWS_PER_FILE
     out = silver.hint("rebalance", "ano", "mes") if cluster else silver
     (out.write.mode("overwrite").format("parquet")
      .partitionBy("ano", "mes").option("path", path).saveAsTable(name))

@@ -51,8 +51,9 @@ def test_clustering_decision(spark, scratch):
     silver = build_silver(days.withColumn("sg_icao_origem", F.lit("SBGR")), load_airport_seed(spark))
     aligned = silver.repartitionByRange(24, "dt_referencia_ts")
     scattered = silver.repartition(4)
-    assert catalog.months_per_task(aligned) <= 2
-    assert catalog.months_per_task(scattered) > catalog.MAX_MONTHS_PER_TASK
+    # aligned: ~30 rows per (task, month); scattered: 720 rows over 4 x 24 pairs
+    assert catalog.rows_per_output_file(aligned) > 2 * catalog.rows_per_output_file(scattered)
+    assert catalog.rows_per_output_file(scattered) < catalog.MIN_ROWS_PER_FILE
     dbs = catalog.create_layers(spark, scratch, prefix="c_")
     t = catalog.materialise_silver(scattered, dbs["silver"], f"{scratch}/s1")
     assert spark.table(t).count() == 720
