@@ -52,10 +52,17 @@ class JdbcTarget:
 
 
 def append_to_jdbc(df: DataFrame, target: JdbcTarget, table: str, schema: str | None = None,
-                   batch_size: int = DEFAULT_BATCH_SIZE, partitions: int | None = None) -> None:
-    """Append ``df`` to ``schema.table``; ``partitions`` caps concurrent connections."""
-    out = df.coalesce(partitions) if partitions else df
-    out.write.format("jdbc").options(**target.options(table, schema, batch_size)).mode("append").save()
+                   batch_size: int = DEFAULT_BATCH_SIZE, max_connections: int | None = None) -> None:
+    """Append ``df`` to ``schema.table``.
+
+    ``max_connections`` is passed as the JDBC source's ``numPartitions``, the
+    number of concurrent connections the database can take; each task streams
+    its rows in ``batch_size`` inserts, one transaction per partition.
+    """
+    opts = target.options(table, schema, batch_size)
+    if max_connections:
+        opts["numPartitions"] = str(int(max_connections))
+    df.write.format("jdbc").options(**opts).mode("append").save()
 
 
 def read_jdbc_count(spark, target: JdbcTarget, table: str, schema: str | None = None) -> int:
