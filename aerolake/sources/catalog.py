@@ -46,10 +46,15 @@ def rows_per_output_file(silver: DataFrame) -> float:
     """Average rows per (input partition, month) pair, i.e. per file a direct
     partitioned write would create.
 
-    Only the reference-date column is read (column pruning), so this costs a
-    small fraction of the write it decides about.
+    Only the raw reference-date text is read (column pruning): text shaped
+    ``DD/MM/YYYY`` is bucketed by its ``MM/YYYY`` part (its silver month),
+    anything else into one bucket (the NULL partition it lands in). No regex
+    or date parsing runs, so this costs a small fraction of the write it
+    decides about.
     """
-    ym = F.coalesce(F.col("ano") * 100 + F.col("mes"), F.lit(-1))
+    dt = F.col("dt_referencia")
+    shaped = (F.substring(dt, 3, 1) == "/") & (F.substring(dt, 6, 1) == "/")
+    ym = F.when(shaped, F.substring(dt, 4, 7)).otherwise(F.lit(""))
     pairs = silver.groupBy(F.spark_partition_id().alias("task"), ym.alias("ym")).count()
     return float(pairs.agg(F.avg("count")).first()[0] or 0.0)
 
