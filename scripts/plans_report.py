@@ -32,6 +32,15 @@ def physical(df) -> str:
     return "\n".join(line[:220] for line in text.splitlines())
 
 
+def initial(df) -> str:
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        df.explain()
+    text = re.sub(r"#\d+L?", "", buf.getvalue())
+    text = re.sub(r"file:/\S+?/aerolake/", "<shared>/aerolake/", text)
+    return "\n".join(line[:220] for line in text.splitlines())
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
@@ -55,6 +64,12 @@ def main():
            "Generated by `scripts/plans_report.py`; expression ids and local paths stripped.", ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", physical(df), "```", ""]
+    silver = Q.silver(spark, sf_dir)
+    rows = catalog.rows_per_output_file(silver)
+    clustered = silver.hint("rebalance", "ano", "mes")
+    out += ["## Silver write input when clustering is chosen (plan before execution)", "",
+            f"Probe: {rows:,.0f} rows per (input partition, month) pair; clustering is chosen "
+            f"below {catalog.MIN_ROWS_PER_FILE:,}.", "", "```", initial(clustered), "```", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w") as f:
         f.write("\n".join(out))

@@ -131,3 +131,16 @@ def test_type_profile_detects_drift(spark, scratch):
     assert prof[("b.parquet", "kg_carga_paga")] == "bigint"
     drift = {r.column_name: r.inferred_types for r in type_drift(column_type_profile(read_processed(spark, out))).collect()}
     assert drift == {"nr_voo": ["bigint", "string"], "kg_carga_paga": ["bigint", "double"]}
+
+
+def test_incremental_load_in_bounded_batches(spark, inputs, scratch):
+    """With a file cap per micro-batch the backlog is committed in several batches."""
+    paths = [r.path for r in list_inputs(spark, inputs).collect()]
+    out, bronze, ckpt = (os.path.join(scratch, x) for x in ("processed", "bronze", "ckpt"))
+    extract_text_files(spark, paths, out)
+    total = read_processed(spark, out).count()
+    files = len([f for _, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")])
+    stats = load_incremental(spark, out, bronze, ckpt, max_files_per_batch=3)
+    assert stats.rows_added == total and stats.batches >= (files + 2) // 3 - 1
+    assert bronze_row_count(spark, bronze) == total
+    assert load_incremental(spark, out, bronze, ckpt, max_files_per_batch=3).rows_added == 0
