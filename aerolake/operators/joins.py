@@ -1,14 +1,19 @@
-"""Dimension joins with an explicit size check before any broadcast.
+"""Joins with an explicit size check before any broadcast.
 
 A broadcast copies one side to every executor, so it is only used when that
-side is proven small. ``fits_broadcast`` proves it with a bounded probe:
-``take(cap + 1)`` runs incrementally (one partition first, then a growing
-number) and stops as soon as ``cap + 1`` rows are seen, so its cost is bounded
-by the cap, not by the table. Above the cap the join is left to the planner
-(sort-merge or shuffled hash, with AQE splitting skewed partitions).
-
-Probe results are memoised per session and logical plan (``semanticHash``),
-so repeated plans over the same inputs do not probe again.
+side is proven small, by one of two checks:
+
+* derived dimensions (the airport table, nation x region): ``fits_broadcast``
+  runs a bounded probe, ``take(cap + 1)``, which reads incrementally (one
+  partition first, then a growing number) and stops at ``cap + 1`` rows, so
+  its cost is bounded by the cap, not by the table;
+* base tables (customer, orders, supplier): ``stored_bytes`` sums the file
+  sizes from file metadata only, the measure Spark's own threshold uses.
+
+Above the cap the join is a sort-merge join, hinted so the planner cannot
+broadcast the big side on a low estimate; AQE then splits a skewed key's
+partition (``SortMergeJoin(skew=true)``, see ``tests/test_skew.py``).
+Check results are memoised per session (and logical plan, ``semanticHash``).
 """
 
 from __future__ import annotations
