@@ -4,13 +4,16 @@
   column, so only file metadata is read; a missing directory gives an empty
   listing with a warning, and ``require_inputs`` turns "nothing matched" into
   an error.
-* One distributed pass profiles every file (encoding, header, ragged lines);
-  then one CSV scan per (encoding, multiLine, header) group reads the rows as
-  STRING, normalises the missing-value tokens a pandas reader turns into NULL,
-  and adds the lineage column ``source_file`` (the processed Parquet name of
-  the file, ``<stem>.parquet``).
-* A file fails as a whole (S13) when it is empty or has a line with more
-  fields than its header; short lines are kept with NULLs. Failed files are
+* One distributed pass profiles every file (encoding, header, ragged lines)
+  and is written once as a small table in the shared folder; then one CSV
+  scan per (encoding, multiLine, header) group reads the rows as STRING with
+  a schema taken from the header (UTF-16 in splittable line mode by its byte
+  order), normalises the missing-value tokens a pandas reader turns into
+  NULL, and adds the lineage column ``source_file`` (the processed Parquet
+  name of the file, ``<stem>.parquet``).
+* A file fails as a whole (S13) when it has a line with more fields than its
+  header, or is empty when passed explicitly (Spark's listing already skips
+  zero-length files); short lines are kept with NULLs. Failed files are
   dropped before the write, and the per-file status is returned.
 * The write is one job, partitioned by ``source_file``; with
   ``replace_files=True`` only the partitions of the files being written are
