@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators import quality
-from aerolake.operators.silver import build_silver
 from aerolake.schema import SOURCE_FILE
 from aerolake.sources import catalog
 from aerolake.sources.parquet import validate_parquet
@@ -126,9 +125,8 @@ def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
 
     bronze = spark.read.parquet(cfg.bronze_dir)
     seed = airports if airports is not None else load_airport_seed(spark)
-    silver = build_silver(bronze, seed)
     dbs = catalog.create_layers(spark, cfg.lake_root, cfg.database_prefix)
-    silver_table = catalog.materialise_silver(silver, dbs["silver"], cfg.silver_dir)
+    silver_table = catalog.materialise_silver_from_bronze(bronze, seed, dbs["silver"], cfg.silver_dir)
     views = catalog.create_gold_views(spark, dbs["gold"], silver_table)
     stage("silver", "ok", None, spark.table(silver_table).count())
     stage("gold", "ok", len(views))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators import gold
+from aerolake.operators.silver import build_silver
 
 LAYERS = ("bronze", "silver", "gold")
 SILVER_TABLE = "silver_voos"
@@ -82,6 +83,16 @@ def materialise_silver(silver: DataFrame, database: str, path: str,
     return name
 
 
+def materialise_silver_from_bronze(bronze: DataFrame, airports: DataFrame, database: str,
+                                   path: str, table: str = SILVER_TABLE) -> str:
+    """S19 from bronze: probe the direct write's file sizes on the plain plan; when
+    clustering is needed, cluster before the airport joins (narrower shuffle)."""
+    plain = build_silver(bronze, airports)
+    cluster = rows_per_output_file(plain) < MIN_ROWS_PER_FILE
+    silver = build_silver(bronze, airports, cluster_by_month=True) if cluster else plain
+    return materialise_silver(silver, database, path, table, cluster=False)
+
+
 def create_gold_views(spark: SparkSession, database: str, silver_table: str) -> list[str]:
     """The three gold models as views over the silver table."""
     made = []

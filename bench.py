@@ -23,7 +23,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from aerolake.operators import quality  # noqa: E402
-from aerolake.operators.silver import build_silver  # noqa: E402
 from aerolake.plans import queries as Q  # noqa: E402
 from aerolake.plans.ingest_queries import write_text  # noqa: E402
 from aerolake.schema import SOURCE_FILE  # noqa: E402
@@ -81,8 +80,8 @@ def run_flow(spark, sf_dir: str, results: dict, tag: str) -> int:
     dbs = catalog.create_layers(spark, f"{root}/lake", prefix)
 
     def silver_stage():
-        silver = build_silver(spark.read.parquet(f"{root}/bronze"), airports)
-        table = catalog.materialise_silver(silver, dbs["silver"], f"{root}/lake/silver_voos")
+        table = catalog.materialise_silver_from_bronze(
+            spark.read.parquet(f"{root}/bronze"), airports, dbs["silver"], f"{root}/lake/silver_voos")
         return table, catalog.create_gold_views(spark, dbs["gold"], table)
 
     table, views = timed(results, "silver_table", silver_stage)

@@ -107,3 +107,13 @@ def test_strict_mode_raises(spark):
         quality.enforce(report)
     ok = quality.not_null(silver_f1(spark), "silver_voos", ("nr_voo",))
     assert quality.enforce(ok) is ok
+
+
+def test_clustered_silver_has_the_same_rows(spark):
+    plain = build_silver(f1_bronze(spark), load_airport_seed(spark))
+    clustered = build_silver(f1_bronze(spark), load_airport_seed(spark), cluster_by_month=True)
+    assert clustered.columns == plain.columns
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert sorted(plain.collect(), key=key) == sorted(clustered.collect(), key=key)
+    from tests.test_plans import plan
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(clustered)
