@@ -14,6 +14,7 @@ from contextlib import redirect_stdout
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from aerolake.operators import gold  # noqa: E402
+from aerolake.operators.silver import build_silver  # noqa: E402
 from aerolake.plans import queries as Q  # noqa: E402
 from aerolake.plans.ingest_queries import order_ingest  # noqa: E402
 from aerolake.session import local_session, scratch_dir  # noqa: E402
@@ -46,7 +47,8 @@ def main():
     spark = local_session(8)
     root = scratch_dir(spark, "plans")
     dbs = catalog.create_layers(spark, root, "plans_")
-    table = catalog.materialise_silver(Q.silver(spark, sf_dir), dbs["silver"], f"{root}/silver")
+    bronze, airports, _ = Q._layers(spark, sf_dir)
+    table = catalog.materialise_silver_from_bronze(bronze, airports, dbs["silver"], f"{root}/silver")
     views = catalog.create_gold_views(spark, dbs["gold"], table)
     _, processed, _ = order_ingest(spark, sf_dir)
     sections = [
@@ -64,9 +66,9 @@ def main():
            "Generated by `scripts/plans_report.py`; expression ids and local paths stripped.", ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", physical(df), "```", ""]
-    silver = Q.silver(spark, sf_dir)
+    bronze, airports, silver = Q._layers(spark, sf_dir)
     rows = catalog.rows_per_output_file(silver)
-    clustered = silver.hint("rebalance", "ano", "mes")
+    clustered = build_silver(bronze, airports, cluster_by_month=True)
     out += ["## Silver write input when clustering is chosen (plan before execution)", "",
             f"Probe: {rows:,.0f} rows per (input partition, month) pair; clustering is chosen "
             f"below {catalog.MIN_ROWS_PER_FILE:,}.", "", "```", initial(clustered), "```", ""]
