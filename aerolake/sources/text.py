@@ -110,8 +110,11 @@ def new_inputs(spark: SparkSession, paths: list[str], processed_dir: str) -> lis
 
 
 def processed_name(file_name_col):
-    """``<stem>.parquet`` for a source file name."""
-    stem = F.regexp_replace(file_name_col, r"\.[^.]*$", "")
+    """``<stem>.parquet`` for a source file name (same rule as the reader's lineage)."""
+    ext = F.substring_index(file_name_col, ".", -1)
+    without_ext = F.substring(file_name_col, F.lit(1),
+                              F.length(file_name_col) - F.length(ext) - F.lit(1))
+    stem = F.when(F.instr(file_name_col, ".") > 0, without_ext).otherwise(file_name_col)
     return F.concat(stem, F.lit(".parquet"))
 
 
@@ -167,7 +170,10 @@ def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
         reader = reader.schema(", ".join(f"`{c}` STRING" for c in columns))
     df = reader.csv(paths)
     exprs = [normalise_na_sql(c) for c in df.columns]
-    lineage = (f"concat(regexp_replace(_metadata.file_name, '\\\\.[^.]*$', ''), '.parquet') "
+    # <stem>.parquet with string functions only (no regex per row)
+    name = "_metadata.file_name"
+    lineage = (f"concat(CASE WHEN instr({name}, '.') > 0 THEN left({name}, length({name}) "
+               f"- length(substring_index({name}, '.', -1)) - 1) ELSE {name} END, '.parquet') "
                f"AS {SOURCE_FILE}")
     return df.selectExpr(*exprs, lineage)
 

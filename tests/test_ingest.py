@@ -144,3 +144,16 @@ def test_incremental_load_in_bounded_batches(spark, inputs, scratch):
     assert stats.rows_added == total and stats.batches >= (files + 2) // 3 - 1
     assert bronze_row_count(spark, bronze) == total
     assert load_incremental(spark, out, bronze, ckpt, max_files_per_batch=3).rows_added == 0
+
+
+def test_processed_names_agree(spark):
+    """The reader's lineage column and the driver-side name rule give the same names."""
+    from pyspark.sql import functions as F
+
+    from aerolake.sources.text import processed_file_name, processed_name
+
+    names = ["a.txt", "combinada2025-01.txt", "part-0001-x.c000.csv", "noext", "a.b.c"]
+    df = spark.createDataFrame([(n,) for n in names], "file_name string")
+    got = [r[0] for r in df.select(processed_name(F.col("file_name"))).collect()]
+    assert got == [processed_file_name(n) for n in names]
+    assert got[:2] == ["a.parquet", "combinada2025-01.parquet"] and got[3] == "noext.parquet"
