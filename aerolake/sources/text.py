@@ -178,9 +178,21 @@ def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
     return df.selectExpr(*exprs, lineage)
 
 
-def read_text_files(spark: SparkSession, paths: list[str],
-                    sep: str = FIELD_SEPARATOR) -> tuple[DataFrame | None, DataFrame, list[str], list[str]]:
-    """Profile, then read the good files. Returns (rows, profile, ok names, failed names)."""
+# Java charset names of the legacy encodings that the byte rules
+# cannot tell from windows-1252 (MS-DOS Portuguese, Mac Turkish).
+CP860 = "IBM860"
+MAC_TURKISH = "x-MacTurkish"
+
+
+def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPARATOR,
+                    encoding_overrides: dict[str, str] | None = None,
+                    ) -> tuple[DataFrame | None, DataFrame, list[str], list[str]]:
+    """Profile, then read the good files. Returns (rows, profile, ok names, failed names).
+
+    ``encoding_overrides`` maps a file name to a Java charset name (e.g.
+    ``IBM860``) and replaces the detected encoding of that file.
+    """
+    overrides = dict(encoding_overrides or {})
     allow_java_charsets(spark)
     # One pass over all bytes. The small per-file result is read several times
     # below and later, so it is written once as a table in the shared folder
@@ -205,7 +217,8 @@ def read_text_files(spark: SparkSession, paths: list[str],
     groups: dict[tuple, list[str]] = {}
     for r in rows:
         if not r.too_many_fields:
-            groups.setdefault((r.encoding, r.multiline, r.header_key), []).append(r.file_path)
+            enc = overrides.get(r.file_name, r.encoding)
+            groups.setdefault((enc, r.multiline, r.header_key), []).append(r.file_path)
     ok = sorted(r.file_name for r in rows if not r.too_many_fields)
     frames = [
         read_text_group(spark, ps, enc, ml, sep,
@@ -227,9 +240,10 @@ def _plain(path: str) -> str:
 
 
 def extract_text_files(spark: SparkSession, paths: list[str], processed_dir: str,
-                       sep: str = FIELD_SEPARATOR, replace_files: bool = True) -> ExtractResult:
+                       sep: str = FIELD_SEPARATOR, replace_files: bool = True,
+                       encoding_overrides: dict[str, str] | None = None) -> ExtractResult:
     """Text files -> Parquet under ``processed_dir`` partitioned by ``source_file``."""
-    data, profile, ok, failed = read_text_files(spark, paths, sep)
+    data, profile, ok, failed = read_text_files(spark, paths, sep, encoding_overrides)
     result = ExtractResult(succeeded=ok, failed=failed, profile=profile)
     if data is None:
         return result

@@ -157,3 +157,19 @@ def test_processed_names_agree(spark):
     got = [r[0] for r in df.select(processed_name(F.col("file_name"))).collect()]
     assert got == [processed_file_name(n) for n in names]
     assert got[:2] == ["a.parquet", "combinada2025-01.parquet"] and got[3] == "noext.parquet"
+
+
+def test_legacy_encoding_override(spark, scratch):
+    """cp860 bytes look like windows-1252; an explicit override reads them right."""
+    from aerolake.sources.text import CP860
+
+    d = os.path.join(scratch, "dos")
+    os.makedirs(d)
+    write(f"{d}/dos.txt", HEADER + "\n1;GLO;São Paulo\n", "cp860")
+    paths = [r.path for r in list_inputs(spark, d).collect()]
+    guess = extract_text_files(spark, paths, os.path.join(scratch, "p1"))
+    assert {r.encoding for r in guess.profile.collect()} == {"windows-1252"}
+    wrong = read_processed(spark, os.path.join(scratch, "p1")).first().nm_municipio_origem
+    assert wrong != "São Paulo"
+    extract_text_files(spark, paths, os.path.join(scratch, "p2"), encoding_overrides={"dos.txt": CP860})
+    assert read_processed(spark, os.path.join(scratch, "p2")).first().nm_municipio_origem == "São Paulo"
