@@ -33,6 +33,14 @@ class JdbcTarget:
         d = (self.dialect or "mysql").lower()
         return "postgresql" if d in ("postgres", "postgresql") else "mysql"
 
+    def create_schema_sql(self, schema: str) -> str:
+        """S15 on the database side: ``CREATE SCHEMA IF NOT EXISTS`` with the dialect's quoting
+        (double quotes for PostgreSQL, backticks for MySQL); run it with the database's client."""
+        if not schema or any(ch in schema for ch in '`"'):
+            raise ValueError(f"bad schema name: {schema!r}")
+        quoted = f'"{schema}"' if self.normalised_dialect() == "postgresql" else f"`{schema}`"
+        return f"CREATE SCHEMA IF NOT EXISTS {quoted}"
+
     def options(self, table: str, schema: str | None = None,
                 batch_size: int = DEFAULT_BATCH_SIZE) -> dict[str, str]:
         if not self.password:

@@ -18,6 +18,10 @@ def test_jdbc_options():
     assert pg.options("t")["url"] == "jdbc:postgresql://db:6543/flights"
     with pytest.raises(ValueError):
         JdbcTarget(host="db", database="x", user="u", password="").options("t")
+    assert t.create_schema_sql("bronze") == "CREATE SCHEMA IF NOT EXISTS `bronze`"
+    assert pg.create_schema_sql("bronze") == 'CREATE SCHEMA IF NOT EXISTS "bronze"'
+    with pytest.raises(ValueError):
+        pg.create_schema_sql('x"; DROP')
 
 
 def test_seed():
