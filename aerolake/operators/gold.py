@@ -19,7 +19,9 @@ Plan notes (checked with ``explain("formatted")``):
   over the histogram of distinct counts. If N flights qualify, the distinct
   counts d_1 < ... < d_D satisfy D(D-1)/2 <= N, so the histogram has at most
   1 + sqrt(2N) rows (about 1.4M rows for 10^12 flights): a proven bound for
-  both the single ordered window over it and its broadcast back to the routes.
+  both the single ordered window over it and its broadcast back to the routes;
+* both ranking branches use the same route aggregate (arrived = total minus
+  in flight), so its shuffle is computed once and reused (``ReusedExchange``).
 """
 
 from __future__ import annotations
