@@ -77,3 +77,36 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/aerolake/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, executors: int, cores_per_executor: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized for a run over ``input_bytes`` of input on a cluster.
+
+    * file splits and AQE's target partition size are ``target_partition_bytes``
+      (256 MB: large Parquet files, and each task's data fits executor memory);
+    * the initial shuffle partition count covers the whole input at that size
+      and at least three waves of the cluster's cores; AQE then coalesces small
+      partitions and splits skewed ones (joins and REBALANCE), so the widest
+      shuffle (the silver clustering) never lands in a few huge tasks.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(3 * cores, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(int(target_partition_bytes)),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set runtime SQL settings on a session (static ones belong in spark-submit)."""
+    for key, value in settings.items():
+        spark.conf.set(key, value)

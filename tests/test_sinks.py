@@ -61,3 +61,13 @@ def test_clustering_decision(spark, scratch):
     dbs = catalog.create_layers(spark, scratch, prefix="c_")
     t = catalog.materialise_silver(scattered, dbs["silver"], f"{scratch}/s1")
     assert spark.table(t).count() == 720
+
+
+def test_scale_settings_for_100_tb():
+    from aerolake.session import scale_settings
+
+    s = scale_settings(100 * 1024**4, executors=1000, cores_per_executor=8)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600          # 100 TB / 256 MB
+    assert s["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
+    small = scale_settings(10 * 1024**3, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120          # 3 waves of 40 cores
