@@ -65,3 +65,29 @@ def test_ranking_aggregates_routes_once(spark):
     df = Q.q_gold_route_ranking(spark, SF)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def test_silver_from_bronze_has_no_shuffle(spark, scratch):
+    from aerolake.operators.silver import build_silver
+    from aerolake.sources.seed import load_airport_seed
+    from tests.fixtures import f1_bronze
+
+    f1_bronze(spark).write.parquet(f"{scratch}/bronze")
+    p = plan(build_silver(spark.read.parquet(f"{scratch}/bronze"), load_airport_seed(spark)))
+    assert "Exchange hashpartitioning" not in p and "Exchange SinglePartition" not in p
+    assert p.count("BroadcastHashJoin") >= 2
+
+
+def test_volume_view_prunes_partitions_and_columns(spark, scratch):
+    from aerolake.sources import catalog
+    from aerolake.sources.seed import load_airport_seed
+    from tests.fixtures import f1_bronze
+
+    dbs = catalog.create_layers(spark, scratch, prefix="pp_")
+    table = catalog.materialise_silver_from_bronze(f1_bronze(spark), load_airport_seed(spark),
+                                                   dbs["silver"], f"{scratch}/silver")
+    views = catalog.create_gold_views(spark, dbs["gold"], table)
+    p = plan(spark.table(views[1]))
+    assert "PartitionFilters: [isnotnull(ano" in p
+    read_schema = [line for line in p.splitlines() if "ReadSchema" in line][0]
+    assert "origem_cidade" not in read_schema and "dt_referencia" not in read_schema
