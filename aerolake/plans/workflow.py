@@ -51,6 +51,8 @@ class WorkflowConfig:
     # Each micro-batch of the bronze load takes at most this many new files, so a
     # large backlog is committed in restartable pieces.
     max_files_per_batch: int | None = 1000
+    # file name -> Java charset, for encodings the byte rules cannot detect (cp860 ...)
+    encoding_overrides: dict[str, str] | None = None
 
     @property
     def processed_dir(self) -> str:
@@ -98,7 +100,8 @@ def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
     # Only files not extracted before: a re-run with the same inputs adds nothing.
     todo = new_inputs(spark, paths, cfg.processed_dir)
     if todo:
-        extracted = extract_text_files(spark, todo, cfg.processed_dir)
+        extracted = extract_text_files(spark, todo, cfg.processed_dir,
+                                       encoding_overrides=cfg.encoding_overrides)
         if not extracted.succeeded:
             stage("extract", "stopped", 0, None, "no file could be read")
             return done()
