@@ -100,7 +100,8 @@ def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
     # Only files not extracted before: a re-run with the same inputs adds nothing.
     todo = new_inputs(spark, paths, cfg.processed_dir)
     if todo:
-        extracted = extract_text_files(spark, todo, cfg.processed_dir,
+        # only new files: a plain append (no staged overwrite and directory renames)
+        extracted = extract_text_files(spark, todo, cfg.processed_dir, replace_files=False,
                                        encoding_overrides=cfg.encoding_overrides)
         if not extracted.succeeded:
             stage("extract", "stopped", 0, None, "no file could be read")
