@@ -71,3 +71,29 @@ def test_scale_settings_for_100_tb():
     assert s["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
     small = scale_settings(10 * 1024**3, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 120          # 3 waves of 40 cores
+
+
+def test_load_reconciliation_flags_mismatch(spark):
+    from aerolake.operators.quality import load_reconciliation
+
+    expected = spark.createDataFrame([("a.parquet", 3), ("b.parquet", 1)], "source_file string, rows bigint")
+    loaded = spark.createDataFrame([("a.parquet",), ("a.parquet",), ("b.parquet",), ("c.parquet",)],
+                                   "source_file string")
+    got = {r.source_file: (r.source_rows, r.loaded_rows, r.reconciled)
+           for r in load_reconciliation(expected, loaded).collect()}
+    assert got == {"a.parquet": (3, 2, False), "b.parquet": (1, 1, True), "c.parquet": (0, 1, False)}
+
+
+def test_consolidate_and_sample(spark, scratch):
+    from aerolake.sources.parquet import consolidate, sample_rows
+
+    spark.createDataFrame([("1", "x")], "k string, a string").write.parquet(f"{scratch}/f1")
+    spark.createDataFrame([("2", "y"), ("3", "z")], "k string, b string").write.parquet(f"{scratch}/f2")
+    both = consolidate(spark, [f"{scratch}/f1", f"{scratch}/f2"])
+    rows = {r.k: (r.a, r.b) for r in both.collect()}
+    assert rows == {"1": ("x", None), "2": (None, "y"), "3": (None, "z")}
+    assert "source_file" in both.columns
+    sample = sample_rows(both, f"{scratch}/sample", n=2)
+    assert sample.count() == 2
+    again = sample_rows(both, f"{scratch}/sample", n=1)       # replace mode
+    assert again.count() == 1
