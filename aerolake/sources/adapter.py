@@ -140,6 +140,8 @@ def flights_from_tables(spark: SparkSession, sf_dir: str,
         joined, suppliers, F.col("l_suppkey") == F.col("s_suppkey"), table_path(sf_dir, "supplier"),
         max_broadcast_bytes,
     )
+    # the ship date text feeds both departure and arrival: format it once
+    joined = joined.withColumn("_ship_text", _day_text(F.col("l_shipdate")))
     flights = joined.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
                     F.col("l_linenumber").cast("string")).alias("id_combinada"),
@@ -147,8 +149,8 @@ def flights_from_tables(spark: SparkSession, sf_dir: str,
         F.col("l_orderkey").cast("string").alias("nr_voo"),
         F.when(F.col("l_linenumber") == LEGACY_DATE_LINE, _day_text(F.col("o_orderdate"), "yyyy-MM-dd"))
          .otherwise(_day_text(F.col("o_orderdate"))).alias("dt_referencia"),
-        F.when(F.col("l_returnflag") != "N", _day_text(F.col("l_shipdate"))).alias("dt_partida_real"),
-        F.when(F.col("l_returnflag") == "A", _day_text(F.col("l_shipdate"))).alias("dt_chegada_real"),
+        F.when(F.col("l_returnflag") != "N", F.col("_ship_text")).alias("dt_partida_real"),
+        F.when(F.col("l_returnflag") == "A", F.col("_ship_text")).alias("dt_chegada_real"),
         "sg_icao_origem", "sg_uf_origem", "nm_regiao_origem", "nm_pais_origem",
         F.col("l_linenumber").cast("string").alias("nr_etapa"),
         "sg_icao_destino", "sg_uf_destino", "nm_regiao_destino", "nm_pais_destino",
