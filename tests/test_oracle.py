@@ -14,7 +14,7 @@ FAST = ["date_guard", "calendar_parts", "flight_status", "route_key", "airport_e
         "gold_punctuality", "gold_volume_by_period", "gold_route_ranking", "route_ranking_top10",
         "dq_declared_tests", "dq_row_reconciliation", "dq_status_distribution",
         "dq_enrichment_coverage", "ingest_text_roundtrip", "ingest_unified_append",
-        "workflow_gold_volume"]
+        "workflow_gold_volume", "dq_type_profile", "dq_load_reconciliation", "catalog_layers"]
 
 
 def norm(row):
