@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import mixing, token_records, warc
+from aerolake.llm import mixing, neardup, token_records, warc
 from aerolake.llm.common import table
 
 
@@ -19,12 +19,19 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    classes = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size")
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents in binary records, written and read back."""
     return token_records.encode_to_records(table(spark, sf_dir, "documents"),
                                            token_records.default_tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_warc, op5_token_records)}
+QUERIES = {f.__name__: f for f in (
+    op1_source_mixing, op2_warc, op4_near_duplicates, op5_token_records)}
 
 ORACLE_SQL: dict[str, str] = {}

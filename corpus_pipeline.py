@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import mixing, token_records
+from aerolake.llm import mixing, neardup, token_records
 from aerolake.llm.common import materialise, table
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each near-duplicate class."""
+    return neardup.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources reach their target weights."""
     return mixing.mix_documents(docs)
@@ -19,6 +24,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),
     ("token_records", write_tokens),
 ]
