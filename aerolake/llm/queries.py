@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import mixing, neardup, token_records, warc
+from aerolake.llm import decontam, mixing, neardup, token_records, warc
 from aerolake.llm.common import table
 
 
@@ -19,6 +19,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of all documents with benchmark items."""
+    found = decontam.contaminated(table(spark, sf_dir, "documents"),
+                                  table(spark, sf_dir, "benchmark"))
+    return found.drop("digest")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     classes = neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -32,6 +39,6 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_source_mixing, op2_warc, op4_near_duplicates, op5_token_records)}
+    op1_source_mixing, op2_warc, op3_decontamination, op4_near_duplicates, op5_token_records)}
 
 ORACLE_SQL: dict[str, str] = {}

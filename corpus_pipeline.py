@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import mixing, neardup, token_records
+from aerolake.llm import decontam, mixing, neardup, token_records
 from aerolake.llm.common import materialise, table
 
 
@@ -13,6 +13,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return neardup.drop_near_duplicates(docs)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that overlap with a benchmark item."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources reach their target weights."""
     return mixing.mix_documents(docs)
@@ -25,6 +30,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
     ("mix_sources", mix_sources),
     ("token_records", write_tokens),
 ]
