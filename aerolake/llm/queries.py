@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import decontam, mixing, neardup, token_records, warc
+from aerolake.llm import decontam, langid, mixing, neardup, token_records, warc
 from aerolake.llm.common import table
 
 
@@ -38,7 +38,13 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            token_records.default_tokenizer())
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_source_mixing, op2_warc, op3_decontamination, op4_near_duplicates, op5_token_records)}
+    op1_source_mixing, op2_warc, op3_decontamination, op4_near_duplicates, op5_token_records,
+    op6_language_id)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import decontam, mixing, neardup, token_records
+from aerolake.llm import decontam, langid, mixing, neardup, token_records
 from aerolake.llm.common import materialise, table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that no language model accepts."""
+    return langid.drop_rejected(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate class."""
     return neardup.drop_near_duplicates(docs)
@@ -29,6 +34,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("language_id", language_id),
     ("near_dedup", near_dedup),
     ("decontamination", decontaminate),
     ("mix_sources", mix_sources),
