@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import decontam, langid, mixing, neardup, token_records, warc
+from aerolake.llm import decontam, langid, mixing, neardup, secrets, token_records, warc
 from aerolake.llm.common import table
 
 
@@ -43,8 +43,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, scanned once for each distinct text."""
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_warc, op3_decontamination, op4_near_duplicates, op5_token_records,
-    op6_language_id)}
+    op6_language_id, op8_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}
