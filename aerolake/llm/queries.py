@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import decontam, langid, mixing, neardup, secrets, token_records, warc
+from aerolake.llm import (
+    decontam, extract, langid, mixing, neardup, secrets, token_records, warc,
+)
 from aerolake.llm.common import table
 
 
@@ -43,6 +45,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return (extract.extract(table(spark, sf_dir, "pages"))
+            .withColumn("n_chars", F.length("text").cast("long")))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, scanned once for each distinct text."""
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
@@ -50,6 +58,6 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_warc, op3_decontamination, op4_near_duplicates, op5_token_records,
-    op6_language_id, op8_secret_scan)}
+    op6_language_id, op7_html_text, op8_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}
