@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import (
-    decontam, extract, langid, mixing, neardup, secrets, token_records, warc,
+    ann, decontam, extract, langid, mixing, neardup, secrets, token_records, warc,
 )
 from aerolake.llm.common import table
 
@@ -56,8 +56,15 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_warc, op3_decontamination, op4_near_duplicates, op5_token_records,
-    op6_language_id, op7_html_text, op8_secret_scan)}
+    op6_language_id, op7_html_text, op8_secret_scan,
+    op9_nearest)}
 
 ORACLE_SQL: dict[str, str] = {}
