@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import (
-    ann, decontam, extract, langid, mixing, neardup, secrets, token_records, warc,
+    ann, decontam, extract, langid, mixing, neardup, secrets, token_records, toxicity, warc,
 )
 from aerolake.llm.common import table
 
@@ -62,9 +62,14 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities and decision for every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_warc, op3_decontamination, op4_near_duplicates, op5_token_records,
     op6_language_id, op7_html_text, op8_secret_scan,
-    op9_nearest)}
+    op9_nearest, op10_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {}
