@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import bounded_batches, materialise
+from aerolake.llm.common import materialise, prepare
 
 BITS, PARTS = 64, 4
 WIDTH = BITS // PARTS
@@ -289,7 +289,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
     ``queries``: rows of the same columns as ``vectors``, each of an id of its own.
     """
     spark = vectors.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     out = "query_id long, rank int, vec_id long, score double"
     rows = materialise(_valid(vectors, id_col, vector_col), "vectors")
     entries = materialise(entries_of(rows, k), "distinct-vectors")

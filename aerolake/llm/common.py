@@ -12,27 +12,52 @@ Conventions that all operators keep:
 
 from __future__ import annotations
 
+import io
+import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import aerolake
 from aerolake.session import scratch_dir
 
 #: Rows and bytes of an Arrow batch: a batch of long texts must fit a Python worker.
 ARROW_ROWS = 512
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
+_shipped: set[str] = set()
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch limits so that whole texts fit a worker."""
+def prepare(spark: SparkSession) -> None:
+    """Ready a session for the operators' Python functions.
+
+    Lowers the Arrow batch limits so that whole texts fit a worker, and ships the
+    package to the executors, once an application, so that workers can import it
+    wherever they run.
+    """
     for conf, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS),
                        ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
         now = spark.conf.get(conf)
         if not now.isdigit() or not 0 < int(now) <= most:  # "64m" is above either bound
             spark.conf.set(conf, str(most))
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(aerolake.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    folder = scratch_dir(spark, "code")
+    files, base = filesystem(folder)
+    files.create_dir(base, recursive=True)
+    with files.open_output_stream(f"{base}/aerolake.zip") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(f"{folder}/aerolake.zip")
+    _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

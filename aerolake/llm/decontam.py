@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import bounded_batches, materialise, text_digest
+from aerolake.llm.common import materialise, prepare, text_digest
 from aerolake.llm.textops import chunks, mix64, word_hashes
 
 #: Positions with 1 are compared; each mask has six of them.
@@ -181,7 +181,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     n_matches, and coverage (matches to the item's words).
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     items = materialise(item_windows(benchmark.select(
         F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))), "items")
     ids = items.select("item_id", "item")

@@ -30,7 +30,7 @@ from math import log
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import bounded_batches
+from aerolake.llm.common import prepare
 
 # Element names of the HTML standard by their role.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
@@ -169,7 +169,7 @@ def label_counts(page: str | None) -> Counter:
 
 def learn_weights(pages: DataFrame, page_col: str = "html") -> dict[str, float]:
     """Weights of all features, from all labelled pages."""
-    bounded_batches(pages.sparkSession)
+    prepare(pages.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -244,7 +244,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 def extract(pages: DataFrame, weights: dict[str, float] | None = None, id_col: str = "page_id",
             url_col: str = "url", page_col: str = "html") -> DataFrame:
     """page_id, url, text of every page; weights are learned from ``pages`` if not given."""
-    bounded_batches(pages.sparkSession)
+    prepare(pages.sparkSession)
     if weights is None:
         weights = learn_weights(pages, page_col)
 

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import materialise
+from aerolake.llm.common import materialise, prepare
 
 #: Words of a block, and the fewest blocks of a source (with as many words).
 BLOCK_WORDS, MIN_BLOCKS = 1024, 512
@@ -116,6 +116,7 @@ def schedule(docs: DataFrame, sources: list[Source]) -> DataFrame:
     import numpy as np
 
     spark = docs.sparkSession
+    prepare(spark)
     total = sum(s.slots for s in sources)
     m = max(0, (total - 1).bit_length())
     bounds = np.array([s.first for s in sources] + [total], dtype=np.int64)

@@ -28,7 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import bounded_batches
+from aerolake.llm.common import prepare
 from aerolake.session import scratch_dir
 
 # Patterns of the three base kinds and their least lengths.
@@ -90,7 +90,7 @@ def blob_id(text) -> F.Column:
 
 def scan_blobs(blobs: DataFrame, rules: str) -> DataFrame:
     """A ledger row for each of ``blobs`` (blob, text)."""
-    bounded_batches(blobs.sparkSession)
+    prepare(blobs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at once; a longer text is cut between words.
-PIECE = 1 << 20
+PIECE = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[128:] = True
@@ -43,16 +43,23 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def _hash_piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(start byte, hash) of each word of a piece."""
+def _hash_piece(data: np.ndarray, prefixes: tuple[int, ...] = ()):
+    """(start byte, hash) of each word of a piece, and of each prefix of a longer word."""
     word = _IS_WORD[data]
     edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=0, append=0))
     starts, ends = edge[::2], edge[1::2]
     power, inverse = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return starts, mix64(h ^ (ends - starts).astype(np.uint64))
+    length = ends - starts
+    at, h = [starts], [(total[ends] - total[starts]) * inverse[starts] ^ length.astype(np.uint64)]
+    for k in prefixes:
+        longer = starts[length > k]
+        at.append(longer)
+        h.append((total[longer + k] - total[longer]) * inverse[longer] ^ np.uint64(k << 32))
+    if not prefixes:
+        return starts, mix64(h[0])
+    return np.concatenate(at), mix64(np.concatenate(h))
 
 
 def _pieces(data: bytes):
@@ -67,22 +74,34 @@ def _pieces(data: bytes):
     yield at, data[at:]
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """All words of the texts: (hashes, bounds); text i has hashes[bounds[i]:bounds[i + 1]]."""
+def _hashed(texts: list[str | None], prefixes: tuple[int, ...] = ()):
+    """(start byte, hash) over all texts, and where each text starts."""
     raw = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
     lengths = np.fromiter((len(r) + 1 for r in raw), dtype=np.int64, count=len(raw))
     offsets = np.concatenate([[0], np.cumsum(lengths)])
-    joined = b"\n".join(raw)
     starts, hashes = [], []
-    for at, piece in _pieces(joined):
-        s, h = _hash_piece(np.frombuffer(piece, dtype=np.uint8))
+    for at, piece in _pieces(b"\n".join(raw)):
+        s, h = _hash_piece(np.frombuffer(piece, dtype=np.uint8), prefixes)
         starts.append(s + at)
         hashes.append(h)
-    start = np.concatenate(starts)
-    return np.concatenate(hashes), np.searchsorted(start, offsets, side="left")
+    return np.concatenate(starts), np.concatenate(hashes), offsets
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """All words of the texts: (hashes, bounds); text i has hashes[bounds[i]:bounds[i + 1]]."""
+    start, hashes, offsets = _hashed(texts)
+    return hashes, np.searchsorted(start, offsets, side="left")
+
+
+def word_features(
+    texts: list[str | None], prefixes: tuple[int, ...]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and of their first ``prefixes`` bytes, and the text of each."""
+    start, hashes, offsets = _hashed(texts, prefixes)
+    return hashes, np.searchsorted(offsets, start, side="right") - 1
 
 
-def chunks(texts: list[str | None], limit: int = 1 << 20):
+def chunks(texts: list[str | None], limit: int = 1 << 18):
     """(from, to) ranges of the list, each of about ``limit`` characters or one text."""
     start, size = 0, 0
     for i, t in enumerate(texts):

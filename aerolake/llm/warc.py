@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.llm.common import bounded_batches, filesystem, materialise, read_spans
+from aerolake.llm.common import filesystem, materialise, prepare, read_spans
 from aerolake.session import scratch_dir
 
 #: Payloads shorter than this are never revisits.
@@ -126,7 +126,7 @@ def write_archives(pages: DataFrame, root: str, min_bytes: int = MIN_REVISIT_BYT
     Rows that tie for the largest id of their payload are all responses.
     """
     spark = pages.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     files, base = filesystem(root)
     files.create_dir(base, recursive=True)
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
