@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import bounded_batches, materialise, text_digest
+from aerolake.llm.common import materialise, prepare, text_digest
 from aerolake.llm.textops import chunks, mix64
 
 ORDER = 5
@@ -46,7 +46,7 @@ BITS = 12
 FLOOR, MAX_CELLS = 4e-6, 1 << 25
 #: Rejection: percentile of the labelled texts' entropies, margin in bits, allowance in
 #: bits for a text of one character (it falls with the square root of the length).
-PERCENTILE, MARGIN, SHORT = 0.999, 0.5, 8.0
+PERCENTILE, MARGIN, SHORT = 0.999, 2.5, 8.0
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -243,7 +243,7 @@ def fit(labelled: DataFrame) -> Model | None:
     All rows are counted. To the driver come, for each language and order, at most
     1 / FLOOR grams.
     """
-    bounded_batches(labelled.sparkSession)
+    prepare(labelled.sparkSession)
     full = materialise(count_grams(labelled.where("lang is not null")), "grams")
     orders, now = [full], full
     for order in range(ORDER - 1, 0, -1):
@@ -306,7 +306,7 @@ def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
     """
     carry = carry or {}
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("digest"),
                        F.col(text_col).alias("text"), *(c.alias(k) for k, c in carry.items()))
     shared, names_too = spark.sparkContext.broadcast(model), list(carry)
