@@ -12,13 +12,15 @@ aggregation grouped by file decides the encoding of every file at once:
 
 The same pass records what the reader needs next: the header line, its field
 count, the largest field count of any line (a line with more fields than the
-header makes the whole file fail, as a pandas reader would), and whether a
-quote is left open at the end of a line (the file then needs ``multiLine``).
+header makes the whole file fail, as a pandas reader would), whether a field
+opens with a quote and leaves it open (the file then needs ``multiLine``; a
+stray quote inside a field does not), and whether UTF-16 lines end with CR LF.
 Every byte is inspected, not a leading sample, so a late accent is not missed.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,45 +43,70 @@ QUOTE = '"'
 
 
 def _count_char(text: Column, ch: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
+    """Occurrences of an ASCII character, counted in bytes.
 
+    ``length`` would read an undecoded accent byte as the start of a longer
+    character and swallow the separators after it.
+    """
+    without = F.replace(text, F.lit(ch), F.lit(""))
+    return F.octet_length(text.cast("binary")) - F.octet_length(without.cast("binary"))
 
-def field_count(line: Column, sep: str = FIELD_SEPARATOR) -> Column:
-    """Fields of one physical line, separators inside ``"..."`` not counted.
 
-    The quote-stripping regex only runs on lines that contain a quote.
+def _without_quoted_fields(line: Column, sep: str) -> Column:
+    """The line without the fields that open with a quote and close it.
+
+    A quote elsewhere in a field is an ordinary character. The regex only runs
+    on lines that contain a quote.
     """
-    has_quote = F.instr(line, QUOTE) > 0
-    unquoted = F.when(has_quote, F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
-    return _count_char(unquoted, sep) + F.lit(1)
+    mark = re.escape(sep)
+    closed = F.regexp_replace(line, f'(^|{mark})"(?:[^"]|"")*"', "$1")
+    return F.when(F.instr(line, QUOTE) > 0, closed).otherwise(line)
+
+
+def field_count(line: Column, sep: str = FIELD_SEPARATOR) -> Column:
+    """Fields of one record, separators inside quoted fields not counted."""
+    return _count_char(_without_quoted_fields(line, sep), sep) + F.lit(1)
+
+
+def opens_quote(line: Column, sep: str = FIELD_SEPARATOR) -> Column:
+    """Whether a field of the line opens with a quote and is left open."""
+    rest = _without_quoted_fields(line, sep)
+    return F.when(F.instr(line, QUOTE) > 0, rest.rlike(f'(^|{re.escape(sep)})"')) \
+        .otherwise(F.lit(False))
 
 
 def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     """One row per file of a ``spark.read.text`` frame (with ``_metadata``).
 
-    Columns: file_path, file_name, lines, encoding, multiline, header,
+    Columns: file_path, file_name, lines, encoding, multiline, crlf, header,
     header_bytes, header_key (64-bit hash of the header line), header_fields,
-    max_fields, too_many_fields.
+    max_fields, too_many_fields. ``too_many_fields`` is final for files of one
+    byte a separator and one line a record; in UTF-16 files and files with
+    quoted fields over several lines the parser's records decide (see
+    ``text.ragged_files``).
     """
-    value = F.col("value")
-    as_bytes = value.cast("binary")
-    utf8 = F.is_valid_utf8(value)
+    raw_value = F.col("value")
+    # UTF-16 as bytes: without its zero bytes, quotes and separators stand side by side.
+    value = F.when(F.instr(raw_value, "\x00") > 0,
+                   F.replace(raw_value, F.lit("\x00"), F.lit(""))).otherwise(raw_value)
+    as_bytes = raw_value.cast("binary")
+    utf8 = F.is_valid_utf8(raw_value)
     # byte checks only on lines that are not valid UTF-8 (CASE branches are lazy)
     undefined = F.when(~utf8, reduce(
         lambda a, b: a | b,
         [F.contains(as_bytes, F.unhex(F.lit(x))) for x in CP1252_UNDEFINED_BYTES],
     )).otherwise(F.lit(False))
-    open_quote = F.when(F.instr(value, QUOTE) > 0, _count_char(value, QUOTE) % 2 == 1) \
-        .otherwise(F.lit(False))
     lines = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.struct(F.input_file_block_start().alias("block"),
                  F.monotonically_increasing_id().alias("pos")).alias("order"),
-        value.alias("line"),
+        raw_value.alias("line"),
         utf8.alias("utf8"),
         undefined.alias("undefined"),
-        open_quote.alias("open_quote"),
+        opens_quote(value, sep).alias("open_quote"),
+        # between the bytes of a UTF-16 CR LF, and after a last little-endian LF
+        (as_bytes == F.unhex(F.lit("00"))).alias("stub"),
         field_count(value, sep).alias("fields"),
     )
     per_file = lines.groupBy("file_path", "file_name").agg(
@@ -90,6 +117,8 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         F.bool_and("utf8").alias("all_utf8"),
         F.bool_or("undefined").alias("any_undefined"),
         F.bool_or("open_quote").alias("any_open_quote"),
+        F.count_if("stub").alias("stubs"),
+        F.max_by("stub", "order").alias("last_is_stub"),
     )
     head_hex = F.hex(F.substring(F.col("header").cast("binary"), 1, 2))
     encoding = (
@@ -100,14 +129,19 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         .otherwise(F.lit(CP1252))
     )
     multiline = F.col("any_open_quote")
+    # Every line ends with CR LF, but perhaps a last one without any line end.
+    ended = F.col("last_is_stub").cast("int")
+    pairs = F.col("stubs") - F.when(encoding == UTF16_LE, ended).otherwise(F.lit(0))
+    crlf = (pairs > 0) & (pairs >= F.col("lines") - F.col("stubs") - 1 + ended)
     return per_file.select(
         "file_path", "file_name", "lines",
         encoding.alias("encoding"),
         multiline.alias("multiline"),
+        crlf.alias("crlf"),
         "header", F.col("header").cast("binary").alias("header_bytes"),
         F.xxhash64("header").alias("header_key"), "header_fields", "max_fields",
-        # Per-line field counts are exact only when no quoted field spans lines.
-        (~multiline & (F.col("max_fields") > F.col("header_fields"))).alias("too_many_fields"),
+        (~multiline & ~encoding.isin(UTF16_BE, UTF16_LE)
+         & (F.col("max_fields") > F.col("header_fields"))).alias("too_many_fields"),
     )
 
 

@@ -11,10 +11,13 @@
   order), normalises the missing-value tokens a pandas reader turns into
   NULL, and adds the lineage column ``source_file`` (the processed Parquet
   name of the file, ``<stem>.parquet``).
-* A file fails as a whole (S13) when it has a line with more fields than its
+* A file fails as a whole (S13) when it has a record with more fields than its
   header, or is empty when passed explicitly (Spark's listing already skips
-  zero-length files); short lines are kept with NULLs. Failed files are
+  zero-length files); short records are kept with NULLs. Failed files are
   dropped before the write, and the per-file status is returned.
+* The schema always comes from the header. Names of the documented record are
+  matched without regard to case; a repeated name gets ``.1``, ``.2``, ... as a
+  pandas reader would name it, so the first column keeps its name and values.
 * The write is one job, partitioned by ``source_file``; with
   ``replace_files=True`` only the partitions of the files being written are
   replaced (dynamic partition overwrite), so re-running a file is idempotent.
@@ -28,9 +31,10 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolake.functions.text import normalise_na_sql
-from aerolake.schema import SOURCE_FILE
+from aerolake.schema import BRONZE_COLUMNS, SOURCE_FILE
 from aerolake.session import scratch_dir
 from aerolake.sources.encoding import (
     FIELD_SEPARATOR,
@@ -38,6 +42,7 @@ from aerolake.sources.encoding import (
     UTF16_BE,
     UTF16_LE,
     decode_header,
+    field_count,
     profile_text_files,
 )
 
@@ -87,26 +92,29 @@ def require_inputs(listing: DataFrame) -> list[str]:
     return paths
 
 
-def processed_file_name(path: str) -> str:
-    """``<stem>.parquet`` for a source path (driver side, same rule as ``processed_name``)."""
+def processed_file_name(path: str, root: str | None = None) -> str:
+    """Processed name of a source path (driver side, same rule as the reader's lineage).
+
+    ``<stem>.parquet``; with the ``root`` that was listed recursively, folders below it
+    are part of the name (``a/b/x.txt`` -> ``a__b__x.parquet``), so it is unique per path.
+    """
     name = path.rstrip("/").rsplit("/", 1)[-1]
+    if root is not None:
+        name = _plain(path)[len(_plain(root).rstrip("/")) + 1:].replace("/", "__")
     stem = name.rsplit(".", 1)[0] if "." in name else name
     return f"{stem}.parquet"
 
 
-def already_processed(spark: SparkSession, processed_dir: str) -> set[str]:
-    """``source_file`` values present in the processed dataset (empty if none yet)."""
-    try:
-        done = spark.read.parquet(processed_dir).select(SOURCE_FILE).distinct()
-        return {r[0] for r in done.collect()}
-    except AnalysisException:
-        return set()
-
-
-def new_inputs(spark: SparkSession, paths: list[str], processed_dir: str) -> list[str]:
-    """The input files whose processed output does not exist yet."""
-    done = already_processed(spark, processed_dir)
-    return [p for p in paths if processed_file_name(p) not in done]
+def unique_names(paths: list[str], root: str | None) -> dict[str, str]:
+    """path -> processed name; raises if two paths would share one."""
+    names = {p: processed_file_name(p, root) for p in paths}
+    if len(set(names.values())) < len(names):
+        seen: dict[str, str] = {}
+        for p, n in names.items():
+            if n in seen:
+                raise ValueError(f"{seen[n]} and {p} would both be {n}; pass their common root")
+            seen[n] = p
+    return names
 
 
 def processed_name(file_name_col):
@@ -126,25 +134,90 @@ class ExtractResult:
     failed: list[str] = field(default_factory=list)
     rows_written: int = 0
     profile: DataFrame | None = None
+    # processed name -> column names of each file that succeeded
+    columns: dict[str, list[str]] = field(default_factory=dict)
 
     def stats(self) -> dict:
         return {"sucessos": len(self.succeeded), "falhas": len(self.failed),
                 "falhos": list(self.failed)}
 
 
+_CANONICAL = {c.lower(): c for c in BRONZE_COLUMNS}
+
+
 def header_columns(header: str | None, sep: str = FIELD_SEPARATOR) -> list[str] | None:
-    """Column names from a decoded header line, or None to let the reader infer them."""
+    """Column names from a decoded header line; None if it cannot be decoded.
+
+    Documented names are matched without regard to case, a repeated name gets
+    ``.1``, ``.2``, ..., and an empty one is ``Unnamed: <position>``.
+    """
     if not header or "\ufffd" in header:
         return None
-    names = [h.strip().strip('"') for h in header.rstrip("\r").split(sep)]
-    if any(not n for n in names) or len(set(names)) != len(names):
-        return None
-    return names
+    names = [h.strip() for h in header.rstrip("\r").split(sep)]
+    names = [h[1:-1].replace('""', '"') if len(h) > 1 and h[0] == h[-1] == '"' else h for h in names]
+    out: list[str] = []
+    seen: set[str] = set()
+    for i, name in enumerate(names):
+        name = _CANONICAL.get(name.lower(), name) or f"Unnamed: {i}"
+        unique, k = name, 0
+        while unique.lower() in seen:
+            k += 1
+            unique = f"{name}.{k}"
+        seen.add(unique.lower())
+        out.append(unique)
+    return out
+
+
+def _schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def _reader(spark: SparkSession, encoding: str, multiline: bool, sep: str, crlf: bool):
+    utf16 = encoding in (UTF16_BE, UTF16_LE)
+    reader = (
+        spark.read.option("sep", sep)
+        .option("header", True)
+        .option("encoding", UTF16 if (utf16 and multiline) else encoding)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("mode", "PERMISSIVE")
+        .option("inferSchema", False)
+        # a file's own header may differ in case or repeat a name
+        .option("enforceSchema", True)
+    )
+    if utf16 and not multiline:
+        reader = reader.option("lineSep", "\r\n" if crlf else "\n")
+    return reader
+
+
+CORRUPT = "__record"
+
+
+def ragged_files(spark: SparkSession, paths: list[str], encoding: str, multiline: bool, sep: str,
+                 columns: list[str], crlf: bool = False) -> set[str]:
+    """Paths of the files in which some record has more fields than the header.
+
+    The parser reports records whose field count differs from the schema with
+    their text, in which the fields are counted (quoted fields may span lines).
+    """
+    schema = _schema(columns).add(CORRUPT, T.StringType())
+    rows = (_reader(spark, encoding, multiline, sep, crlf)
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(paths))
+    # a plain IS NOT NULL would be pushed into the parser, before it fills the column
+    odd = rows.where(F.coalesce(F.length(CORRUPT), F.lit(0)) > 0).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.hash(*(F.col(f"`{c}`") for c in columns)).alias("all"),
+        field_count(F.col(CORRUPT), sep).alias("fields"))
+    # The parser only sees odd records when every column is asked of it.
+    per_file = odd.groupBy("path").agg(F.max("fields").alias("fields"), F.max("all").alias("all"))
+    return {_plain(r.path) for r in
+            per_file.where((F.col("fields") > len(columns)) & F.col("all").isNotNull()).collect()}
 
 
 def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
                     multiline: bool, sep: str = FIELD_SEPARATOR,
-                    columns: list[str] | None = None) -> DataFrame:
+                    columns: list[str] | None = None, crlf: bool = False,
+                    root: str | None = None) -> DataFrame:
     """One CSV scan of files sharing encoding and header; every column STRING.
 
     With ``columns`` known from the profile the schema is given (no inference
@@ -154,24 +227,22 @@ def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
     only files with a quoted field spanning lines need ``multiLine`` (one task
     per file).
     """
-    utf16 = encoding in (UTF16_BE, UTF16_LE)
-    reader = (
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("encoding", UTF16 if (utf16 and multiline) else encoding)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("inferSchema", False)
-    )
-    if utf16 and not multiline:
-        reader = reader.option("lineSep", "\n")
+    reader = _reader(spark, encoding, multiline, sep, crlf)
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` STRING" for c in columns))
+        reader = reader.schema(_schema(columns))
     df = reader.csv(paths)
     exprs = [normalise_na_sql(c) for c in df.columns]
+    if encoding in (UTF16_BE, UTF16_LE) and not crlf and not multiline and exprs:
+        # line ends are mixed: the last column of some lines ends with a carriage return
+        last = "`" + df.columns[-1].replace("`", "``") + "`"
+        bare = f"regexp_replace({last}, '\\r$', '')"
+        df = df.withColumn(df.columns[-1], F.expr(bare))
     # <stem>.parquet with string functions only (no regex per row)
     name = "_metadata.file_name"
+    if root is not None:
+        plain = _plain(root).rstrip("/").replace("\\", "\\\\").replace("'", "\\'")
+        name = (f"replace(substring(_metadata.file_path, instr(_metadata.file_path, '{plain}') + "
+                f"{len(_plain(root).rstrip('/')) + 1}), '/', '__')")
     lineage = (f"concat(CASE WHEN instr({name}, '.') > 0 THEN left({name}, length({name}) "
                f"- length(substring_index({name}, '.', -1)) - 1) ELSE {name} END, '.parquet') "
                f"AS {SOURCE_FILE}")
@@ -186,14 +257,16 @@ MAC_TURKISH = "x-MacTurkish"
 
 def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPARATOR,
                     encoding_overrides: dict[str, str] | None = None,
-                    ) -> tuple[DataFrame | None, DataFrame, list[str], list[str]]:
-    """Profile, then read the good files. Returns (rows, profile, ok names, failed names).
+                    root: str | None = None) -> tuple[DataFrame | None, ExtractResult]:
+    """Profile, then read the good files. Returns (rows or None, result).
 
     ``encoding_overrides`` maps a file name to a Java charset name (e.g.
-    ``IBM860``) and replaces the detected encoding of that file.
+    ``IBM860``) and replaces the detected encoding of that file. ``root`` is the
+    folder whose recursive listing gave the paths (see ``processed_file_name``).
     """
     overrides = dict(encoding_overrides or {})
     allow_java_charsets(spark)
+    names = {_plain(p): n for p, n in unique_names(paths, root).items()}
     # One pass over all bytes. The small per-file result is read several times
     # below and later, so it is written once as a table in the shared folder
     # (``checkpoint()`` would compute the scan twice: once to count, once to save).
@@ -203,32 +276,38 @@ def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPA
     # One small row per file (no header text): the read plan needs the paths on
     # the driver, as any file scan's index does. Header text comes once per
     # distinct header, grouped on the executors.
-    rows = profile.select("file_path", "file_name", "encoding", "multiline", "header_key",
+    rows = profile.select("file_path", "file_name", "encoding", "multiline", "crlf", "header_key",
                           "too_many_fields").collect()
     headers = {
-        r.header_key: (r.encoding, r.header_bytes)
-        for r in profile.groupBy("header_key").agg(
-            F.first("encoding").alias("encoding"),
+        (r.header_key, r.encoding): r.header_bytes
+        for r in profile.groupBy("header_key", "encoding").agg(
             F.first("header_bytes").alias("header_bytes")).collect()
     }
     seen = {_plain(r.file_path) for r in rows}
-    empty = {p.rsplit("/", 1)[-1] for p in paths if _plain(p) not in seen}
-    failed = sorted({r.file_name for r in rows if r.too_many_fields} | empty)
-    groups: dict[tuple, list[str]] = {}
+    failed = {p.rsplit("/", 1)[-1] for p in paths if _plain(p) not in seen}  # empty files
+    failed |= {r.file_name for r in rows if r.too_many_fields}
+    groups: dict[tuple, list] = {}
     for r in rows:
         if not r.too_many_fields:
             enc = overrides.get(r.file_name, r.encoding)
-            groups.setdefault((enc, r.multiline, r.header_key), []).append(r.file_path)
-    ok = sorted(r.file_name for r in rows if not r.too_many_fields)
-    frames = [
-        read_text_group(spark, ps, enc, ml, sep,
-                        None if ml else header_columns(decode_header(headers[key][1], enc), sep))
-        for (enc, ml, key), ps in sorted(groups.items(), key=lambda kv: kv[1][0])
-    ]
-    data = None
-    for f in frames:
-        data = f if data is None else data.unionByName(f, allowMissingColumns=True)
-    return data, profile, ok, failed
+            groups.setdefault((enc, r.multiline, r.crlf, r.header_key, r.encoding), []).append(r)
+    result, data = ExtractResult(profile=profile), None
+    for (enc, ml, crlf, key, detected), files in sorted(groups.items(), key=lambda kv: kv[1][0].file_path):
+        columns = header_columns(decode_header(headers[key, detected], enc), sep)
+        if columns and (ml or enc in (UTF16_BE, UTF16_LE)):
+            ragged = ragged_files(spark, [r.file_path for r in files], enc, ml, sep, columns, crlf)
+            failed |= {r.file_name for r in files if _plain(r.file_path) in ragged}
+            files = [r for r in files if _plain(r.file_path) not in ragged]
+        if not files:
+            continue
+        frame = read_text_group(spark, [r.file_path for r in files], enc, ml, sep, columns, crlf, root)
+        result.succeeded += [r.file_name for r in files]
+        shape = [c for c in frame.columns if c != SOURCE_FILE]
+        result.columns.update((names[_plain(r.file_path)], shape) for r in files)
+        data = frame if data is None else data.unionByName(frame, allowMissingColumns=True)
+    result.succeeded.sort()
+    result.failed = sorted(failed)
+    return data, result
 
 
 def _plain(path: str) -> str:
@@ -241,10 +320,10 @@ def _plain(path: str) -> str:
 
 def extract_text_files(spark: SparkSession, paths: list[str], processed_dir: str,
                        sep: str = FIELD_SEPARATOR, replace_files: bool = True,
-                       encoding_overrides: dict[str, str] | None = None) -> ExtractResult:
+                       encoding_overrides: dict[str, str] | None = None,
+                       root: str | None = None) -> ExtractResult:
     """Text files -> Parquet under ``processed_dir`` partitioned by ``source_file``."""
-    data, profile, ok, failed = read_text_files(spark, paths, sep, encoding_overrides)
-    result = ExtractResult(succeeded=ok, failed=failed, profile=profile)
+    data, result = read_text_files(spark, paths, sep, encoding_overrides, root)
     if data is None:
         return result
     writer = data.write.partitionBy(SOURCE_FILE)

@@ -88,7 +88,8 @@ def test_extract_values_and_failures(spark, inputs, scratch):
     prof = {r.source_file: r.rows for r in parquet_profile(spark, out).collect()}
     assert "header_only.parquet" not in prof and prof["utf8.parquet"] == 2
     expected = spark.createDataFrame([("utf8.parquet",), ("header_only.parquet",)], "source_file string")
-    valid = {r.source_file: r.valid for r in validate_parquet(spark, out, expected).collect()}
+    valid = {r.source_file: r.valid for r in validate_parquet(
+        spark, out, expected, df.schema).collect()}
     assert valid == {"utf8.parquet": True, "header_only.parquet": False}
 
 
@@ -134,14 +135,18 @@ def test_type_profile_detects_drift(spark, scratch):
 
 
 def test_incremental_load_in_bounded_batches(spark, inputs, scratch):
-    """With a file cap per micro-batch the backlog is committed in several batches."""
+    """With a file cap per micro-batch the backlog is committed in several batches; rows are
+    counted in the sink, however few batches the query remembers."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
     paths = [r.path for r in list_inputs(spark, inputs).collect()]
     out, bronze, ckpt = (os.path.join(scratch, x) for x in ("processed", "bronze", "ckpt"))
     extract_text_files(spark, paths, out)
     total = read_processed(spark, out).count()
     files = len([f for _, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")])
     stats = load_incremental(spark, out, bronze, ckpt, max_files_per_batch=3)
-    assert stats.rows_added == total and stats.batches >= (files + 2) // 3 - 1
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert stats.rows_added == total and stats.files == files
+    assert stats.as_dict() == {"total_linhas": total, "arquivos": files, "falhas": 0}
     assert bronze_row_count(spark, bronze) == total
     assert load_incremental(spark, out, bronze, ckpt, max_files_per_batch=3).rows_added == 0
 
@@ -173,3 +178,44 @@ def test_legacy_encoding_override(spark, scratch):
     assert wrong != "São Paulo"
     extract_text_files(spark, paths, os.path.join(scratch, "p2"), encoding_overrides={"dos.txt": CP860})
     assert read_processed(spark, os.path.join(scratch, "p2")).first().nm_municipio_origem == "São Paulo"
+
+
+def test_reader_keeps_or_fails(spark, scratch):
+    """Extra fields fail a file, whatever its encoding and quotes; nothing else is lost."""
+    d, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    os.makedirs(d)
+
+    def write(name, data):
+        with open(f"{d}/{name}.txt", "wb") as f:
+            f.write(data)
+
+    write("extra_multiline", '"a\nb";y;z\n2;y;z;LOST1;LOST2\n'.join(["id_combinada;nr_voo;ds_di\n", ""]).encode())
+    write("extra_accent", "id_combinada;nr_voo;ds_di\n4;5;é;;\n".encode("cp1252"))
+    write("extra_utf16", "id_combinada;nr_voo;ds_di\n4;5;é;6\n".encode("utf-16"))
+    write("good_utf16", "id_combinada;nr_voo;ds_di\n4;5;Ļ㬻\n".encode("utf-16"))
+    write("crlf_utf16", "id_combinada;nr_voo;ds_di\r\n1;2;SP\r\n3;4;\r\n5;6;\"q;r\"\r\n".encode("utf-16"))
+    write("mixed_utf16", "id_combinada;nr_voo;ds_di\r\n1;2;SP\r\n3;4;RJ\n5;6;\r\n".encode("utf-16"))
+    write("stray", 'id_combinada;nr_voo;ds_di\n1;tela 12" x;k\n2;"a ""b""";c\n'.encode())
+    write("repeated", "id_combinada;ds_di;nr_voo;DS_DI\n1;REGULAR;7;x\n".encode())
+    res = extract_text_files(spark, [r.path for r in list_inputs(spark, d).collect()], out)
+    assert res.failed == ["extra_accent.txt", "extra_multiline.txt", "extra_utf16.txt"]
+    got = {}
+    for r in read_processed(spark, out).collect():
+        got.setdefault(r.source_file[:-8], []).append((r.id_combinada, r.nr_voo, r.ds_di, r["DS_DI.1"]
+                                                       if "DS_DI.1" in r else r["ds_di.1"]))
+    assert got["good_utf16"] == [("4", "5", "Ļ㬻", None)]
+    assert sorted(got["crlf_utf16"]) == [("1", "2", "SP", None), ("3", "4", None, None), ("5", "6", "q;r", None)]
+    assert sorted(got["mixed_utf16"]) == [("1", "2", "SP", None), ("3", "4", "RJ", None), ("5", "6", None, None)]
+    assert sorted(got["stray"]) == [("1", 'tela 12" x', "k", None), ("2", 'a "b"', "c", None)]
+    assert got["repeated"] == [("1", "7", "REGULAR", "x")]
+    prof = {r.file_name: r.multiline for r in res.profile.collect()}
+    assert not prof["stray.txt"] and prof["extra_multiline.txt"]
+
+
+def test_same_name_in_two_folders_needs_the_root(spark, scratch):
+    from aerolake.sources.text import unique_names
+
+    with pytest.raises(ValueError):
+        unique_names(["/a/p/x.txt", "/a/q/x.txt"], None)
+    assert set(unique_names(["file:/a/p/x.txt", "/a/q/x.txt"], "/a").values()) == {
+        "p__x.parquet", "q__x.parquet"}
