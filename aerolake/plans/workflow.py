@@ -3,41 +3,46 @@
 Stage order and gates:
 
 1. list the input files; stop if none match;
-2. extract the files not extracted before -> processed Parquet; stop if
+2. extract the file versions not extracted before -> processed Parquet; stop if
    there were new files and none succeeded;
-3. validate the processed files; stop if none is valid;
-4. load new processed files into bronze (exactly once); a failure here is
-   reported and the run continues with what bronze already holds;
+3. validate the processed files; stop if none is valid, and name the others;
+4. load valid files whose version bronze lacks, replacing their partitions; a
+   failure here is reported and the run continues with what bronze already holds;
 5. materialise silver (partitioned by year/month) and create the gold views;
+   skipped when there is no bronze yet;
 6. run the declared data tests (report; ``strict=True`` raises on failures).
 
-Each stage adds one row to the returned stats frame.
+Each stage adds one row to the returned stats frame. Extract and load keep a
+manifest of file versions (``sources/manifest.py``): a file published again under its
+name replaces its rows in processed and in bronze.
 """
 
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators import quality
+from aerolake.operators.silver import require_columns
 from aerolake.schema import SOURCE_FILE
 from aerolake.sources import catalog
-from aerolake.sources.parquet import validate_parquet
+from aerolake.sources.manifest import Manifest
+from aerolake.sources.parquet import bronze_schema, drop_partitions, validate_parquet
 from aerolake.sources.seed import load_airport_seed
 from aerolake.sources.text import (
     PATTERN_TXT,
     extract_text_files,
     list_inputs,
-    new_inputs,
-    processed_file_name,
+    unique_names,
 )
-from aerolake.streaming.incremental import load_incremental
+from aerolake.streaming.incremental import load_files
 
 log = logging.getLogger(__name__)
 
+VERSION = "path string, length bigint, modificationTime timestamp"
 STATS_SCHEMA = "stage string, status string, files bigint, rows bigint, detail string"
 
 
@@ -48,9 +53,9 @@ class WorkflowConfig:
     pattern: str = PATTERN_TXT
     database_prefix: str = ""
     strict_tests: bool = False
-    # Each micro-batch of the bronze load takes at most this many new files, so a
-    # large backlog is committed in restartable pieces.
-    max_files_per_batch: int | None = 1000
+    # The bronze load commits at most this many files at once, so a large backlog
+    # is done in restartable pieces.
+    max_files_per_batch: int = 1000
     # file name -> Java charset, for encodings the byte rules cannot detect (cp860 ...)
     encoding_overrides: dict[str, str] | None = None
 
@@ -63,8 +68,12 @@ class WorkflowConfig:
         return f"{self.lake_root}/bronze/bronze_voos"
 
     @property
-    def bronze_checkpoint(self) -> str:
-        return f"{self.lake_root}/_checkpoints/bronze_voos"
+    def extract_manifest(self) -> str:
+        return f"{self.lake_root}/_manifests/extract"
+
+    @property
+    def load_manifest(self) -> str:
+        return f"{self.lake_root}/_manifests/load"
 
     @property
     def silver_dir(self) -> str:
@@ -79,58 +88,104 @@ class WorkflowRun:
     tests: DataFrame | None = None
 
 
-def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
-                 airports: DataFrame | None = None, recursive: bool = False) -> WorkflowRun:
-    rows: list[tuple] = []
+@dataclass
+class LoadedBronze:
+    """Bronze after a run's extract and load; ``bronze`` is None if there is none yet."""
 
-    def stage(name, status, files=None, n=None, detail=""):
-        rows.append((name, status, files, n, detail))
-        log.info("stage %s: %s files=%s rows=%s %s", name, status, files, n, detail)
+    bronze: DataFrame | None = None
+    columns: list[str] = field(default_factory=list)
+    loaded: dict[str, int] = field(default_factory=dict)
+    stopped: bool = False
 
-    def done(**kw) -> WorkflowRun:
-        return WorkflowRun(stats=spark.createDataFrame(rows, STATS_SCHEMA), **kw)
 
+def extract_and_load(spark: SparkSession, cfg: WorkflowConfig, recursive: bool = False,
+                     stage=lambda *a: None) -> LoadedBronze:
+    """Stages 1 to 4; ``stage(name, status, files, rows, detail)`` is told of each."""
     listing = list_inputs(spark, cfg.input_dir, cfg.pattern, recursive=recursive)
-    paths = [r.path for r in listing.select("path").collect()]
-    if not paths:
+    # One row per file, as any file scan's index has on the driver.
+    files = listing.select("path", "length", "modificationTime").collect()
+    if not files:
         stage("list_inputs", "stopped", 0, None, f"no {cfg.pattern} under {cfg.input_dir}")
-        return done()
-    stage("list_inputs", "ok", len(paths))
-
-    # Only files not extracted before: a re-run with the same inputs adds nothing.
-    todo = new_inputs(spark, paths, cfg.processed_dir)
+        return LoadedBronze(stopped=True)
+    stage("list_inputs", "ok", len(files), None, "")
+
+    root = cfg.input_dir if recursive else None
+    names = unique_names([f.path for f in files], root)
+    extracted, loaded = Manifest(spark, cfg.extract_manifest), Manifest(spark, cfg.load_manifest)
+    listed = spark.createDataFrame(files, VERSION)
+    # Only versions not extracted before: a re-run with the same inputs adds nothing.
+    todo = extracted.pending(listed).collect()
+    known = {r.path for r in loaded.latest().select("path").collect()}
+    again = [names[f.path] for f in todo if f.path in known]
     if todo:
-        # only new files: a plain append (no staged overwrite and directory renames)
-        extracted = extract_text_files(spark, todo, cfg.processed_dir, replace_files=False,
-                                       encoding_overrides=cfg.encoding_overrides)
-        if not extracted.succeeded:
+        # a version without rows writes no partition, so the old one must go first
+        drop_partitions(spark, cfg.processed_dir, again)
+        result = extract_text_files(spark, [f.path for f in todo], cfg.processed_dir,
+                                    encoding_overrides=cfg.encoding_overrides, root=root)
+        good = [(f.path, f.length, f.modificationTime, names[f.path], result.columns[names[f.path]])
+                for f in todo if names[f.path] in result.columns]
+        if not good:
             stage("extract", "stopped", 0, None, "no file could be read")
-            return done()
-        stage("extract", "ok", len(extracted.succeeded), None,
-              "failed: " + ",".join(extracted.failed) if extracted.failed else "")
+            return LoadedBronze(stopped=True)
+        extracted.add(spark.createDataFrame(good, f"{VERSION}, source_file string, "
+                                                  "columns array<string>"))
+        stage("extract", "ok", len(good), None,
+              "failed: " + ",".join(result.failed) if result.failed else "")
     else:
         stage("extract", "ok", 0, None, "no new input file")
 
-    known = sorted({processed_file_name(p) for p in paths})
-    expected = spark.createDataFrame([(n,) for n in known], f"{SOURCE_FILE} string")
-    validation = validate_parquet(spark, cfg.processed_dir, expected)
-    n_valid = validation.filter("valid").count()
-    if n_valid == 0:
+    columns = extracted.columns()
+    schema = bronze_schema(columns)
+    versions = extracted.latest().join(listed.select("path"), "path", "left_semi")
+    checked = validate_parquet(spark, cfg.processed_dir, versions.select(SOURCE_FILE), schema).collect()
+    valid = sorted(r[SOURCE_FILE] for r in checked if r.valid)
+    invalid = sorted(r[SOURCE_FILE] for r in checked if not r.valid)
+    # published again without rows: nothing to load, and nothing to keep
+    drop_partitions(spark, cfg.bronze_dir,
+                    [r[SOURCE_FILE] for r in checked if not r.files and r[SOURCE_FILE] in again])
+    if not valid:
         stage("validate", "stopped", 0, None, "no valid Parquet file")
-        return done()
-    stage("validate", "ok", n_valid)
+        return LoadedBronze(stopped=True)
+    stage("validate", "ok", len(valid), None, "invalid: " + ",".join(invalid) if invalid else "")
 
+    out = LoadedBronze(columns=columns)
     try:
-        loaded = load_incremental(spark, cfg.processed_dir, cfg.bronze_dir, cfg.bronze_checkpoint,
-                                  max_files_per_batch=cfg.max_files_per_batch)
-        stage("load_bronze", "ok", None, loaded.rows_added)
+        new = loaded.pending(versions.join(
+            spark.createDataFrame([(n,) for n in valid], f"{SOURCE_FILE} string"), SOURCE_FILE))
+        load = load_files(spark, cfg.processed_dir, cfg.bronze_dir, new, loaded, schema,
+                          cfg.max_files_per_batch)
+        out.loaded = load.per_file
+        stage("load_bronze", "ok", load.files, load.rows_added, "")
     except Exception as exc:  # reported; later stages use what bronze holds
+        log.exception("bronze load")
         stage("load_bronze", "failed", None, None, type(exc).__name__)
+    if loaded.rows().limit(1).count():
+        out.bronze = spark.read.schema(schema).parquet(cfg.bronze_dir)
+    return out
 
-    bronze = spark.read.parquet(cfg.bronze_dir)
+
+def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
+                 airports: DataFrame | None = None, recursive: bool = False) -> WorkflowRun:
+    rows: list[tuple] = []
+
+    def stage(name, status, files=None, n=None, detail=""):
+        rows.append((name, status, files, n, detail))
+        log.info("stage %s: %s files=%s rows=%s %s", name, status, files, n, detail)
+
+    def done(**kw) -> WorkflowRun:
+        return WorkflowRun(stats=spark.createDataFrame(rows, STATS_SCHEMA), **kw)
+
+    load = extract_and_load(spark, cfg, recursive, stage)
+    if load.stopped:
+        return done()
+    if load.bronze is None:
+        stage("silver", "skipped", None, None, "no bronze table yet")
+        return done()
+    require_columns(load.columns)
     seed = airports if airports is not None else load_airport_seed(spark)
     dbs = catalog.create_layers(spark, cfg.lake_root, cfg.database_prefix)
-    silver_table = catalog.materialise_silver_from_bronze(bronze, seed, dbs["silver"], cfg.silver_dir)
+    silver_table = catalog.materialise_silver_from_bronze(load.bronze, seed, dbs["silver"],
+                                                          cfg.silver_dir)
     views = catalog.create_gold_views(spark, dbs["gold"], silver_table)
     stage("silver", "ok", None, spark.table(silver_table).count())
     stage("gold", "ok", len(views))

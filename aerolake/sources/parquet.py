@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from aerolake.schema import SOURCE_FILE
+from aerolake.schema import BRONZE_COLUMNS, SOURCE_FILE
 
 
-def read_processed(spark: SparkSession, directory: str, ignore_corrupt: bool = True) -> DataFrame:
-    """Lazy read of a processed dataset (all files, merged STRING schemas)."""
-    return (
-        spark.read.option("mergeSchema", "true")
-        .option("ignoreCorruptFiles", str(ignore_corrupt).lower())
-        .parquet(directory)
-    )
+def read_processed(spark: SparkSession, directory: str) -> DataFrame:
+    """Lazy read of a processed dataset (all files, merged STRING schemas).
+
+    A corrupt file raises; only ``validate_parquet`` reads past one.
+    """
+    return spark.read.option("mergeSchema", "true").parquet(directory)
+
+
+def bronze_schema(columns: list[str]) -> T.StructType:
+    """The schema bronze is written and read with: the documented record when the columns
+    are its (else only those seen), then every further column seen so far, then lineage."""
+    record = list(BRONZE_COLUMNS) if set(columns) & set(BRONZE_COLUMNS) else []
+    names = [*record, *(c for c in columns if c not in record and c != SOURCE_FILE), SOURCE_FILE]
+    return T.StructType([T.StructField(c, T.StringType()) for c in names])
 
 
 def file_row_counts(df: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
@@ -30,22 +38,44 @@ def parquet_profile(spark: SparkSession, directory: str) -> DataFrame:
     return file_row_counts(df).withColumn("columns", F.lit(n_cols))
 
 
-def validate_parquet(spark: SparkSession, directory: str, expected: DataFrame) -> DataFrame:
+def validate_parquet(spark: SparkSession, directory: str, expected: DataFrame,
+                     schema: T.StructType) -> DataFrame:
     """Per expected file (column ``source_file``): rows read and whether it is valid.
 
-    A file that cannot be read (corrupt) or has no rows is absent from the
-    grouped counts, so it comes out with ``valid = false`` (a 0-row relation
-    is not accepted as valid either).
+    A file is valid when it has rows and every Parquet file below its partition
+    could be read. With a given ``schema`` no footer is needed to plan, so a file that
+    is not Parquet at all is passed over by the scan and shows up as unread here.
     """
-    counts = file_row_counts(read_processed(spark, directory))
+    part = F.regexp_extract("path", f"{SOURCE_FILE}=([^/]+)/[^/]+$", 1)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet").load(directory).select("path")
+              .select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"),
+                      F.url_decode(F.regexp_replace(part, "\\+", "%2B")).alias(SOURCE_FILE))
+              .groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("files")))
+    read = (spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(directory)
+            .groupBy(SOURCE_FILE, F.col("_metadata.file_name").alias("file"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .groupBy(SOURCE_FILE).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("read")))
     return (
         expected.select(SOURCE_FILE).distinct()
-        .join(counts, SOURCE_FILE, "left")
-        .withColumn("rows", F.coalesce("rows", F.lit(0)))
-        .withColumn("valid", F.col("rows") > 0)
+        .join(listed, SOURCE_FILE, "left").join(read, SOURCE_FILE, "left")
+        .withColumn("rows", F.coalesce("rows", F.lit(0)).cast("bigint"))
+        .withColumn("valid", F.coalesce((F.col("rows") > 0) & (F.col("read") == F.col("files")),
+                                        F.lit(False)))
+        .select(SOURCE_FILE, "rows", "valid", F.coalesce("files", F.lit(0)).alias("files"))
     )
 
 
+def drop_partitions(spark: SparkSession, directory: str, names: list[str]) -> None:
+    """Remove the partitions of the given source files, if they exist."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(directory)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for name in names:
+        files.delete(jvm.org.apache.hadoop.fs.Path(path, f"{SOURCE_FILE}={escape(name)}"), True)
+
+
 def consolidate(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One dataset from many Parquet files/dirs (by column name, missing -> NULL),
     with ``source_file`` lineage when the files do not carry it already."""

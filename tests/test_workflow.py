@@ -1,10 +1,13 @@
 """The whole run on the 12-row golden fixture written as text (F1), and S8 on a corrupt file."""
 
+import glob
 import os
 
-from aerolake.plans.workflow import WorkflowConfig, run_workflow
+import pytest
+
+from aerolake.plans.workflow import WorkflowConfig, extract_and_load, run_workflow
 from aerolake.schema import BRONZE_COLUMNS
-from aerolake.sources.parquet import validate_parquet
+from aerolake.sources.parquet import bronze_schema, validate_parquet
 from tests.fixtures import F1_ROWS
 
 
@@ -60,5 +63,63 @@ def test_validation_flags_corrupt_and_empty_files(spark, scratch):
     with open(os.path.join(bad_dir, "part-0.parquet"), "wb") as f:
         f.write(b"not a parquet file")
     expected = spark.createDataFrame([("a.parquet",), ("bad.parquet",)], "source_file string")
-    got = {r.source_file: (r.rows, r.valid) for r in validate_parquet(spark, out, expected).collect()}
+    got = {r.source_file: (r.rows, r.valid) for r in validate_parquet(
+        spark, out, expected, bronze_schema(["v"])).collect()}
     assert got == {"a.parquet": (2, True), "bad.parquet": (0, False)}
+
+
+def test_bad_files_do_not_stop_the_run(spark, scratch):
+    """A processed file that is not Parquet is named, and the valid ones are loaded."""
+    src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
+    os.makedirs(src)
+    for k in (1, 2):
+        with open(f"{src}/m{k}.txt", "w") as f:
+            f.write("id_combinada;nr_voo\n" + "".join(f"{i};{k}\n" for i in range(k)))
+    cfg = WorkflowConfig(input_dir=src, lake_root=lake)
+    stages = []
+    first = extract_and_load(spark, cfg, stage=lambda *a: stages.append(a))
+    assert first.loaded == {"m1.parquet": 1, "m2.parquet": 2}
+    part = glob.glob(f"{lake}/processed/source_file=m1.parquet/*.parquet")[0]
+    with open(part, "w") as f:
+        f.write("not parquet")
+    with open(f"{src}/m2.txt", "a") as f:
+        f.write("9;2\n")
+    stages.clear()
+    again = extract_and_load(spark, cfg, stage=lambda *a: stages.append(a))
+    assert ("validate", "ok", 1, None, "invalid: m1.parquet") in stages
+    assert again.loaded == {"m2.parquet": 3} and again.bronze.count() == 4
+
+
+def test_versions_and_names(spark, scratch):
+    """Files of one name in two folders, a file published again, one without rows, a new column."""
+    src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
+    os.makedirs(f"{src}/p")
+    os.makedirs(f"{src}/q")
+
+    def write(name, text):
+        with open(f"{src}/{name}", "w") as f:
+            f.write(text)
+
+    write("p/x.txt", "ID_COMBINADA;sg_empresa_icao\n1;A\n")
+    write("q/x.txt", "id_combinada;sg_empresa_icao\n2;B\n3;B\n")
+    cfg = WorkflowConfig(input_dir=src, lake_root=lake)
+    one = extract_and_load(spark, cfg, recursive=True)
+    assert one.loaded == {"p__x.parquet": 1, "q__x.parquet": 2}
+    assert extract_and_load(spark, cfg, recursive=True).loaded == {}
+    write("p/x.txt", "id_combinada;sg_empresa_icao;nr_voo;extra\n1;A;77;e\n4;A;78;e\n")
+    two = extract_and_load(spark, cfg, recursive=True)
+    assert two.loaded == {"p__x.parquet": 2}
+    rows = sorted((r.id_combinada, r.nr_voo, r.extra) for r in two.bronze.collect())
+    assert rows == [("1", "77", "e"), ("2", None, None), ("3", None, None), ("4", "78", "e")]
+    write("q/x.txt", "id_combinada;sg_empresa_icao\n")
+    three = extract_and_load(spark, cfg, recursive=True)
+    assert three.loaded == {} and three.bronze.count() == 2
+
+
+def test_missing_required_column_raises(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(f"{src}/a.txt", "w") as f:
+        f.write("id_combinada;nr_voo\n1;2\n")
+    with pytest.raises(ValueError, match="sg_empresa_icao"):
+        run_workflow(spark, WorkflowConfig(input_dir=src, lake_root=os.path.join(scratch, "lake")))
