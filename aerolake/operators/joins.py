@@ -13,7 +13,7 @@ side is proven small, by one of two checks:
 Above the cap the join is a sort-merge join, hinted so the planner cannot
 broadcast the big side on a low estimate; AQE then splits a skewed key's
 partition (``SortMergeJoin(skew=true)``, see ``tests/test_skew.py``).
-Check results are memoised per session (and logical plan, ``semanticHash``).
+Both checks look at the data as it is when the plan is built; nothing is memoised.
 """
 
 from __future__ import annotations
@@ -22,24 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.schema import SEED_COLUMNS, SEED_ROLE_COLUMNS
-from aerolake.session import session_key
+from aerolake.session import table_version
 
 # A dimension up to this many rows is broadcast; the airport seed has 44.
 DIMENSION_BROADCAST_MAX_ROWS = 100_000
 
-_PROBED: dict[tuple[str, int, int], bool] = {}
-
-
 def fits_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (bounded, memoised probe)."""
-    key = (session_key(dim.sparkSession), dim.semanticHash(), int(max_rows))
-    if key not in _PROBED:
-        seen = dim.select(F.lit(1).alias("one")).take(max_rows + 1)
-        _PROBED[key] = len(seen) <= max_rows
-    return _PROBED[key]
-
+    """True when ``dim`` has at most ``max_rows`` rows now (bounded probe)."""
+    return len(dim.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
-_BYTES: dict[tuple[str, str], int] = {}
 
 # A base table is broadcast up to this many bytes of stored files (compressed
 # Parquet), the same measure Spark's own broadcast threshold uses.
@@ -47,12 +38,8 @@ TABLE_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 
 
 def stored_bytes(spark, path: str) -> int:
-    """Total size of the files under ``path``; only file metadata is read."""
-    key = (session_key(spark), path)
-    if key not in _BYTES:
-        listing = spark.read.format("binaryFile").load(path).select("length")
-        _BYTES[key] = int(listing.agg(F.sum("length")).first()[0] or 0)
-    return _BYTES[key]
+    """Total size of the files under ``path`` now; only file metadata is read."""
+    return table_version(spark, path)[1]
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:

@@ -17,7 +17,7 @@ from aerolake.schema import (
 
 
 def conform_bronze(df: DataFrame) -> DataFrame:
-    """Bronze shape: every documented column (missing ones as NULL STRING) + lineage."""
+    """Bronze shape for derived rows: columns they do not supply are NULL STRINGs."""
     present = set(df.columns)
     exprs = [
         f"`{c}`" if c in present else f"CAST(NULL AS STRING) AS `{c}`"
@@ -26,12 +26,56 @@ def conform_bronze(df: DataFrame) -> DataFrame:
     return df.selectExpr(*exprs)
 
 
-def measure_cast(column: str, target: str):
-    """try_cast of a text measure; a decimal comma is accepted for DOUBLE targets."""
+# Bronze columns that the silver model reads.
+REQUIRED_COLUMNS = tuple(c for c in SILVER_COLUMNS if c in BRONZE_COLUMNS)
+
+
+def require_columns(columns) -> None:
+    """Raise if a column that silver reads is absent (names without regard to case)."""
+    present = {c.lower() for c in columns}
+    missing = [c for c in REQUIRED_COLUMNS if c not in present]
+    if missing:
+        raise ValueError(f"bronze lacks {len(missing)} columns that silver needs: "
+                         + ", ".join(missing))
+
+
+def required_bronze(df: DataFrame) -> DataFrame:
+    """The columns silver reads, under their documented names; raises if one is absent."""
+    require_columns(df.columns)
+    actual = {c.lower(): c for c in df.columns}
+    lineage = actual.get(SOURCE_FILE)
+    return df.select(
+        *(F.col(f"`{actual[c]}`").alias(c) for c in REQUIRED_COLUMNS),
+        (F.col(f"`{lineage}`") if lineage else F.lit(None).cast("string")).alias(SOURCE_FILE))
+
+
+def measure_text(column: str):
+    """A text number with a decimal point: ``1.234,5`` -> ``1234.5``, ``12,0`` -> ``12.0``.
+
+    Points group thousands only where a comma follows; without a comma a point is
+    the decimal point, as it is in text that was written with points.
+    """
     c = F.col(column)
-    if target == "double":
-        c = F.regexp_replace(c, ",", ".")
-    return c.try_cast(target).alias(column)
+    comma = F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return F.when(F.instr(c, ",") > 0, comma).otherwise(c)
+
+
+def measure_cast(column: str, target: str):
+    """try_cast of a text measure; whole numbers may be written with a zero fraction."""
+    text = measure_text(column)
+    if target == "bigint":
+        exact = text.try_cast("decimal(38,10)")
+        return F.when(exact == F.floor(exact), exact.try_cast("bigint")).alias(column)
+    return text.try_cast(target).alias(column)
+
+
+def lost_measures(bronze: DataFrame) -> DataFrame:
+    """(column_name, lost): values of each measure that are text but become NULL in silver."""
+    counts = bronze.agg(*(
+        F.count_if(F.col(c).isNotNull() & measure_cast(c, t).isNull()).alias(c)
+        for c, t in SILVER_MEASURE_TYPES.items()))
+    pairs = ", ".join(f"'{c}', `{c}`" for c in SILVER_MEASURE_TYPES)
+    return counts.selectExpr(f"stack({len(SILVER_MEASURE_TYPES)}, {pairs}) AS (column_name, lost)")
 
 
 def build_silver(bronze: DataFrame, airports: DataFrame,
@@ -39,13 +83,15 @@ def build_silver(bronze: DataFrame, airports: DataFrame,
                  cluster_by_month: bool = False) -> DataFrame:
     """One row per bronze row (no filter); 70 columns in the documented order.
 
+    Raises if bronze lacks a column the model reads.
+
     Narrow work only (one scan, projections, two broadcast hash joins), so the
     silver plan has no shuffle and keeps the input partitioning. With
     ``cluster_by_month`` the rows are clustered by (ano, mes) with a REBALANCE
     hint *before* the airport joins: the joins are narrow, so the result is
     the same, but the shuffle carries rows without the ten airport columns.
     """
-    b = conform_bronze(bronze)
+    b = required_bronze(bronze)
     ref_date = guarded_date("dt_referencia")
     staged = b.withColumn("dt_referencia_ts", ref_date)
     staged = staged.withColumns(calendar_parts("dt_referencia_ts"))

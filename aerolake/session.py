@@ -4,7 +4,7 @@ Library functions never rebuild or reconfigure the caller's session; they take
 ``spark`` as an argument. ``local_session`` is for tests and the benchmark only.
 Shared scratch space comes from ``spark.checkpoint.dir`` (on a cluster this is
 a shared filesystem folder); a local temporary folder is created only when that
-setting is unset, as in tests.
+setting is unset and the master is local, as in tests; on a cluster that raises.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -67,7 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached outside a cluster (tests): nothing names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        # Outside a cluster (tests): nothing names a shared folder.
         configured = tempfile.mkdtemp(prefix="aerolake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -79,6 +82,18 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return f"{root}/aerolake/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def table_version(spark: SparkSession, folder: str) -> tuple:
+    """(files, bytes, checksum of the listing) of the files below a folder.
+
+    From file metadata only; it changes whenever a file is added, removed or rewritten.
+    """
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(folder).select("path", "length", "modificationTime"))
+    row = listing.agg(F.count(F.lit(1)), F.sum("length"),
+                      F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return int(row[0]), int(row[1] or 0), int(row[2] or 0)
+
+
 def scale_settings(input_bytes: int, executors: int, cores_per_executor: int,
                    target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Session settings sized for a run over ``input_bytes`` of input on a cluster.

@@ -85,11 +85,11 @@ def materialise_silver(silver: DataFrame, database: str, path: str,
 
 def materialise_silver_from_bronze(bronze: DataFrame, airports: DataFrame, database: str,
                                    path: str, table: str = SILVER_TABLE) -> str:
-    """S19 from bronze: probe the direct write's file sizes on the plain plan; when
+    """S19 from bronze: probe the direct write's file sizes on bronze's date column; when
     clustering is needed, cluster before the airport joins (narrower shuffle)."""
-    plain = build_silver(bronze, airports)
-    cluster = rows_per_output_file(plain) < MIN_ROWS_PER_FILE
-    silver = build_silver(bronze, airports, cluster_by_month=True) if cluster else plain
+    # one column of bronze, without the joins: silver has its rows
+    cluster = rows_per_output_file(bronze) < MIN_ROWS_PER_FILE
+    silver = build_silver(bronze, airports, cluster_by_month=cluster)
     return materialise_silver(silver, database, path, table, cluster=False)
 
 

@@ -1,12 +1,13 @@
 """SURVEY §5 (d): properties of the models over whole driver tables (sf0.001)."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerolake.operators import gold
-from aerolake.operators.silver import build_silver
+from aerolake.operators.silver import build_silver, lost_measures
 from aerolake.plans import queries as Q
-from aerolake.schema import BRONZE_SCHEMA
+from aerolake.schema import BRONZE_SCHEMA, SILVER_MEASURE_TYPES
 from aerolake.sources.seed import load_airport_seed
 
 SF = "/root/testdata/sf0.001"
@@ -47,17 +48,37 @@ def test_rank_one_exists_and_types(spark):
     assert v["ano"] == "int" and v["qtd_rotas_ativas"] == "bigint" and v["variacao_pct_mes_anterior"] == "double"
 
 
-def test_measure_casts_accept_decimal_comma(spark):
+def test_measure_casts(spark):
+    """Thousands points only before a comma, whole numbers with a zero fraction, and a
+    count of the values that are no numbers."""
     names = BRONZE_SCHEMA.fieldNames()
     row = dict.fromkeys(names)
-    row.update(nr_passag_pagos="12", nr_passag_gratis="x", kg_carga_paga="1,5", kg_correio="2.25")
-    bronze = spark.createDataFrame([tuple(row[n] for n in names)], BRONZE_SCHEMA)
-    s = build_silver(bronze, load_airport_seed(spark)).first()
+    row.update(nr_passag_pagos="12.0", nr_passag_gratis="x", kg_carga_paga="1.234,5",
+               kg_correio="2.25", kg_carga_gratis="1.234.567,5", kg_bagagem_livre="1.234")
+    other = dict.fromkeys(names)
+    other.update(nr_passag_pagos="12.5", nr_passag_gratis="9007199254740993")
+    bronze = spark.createDataFrame([tuple(r[n] for n in names) for r in (row, other)], BRONZE_SCHEMA)
+    s, t = build_silver(bronze, load_airport_seed(spark)).orderBy(F.desc("kg_correio")).collect()
     assert s.nr_passag_pagos == 12 and s.nr_passag_gratis is None
-    assert s.kg_carga_paga == 1.5 and s.kg_correio == 2.25
+    assert s.kg_carga_paga == 1234.5 and s.kg_correio == 2.25
+    assert s.kg_carga_gratis == 1234567.5 and s.kg_bagagem_livre == 1.234
+    assert t.nr_passag_pagos is None and t.nr_passag_gratis == 9007199254740993
+    lost = {r.column_name: r.lost for r in lost_measures(bronze).collect()}
+    assert lost == {**dict.fromkeys(SILVER_MEASURE_TYPES, 0), "nr_passag_gratis": 1, "nr_passag_pagos": 1}
+
+
+def test_required_columns(spark):
+    """Names are matched without regard to case; an absent column raises."""
+    names = BRONZE_SCHEMA.fieldNames()
+    upper = spark.createDataFrame([tuple("1" for _ in names)], BRONZE_SCHEMA).toDF(
+        *(n.upper() for n in names))
+    assert build_silver(upper, load_airport_seed(spark)).first().nr_voo == "1"
+    with pytest.raises(ValueError, match="nr_voo"):
+        build_silver(upper.drop("NR_VOO"), load_airport_seed(spark))
 
 
 def test_top_k_is_a_filter_of_the_full_ranking(spark):
     full = Q.q_gold_route_ranking(spark, SF)
     top = gold.gold_route_ranking(spark, Q.silver(spark, SF), top_k=3)
-    assert sorted(top.collect()) == sorted(full.filter("ranking_volume_em_voo <= 3").collect())
+    assert sorted(map(str, top.collect())) == sorted(
+        map(str, full.filter("ranking_volume_em_voo <= 3").collect()))

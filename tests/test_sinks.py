@@ -2,7 +2,7 @@
 
 import pytest
 
-from aerolake.operators.silver import build_silver
+from aerolake.operators.silver import build_silver, conform_bronze
 from aerolake.sources import catalog
 from aerolake.sources.jdbc import JdbcTarget
 from aerolake.sources.seed import load_airport_seed, seed_rows
@@ -52,7 +52,8 @@ def test_clustering_decision(spark, scratch):
     days = spark.range(0, 24 * 30).select(
         F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")),
                       "dd/MM/yyyy").alias("dt_referencia"))
-    silver = build_silver(days.withColumn("sg_icao_origem", F.lit("SBGR")), load_airport_seed(spark))
+    silver = build_silver(conform_bronze(days.withColumn("sg_icao_origem", F.lit("SBGR"))),
+                          load_airport_seed(spark))
     aligned = silver.repartitionByRange(24, "dt_referencia_ts")
     scattered = silver.repartition(4)
     # aligned: ~30 rows per (task, month); scattered: 720 rows over 4 x 24 pairs
