@@ -1,17 +1,19 @@
 """Registered ingest / catalog / pipeline queries over text derived from the tables.
 
 The driver tables are Parquet, so the ingest path is exercised on text that
-Spark writes from them first (work grows with the tables):
+Spark writes from them first (work grows with the tables, and every row is written):
 
-* orders -> ``;`` text, one folder per order status, each in its own
+* orders -> ``;`` text, three folders by order key, each in its own
   encoding (UTF-8, windows-1252, UTF-16 with BOM), with accented words, the
   missing-value tokens ``NA``/``NULL`` and a quoted field holding ``;`` and
   doubled quotes;
-* flights (the adapter's bronze rows) -> ``;`` text per airline, also in
-  mixed encodings, for the end-to-end pipeline.
+* orders -> raw lines with the mistakes real files have (extra fields, repeated
+  header names, CR LF in UTF-16, stray quotes);
+* flights (the adapter's bronze rows) -> ``;`` text in a fixed number of files by
+  order key, also in mixed encodings, for the end-to-end pipeline.
 
 Written folders live under the shared checkpoint folder, one fresh folder per
-session and table directory.
+session and version of the tables.
 """
 
 from __future__ import annotations
@@ -20,20 +22,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators.joins import bounded_broadcast
-from aerolake.operators.partitioning import ensure_parallelism
+from aerolake.operators.partitioning import spread_small_scan
 from aerolake.schema import SOURCE_FILE
-from aerolake.session import scratch_dir, session_key
+from aerolake.session import scratch_dir, session_key, table_version
 from aerolake.sources import catalog
-from aerolake.sources.adapter import airports_from_tables, flights_from_tables, read_table
+from aerolake.sources.adapter import (
+    airports_from_tables,
+    flights_from_tables,
+    read_table,
+    table_path,
+)
 from aerolake.operators import quality
 from aerolake.sources.parquet import (
+    bronze_schema,
     column_type_profile,
     consolidate,
     file_row_counts,
     parquet_profile,
     read_processed,
     sample_rows,
+    validate_parquet,
 )
+from aerolake.sources.encoding import UTF16_LE_BOM
+from aerolake.sources.seed import load_airport_seed
 from aerolake.sources.text import (
     PATTERN_CSV,
     allow_java_charsets,
@@ -52,17 +63,16 @@ PRIORITY_WORDS = (
     ("5-LOW", "baixa"),
 )
 QUOTED_NOTE = 'atenção; "urgente"'
-STATUS_ENCODINGS = (("F", "UTF-8"), ("O", "windows-1252"), ("P", "UTF-16"))
-AIRLINE_ENCODINGS = (
-    ("AUTOMOBILE", "UTF-8"), ("BUILDING", "UTF-8"), ("FURNITURE", "windows-1252"),
-    ("HOUSEHOLD", "windows-1252"), ("MACHINERY", "UTF-16"),
-)
+# Encoding by order key modulo the number of encodings; a NULL key takes the last.
+ENCODINGS = ("UTF-8", "windows-1252", "UTF-16")
+# Text files the flights are written to, by order key.
+FLIGHT_FILES = 12
 
 _MEMO: dict[tuple, object] = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, what: str, build):
-    key = (session_key(spark), sf_dir, what)
+    key = (session_key(spark), sf_dir, table_version(spark, sf_dir), what)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]
@@ -77,9 +87,15 @@ def write_text(df: DataFrame, path: str, encoding: str, partition_by: str | None
      .option("encoding", encoding).option("escape", '"').csv(path))
 
 
+def encoding_group(key: str):
+    """Which of ``ENCODINGS`` a row is written in: every row has one."""
+    return F.coalesce(F.pmod(F.col(key), F.lit(len(ENCODINGS))), F.lit(len(ENCODINGS) - 1)).cast("int")
+
+
 def order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = ensure_parallelism(read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"))
+    orders = spread_small_scan(read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"),
+        table_path(sf_dir, "orders"))
     words = F.lit(None).cast("string")
     for code, word in reversed(PRIORITY_WORDS):
         words = F.when(F.col("o_orderpriority") == code, F.lit(word)).otherwise(words)
@@ -103,21 +119,23 @@ def order_ingest(spark: SparkSession, sf_dir: str):
     """(text dir, processed dir, extract result) for the order text; once per session."""
     def build():
         root = scratch_dir(spark, "orders-ingest")
+        group = encoding_group("o_orderkey")
         text = order_text(spark, sf_dir)
-        for status, encoding in STATUS_ENCODINGS:
-            write_text(text.filter(F.col("o_orderstatus") == status), f"{root}/text/{status}", encoding)
+        for i, encoding in enumerate(ENCODINGS):
+            write_text(text.filter(group == i), f"{root}/text/{encoding}", encoding)
         listing = list_inputs(spark, f"{root}/text", PATTERN_CSV, recursive=True)
         paths = [r.path for r in listing.select("path").collect()]
-        result = extract_text_files(spark, paths, f"{root}/processed")
+        result = extract_text_files(spark, paths, f"{root}/processed", root=f"{root}/text")
         return root, f"{root}/processed", result
     return _memo(spark, sf_dir, "order_ingest", build)
 
 
 def q_ingest_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detected encoding and decoded values per status folder."""
-    _, processed, result = order_ingest(spark, sf_dir)
+    """Detected encoding and decoded values by status and encoding."""
+    root, processed, result = order_ingest(spark, sf_dir)
+    below = F.substring_index(F.col("file_path"), f"{root.rsplit('/', 1)[-1]}/text/", -1)
     encodings = result.profile.select(
-        processed_name(F.col("file_name")).alias(SOURCE_FILE), "encoding")
+        processed_name(F.replace(below, F.lit("/"), F.lit("__"))).alias(SOURCE_FILE), "encoding")
     rows = read_processed(spark, processed).join(bounded_broadcast(encodings), SOURCE_FILE)
     return rows.groupBy("o_orderstatus", "encoding").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -184,7 +202,7 @@ def q_dq_type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_consolidate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The per-file Parquet folders read as one dataset by column name."""
     _, processed, result = order_ingest(spark, sf_dir)
-    folders = [f"{processed}/{SOURCE_FILE}={n.rsplit('.', 1)[0]}.parquet" for n in result.succeeded]
+    folders = [f"{processed}/{SOURCE_FILE}={n}" for n in result.columns]
     return consolidate(spark, folders).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum"),
@@ -219,20 +237,25 @@ def workflow_run(spark: SparkSession, sf_dir: str):
     def build():
         from aerolake.plans.workflow import WorkflowConfig, run_workflow
         root = scratch_dir(spark, "workflow")
-        flights = flights_from_tables(spark, sf_dir).drop(SOURCE_FILE)
-        for airline, encoding in AIRLINE_ENCODINGS:
-            write_text(flights.filter(F.col("sg_empresa_icao") == airline),
-                       f"{root}/input/{airline}", encoding)
+        # the join runs once; the text is written from its result, one file a bucket
+        bucket = F.coalesce(F.pmod(F.col("nr_voo").cast("bigint"), F.lit(FLIGHT_FILES)),
+                            F.lit(FLIGHT_FILES - 1)).cast("int")
+        (flights_from_tables(spark, sf_dir).drop(SOURCE_FILE).withColumn("bucket", bucket)
+         .repartition(FLIGHT_FILES, "bucket").write.partitionBy("bucket").parquet(f"{root}/flights"))
+        flights = spark.read.parquet(f"{root}/flights")
+        for i, encoding in enumerate(ENCODINGS):
+            part = flights.filter(F.pmod(F.col("bucket"), F.lit(len(ENCODINGS))) == i)
+            write_text(part.repartition(FLIGHT_FILES, "bucket"), f"{root}/input/{encoding}", encoding,
+                       partition_by="bucket")
         cfg = WorkflowConfig(input_dir=f"{root}/input", lake_root=f"{root}/lake",
                              pattern=PATTERN_CSV, database_prefix="p" + root.rsplit("-", 1)[-1] + "_")
-        # the input folder has one sub-folder per airline
         return run_workflow(spark, cfg, airports_from_tables(spark, sf_dir), recursive=True)
     return _memo(spark, sf_dir, "workflow", build)
 
 
 def q_workflow_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per pipeline stage."""
-    return workflow_run(spark, sf_dir).stats
+    return workflow_run(spark, sf_dir).stats.select("stage", "status", "files", "rows")
 
 
 def q_workflow_gold_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,6 +269,161 @@ def q_workflow_declared_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workflow_run(spark, sf_dir).tests
 
 
+def _raw_lines(lines: DataFrame, header: str, path: str, encoding: str) -> None:
+    """Write a column of finished lines, each file below the given header line.
+
+    UTF-16 files are little-endian with a byte-order mark and CR LF.
+    """
+    utf16 = encoding == "UTF-16LE"
+    end = "\r\n" if utf16 else "\n"
+    # a column of its own: as an expression it would count anew in each place it stands
+    numbered = lines.toDF("line").withColumn(
+        "first", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0)
+    first = F.col("first")
+    text = F.when(first, F.concat(F.lit(header + end), F.col("line"))).otherwise(F.col("line"))
+    raw = F.encode(text, encoding)
+    if utf16:
+        raw = F.when(first, F.concat(F.unhex(F.lit(UTF16_LE_BOM)), raw)).otherwise(raw)
+    allow_java_charsets(lines.sparkSession)
+    (numbered.select(raw.cast("string").alias("value")).write
+     .option("lineSep", "\r\x00\n\x00" if utf16 else "\n").text(path))
+
+
+# Variants of the order text: header, further fields of a line, and encoding.
+EDGE_CASES = {
+    "extra_fields": ("o_orderkey;o_custkey;texto", "'x', 'LOST1', 'LOST2'", "UTF-8"),
+    "extra_after_accent": ("o_orderkey;o_custkey;texto", "'é', ''", "windows-1252"),
+    "extra_in_quoted_lines": ("o_orderkey;o_custkey;texto", "'\"a\nb\"', 'LOST'", "UTF-8"),
+    "accent_at_end": ("o_orderkey;o_custkey;texto", "'ação é'", "windows-1252"),
+    "missing_fields": ("o_orderkey;o_custkey;texto;outro", "'x'", "UTF-8"),
+    "repeated_header": ("o_orderkey;o_custkey;texto;TEXTO", "'REGULAR', 'x'", "UTF-8"),
+    "utf16_crlf": ("o_orderkey;o_custkey;texto", "if(o_orderkey % 2 = 0, '', 'SP')", "UTF-16LE"),
+    "stray_quote": ("o_orderkey;o_custkey;texto", "'tela 12\" x'", "UTF-8"),
+    "quoted_lines": ("o_orderkey;o_custkey;texto", "'\"a;\nb \"\"c\"\"\"'", "UTF-8"),
+}
+
+
+def q_ingest_text_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is kept of text with the mistakes real files have, by variant."""
+    def build():
+        orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        parts = []
+        for name, (header, rest, encoding) in EDGE_CASES.items():
+            root = scratch_dir(spark, f"edge-{name}")
+            _raw_lines(orders.select(F.expr(
+                "concat_ws(';', coalesce(cast(o_orderkey as string), ''), "
+                f"coalesce(cast(o_custkey as string), ''), {rest})")), header, f"{root}/text", encoding)
+            paths = [r.path for r in list_inputs(spark, f"{root}/text").select("path").collect()]
+            result = extract_text_files(spark, paths, f"{root}/processed")
+            all_failed, all_ok = not result.succeeded, not result.failed
+            status = "ok" if all_ok else "failed" if all_failed else "mixed"
+            none = spark.createDataFrame([], "o_orderkey string, o_custkey string, texto string")
+            parts.append((none if all_failed else read_processed(spark, f"{root}/processed")).agg(
+                F.lit(name).alias("variant"), F.lit(status).alias("status"),
+                F.count(F.lit(1)).alias("rows"),
+                F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum"),
+                F.count("texto").alias("texts"),
+                F.sum(F.length("texto")).cast("bigint").alias("text_chars")))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    return _memo(spark, sf_dir, "edge_cases", build)
+
+
+def _republished(spark: SparkSession, sf_dir: str):
+    """Two runs of extract and load by manifest: a first version of some files, then the
+    second version of half of them, which has a further column and all rows."""
+    def build():
+        from aerolake.plans.workflow import WorkflowConfig, extract_and_load
+        root = scratch_dir(spark, "republish")
+        cfg = WorkflowConfig(input_dir=f"{root}/input", lake_root=f"{root}/lake", pattern=PATTERN_CSV)
+        bucket = encoding_group("o_orderkey").alias("bucket")
+        orders = read_table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus",
+            F.col("o_orderdate").cast("string").alias("o_orderdate"), bucket)
+        first = orders.where("o_orderkey is null or o_orderkey % 4 != 1").drop("o_orderdate")
+        for i in range(len(ENCODINGS)):
+            write_text(first.where(F.col("bucket") == i).drop("bucket"), f"{root}/new/{i}", ENCODINGS[i])
+            publish(spark, f"{root}/new/{i}", f"{root}/input", f"group{i}")
+        one = extract_and_load(spark, cfg)
+        write_text(orders.where("bucket = 0").drop("bucket"), f"{root}/new/again", ENCODINGS[0])
+        publish(spark, f"{root}/new/again", f"{root}/input", "group0")
+        two = extract_and_load(spark, cfg)
+        three = extract_and_load(spark, cfg)
+        return two.bronze, [len(x.loaded) for x in (one, two, three)]
+    return _memo(spark, sf_dir, "republished", build)
+
+
+def publish(spark: SparkSession, folder: str, target: str, name: str) -> None:
+    """Give the part files of a folder fixed names below ``target``; others of that name go."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(target))
+    for old in files.globStatus(path(f"{target}/{name}-*.csv")) or []:
+        files.delete(old.getPath(), False)
+    parts = sorted(str(f.getPath()) for f in files.globStatus(path(f"{folder}/part-*.csv")))
+    for k, part in enumerate(parts):
+        files.rename(path(part), path(f"{target}/{name}-{k:05d}.csv"))
+
+
+def q_ingest_republished_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file published again replaces its rows; a third run takes nothing."""
+    bronze, loads = _republished(spark, sf_dir)
+    return bronze.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("keys"),
+        F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum"),
+        F.lit(loads[2]).cast("bigint").alias("third_run_files"))
+
+
+def q_bronze_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that later files bring is kept, and NULL for the earlier ones."""
+    bronze, _ = _republished(spark, sf_dir)
+    return bronze.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("o_orderdate").alias("dated_rows"))
+
+
+def q_validate_parquet_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by validity, with one that is not Parquet and one without rows."""
+    def build():
+        root = scratch_dir(spark, "validate")
+        orders = read_table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("string").alias("o_orderkey"),
+            F.concat(F.lit("group"), encoding_group("o_orderkey").cast("string"), F.lit(".parquet"))
+            .alias(SOURCE_FILE))
+        orders.write.partitionBy(SOURCE_FILE).parquet(f"{root}/processed")
+        orders.where("false").drop(SOURCE_FILE).write.parquet(
+            f"{root}/processed/{SOURCE_FILE}=empty.parquet")
+        orders.select("o_orderkey").write.text(f"{root}/bad")
+        publish_as(spark, f"{root}/bad", f"{root}/processed/{SOURCE_FILE}=bad.parquet")
+        names = [f"group{i}.parquet" for i in range(len(ENCODINGS))] + [
+            "empty.parquet", "bad.parquet", "absent.parquet"]
+        expected = spark.createDataFrame([(n,) for n in names], f"{SOURCE_FILE} string")
+        return validate_parquet(spark, f"{root}/processed", expected, bronze_schema(["o_orderkey"]))
+    checked = _memo(spark, sf_dir, "validate", build)
+    return checked.select(SOURCE_FILE, "rows", "valid")
+
+
+def publish_as(spark: SparkSession, folder: str, target: str) -> None:
+    """Move text part files under Parquet names: files that are not Parquet."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(target))
+    for k, f in enumerate(files.globStatus(path(f"{folder}/part-*"))):
+        files.rename(f.getPath(), path(f"{target}/part-{k:05d}.parquet"))
+
+
+def q_seed_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An airport seed written as CSV from the tables and loaded back as declared."""
+    def build():
+        path = scratch_dir(spark, "seed")
+        airports_from_tables(spark, sf_dir).write.option("header", True).csv(path)
+        return load_airport_seed(spark, path)
+    return _memo(spark, sf_dir, "seed", build)
+
+
 INGEST_QUERIES = {
     "ingest_text_roundtrip": q_ingest_text_roundtrip,
     "parquet_profile": q_parquet_profile,
@@ -254,6 +432,11 @@ INGEST_QUERIES = {
     "dq_type_profile": q_dq_type_profile,
     "consolidate_files": q_consolidate_files,
     "sample_rows": q_sample_rows,
+    "ingest_text_edge_cases": q_ingest_text_edge_cases,
+    "ingest_republished_file": q_ingest_republished_file,
+    "bronze_schema_drift": q_bronze_schema_drift,
+    "validate_parquet_set": q_validate_parquet_set,
+    "seed_airports": q_seed_airports,
     "catalog_layers": q_catalog_layers,
     "workflow_stages": q_workflow_stages,
     "workflow_gold_volume": q_workflow_gold_volume,

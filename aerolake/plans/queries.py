@@ -12,22 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolake.operators import gold, quality
 from aerolake.operators.silver import build_silver
-from aerolake.session import session_key
+from aerolake.session import session_key, table_version
 from aerolake.sources.adapter import airports_from_tables, flights_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_LAYERS: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+_LAYERS: dict[tuple, tuple[DataFrame, DataFrame, DataFrame]] = {}
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(bronze, airports, silver) plans over ``sf_dir``; built once per session.
+    """(bronze, airports, silver) plans over ``sf_dir``; built once per session and
+    version of the folder's files.
 
     DataFrames are immutable logical plans, so reusing them across queries is
     safe and saves rebuilding a ~100-column plan through py4j every time.
     """
-    key = (session_key(spark), sf_dir)
+    key = (session_key(spark), sf_dir, table_version(spark, sf_dir))
     if key not in _LAYERS:
         bronze = flights_from_tables(spark, sf_dir)
         airports = airports_from_tables(spark, sf_dir)

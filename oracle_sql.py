@@ -8,34 +8,137 @@ computed in DOUBLE so types line up with the Spark side.
 
 from __future__ import annotations
 
-from aerolake.schema import BRONZE_COLUMNS, SEED_COLUMNS, SILVER_COLUMNS, SILVER_MEASURE_TYPES
+# Fixed values, written out here again so that a wrong list on the Spark side shows:
+# columns of the flight record, the airport seed and the silver table, and the types of
+# silver's load measures.
+BRONZE_COLUMNS = """
+    id_combinada id_empresa sg_empresa_icao sg_empresa_iata nm_empresa nm_pais ds_tipo_empresa
+    ds_tipo_empresa_estrangeira nr_voo nr_singular id_di cd_di ds_di ds_di_etapa ds_grupo_di
+    dt_referencia nr_ano_referencia nr_semestre_referencia nm_semestre_referencia
+    nr_trimestre_referencia nm_trimestre_referencia nr_mes_referencia nm_mes_referencia
+    nr_semana_referencia nm_dia_semana_referencia nr_dia_referencia nr_ano_mes_referencia
+    id_tipo_linha cd_tipo_linha ds_tipo_linha ds_natureza_tipo_linha ds_servico_tipo_linha
+    ds_natureza_etapa hr_partida_real dt_partida_real nr_ano_partida_real
+    nr_semestre_partida_real nm_semestre_partida_real nr_trimestre_partida_real
+    nm_trimestre_partida_real nr_mes_partida_real nm_mes_partida_real nr_semana_partida_real
+    nm_dia_semana_partida_real nr_dia_partida_real nr_ano_mes_partida_real id_aerodromo_origem
+    sg_icao_origem sg_iata_origem nm_aerodromo_origem nm_municipio_origem sg_uf_origem
+    nm_regiao_origem nm_pais_origem nm_continente_origem nr_etapa hr_chegada_real
+    dt_chegada_real nr_ano_chegada_real nr_semestre_chegada_real nm_semestre_chegada_real
+    nr_trimestre_chegada_real nm_trimestre_chegada_real nr_mes_chegada_real nm_mes_chegada_real
+    nr_semana_chegada_real nm_dia_semana_chegada_real nr_dia_chegada_real
+    nr_ano_mes_chegada_real id_aerodromo_destino sg_icao_destino sg_iata_destino
+    nm_aerodromo_destino nm_municipio_destino sg_uf_destino nm_regiao_destino nm_pais_destino
+    nm_continente_destino nr_escala_destino cd_cotran ds_cotran nr_passag_pagos nr_passag_gratis
+    kg_bagagem_livre kg_bagagem_excesso kg_carga_paga kg_carga_gratis kg_correio id_arquivo
+    nm_arquivo nr_linha dt_sistema
+""".split()
+SEED_COLUMNS = """
+    icao_aerodromo nome_aeroporto cidade estado uf regiao
+""".split()
+SILVER_COLUMNS = """
+    id_combinada id_empresa sg_empresa_icao sg_empresa_iata nm_empresa nm_pais ds_tipo_empresa
+    nr_voo nr_singular id_di cd_di ds_di ds_grupo_di id_tipo_linha cd_tipo_linha ds_tipo_linha
+    ds_natureza_tipo_linha ds_servico_tipo_linha ds_natureza_etapa dt_referencia
+    dt_referencia_ts ano mes dia trimestre dia_semana_num nome_mes nome_dia_semana
+    hr_partida_real dt_partida_real hr_chegada_real dt_chegada_real sg_icao_origem
+    sg_iata_origem nm_aerodromo_origem nm_municipio_origem sg_uf_origem nm_regiao_origem
+    nm_pais_origem nm_continente_origem nr_etapa sg_icao_destino sg_iata_destino
+    nm_aerodromo_destino nm_municipio_destino sg_uf_destino nm_regiao_destino nm_pais_destino
+    nm_continente_destino nr_escala_destino nr_passag_pagos nr_passag_gratis kg_bagagem_livre
+    kg_bagagem_excesso kg_carga_paga kg_carga_gratis kg_correio flag_situacao rota
+    origem_nome_aeroporto origem_cidade origem_estado origem_uf_seed origem_regiao_seed
+    destino_nome_aeroporto destino_cidade destino_estado destino_uf_seed destino_regiao_seed
+    source_file
+""".split()
+SILVER_MEASURE_TYPES = {
+    "nr_passag_pagos": "BIGINT", "nr_passag_gratis": "BIGINT", "kg_bagagem_livre": "DOUBLE",
+    "kg_bagagem_excesso": "DOUBLE", "kg_carga_paga": "DOUBLE", "kg_carga_gratis": "DOUBLE",
+    "kg_correio": "DOUBLE",
+}
+
+
+# Silver columns whose expression cannot be NULL.
+NEVER_NULL = set("""
+    id_combinada ds_tipo_empresa ds_natureza_tipo_linha ds_natureza_etapa nm_municipio_origem
+    nm_municipio_destino flag_situacao source_file
+""".split())
 
 
 def _code(prefix: str, key: str) -> str:
-    return f"'{prefix}' || lpad(CAST({key} AS VARCHAR), 2, '0')"
+    text = f"CAST({key} AS VARCHAR)"
+    return f"'{prefix}' || lpad({text}, CAST(greatest(2, length({text})) AS INTEGER), '0')"
 
 
 def _pct(num: str, den: str) -> str:
     return f"round(CAST(100.0 AS DOUBLE) * ({num}) / nullif({den}, 0), 1)"
 
 
+def _varchar(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+def _hour(shift: int) -> str:
+    return f"lpad(CAST((l.l_orderkey + {shift}) % 24 AS VARCHAR), 2, '0') || ':30'"
+
+
+def _kind(same: str) -> str:
+    return f"CASE WHEN {same} THEN 'DOMÉSTICA' ELSE 'INTERNACIONAL' END"
+
+
+def _endpoint(role: str, key: str, geo: str) -> dict[str, str]:
+    return {
+        f"sg_icao_{role}": _code("SB", key),
+        f"sg_iata_{role}": _code("I", key),
+        f"nm_aerodromo_{role}": f"'AERÓDROMO ' || {geo}.n_name",
+        f"nm_municipio_{role}": f"{geo}.n_name || ' / ' || {geo}.r_name",
+        f"sg_uf_{role}": _code("U", key),
+        f"nm_regiao_{role}": f"{geo}.r_name",
+        f"nm_pais_{role}": f"{geo}.n_name",
+        f"nm_continente_{role}": f"{geo}.r_name",
+    }
+
+
 _SUPPLIED = {
+    **_endpoint("origem", "c.c_nationkey", "cg"),
+    **_endpoint("destino", "s.s_nationkey", "sg"),
     "id_combinada": "CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR)",
+    "id_empresa": _varchar("c.c_custkey"),
     "sg_empresa_icao": "c.c_mktsegment",
-    "nr_voo": "CAST(l.l_orderkey AS VARCHAR)",
+    "sg_empresa_iata": "upper(substr(c.c_mktsegment, 1, 2))",
+    "nm_empresa": "c.c_name",
+    "nm_pais": "cg.n_name",
+    "ds_tipo_empresa": "CASE WHEN c.c_acctbal < 0 THEN 'ESTRANGEIRA' ELSE 'NACIONAL' END",
+    "nr_voo": _varchar("l.l_orderkey"),
+    "nr_singular": _varchar("l.l_orderkey % 97"),
+    "id_di": _varchar("l.l_partkey"),
+    "cd_di": "l.l_returnflag",
+    "ds_di": "CASE l.l_linestatus WHEN 'F' THEN 'REGULAR' WHEN 'O' THEN 'EXTRA' END",
+    "ds_grupo_di": "l.l_linestatus",
+    "id_tipo_linha": _varchar("l.l_linenumber % 3"),
+    "cd_tipo_linha": "substr(o.o_orderpriority, 1, 1)",
+    "ds_tipo_linha": "o.o_orderpriority",
+    "ds_natureza_tipo_linha": _kind("cg.r_name = sg.r_name"),
+    "ds_servico_tipo_linha": "o.o_orderstatus",
+    "ds_natureza_etapa": _kind("cg.n_name = sg.n_name"),
     "dt_referencia": "CASE WHEN l.l_linenumber = 7 THEN strftime(o.o_orderdate, '%Y-%m-%d') "
+                     "WHEN l.l_linenumber = 6 AND l.l_orderkey % 10 = 3 "
+                     "THEN '31/02/' || strftime(o.o_orderdate, '%Y') "
                      "ELSE strftime(o.o_orderdate, '%d/%m/%Y') END",
+    "hr_partida_real": _hour(0),
     "dt_partida_real": "CASE WHEN l.l_returnflag <> 'N' THEN strftime(l.l_shipdate, '%d/%m/%Y') END",
+    "hr_chegada_real": _hour(1),
     "dt_chegada_real": "CASE WHEN l.l_returnflag = 'A' THEN strftime(l.l_shipdate, '%d/%m/%Y') END",
-    "sg_icao_origem": _code("SB", "c.c_nationkey"),
-    "sg_uf_origem": _code("U", "c.c_nationkey"),
-    "nm_regiao_origem": "cg.r_name",
-    "nm_pais_origem": "cg.n_name",
-    "nr_etapa": "CAST(l.l_linenumber AS VARCHAR)",
-    "sg_icao_destino": _code("SB", "s.s_nationkey"),
-    "sg_uf_destino": _code("U", "s.s_nationkey"),
-    "nm_regiao_destino": "sg.r_name",
-    "nm_pais_destino": "sg.n_name",
+    "nr_etapa": _varchar("l.l_linenumber"),
+    "sg_icao_destino": f"CASE WHEN l.l_suppkey % 50 = 7 THEN NULL ELSE {_code('SB', 's.s_nationkey')} END",
+    "nr_escala_destino": _varchar("l.l_linenumber - 1"),
+    "nr_passag_pagos": "CAST(l.l_linenumber * 10 AS VARCHAR) || '.0'",
+    "nr_passag_gratis": _varchar("l.l_linenumber"),
+    "kg_bagagem_livre": "replace(CAST(CAST(l.l_quantity AS DECIMAL(18,1)) AS VARCHAR), '.', ',')",
+    "kg_bagagem_excesso": _varchar("CAST(l.l_discount * 100 AS DECIMAL(18,1))"),
+    "kg_carga_paga": "translate(format('{:,.2f}', l.l_extendedprice), ',.', '.,')",
+    "kg_carga_gratis": "CASE WHEN l.l_linenumber % 2 = 0 THEN CAST(l.l_linenumber AS VARCHAR) || ',5' END",
+    "kg_correio": "'1.' || lpad(CAST(l.l_linenumber * 100 AS VARCHAR), 3, '0') || ',5'",
 }
 
 _bronze_select = ",\n    ".join(
@@ -65,9 +168,12 @@ def _silver_expr(c: str) -> str:
     if c in _DERIVED:
         return f"{_DERIVED[c]} AS {c}"
     if c in SILVER_MEASURE_TYPES:
-        t = SILVER_MEASURE_TYPES[c].upper()
-        src = f"replace(b.{c}, ',', '.')" if t == "DOUBLE" else f"b.{c}"
-        return f"TRY_CAST({src} AS {t}) AS {c}"
+        # a point groups thousands only where a comma marks the decimals
+        number = (f"TRY_CAST(CASE WHEN contains(b.{c}, ',') "
+                  f"THEN replace(replace(b.{c}, '.', ''), ',', '.') ELSE b.{c} END AS DOUBLE)")
+        if SILVER_MEASURE_TYPES[c] == "BIGINT":
+            return f"CASE WHEN {number} = floor({number}) THEN CAST({number} AS BIGINT) END AS {c}"
+        return f"{number} AS {c}"
     return f"b.{c} AS {c}"
 
 
@@ -202,6 +308,18 @@ _SILVER_NOT_NULL = ("sg_empresa_icao", "nr_voo", "sg_icao_origem", "sg_icao_dest
                     "flag_situacao", "rota", "ano", "mes", "dia", "dt_referencia_ts")
 
 
+_DECLARED = "\nUNION ALL\n".join([
+    _not_null_rows("silver_voos", "silver", _SILVER_NOT_NULL),
+    _ACCEPTED_ROW,
+    _not_null_rows("gold_pontualidade", "gold_pontualidade", ["total_voos"]),
+    _not_null_rows("gold_volume_periodo", "gold_volume_periodo", ["total_voos"]),
+    _not_null_rows("gold_ranking_rotas_atrasadas", "gold_ranking_rotas_atrasadas",
+                   ["ranking_volume_em_voo"]),
+    _not_null_rows("bronze_seed_aeroportos", "airports", SEED_COLUMNS),
+    _UNIQUE_ROW,
+])
+
+
 def _report(rows_sql: str) -> str:
     return f"SELECT model, column_name, test, failures, failures = 0 AS passed FROM (\n{rows_sql}\n) t"
 
@@ -228,17 +346,7 @@ def oracle_queries() -> dict[str, str]:
         GOLD_RANKING_CTE)
     q["dq_not_null"] = _with(_report(_not_null_rows("silver_voos", "silver", _SILVER_NOT_NULL)))
     q["dq_accepted_values"] = _with(_report(_ACCEPTED_ROW))
-    declared = "\nUNION ALL\n".join([
-        _not_null_rows("silver_voos", "silver", _SILVER_NOT_NULL),
-        _ACCEPTED_ROW,
-        _not_null_rows("gold_pontualidade", "gold_pontualidade", ["total_voos"]),
-        _not_null_rows("gold_volume_periodo", "gold_volume_periodo", ["total_voos"]),
-        _not_null_rows("gold_ranking_rotas_atrasadas", "gold_ranking_rotas_atrasadas",
-                       ["ranking_volume_em_voo"]),
-        _not_null_rows("bronze_seed_aeroportos", "airports", SEED_COLUMNS),
-        _UNIQUE_ROW,
-    ])
-    q["dq_declared_tests"] = _with(_report(declared), ALL_GOLD)
+    q["dq_declared_tests"] = _with(_report(_DECLARED), ALL_GOLD)
     q["dq_row_reconciliation"] = _with(
         "SELECT bronze_rows, silver_rows, bronze_rows = silver_rows AS rows_match FROM "
         "(SELECT count(*) AS bronze_rows FROM bronze) b, (SELECT count(*) AS silver_rows FROM silver) s")
@@ -257,8 +365,8 @@ def oracle_queries() -> dict[str, str]:
     return q
 
 
-_STATUS_ENCODING = ("CASE o_orderstatus WHEN 'F' THEN 'UTF-8' WHEN 'O' THEN 'windows-1252' "
-                    "ELSE 'UTF-16BE' END")
+_GROUP = "coalesce(o_orderkey % 3, 2)"
+_ENCODING = (f"CASE {_GROUP} WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'windows-1252' ELSE 'UTF-16BE' END")
 _PRIORITY_WORD = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'urgente' WHEN '2-HIGH' THEN 'alta' "
                   "WHEN '3-MEDIUM' THEN 'média' WHEN '4-NOT SPECIFIED' THEN 'não especificada' "
                   "WHEN '5-LOW' THEN 'baixa' END")
@@ -267,13 +375,13 @@ _PRIORITY_WORD = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'urgente' WHEN '2-H
 def ingest_oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["ingest_text_roundtrip"] = (
-        f"SELECT o_orderstatus, {_STATUS_ENCODING} AS encoding, count(*) AS rows, "
+        f"SELECT o_orderstatus, {_ENCODING} AS encoding, count(*) AS rows, "
         "CAST(sum(o_orderkey) AS BIGINT) AS key_sum, "
         "count(*) FILTER (WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW')) AS notes, "
         "count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS media_rows, "
         "count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS quoted_rows, "
         f"CAST(sum(length({_PRIORITY_WORD})) AS BIGINT) AS word_chars "
-        "FROM orders GROUP BY o_orderstatus")
+        f"FROM orders GROUP BY o_orderstatus, {_ENCODING}")
     q["parquet_profile"] = (
         "SELECT CAST(count(*) AS BIGINT) AS total_rows, 6 AS columns, true AS all_valid FROM orders")
     q["ingest_unified_append"] = (
@@ -301,7 +409,52 @@ def ingest_oracle_queries() -> dict[str, str]:
         "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum "
         "FROM orders GROUP BY o_orderstatus")
     q["sample_rows"] = "SELECT count(*) AS sampled_rows FROM (SELECT * FROM orders LIMIT 100) s"
+    # what is kept of each variant: status, texts and their length (rows are all or none)
+    kept = [("extra_fields", None), ("extra_after_accent", None), ("extra_in_quoted_lines", None),
+            ("accent_at_end", "6"), ("missing_fields", "1"), ("repeated_header", "7"),
+            ("utf16_crlf", "CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 2 END"),
+            ("stray_quote", "10"), ("quoted_lines", "8")]
+    q["ingest_text_edge_cases"] = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS variant, " + (
+            "'failed' AS status, CAST(0 AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS key_sum, "
+            "CAST(0 AS BIGINT) AS texts, CAST(NULL AS BIGINT) AS text_chars" if chars is None else
+            "'ok' AS status, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, "
+            f"count({chars}) AS texts, CAST(sum({chars}) AS BIGINT) AS text_chars FROM orders")
+        for name, chars in kept)
+    published = (f"SELECT *, {_GROUP} AS grp FROM orders "
+                 f"WHERE {_GROUP} = 0 OR o_orderkey IS NULL OR o_orderkey % 4 <> 1")
+    q["ingest_republished_file"] = (
+        "SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, "
+        "CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS BIGINT) AS third_run_files "
+        f"FROM ({published}) p")
+    q["bronze_schema_drift"] = (
+        "SELECT o_orderstatus, count(*) AS rows, "
+        "count(CASE WHEN grp = 0 THEN o_orderdate END) AS dated_rows "
+        f"FROM ({published}) p GROUP BY o_orderstatus")
+    q["validate_parquet_set"] = "\nUNION ALL\n".join(
+        [f"SELECT 'group{i}.parquet' AS source_file, count(*) AS rows, count(*) > 0 AS valid "
+         f"FROM orders WHERE {_GROUP} = {i}" for i in range(3)]
+        + [f"SELECT '{n}.parquet' AS source_file, CAST(0 AS BIGINT) AS rows, false AS valid"
+           for n in ("empty", "bad", "absent")])
     base = oracle_queries()
+    q["seed_airports"] = _with("SELECT * FROM airports")
+    n_files = "(SELECT count(DISTINCT coalesce(CAST(nr_voo AS BIGINT) % 12, 11)) FROM bronze)"
+    n_rows = "(SELECT count(*) FROM bronze)"
+    n_failed = f"(SELECT count(*) FROM (\n{_DECLARED}\n) d WHERE failures > 0)"
+    q["workflow_stages"] = _with("\nUNION ALL\n".join(
+        f"SELECT '{stage}' AS stage, {status} AS status, CAST({files} AS BIGINT) AS files, "
+        f"CAST({rows} AS BIGINT) AS rows" for stage, status, files, rows in (
+            ("list_inputs", "'ok'", n_files, "NULL"), ("extract", "'ok'", n_files, "NULL"),
+            ("validate", "'ok'", n_files, "NULL"), ("load_bronze", "'ok'", n_files, n_rows),
+            ("silver", "'ok'", "NULL", n_rows), ("gold", "'ok'", "3", "NULL"),
+            ("tests", f"CASE WHEN {n_failed} = 0 THEN 'ok' ELSE 'failures' END", "NULL", n_failed))),
+        ALL_GOLD)
+    types = {"dt_referencia_ts": "date", "ano": "int", "mes": "int", "dia": "int", "trimestre": "int",
+             "dia_semana_num": "int", **{c: t.lower() for c, t in SILVER_MEASURE_TYPES.items()}}
+    q["dq_column_catalogue"] = _with("\nUNION ALL\n".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, '{types.get(c, 'string')}' AS data_type, "
+        f"{str(c not in NEVER_NULL).lower()} AS nullable, count({c}) AS non_null FROM silver"
+        for i, c in enumerate(SILVER_COLUMNS, 1)))
     q["catalog_layers"] = base["gold_volume_by_period"]
     q["workflow_gold_volume"] = base["gold_volume_by_period"]
     q["workflow_declared_tests"] = base["dq_declared_tests"]
