@@ -21,7 +21,6 @@ rows are neighbours and each has its own frame; an empty table gives an empty in
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -31,8 +30,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolake.llm.chunk_encoder import ChunkEncoder
 from aerolake.llm.common import (
-    bounded_batches, filesystem, masked_crc, materialise, read_spans,
+    prepare, filesystem, masked_crc, materialise, read_spans,
 )
 from aerolake.session import scratch_dir
 
@@ -42,8 +42,8 @@ SHARD_BYTES = 64 << 20
 READ_GAP, READ_BYTES = 64 << 10, 4 << 20
 #: Texts' bytes for each task that writes.
 TASK_BYTES = 32 << 20
-#: Words kept with their ids in a worker.
-WORD_CACHE = 400_000
+#: Characters encoded at once, whose distinct parts are encoded once.
+ENCODE_CHARS = 1 << 20
 
 INDEX = T.StructType([
     T.StructField("part", T.IntegerType()),
@@ -77,80 +77,9 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
-class WordEncoder:
-    """Token ids of whole texts, equal to encoding each text at once.
-
-    Valid for tokenizers that split at white space before anything else and drop
-    it, so that the ids of a text are those of its parts between ASCII white space
-    one after the other. Parts are kept with their ids; new plain words (Latin-1
-    letters, perhaps one final comma or full stop) are encoded together, and their
-    ids are cut where a token ends a word.
-    """
-
-    _plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-    _space = str.maketrans("\n\t\r", "   ")
-
-    def __init__(self, tokenizer, width: str, word_end: str = "</w>"):
-        import numpy as np
-
-        self.tokenizer, self.width = tokenizer, width
-        self.ends = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
-        for token, i in tokenizer.get_vocab().items():
-            self.ends[i] = token.endswith(word_end)
-        self.known: dict[str, bytes] = {}
-
-    def _bytes(self, ids) -> bytes:
-        import numpy as np
-
-        return np.asarray(ids, dtype=self.width).tobytes()
-
-    def _one_by_one(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 1024):
-            some = parts[at:at + 1024]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[p] = self._bytes(e.ids)
-
-    def _learn(self, parts: set[str]) -> None:
-        import numpy as np
-
-        rest, plain = [], {}
-        for p in parts:
-            m = self._plain.fullmatch(p)
-            if m is None:
-                rest.append(p)
-            else:
-                plain[p] = m.groups()
-        self._one_by_one([*rest, *({".", ","} - self.known.keys())])
-        words = list({w for w, _ in plain.values()} - self.known.keys())
-        for at in range(0, len(words), 2048):
-            some = words[at:at + 2048]
-            ids = np.asarray(self.tokenizer.encode_batch_fast(
-                [" ".join(some)], add_special_tokens=False)[0].ids)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(some) or cuts[-1] != len(ids):
-                self._one_by_one(some)
-                continue
-            data, start, size = self._bytes(ids), 0, np.dtype(self.width).itemsize
-            for w, end in zip(some, (cuts * size).tolist()):
-                self.known[w] = data[start:end]
-                start = end
-        for p, (w, mark) in plain.items():
-            if mark:
-                self.known[p] = self.known[w] + self.known[mark]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").translate(self._space).split(" ") for t in texts]
-        if len(self.known) > WORD_CACHE:
-            self.known.clear()
-        new = {p for text in parts for p in text if p not in self.known}
-        if new:
-            self._learn(new)
-        known = self.known
-        return [b"".join([known[p] for p in text]) for text in parts]
-
-
-def _splits_at_spaces(tokenizer_path: str) -> bool:
-    """Whether the tokenizer drops white space and marks word ends, as WordEncoder needs."""
+def _traits(tokenizer_path: str) -> tuple[bool, bool]:
+    """Whether the tokenizer drops white space and marks word ends, as ChunkEncoder needs,
+    and whether it lower-cases."""
     import json
 
     with open(tokenizer_path) as f:
@@ -158,7 +87,31 @@ def _splits_at_spaces(tokenizer_path: str) -> bool:
     return (spec["model"].get("end_of_word_suffix") == "</w>"
             and "Removed" in json.dumps(spec.get("pre_tokenizer"))
             and all(" " not in t["content"] and not t["lstrip"] and not t["rstrip"]
-                    for t in spec.get("added_tokens", [])))
+                    for t in spec.get("added_tokens", [])),
+            "Lowercase" in json.dumps(spec.get("normalizer")))
+
+
+_encoders: dict[str, tuple] = {}
+
+
+def text_encoder(tokenizer_path: str):
+    """(function from texts to ids as bytes, width of an id), one for each worker process."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    if tokenizer_path not in _encoders:
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        splits, lower = _traits(tokenizer_path)
+        if splits:
+            encode = ChunkEncoder(tokenizer, width, lower=lower).encode
+        else:
+            def encode(texts):
+                return [np.asarray(e.ids, dtype=width).tobytes() for e in
+                        tokenizer.encode_batch_fast([t or "" for t in texts],
+                                                    add_special_tokens=False)]
+        _encoders[tokenizer_path] = encode, width
+    return _encoders[tokenizer_path]
 
 
 class _Writer:
@@ -196,7 +149,7 @@ def write_records(docs: DataFrame, tokenizer_path: str, root: str, end_id: int =
     come from running counts in each part plus the totals of the parts before.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     files, base = filesystem(root)
     files.create_dir(base, recursive=True)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
@@ -212,18 +165,10 @@ def write_records(docs: DataFrame, tokenizer_path: str, root: str, end_id: int =
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         from aerolake.llm.textops import chunks
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        if _splits_at_spaces(tokenizer_path):
-            encode = WordEncoder(tokenizer, width).encode
-        else:
-            def encode(texts):
-                return [np.asarray(e.ids, dtype=width).tobytes() for e in
-                        tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        encode, width = text_encoder(tokenizer_path)
         end = np.asarray([end_id], dtype=width).tobytes()
         part = TaskContext.get().partitionId()
         writer, first = _Writer(root, part), 0
@@ -235,7 +180,7 @@ def write_records(docs: DataFrame, tokenizer_path: str, root: str, end_id: int =
             for batch in batches:
                 ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 out = []
-                for a, b in chunks(texts):
+                for a, b in chunks(texts, ENCODE_CHARS):
                     for doc, payload in zip(ids[a:b], encode(texts[a:b])):
                         record = frame(payload + end)
                         shard, name, at = writer.add(record)

@@ -12,7 +12,8 @@ from aerolake.session import scratch_dir
 TEXTS = ["Hello, world. it's  a TEST\n\nnext\tline", None, "", "   ", "ĞÜŞ İstanbul µm ª №5",
          "co-op. don't can't... wait, 'S", "αβγς ΑΣ. ΐ", "日本語 テスト。", "áé x́.",
          "x" * 5000, "word, " * 40_000, "tab\x0bvt\x0cff\x1cfs\x85nel nbsp", "1234 5a6b ½",
-         "<|endoftext|> mid<|startoftext|>dle", "Straße, ÄÖÜ. ÿ", "emoji 👩‍👩‍👧 ok.", "Hello, world. it's"]
+         "<|endoftext|> mid<|startoftext|>dle", "Straße, ÄÖÜ. ÿ", "emoji 👩‍👩‍👧 ok.", "Hello, world. it's",
+         "<|ENDOFTEXT|> A", "y" * 9000 + " tail.", "End . , .. ,, x., x.. 5. É. é, a\r\nB.\tC,", "..., .a ,b a,b. "]
 DOCS = "doc_id long, text string, start string, file int"
 
 
