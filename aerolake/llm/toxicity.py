@@ -161,7 +161,10 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, categories: tuple[str, .
               .where(F.expr("pmod(order, 1000003) / 1000003.0") <= CLASS_ROWS / F.col("n"))
               .select("doc_id", (F.expr("pmod(order, 1000033)") % FOLDS).cast("int").alias("fold"),
                       "labels"))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "fold", "labels")
+    # About CLASS_ROWS ids of each combination of labels, of which there are 3 to the power of
+    # the number of categories at most: a bound that does not depend on the tables.
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "text", "fold", "labels")
 
 
 def count_features(sample: DataFrame, n_categories: int) -> DataFrame:
