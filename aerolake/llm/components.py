@@ -11,8 +11,8 @@ from aerolake.llm.common import materialise
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b): the least node of its component.
 
-    Each round takes the least label among a node and its neighbours, then the label of
-    that label; the number of rounds grows with the logarithm of the longest chain. A
+    Each round takes the least label among a node and its neighbours, and from the second
+    round on the label of that label, so rounds grow slowly with the longest chain. A
     node with many links meets its label in a join of two exchanged tables, so it is
     split at run time, and minima are taken map-side first.
     """
@@ -23,16 +23,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     labels = materialise(
         both.groupBy("node").agg(F.min("other").alias("least"))
         .select("node", F.least("node", "least").alias("label")), "labels")
+    rounds = 0
     while True:
         near = (both.join(labels.select(F.col("node").alias("other"), "label"), "other")
                 .groupBy("node").agg(F.min("label").alias("near")))
-        step = (labels.join(near, "node")
-                .select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
-        step = materialise(step, "labels")
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        jumped = materialise(
-            step.join(jump, "label").select("node", "old", F.col("root").alias("label")), "labels")
-        changed = jumped.where(F.col("old") != F.col("label")).limit(1).count()
-        labels = jumped.select("node", "label")
-        if not changed:
-            return labels
+        step = materialise(
+            labels.join(near, "node")
+            .select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")),
+            "labels")
+        if not step.where("old != label").limit(1).count():
+            return step.select("node", "label")
+        labels, rounds = step.select("node", "label"), rounds + 1
+        if rounds > 1:  # short chains end before labels of labels pay
+            root = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
+            labels = materialise(labels.join(root, "label")
+                                 .select("node", F.col("root").alias("label")), "labels")

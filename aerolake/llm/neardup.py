@@ -13,14 +13,21 @@ shingle and m * log(m) points.
 Banding and verification:
 
 1. Equal texts collapse to one node (their digest); copies never meet each other.
-2. Nodes of a band bucket are linked to the bucket's least node only, and every
-   such link is verified on the whole bags: similarity >= 0.8.
-3. Links give components. A bucket whose nodes lie in several components still may
-   hide a link between two nodes that were not compared: its nodes become hubs in
-   turn (about 32 a bucket, then 256, 2,048, ...), each compared with all nodes of
-   other components in the bucket, until all have been. So each pair of a bucket is
-   either in one component or has been compared, without ever listing the pairs of
-   a group of similar texts.
+2. Each band bucket has a hub: its node with the most company in all of its buckets,
+   such as the text that many others were made from. All others are compared with the
+   hub only; pairs of similarity 0.8 or more are links, and links give components.
+3. A bucket with several components may hide a link between two nodes that were not
+   compared. What is known bounds their similarity: shingles they share lie in the hub
+   too (at most the smaller overlap with it) or not (at most the smaller number of
+   shingles that are neither in the hub nor in a single text only); the same holds for
+   any hub that both were compared with. Nodes that no
+   node of their bucket can reach by this bound are left out, without listing pairs;
+   of the others, pairs of different components that the bound admits are compared,
+   about 256 nodes of a bucket with all others at first, then 4,096, ..., until all
+   have been.
+
+So each pair of a bucket is in one component, or compared, or cannot be similar, and
+the pairs of a group of similar texts are never listed.
 
 Nulls, empties, ties, repeats: a null text is the empty text; equal texts are always
 one class, also texts without words; a class is named by its least doc_id (null if
@@ -35,17 +42,19 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import bounded_batches, materialise, text_digest
+from aerolake.llm.common import materialise, prepare, text_digest
 from aerolake.llm.components import connected_components
 from aerolake.llm.textops import chunks, mix64, shingle_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 #: Similarity of 0.8 as a fraction, compared in integers.
 SIMILARITY = (4, 5)
-#: A pair of similarity 0.8 shares no band of 5 rows in 24 with probability 7e-5.
-BANDS, ROWS = 24, 5
+#: A pair of similarity 0.8 shares no band of 4 rows in 20 with probability 3e-5.
+BANDS, ROWS = 20, 4
 #: Hubs a bucket in the first extra round, and the factor to the next.
-HUBS, MORE_HUBS = 32, 8
+HUBS, MORE_HUBS = 256, 16
+#: What is kept of a node in a bucket whose nodes lie in several components.
+OPEN = ("digest", "n", "common", "rest", "anchor", "near", "far")
 
 
 def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,7 +89,7 @@ def _earliest_points(x, weight, owner, n_texts: int, m: int) -> np.ndarray:
         heavy = weight > level
     state, low, high, w, own = map(np.concatenate, (state, low, high, w, own))
     open_ = np.flatnonzero(total > 0)
-    slack = 3.0
+    slack = 2.0
     while len(open_):
         bound = np.zeros(n_texts)
         bound[open_] = (np.log(m) + slack) / total[open_]
@@ -96,27 +105,38 @@ def _earliest_points(x, weight, owner, n_texts: int, m: int) -> np.ndarray:
 
 
 def _points(state, low, high, w, own, bound, m):
-    """All points before each text's time bound: (text * m + component, time, identity)."""
-    step = 0x9E3779B97F4A7C15
+    """All points before each text's time bound: (text * m + component, time, identity).
+
+    A point's 64 hash bits give its waiting time (upper 44) and component (lower 20).
+    """
+    step, scale = 0x9E3779B97F4A7C15, 2.0 ** 44
     rate = m * (high - low)
     limit = bound[own]
     u = mix64(state + np.uint64(step))
     # The first arrival is before the bound where u is below its distribution function.
-    live = np.flatnonzero((u >> np.uint64(11)) < (-np.expm1(-limit * rate) * 2.0 ** 53))
+    live = np.flatnonzero((u >> np.uint64(20)) < -np.expm1(-limit * rate) * scale)
+    u, time = u[live], np.zeros(len(live))
+    state, rate, limit, own = state[live], rate[live], limit[live], own[live] * m
+    low, span, w = low[live], (high - low)[live], w[live]
+    wide = bool((span > 1).any())
     out, k = [], 1
-    time = np.zeros(len(live))
-    u = u[live]
-    while len(live):
-        time = time - np.log1p(-((u >> np.uint64(11)).astype(np.float64) * 2.0 ** -53)) / rate[live]
-        keep = time < limit[live]
-        live, time, u = live[keep], time[keep], u[keep]
-        lo, span = low[live], (high - low)[live]
-        mark = lo + 1 + (mix64(u ^ np.uint64(0xA0761D6478BD642F)) % span.astype(np.uint64))
-        real = mark <= w[live]
-        component = (mix64(u ^ np.uint64(0xE7037ED1A0B428DB)) % np.uint64(m)).astype(np.int64)
-        out.append((own[live][real] * m + component[real], time[real], u[real]))
+    while len(u):
+        time = time - np.log1p((u >> np.uint64(20)) * (-1 / scale)) / rate
+        keep = time < limit
+        if not keep.all():
+            u, time, state, rate, limit, own = (
+                x[keep] for x in (u, time, state, rate, limit, own))
+            if wide:
+                low, span, w = low[keep], span[keep], w[keep]
+        flat = own + (((u & np.uint64(0xFFFFF)) * np.uint64(m)) >> np.uint64(20)).astype(np.int64)
+        if wide:  # points above an element's weight are thinned out
+            level = low + 1 + mix64(u) % span.astype(np.uint64)
+            real = level <= w
+            out.append((flat[real], time[real], u[real]))
+        else:
+            out.append((flat, time, u))
         k += 1
-        u = mix64(state[live] + np.uint64(k * step % 2 ** 64))
+        u = mix64(state + np.uint64(k * step % 2 ** 64))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.uint64)
     return tuple(np.concatenate(c) for c in zip(*out))
@@ -149,7 +169,7 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
         salt = mix64(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, 1 << 20):
                 n, sig = signatures(texts[a:b], bands * rows)
                 h = np.repeat(salt[None, :], b - a, axis=0)
                 for r in range(rows):
@@ -167,26 +187,18 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
         run, "doc_id long, digest binary, n long, bands array<long>")
 
 
-def _may_be_similar(n: str, other: str):
-    """Whether two bags of these sizes can reach the similarity."""
-    p, q = SIMILARITY
-    return F.expr(f"{n} * {q} >= {other} * {p} and {other} * {q} >= {n} * {p}")
-
-
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of digests whose bags reach the similarity, with it.
+def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Common weight of the bags of the pairs (a, b) of digests: a, b, n_a, n_b, common.
 
     The rows come sorted by b; the bag of a repeated b is built once.
     """
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        p, q = SIMILARITY
         last, hub = None, None
         for batch in batches:
-            left, right = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            ta, tb = batch.column("ta").to_pylist(), batch.column("tb")
-            out = []
+            right, tb = batch.column("b").to_pylist(), batch.column("tb")
+            ta, out = batch.column("ta").to_pylist(), []
             for s, e in chunks(ta):
                 x, w, owner = bags(ta[s:e])
                 ends = np.searchsorted(owner, np.arange(e - s + 1))
@@ -194,25 +206,59 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     if right[i] != last:
                         last, hub = right[i], bags([tb[i].as_py()])[:2]
                     lo, hi = ends[i - s], ends[i - s + 1]
-                    inter = weighted_overlap((x[lo:hi], w[lo:hi]), hub)
-                    union = int(w[lo:hi].sum()) + int(hub[1].sum()) - inter
-                    if union and inter * q >= p * union:
-                        out.append((left[i], right[i], inter / union))
-            cols = list(zip(*out)) or [[], [], []]
+                    out.append((int(w[lo:hi].sum()), int(hub[1].sum()),
+                                weighted_overlap((x[lo:hi], w[lo:hi]), hub)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.binary()),
-                 pa.array(cols[2], pa.float64())], names=["a", "b", "similarity"])
+                [batch.column("a"), batch.column("b"),
+                 *(pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 3))],
+                names=["a", "b", "n_a", "n_b", "common"])
+
+    rows = (pairs.select("a", "b")
+            .join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a")
+            .join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")).hint("merge"),
+                  "b").select("a", "b", "ta", "tb"))
+    return rows.mapInArrow(run, "a binary, b binary, n_a long, n_b long, common long")
+
+
+def similar(common: str, n: str, m: str) -> F.Column:
+    """Whether bags of sizes ``n`` and ``m`` with this common weight reach the similarity."""
+    p, q = SIMILARITY
+    return F.expr(f"({common}) > 0 and ({common}) * {q} >= (({n}) + ({m}) - ({common})) * {p}")
+
 
-    rows = (pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")
-            .select("a", "b", "ta", "tb"))
-    return rows.mapInArrow(run, "a binary, b binary, similarity double")
+def single_counts(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """digest, single: how much of each node's bag occurs in no other node of ``nodes``.
+
+    Shingles are counted as (hash, least node number, texts, weight), with partial
+    aggregation; a node's number is the first eight bytes of its digest.
+    """
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            numbers = batch.column("number").to_numpy()
+            ts = batch.column("text").to_pylist()
+            for a, b in chunks(ts, 1 << 20):
+                x, w, owner = bags(ts[a:b])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x.view(np.int64)), pa.array(numbers[a:b][owner]),
+                     pa.array(w.astype(np.int32))], names=["shingle", "number", "weight"])
+
+    number = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("number")
+    own = nodes.select("digest").distinct().join(texts, "digest").select("digest", number, "text")
+    single = (own.select("number", "text")
+              .mapInArrow(run, "shingle long, number long, weight int")
+              .groupBy("shingle").agg(F.count("*").alias("texts"), F.min("number").alias("number"),
+                                      F.sum("weight").alias("weight"))
+              .where("texts = 1").groupBy("number").agg(F.sum("weight").alias("single")))
+    return nodes.select("digest").distinct().select("digest", number).join(
+        single, "number", "left").select("digest", F.coalesce("single", F.lit(0)).alias("single"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, digest, class_digest, class_id, class_size."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        text_digest(F.col(text_col)).alias("digest"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -220,46 +266,73 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = (signed.where("n > 0").groupBy("digest")
              .agg(F.first("n").alias("n"), F.first("bands").alias("bands")))
     banded = materialise(nodes.select("digest", "n", F.explode("bands").alias("band")), "bands")
-    buckets = materialise(
-        banded.groupBy("band").agg(F.count("*").alias("size"),
-                                   F.min(F.struct("digest", "n")).alias("hub"))
-        .where("size > 1"), "buckets")
-    members = materialise(banded.join(buckets, "band"), "bucket-members")
+    buckets = materialise(banded.groupBy("band").agg(F.count("*").alias("size"))
+                          .where("size > 1"), "buckets")
+    found = materialise(banded.join(buckets, "band"), "bucket-nodes")
+    company = found.groupBy("digest").agg(F.sum("size").alias("company"))
+    hubs = materialise(found.join(company, "digest").groupBy("band").agg(
+        F.max(F.struct("company", "digest")).alias("hub")).select("band", "hub.digest")
+        .withColumnRenamed("digest", "hub"), "hubs")
+    members = materialise(found.join(hubs, "band"), "bucket-members")
     texts = materialise(
         rows.join(members.select("digest").distinct(), "digest", "left_semi")
         .groupBy("digest").agg(F.first("text").alias("text")), "bucket-texts")
 
-    tested = materialise(
-        members.where(F.col("digest") != F.col("hub.digest"))
-        .where(_may_be_similar("n", "hub.n"))
-        .select(F.col("digest").alias("a"), F.col("hub.digest").alias("b")).distinct(), "pairs")
-    links = materialise(verify(tested, texts), "links")
-    labels, done = connected_components(links), 0
+    spokes = members.where("digest != hub").select(
+        F.col("digest").alias("a"), F.col("hub").alias("b")).distinct()
+    tested = materialise(compare(spokes, texts), "spokes")
+    links = tested.where(similar("common", "n_a", "n_b")).select("a", "b")
+    labels = connected_components(links)
+    labelled = _label(members.join(
+        tested.select(F.col("a").alias("digest"), F.col("b").alias("hub"), "common"),
+        ["digest", "hub"], "left").withColumn("common", F.coalesce("common", "n")), labels)
+    open_ = materialise(_mixed(labelled), "open-buckets")
+    # What is in no other text, counted among all nodes of open buckets.
+    # A node's anchor is the hub, of all its buckets, that it has most in common with.
+    anchors = tested.groupBy(F.col("a").alias("digest")).agg(
+        F.max(F.struct("common", "b")).alias("anchor"))
+    open_ = materialise(
+        open_.join(materialise(single_counts(open_, texts), "single"), "digest")
+        .join(anchors, "digest", "left")
+        .withColumn("rest", F.greatest(F.expr("n - common - single"), F.lit(0)))
+        .withColumn("near", F.coalesce("anchor.common", "n"))
+        .withColumn("far", F.greatest(F.expr("n - near - single"), F.lit(0)))
+        .withColumn("anchor", F.coalesce("anchor.b", "digest")), "open-nodes")
+    reach = materialise(open_.groupBy("band").agg(F.min("n").alias("least"),
+                                                  F.max("rest").alias("most")), "reach")
+    open_ = (open_.join(reach, "band").withColumn("bound", F.expr("common + least(rest, most)"))
+             .where(similar("bound", "n", "greatest(least, bound)"))
+             .select("band", "label", *OPEN))
+    done = 0
+    seen = tested.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"))
     while True:
-        labelled = (members.select("band", "digest", "n", "size")
-                    .join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-                    .withColumn("label", F.coalesce("label", "digest")))
-        labelled = materialise(labelled, "bucket-labels")
-        mixed = materialise(
-            labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            .where("low != high").select("band"), "mixed-buckets")
-        rest = materialise(labelled.join(mixed, "band").where(F.col("size") > done), "bucket-rest")
-        most = rest.agg(F.max("size").alias("n")).first()["n"]
-        if most is None:
+        open_ = materialise(_mixed(open_), "open-nodes")
+        sizes = materialise(open_.groupBy("band").agg(F.count("*").alias("size"))
+                            .where(F.col("size") > done), "open-sizes")
+        if not sizes.limit(1).count():
             break
         now = HUBS if not done else done * MORE_HUBS
+        # a pair is taken in the least of the buckets that both are in
+        sized = open_.join(sizes, "band").join(
+            open_.groupBy("digest").agg(F.collect_set("band").alias("bands")), "digest")
         place = F.expr("pmod(xxhash64(band, digest), 1073741824) / 1073741824.0 * size")
-        hubs = rest.where((place >= done) & (place < now)).select(
-            "band", F.col("digest").alias("b"), F.col("n").alias("m"),
-            F.col("label").alias("other"))
-        pairs = (rest.join(hubs, "band").where("label != other").where(_may_be_similar("n", "m"))
-                 .select(F.least("digest", "b").alias("b"), F.greatest("digest", "b").alias("a"))
-                 .distinct())
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti").select("a", "b"), "pairs")
-        found = materialise(verify(pairs, texts), "links")
-        links, tested = links.unionByName(found), tested.unionByName(pairs)
-        if found.limit(1).count():
+        some = sized.where((place >= done) & (place < now)).select(
+            "band", *(F.col(c).alias("_" + c) for c in ("label", "bands", *OPEN)))
+        bound, other = ("least(common, _common) + least(rest, _rest)",
+                        "least(near, _near) + least(far, _far)")
+        pairs = (sized.join(some, "band").where("label != _label")
+                 .where(similar(bound, "n", "_n"))
+                 .where((F.col("anchor") != F.col("_anchor")) | similar(other, "n", "_n"))
+                 .where(F.col("band") == F.array_min(F.array_intersect("bands", "_bands")))
+                 .select(F.least("digest", "_digest").alias("b"),
+                         F.greatest("digest", "_digest").alias("a")).distinct())
+        pairs = materialise(compare(pairs.join(seen, ["a", "b"], "left_anti"), texts), "pairs")
+        seen = seen.unionByName(pairs.select("a", "b"))
+        more = pairs.where(similar("common", "n_a", "n_b")).select("a", "b")
+        if more.limit(1).count():
+            links = links.unionByName(more)
             labels = connected_components(links)
+            open_ = _label(open_.drop("label"), labels)
         done = now
 
     classed = (signed.select("doc_id", "digest")
@@ -272,6 +345,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "digest", "class_digest", "class_id", "class_size")
 
 
+def _label(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Add the component's label; a node without links is a component of its own."""
+    return (nodes.join(labels.withColumnRenamed("node", "digest"), "digest", "left")
+            .withColumn("label", F.coalesce("label", "digest")))
+
+
+def _mixed(nodes: DataFrame) -> DataFrame:
+    """The rows of buckets whose nodes lie in several components."""
+    nodes = materialise(nodes, "bucket-labels")
+    mixed = materialise(
+        nodes.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low != high").select("band"), "mixed-buckets")
+    return nodes.join(mixed, "band")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class: the one of the least (doc_id, digest).
