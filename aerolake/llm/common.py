@@ -119,6 +119,19 @@ def coalesce_ranges(
         yield name, start, end, group
 
 
+def in_read_order(index: DataFrame, task_bytes: int = 32 << 20) -> DataFrame:
+    """Rows of an index (file, offset, length, ...) in ranges of near records, sorted.
+
+    Partitions hold about ``task_bytes`` of records, fewer where the session has cores
+    to spare; a file's records stay together but at a border of two partitions.
+    """
+    size = index.agg(F.sum("length").alias("n")).first()["n"] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    parts = max(-(-size // task_bytes), min(2 * cores, -(-size // (1 << 20))), 1)
+    return (index.repartitionByRange(parts, "file", "offset")
+            .sortWithinPartitions("file", "offset"))
+
+
 def read_spans(
     root: str, spans: Iterable[tuple], max_gap: int, max_bytes: int
 ) -> Iterator[tuple[tuple, bytes]]:

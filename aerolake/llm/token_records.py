@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from aerolake.llm.chunk_encoder import ChunkEncoder
 from aerolake.llm.common import (
-    prepare, filesystem, masked_crc, materialise, read_spans,
+    filesystem, in_read_order, masked_crc, materialise, prepare, read_spans,
 )
 from aerolake.session import scratch_dir
 
@@ -254,8 +254,7 @@ def read_records(index: DataFrame, root: str, digest_only: bool = False,
             yield batch(out)
 
     cols = index.select("file", "offset", "length", "doc_id", "start", "n_tokens")
-    return (cols.repartition("file").sortWithinPartitions("file", "offset")
-            .mapInArrow(read, schema))
+    return in_read_order(cols).mapInArrow(read, schema)
 
 
 def encode_to_records(docs: DataFrame, tokenizer_path: str, end_id: int = 2,

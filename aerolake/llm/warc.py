@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.llm.common import filesystem, materialise, prepare, read_spans
+from aerolake.llm.common import filesystem, in_read_order, materialise, prepare, read_spans
 from aerolake.session import scratch_dir
 
 #: Payloads shorter than this are never revisits.
@@ -226,8 +226,7 @@ def read_archives(index: DataFrame, root: str, payloads: bool = True) -> DataFra
         if out:
             yield batch(out)
 
-    return (index.select("file", "offset", "length").repartition("file")
-            .sortWithinPartitions("file", "offset").mapInArrow(read, schema))
+    return in_read_order(index.select("file", "offset", "length")).mapInArrow(read, schema)
 
 
 def archive_pages(pages: DataFrame, **options) -> DataFrame:
