@@ -73,7 +73,8 @@ def run_flow(spark, sf_dir: str, results: dict, tag: str) -> int:
 
     # --- timed stages
     timed(results, "extract_text_to_parquet",
-          lambda: extract_text_files(spark, paths, f"{root}/processed", replace_files=False))
+          lambda: extract_text_files(spark, paths, f"{root}/processed", replace_files=False,
+                                     root=f"{root}/input"))
     loaded = timed(results, "load_bronze_incremental",
                    lambda: load_incremental(spark, f"{root}/processed", f"{root}/bronze", f"{root}/ckpt"))
     prefix = "b" + re.sub(r"[^a-z0-9]", "", root.rsplit("-", 1)[-1]) + "_"
