@@ -8,7 +8,9 @@ it), so that it meets in training what it meets in use. The decision threshold i
 one of the best F1 on out-of-fold probabilities of the last category.
 
 Models are fitted on a bounded sample of the labelled documents: those with the
-smallest hashes, about CLASS_ROWS of each combination of labels. Features are counted
+smallest hashes, about CLASS_ROWS of each combination of labels. A sampled row weighs as
+many rows of its combination as it stands for, in the features' likelihood ratios, the
+models' loss and the F1 of the threshold. Features are counted
 in Spark, and at most FEATURES of each category, those with the largest likelihood ratio, stay;
 the rows that reach the driver hold only those. Scoring covers every whole text.
 
@@ -98,12 +100,16 @@ def present(texts: list[str | None], features: np.ndarray) -> tuple[np.ndarray,
     return np.concatenate(places), np.concatenate(owners)
 
 
-def fit_logistic(place, owner, extra, y, n_features: int) -> tuple[np.ndarray, np.ndarray, float]:
+def fit_logistic(place, owner, extra, y, n_features: int,
+                 weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """Ridge logistic regression on present features and dense extra columns.
 
     Newton steps, each solved by conjugate gradients and halved until the loss falls.
+    ``weight``: rows that a row counts for, 1 if not given.
     """
     n = len(y)
+    weight = np.ones(n) if weight is None else weight
+    every, ones = weight.sum(), weight @ y
     ridge = np.full(n_features + extra.shape[1] + 1, RIDGE)
     ridge[-1] = 1e-6
 
@@ -116,19 +122,19 @@ def fit_logistic(place, owner, extra, y, n_features: int) -> tuple[np.ndarray, n
                                extra.T @ r, [r.sum()]])
 
     def loss(w, z):
-        return np.logaddexp(0, z).sum() - y @ z + (ridge * w) @ w / 2
+        return weight @ (np.logaddexp(0, z) - y * z) + (ridge * w) @ w / 2
 
     w = np.zeros(len(ridge))
-    w[-1] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
+    w[-1] = np.log((ones + 0.5) / (every - ones + 0.5))
     z = times(w)
     now = loss(w, z)
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        gradient = turned(p - y) + ridge * w
+        gradient = turned(weight * (p - y)) + ridge * w
         size = np.sqrt(gradient @ gradient)
-        if size < 1e-6 * n:
+        if size < 1e-6 * every:
             break
-        curve, step, rest = p * (1 - p), np.zeros_like(w), -gradient
+        curve, step, rest = weight * p * (1 - p), np.zeros_like(w), -gradient
         way, square = rest.copy(), gradient @ gradient
         for _ in range(SOLVER_STEPS):
             bent = turned(curve * times(way)) + ridge * way
@@ -147,7 +153,10 @@ def fit_logistic(place, owner, extra, y, n_features: int) -> tuple[np.ndarray, n
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...]) -> DataFrame:
-    """text, fold and labels (array of 0, 1 or null) of the bounded sample."""
+    """text, fold, labels (array of 0, 1 or null) and weight of the bounded sample.
+
+    Weights are rounded to multiples of 1/1024, of which sums are exact in any order.
+    """
     known = labels.groupBy("doc_id").agg(
         *(F.max(F.col(c).cast("int")).alias(c) for c in categories))
     known = known.where(F.col("doc_id").isNotNull())
@@ -160,22 +169,28 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, categories: tuple[str, .
     chosen = (known.join(F.broadcast(sizes), "combination")  # a row for each combination
               .where(F.expr("pmod(order, 1000003) / 1000003.0") <= CLASS_ROWS / F.col("n"))
               .select("doc_id", (F.expr("pmod(order, 1000033)") % FOLDS).cast("int").alias("fold"),
-                      "labels"))
+                      "labels", "combination", "n"))
+    taken = chosen.groupBy("combination").agg(F.count("*").alias("taken"))
+    chosen = chosen.join(F.broadcast(taken), "combination").select(
+        "doc_id", "fold", "labels",
+        (F.round(F.col("n") / F.col("taken") * 1024) / 1024).alias("weight"))
     # About CLASS_ROWS ids of each combination of labels, of which there are 3 to the power of
     # the number of categories at most: a bound that does not depend on the tables.
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "text", "fold", "labels")
+        "text", "fold", "labels", "weight")
 
 
 def count_features(sample: DataFrame, n_categories: int) -> DataFrame:
-    """feature, n and for each category the number of its rows without and with the label."""
-    names = [f"{kind}{j}" for j in range(n_categories) for kind in ("no", "yes")]
+    """feature, for each category its sampled rows with a known label, and the weight of
+    those without and with it."""
+    names = [f"{kind}{j}" for j in range(n_categories) for kind in ("rows", "no", "yes")]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             texts, labels = batch.column("text").to_pylist(), batch.column("labels").to_pylist()
+            weight = batch.column("weight").to_numpy()
             for a, b in chunks(texts, 1 << 20):
                 h, owner = word_features(texts[a:b], PREFIXES)
                 order = np.lexsort((owner, h))
@@ -186,19 +201,25 @@ def count_features(sample: DataFrame, n_categories: int) -> DataFrame:
                 at = np.flatnonzero(np.diff(h, prepend=h[:1] + np.uint64(1)))
                 cols = [pa.array(h[at].view(np.int64))]
                 for j in range(n_categories):
-                    for want in (0, 1):
-                        hit = np.array([row[j] == want for row in labels[a:b]], dtype=np.int32)
-                        cols.append(pa.array(np.add.reduceat(hit[owner], at).astype(np.int32) if len(at)
-                                             else np.zeros(0, np.int32)))
+                    label = np.array([np.nan if row[j] is None else row[j] for row in labels[a:b]])
+                    for each in (~np.isnan(label) * 1.0, (label == 0) * weight[a:b],
+                                 (label == 1) * weight[a:b]):
+                        cols.append(pa.array(np.add.reduceat(each[owner], at) if len(at)
+                                             else np.zeros(0)))
                 yield pa.RecordBatch.from_arrays(cols, names=["feature", *names])
 
-    schema = "feature long, " + ", ".join(f"{n} int" for n in names)
-    return (sample.select("text", "labels").mapInArrow(run, schema).groupBy("feature")
+    schema = "feature long, " + ", ".join(f"{n} double" for n in names)
+    return (sample.select("text", "labels", "weight").mapInArrow(run, schema).groupBy("feature")
             .agg(*(F.sum(n).alias(n) for n in names)))
 
 
-def choose_features(counts: DataFrame, sizes: list[tuple[int, int]]) -> list[np.ndarray]:
-    """For each category the features of the largest likelihood ratio, sorted by hash."""
+def choose_features(counts: DataFrame, sizes: list[tuple[float, float]],
+                    sampled: list[int]) -> list[np.ndarray]:
+    """For each category the features of the largest likelihood ratio, sorted by hash.
+
+    ``sizes``: weights of the rows without and with the label; ``sampled``: those rows. The
+    least ratio is asked of as much evidence as was sampled, not of what it stands for.
+    """
     def part(k, n, total, share):
         return F.when(k > 0, k * F.log(k / (n * (total / share)))).otherwise(0.0)
 
@@ -212,8 +233,8 @@ def choose_features(counts: DataFrame, sizes: list[tuple[int, int]]) -> list[np.
         ratio = (part(a, n, yes, every) + part(b, n, no, every)
                  + part(yes - a, F.lit(every) - n, yes, every)
                  + part(no - b, F.lit(every) - n, no, every))
-        best = (counts.where(n >= LEAST_ROWS).select("feature", ratio.alias("ratio"))
-                .where(F.col("ratio") >= LEAST_RATIO)
+        best = (counts.where(F.col(f"rows{j}") >= LEAST_ROWS).select("feature", ratio.alias("ratio"))
+                .where(F.col("ratio") * (sampled[j] / every) >= LEAST_RATIO)
                 .orderBy(F.desc("ratio"), "feature").limit(FEATURES).collect())
         out.append(np.sort(np.array([r["feature"] for r in best], dtype=np.int64).view(np.uint64)))
     return out
@@ -224,12 +245,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     prepare(docs.sparkSession)
     sample = materialise(sample_labelled(docs, labels, categories), "labelled")
     n = len(categories)
-    totals = sample.agg(*(F.count_if(F.col("labels")[j] == v).alias(f"{j}_{v}")
-                          for j in range(n) for v in (0, 1))).first()
+    label = [F.col("labels")[j] for j in range(n)]
+    totals = sample.agg(
+        *(F.sum(F.when(label[j] == v, F.col("weight")).otherwise(0.0)).alias(f"{j}_{v}")
+          for j in range(n) for v in (0, 1)),
+        *(F.count(label[j]).alias(f"rows{j}") for j in range(n))).first()
     sizes = [(totals[f"{j}_0"], totals[f"{j}_1"]) for j in range(n)]
     if not any(no and yes for no, yes in sizes):
         return None
-    chosen = choose_features(materialise(count_features(sample, n), "feature-counts"), sizes)
+    chosen = choose_features(materialise(count_features(sample, n), "feature-counts"), sizes,
+                             [totals[f"rows{j}"] for j in range(n)])
     union = np.unique(np.concatenate(chosen))
 
     def rows(batches: Iterator) -> Iterator:
@@ -241,15 +266,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
             ends = np.searchsorted(owner[order], np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array(ends), pa.array(place[order].astype(np.int32))),
-                 batch.column("fold"), batch.column("labels")], names=["place", "fold", "labels"])
+                 batch.column("fold"), batch.column("labels"), batch.column("weight")],
+                names=["place", "fold", "labels", "weight"])
 
     # At most CLASS_ROWS rows of each combination of labels, and FEATURES numbers a category.
-    data = (sample.mapInArrow(rows, "place array<int>, fold int, labels array<int>")
+    data = (sample.mapInArrow(rows, "place array<int>, fold int, labels array<int>, weight double")
             .orderBy("fold", F.hash("place", "labels")).toArrow())
     counts = np.array([len(p) for p in data.column("place")])
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.concatenate([np.zeros(0, np.int64), *(np.asarray(p.values) for p in data.column("place"))])
-    fold = data.column("fold").to_numpy()
+    fold, weight = data.column("fold").to_numpy(), data.column("weight").to_numpy()
     y = np.array([[np.nan if v is None else v for v in row] for row in
                   data.column("labels").to_pylist()], dtype=float).reshape(-1, n)
     links: list[Link] = []
@@ -262,12 +288,13 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
         p_all, o_all = local[place[mine]], owner[mine]
         extra = _odds(held[:, :j])
         known = ~np.isnan(y[:, j])
-        rate = np.nanmean(y[:, j]) if known.any() else 0.0
+        rate = np.average(y[known, j], weights=weight[known]) if known.any() else 0.0
 
         def train(use):
             at = np.cumsum(use) - 1
             rows_ = use[o_all]
-            return fit_logistic(p_all[rows_], at[o_all[rows_]], extra[use], y[use, j], len(features))
+            return fit_logistic(p_all[rows_], at[o_all[rows_]], extra[use], y[use, j], len(features),
+                                weight[use])
 
         if sizes[j][0] and sizes[j][1]:
             for f in range(FOLDS):
@@ -279,19 +306,20 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
             held[:, j] = rate
             w, e, b = np.zeros(len(features)), np.zeros(j), float(_odds(np.array(rate)))
         links.append(Link(features, w, e, b))
-    return Chain(links, union, best_threshold(held[:, -1], y[:, -1]))
+    return Chain(links, union, best_threshold(held[:, -1], y[:, -1], weight))
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> float:
     """The middle of the gap below the last probability of the best F1."""
     known = ~np.isnan(y)
-    p, y = p[known], y[known]
+    weight = np.ones(len(p)) if weight is None else weight
+    p, y, weight = p[known], y[known], weight[known]
     if not y.sum():
         return 1.0
     order = np.argsort(-p, kind="stable")
-    p, y = p[order], y[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    p, y, weight = p[order], y[order], weight[order]
+    hits = np.cumsum(weight * y)
+    f1 = 2 * hits / (np.cumsum(weight) + hits[-1])
     f1[:-1][p[:-1] == p[1:]] = 0  # equal probabilities go together
     k = int(np.argmax(f1))
     return float((p[k] + (p[k + 1] if k + 1 < len(p) else 0.0)) / 2)

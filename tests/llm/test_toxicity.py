@@ -80,3 +80,27 @@ def test_no_labels_and_empty_table(spark):
     ones = spark.createDataFrame([(1, 1, 0, "x")], LABELS)
     assert not any(r.toxic for r in toxicity.classify(df, ones).collect())
     assert toxicity.classify(spark.createDataFrame([], DOCS), none).count() == 0
+
+
+def test_probabilities_do_not_depend_on_the_sample(spark, monkeypatch):
+    """Labels that texts tell nothing of: the probability is their share, however few are sampled."""
+    rng = random.Random(3)
+    rows, _ = fixture(1500)
+    labels = [(i, 1, int(rng.random() < 0.1), "x") for i, *_ in rows]
+    share = sum(t for _, _, t, _ in labels) / len(labels)
+    monkeypatch.setattr(toxicity, "CLASS_ROWS", 100)
+    got = toxicity.classify(spark.createDataFrame(rows, DOCS),
+                            spark.createDataFrame(labels, LABELS)).collect()
+    assert abs(np.median([r.p_toxic for r in got]) - share) < 0.05
+    assert abs(np.mean([r.p_toxic for r in got]) - share) < 0.1
+
+
+def test_weights_count_as_repeated_rows():
+    rng = np.random.default_rng(1)
+    p, y, weight = rng.random(50), (rng.random(50) < 0.4) * 1.0, rng.integers(1, 5, 50)
+    assert toxicity.best_threshold(p, y, weight * 1.0) == toxicity.best_threshold(
+        np.repeat(p, weight), np.repeat(y, weight))
+    x = (rng.random((50, 4)) < 0.5) * 1.0
+    fit = lambda x, y, w: toxicity.fit_logistic(*np.nonzero(x)[::-1], np.zeros((len(y), 0)), y, 4, w)
+    one, two = fit(x, y, weight * 1.0), fit(np.repeat(x, weight, 0), np.repeat(y, weight), None)
+    assert np.allclose(one[0], two[0], atol=1e-3) and abs(one[2] - two[2]) < 1e-3
