@@ -7,9 +7,9 @@ of it, and all counts are plain aggregations in Spark over every labelled text:
 
 * order 5 has occurrence counts, orders 4 to 1 have continuation counts (distinct
   characters to the left), each with the discount n1 / (n1 + 2 n2) of its language;
-* a language keeps the grams of an order whose share of the counts reaches a floor,
-  so at most 1 / floor of them: the model's size has a bound that is independent of
-  the corpus, and it is what the workers get.
+* every counted gram is in the model, however rare, so probabilities are those of the
+  whole text. The model is built on the driver and is what the workers get: its size is
+  that of the distinct grams of the labelled texts, and grows with them.
 
 A model is a set of sorted hash arrays: grams in the order of their mixed hashes, an
 index of the hashes' leading bits, and one row of log-probabilities, a column for
@@ -41,9 +41,6 @@ from aerolake.llm.textops import chunks, mix64
 
 ORDER = 5
 BITS = 12
-#: Least share of a language's counts with which a gram is kept, and the most cells
-#: (grams times languages) of an order's table.
-FLOOR, MAX_CELLS = 4e-6, 1 << 25
 #: Rejection: percentile of the labelled texts' entropies, margin in bits, allowance in
 #: bits for a text of one character (it falls with the square root of the length).
 PERCENTILE, MARGIN, SHORT = 0.999, 2.5, 8.0
@@ -240,8 +237,8 @@ def _build(langs: list[str], counts: dict[int, list[tuple]], discounts: np.ndarr
 def fit(labelled: DataFrame) -> Model | None:
     """Models of all languages of ``labelled`` (lang, text); null languages teach nothing.
 
-    All rows are counted. To the driver come, for each language and order, at most
-    1 / FLOOR grams.
+    All rows are counted, and all distinct grams of each language and order come to the
+    driver.
     """
     prepare(labelled.sparkSession)
     full = materialise(count_grams(labelled.where("lang is not null")), "grams")
@@ -263,17 +260,15 @@ def fit(labelled: DataFrame) -> Model | None:
     langs = sorted({r["lang"] for r in rows})
     if not langs:
         return None
-    floor = max(FLOOR, len(langs) ** 2 / MAX_CELLS)
-    kept = (tagged.join(F.broadcast(stats.select("k", "lang", "total")), ["k", "lang"])
-            .where(F.col("n") >= F.col("total") * floor).select("k", "lang", "gram", "n"))
-    table = kept.toArrow()
-    k, gram, n = (table.column(c).to_numpy() for c in ("k", "gram", "n"))
-    lang = np.searchsorted(langs, np.array(table.column("lang").to_pylist(), dtype=object))
+    index = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1
     counts = {}
     for order in range(1, ORDER + 1):
+        table = (tagged.where(F.col("k") == order)
+                 .select(index.alias("lang"), "gram", "n").toArrow())
+        lang, gram, n = (table.column(c).to_numpy() for c in ("lang", "gram", "n"))
         counts[order] = []
         for i in range(len(langs)):
-            mine = (k == order) & (lang == i)
+            mine = lang == i
             counts[order].append((gram[mine], n[mine].astype(np.float64)))
     discounts = np.full((ORDER, len(langs)), 0.5)
     for r in rows:

@@ -115,3 +115,12 @@ def test_hash_table():
     assert (place[1::2] == -1).all()
     assert (keys[::2][table.order][place[::2]] == keys[::2]).all()
     assert (langid.HashTable(keys[:0]).find(keys[:9]) == -1).all()
+
+
+def test_rare_grams_of_a_long_text_are_kept(spark):
+    """A gram counted once among 600,000 has its own probability, not that of its suffix."""
+    texts = ["kalo " * 120_000, "zyxwv", *[f"{c}yxw{c}" for c in "abcdefghijklmnopqrst"] * 2]
+    model = langid.fit(spark.createDataFrame([("aa", t) for t in texts],
+                                             "lang string, text string"))
+    key = np.array([sum(ord(c) << 12 * (4 - i) for i, c in enumerate("zyxwv"))])
+    assert np.exp2(model.log_probs(key)[0, 0]) > 0.3
