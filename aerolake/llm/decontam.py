@@ -4,8 +4,9 @@ A mask of a spaced seed looks at some of a window's words and ignores the others
 a window still hashes alike when ignored words were substituted. Hashes of all
 windows of the benchmark items, under each mask, are joined with those of all
 windows of the documents. A hit fixes a diagonal (where in the document the item
-would start); on each diagonal the words are compared one by one, and the best
-contiguous overlap, with at least four matches to each substitution, is kept. An
+would start); on each diagonal the words are compared one by one, and of the contiguous
+overlaps with at least four matches to each substitution the one with most matches is
+kept. An
 overlap counts from 13 matching words on, or from four fifths of an item for which
 that is less. An item of fewer words than the shortest mask (six) is no evidence of
 anything and matches nothing.
@@ -36,7 +37,7 @@ MASKS = ("111111", "11011011", "1100101011", "101100100101")
 #: Bits of the bitmap of item hashes (4 MiB).
 FILTER_BITS = 25
 MIN_MATCHES = 13
-#: Matches that a substitution costs; an overlap of positive score has four fifths of matches.
+#: Matches that a substitution costs; an overlap of no negative score has four fifths of matches.
 COST = 4
 
 
@@ -73,6 +74,22 @@ def best_overlap(same: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(same[start:end].sum())
 
 
+def most_matches(same: np.ndarray) -> tuple[int, int, int]:
+    """(from, to, matches) of the contiguous part with most matches, then the first, among
+    those with at least COST matches to each substitution; it starts and ends in a match."""
+    starts = np.flatnonzero(same)
+    if not len(starts):
+        return 0, 0, 0
+    score = np.concatenate([[0], np.cumsum(np.where(same, 1, -COST))])
+    # The last end whose score is not below the start's: scores to come, at their highest, fall.
+    ahead = np.maximum.accumulate(score[::-1])[::-1]
+    ends = np.searchsorted(-ahead, -score[starts], side="right") - 1
+    matches = np.searchsorted(starts, ends) - np.arange(len(starts))
+    k = int(np.argmax(matches))
+    n = int(matches[k])
+    return int(starts[k]), int(starts[k + n - 1]) + 1, n
+
+
 def needed(n_words: int) -> int:
     """Matches from which an overlap with an item of so many words counts."""
     return min(MIN_MATCHES, -(-4 * n_words // 5))
@@ -152,7 +169,7 @@ def compare(rows: DataFrame) -> DataFrame:
                         item, at = np.array(seed["words"], dtype=np.int64), seed["diagonal"]
                         low, high = max(0, -at), min(len(item), len(doc) - at)
                         same = item[low:high] == doc[at + low:at + high]
-                        start, end, matches = best_overlap(same)
+                        start, end, matches = most_matches(same)
                         if matches < needed(len(item)):
                             continue
                         found = (-matches, at + low + start, low + start, end - start, len(item))

@@ -92,3 +92,36 @@ def test_drop_and_empty_tables(spark):
     assert decontam.contaminated(none, bench).count() == 0
     assert decontam.contaminated(df, empty).count() == 0
     assert decontam.drop_contaminated(df, empty).count() == len(docs)
+
+
+def widest(same):
+    """Most matches of all stretches with four matches to each substitution, one by one."""
+    best = 0
+    for i in range(len(same)):
+        for j in range(i + 1, len(same) + 1):
+            hits = sum(same[i:j])
+            if hits >= 4 * (j - i - hits):
+                best = max(best, hits)
+    return best
+
+
+def test_most_matches_equals_all_stretches():
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        same = rng.random(rng.integers(0, 40)) < rng.choice([0.5, 0.75, 0.85, 0.95])
+        start, end, n = decontam.most_matches(same)
+        assert n == widest(same.tolist()) == same[start:end].sum()
+        assert n >= 4 * (end - start - n)
+        assert not n or same[start] and same[end - 1]
+
+
+def test_shorter_stretch_of_higher_score_hides_no_overlap(spark):
+    item = [f"w{i}" for i in range(50)]
+    two = list(item[:36])
+    two[12:20] = [f"x{i}" for i in range(8)]
+    two[28] = "changed"
+    fifth = [w if i % 5 != 4 else f"x{i}" for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(two), 0, ""), (2, " ".join(fifth), 0, "")], DOCS)
+    got = decontam.contaminated(docs, spark.createDataFrame([(7, " ".join(item), 0)], ITEMS))
+    found = {r.doc_id: (r.item_word, r.n_words, r.n_matches) for r in got.collect()}
+    assert found == {1: (20, 16, 15), 2: (0, 49, 40)}
