@@ -10,7 +10,9 @@ a fixed list of tags and word contexts, so the table of weights has a fixed size
 
 Elements that are never main text take no part: scripts, styles, navigation, page
 headers and footers, asides, forms, and elements whose class, id or role names an
-advert, menu, sidebar, notice or comment section.
+advert, menu, sidebar, notice or comment section. A class that speaks of such a part
+without being it (no-sidebar, search-result) is none of these, and neither is an element
+that holds most of the page's plain words (a comment section: nine tenths).
 
 Text: character references are decoded, white space inside a block becomes one blank,
 blocks are trimmed and joined in page order by an empty line. Nulls, empties, ties,
@@ -55,6 +57,12 @@ HINTS = {"ad", "ads", "advert", "advertisement", "advertising", "adsense", "spon
          "complementary", "form", "hidden"}
 COMMENT_HINTS = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply",
                  "discussion"}
+#: Words before a hint that say of an element what it has or has not, and words after it
+#: that make it another thing.
+BEFORE = {"no", "not", "non", "has", "have", "with", "without", "hide", "show", "is"}
+AFTER = {"result", "results", "page", "layout"}
+#: Share of a page's plain words above which a hinted element is not boilerplate.
+MOST = {"other": 0.5, "comment": 0.9}
 #: Weights of features without labelled cases: a word, a word in a link, a word inside
 #: and outside the article of a page that has one, a tag.
 DEFAULTS = {"word": 1.0, "word:link": -0.5, "word:in": 1.0, "word:out": -1.0, "tag": -2.0}
@@ -70,37 +78,70 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s
 _NAME = re.compile("[a-z]+")
 
 
+def _names_part(token: str) -> str | None:
+    """"comment" or "other" if a class, id or role names a part that is not main text."""
+    names = _NAME.findall(token)
+    if not names or names[-1] in AFTER or any(n in BEFORE for n in names[:-1]):
+        return None
+    if any(n in COMMENT_HINTS for n in names):
+        return "comment"
+    return "other" if any(n in HINTS for n in names) else None
+
+
 def _hinted(attributes: str) -> str | None:
-    """"comment" or "other" if the attributes mark an element as not main text."""
+    """"comment", "other" or "hidden" if the attributes mark an element as not main text."""
     if not attributes or attributes.isspace():
         return None
+    if _HIDDEN.search(_ATTRIBUTE.sub("", attributes)):
+        return "hidden"
     for _, value in _ATTRIBUTE.findall(attributes):
-        names = _NAME.findall(value.lower())
-        if any(n in COMMENT_HINTS for n in names):
-            return "comment"
-        if any(n in HINTS for n in names):
-            return "other"
-    return "other" if _HIDDEN.search(attributes) else None
+        found = {_names_part(token) for token in value.strip("\"'").lower().split()}
+        for hint in ("comment", "other"):
+            if hint in found:
+                return hint
+    return None
 
 
 def parse(page: str | None) -> tuple[list[tuple], int]:
     """(items, number of article elements, or else of main elements) of a page.
 
     Items: ("text", text, skipped, in_article, in_link) and ("tag", name, skipped,
-    in_article, in_link). Unclosed and misplaced tags are taken as they come.
+    in_article, in_link). Unclosed and misplaced tags are taken as they come. Hinted
+    elements that hold most of the page's plain words are read as others are.
+    """
+    opened: set[int] = set()
+    while True:
+        items, articles, plain, hinted = _scan(page or "", opened)
+        large = [at for at, (hint, n) in hinted.items() if n > MOST[hint] * plain]
+        if not large:
+            return items, articles
+        opened.update(large)
+
+
+def _scan(page: str, opened: set[int]) -> tuple[list[tuple], int, int, dict[int, list]]:
+    """Items and articles of a page, its plain words outside links and elements of NEVER,
+    and by place the hint and plain words of each element that is skipped for a hint.
+
+    ``opened``: places of elements whose hints do not count.
     """
     items: list[tuple] = []
-    articles = mains = depth = links = at = 0
+    articles = mains = depth = links = at = plain = 0
     skip, nested, reason = None, 0, None
-    page = page or ""
+    hinted: dict[int, list] = {}
+    part: list | None = None  # the hinted element that is skipped now
     position = 0
     while True:
         m = _TAG.search(page, position)
         text = page[at:m.start()] if m else page[at:]
         if text:
             items.append(("text", text, skip is not None, depth > 0, links > 0))
+            if not links and (skip is None or part):
+                n = len(text.split())
+                plain += n
+                if skip is not None:
+                    part[1] += n
         if not m:
-            return items, articles or mains
+            return items, articles or mains, plain, hinted
         at = position = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
@@ -131,8 +172,12 @@ def parse(page: str | None) -> tuple[list[tuple], int]:
                     skip = None
         if skip is None and not closing and name not in VOID:
             hint = None if container or name in ("body", "html") else _hinted(m[3])
+            if m.start() in opened:
+                hint = None
             if name in NEVER or hint:
-                skip, nested, reason = name, 1, hint
+                skip, nested, reason, part = name, 1, hint, None
+                if hint in MOST and name not in NEVER:
+                    part = hinted[m.start()] = [hint, 0]
         skipped = skip is not None
         if not skipped:
             if container:

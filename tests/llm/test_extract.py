@@ -69,3 +69,19 @@ def test_no_labels_and_empty_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>some plain words</p>", 1)], PAGES)
     assert [r.text for r in extract.extract(df).collect()] == ["some plain words"]
     assert extract.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_hinted_wrappers_keep_the_main_text():
+    story = "<p>" + "one two three four five six seven. " * 6 + "</p>"
+    plain = " ".join(("one two three four five six seven. " * 6).split())
+    weights = dict(extract.DEFAULTS)
+    for wrapper in ("class='no-sidebar'", "class=has-menu", "class='content-with-ads'",
+                    "class='post search-result'", "id='page-form'", "class='main sidebar-right'"):
+        page = (f"<nav>menu</nav><div {wrapper}>{story}<div class='ad'>Buy this</div>{story}</div>"
+                "<div class='cookie-notice'>We use cookies</div>")
+        assert extract.main_text(page, weights) == f"{plain}\n\n{plain}", wrapper
+    page = f"<article><div class='has-ads widget'>{story}</div></article><div id=footer>all rights</div>"
+    assert extract.main_text(page, weights) == plain
+    page = f"<div>{story}</div><div id='comments'>{story}<p>I agree</p></div>"
+    assert extract.main_text(page, weights) == plain
+    assert extract.main_text(f"<div hidden>{story}</div><p>few words</p>", weights) == "few words"
