@@ -289,6 +289,10 @@ def _raw_lines(lines: DataFrame, header: str, path: str, encoding: str) -> None:
      .option("lineSep", "\r\x00\n\x00" if utf16 else "\n").text(path))
 
 
+# A field of 500,000 units of two characters for one order, and a short one for the others.
+LONG_FIELD = "if(is_first, concat('\"', repeat('{unit}', 500000), '\"'), 'x')"
+LONG_UNITS = ("a;", "é\n")
+
 # Variants of the order text: header, further fields of a line, and encoding.
 EDGE_CASES = {
     "extra_fields": ("o_orderkey;o_custkey;texto", "'x', 'LOST1', 'LOST2'", "UTF-8"),
@@ -300,6 +304,12 @@ EDGE_CASES = {
     "utf16_crlf": ("o_orderkey;o_custkey;texto", "if(o_orderkey % 2 = 0, '', 'SP')", "UTF-16LE"),
     "stray_quote": ("o_orderkey;o_custkey;texto", "'tela 12\" x'", "UTF-8"),
     "quoted_lines": ("o_orderkey;o_custkey;texto", "'\"a;\nb \"\"c\"\"\"'", "UTF-8"),
+    # the least order key of the table has a quoted field of 1 MB, and one of 1 MB of lines
+    "long_quoted": ("o_orderkey;o_custkey;texto", f"{LONG_FIELD.format(unit=LONG_UNITS[0])}", "UTF-8"),
+    "long_quoted_lines": ("o_orderkey;o_custkey;texto", f"{LONG_FIELD.format(unit=LONG_UNITS[1])}",
+                          "windows-1252"),
+    # the same order begins a quote that is never closed
+    "unclosed_quote": ("o_orderkey;o_custkey;texto", "if(is_first, '\"tela 12', 'x')", "UTF-8"),
 }
 
 
@@ -307,6 +317,8 @@ def q_ingest_text_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is kept of text with the mistakes real files have, by variant."""
     def build():
         orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        least = orders.agg(F.min("o_orderkey")).first()[0]
+        orders = orders.withColumn("is_first", F.coalesce(F.col("o_orderkey") == F.lit(least), F.lit(False)))
         parts = []
         for name, (header, rest, encoding) in EDGE_CASES.items():
             root = scratch_dir(spark, f"edge-{name}")
@@ -331,31 +343,73 @@ def q_ingest_text_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, sf_dir, "edge_cases", build)
 
 
+def _order_versions(spark: SparkSession, sf_dir: str, tag: str):
+    """(configuration, orders as text with their group, a function that publishes a group)."""
+    from aerolake.plans.workflow import WorkflowConfig
+    root = scratch_dir(spark, tag)
+    cfg = WorkflowConfig(input_dir=f"{root}/input", lake_root=f"{root}/lake", pattern=PATTERN_CSV)
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus",
+        F.col("o_orderdate").cast("string").alias("o_orderdate"),
+        encoding_group("o_orderkey").alias("bucket"))
+    times = iter(range(1000))
+
+    def put(rows: DataFrame, group: int) -> None:
+        folder = f"{root}/new/{next(times)}"
+        write_text(rows.where(F.col("bucket") == group).drop("bucket"), folder, ENCODINGS[group])
+        publish(spark, folder, cfg.input_dir, f"group{group}")
+
+    return cfg, orders, put
+
+
 def _republished(spark: SparkSession, sf_dir: str):
-    """Two runs of extract and load by manifest: a first version of some files, then the
-    second version of half of them, which has a further column and all rows."""
+    """Runs of extract and load: a first version of every group, with another status in
+    each row, then all groups again as they are, the first of them with a further column."""
     def build():
-        from aerolake.plans.workflow import WorkflowConfig, extract_and_load
-        root = scratch_dir(spark, "republish")
-        cfg = WorkflowConfig(input_dir=f"{root}/input", lake_root=f"{root}/lake", pattern=PATTERN_CSV)
-        bucket = encoding_group("o_orderkey").alias("bucket")
-        orders = read_table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus",
-            F.col("o_orderdate").cast("string").alias("o_orderdate"), bucket)
-        first = orders.where("o_orderkey is null or o_orderkey % 4 != 1").drop("o_orderdate")
-        for i in range(len(ENCODINGS)):
-            write_text(first.where(F.col("bucket") == i).drop("bucket"), f"{root}/new/{i}", ENCODINGS[i])
-            publish(spark, f"{root}/new/{i}", f"{root}/input", f"group{i}")
+        from aerolake.plans.workflow import extract_and_load
+        cfg, orders, put = _order_versions(spark, sf_dir, "republish")
+        groups = range(len(ENCODINGS))
+        for i in groups:
+            put(orders.drop("o_orderdate").withColumn("o_orderstatus", F.lit("?")), i)
         one = extract_and_load(spark, cfg)
-        write_text(orders.where("bucket = 0").drop("bucket"), f"{root}/new/again", ENCODINGS[0])
-        publish(spark, f"{root}/new/again", f"{root}/input", "group0")
+        for i in groups:
+            put(orders if i == 0 else orders.drop("o_orderdate"), i)
         two = extract_and_load(spark, cfg)
         three = extract_and_load(spark, cfg)
         return two.bronze, [len(x.loaded) for x in (one, two, three)]
     return _memo(spark, sf_dir, "republished", build)
 
 
-def publish(spark: SparkSession, folder: str, target: str, name: str) -> None:
+def q_ingest_bad_republish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group 0 is published again with a field too many, then group 1 with
+    its values, then nothing: bronze holds group 0 as it was, and the bad version is tried once."""
+    def build():
+        from aerolake.plans.workflow import extract_and_load
+        cfg, orders, put = _order_versions(spark, sf_dir, "bad-republish")
+        before = orders.drop("o_orderdate").withColumn("o_orderstatus", F.lit("?"))
+        for i in range(len(ENCODINGS)):
+            put(before, i)
+        extract_and_load(spark, cfg)
+        folder = scratch_dir(spark, "bad-lines")
+        _raw_lines(before.where("bucket = 0").select(F.expr(
+            "concat_ws(';', coalesce(o_orderkey, ''), o_orderstatus, 'LOST')")),
+            "o_orderkey;o_orderstatus", folder, "UTF-8")
+        publish(spark, folder, cfg.input_dir, "group0", kind="txt")
+        alone = extract_and_load(spark, cfg)
+        put(orders.drop("o_orderdate"), 1)
+        extract_and_load(spark, cfg)
+        last = extract_and_load(spark, cfg)
+        tried = cfg.processed_files(spark).manifest.rows().where("reason IS NOT NULL")
+        return last.bronze, [alone.stopped, len(alone.loaded), len(last.failed) - tried.count(),
+                             bool(last.failed)]
+    bronze, (stopped, loaded, tried_again, reported) = _memo(spark, sf_dir, "bad_republish", build)
+    return bronze.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum")
+    ).select("*", F.lit(stopped).alias("stopped"), F.lit(loaded).cast("bigint").alias("loaded_with_bad_only"),
+             F.lit(tried_again).cast("bigint").alias("tried_again"), F.lit(reported).alias("reported"))
+
+
+def publish(spark: SparkSession, folder: str, target: str, name: str, kind: str = "csv") -> None:
     """Give the part files of a folder fixed names below ``target``; others of that name go."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
@@ -363,7 +417,7 @@ def publish(spark: SparkSession, folder: str, target: str, name: str) -> None:
     files.mkdirs(path(target))
     for old in files.globStatus(path(f"{target}/{name}-*.csv")) or []:
         files.delete(old.getPath(), False)
-    parts = sorted(str(f.getPath()) for f in files.globStatus(path(f"{folder}/part-*.csv")))
+    parts = sorted(str(f.getPath()) for f in files.globStatus(path(f"{folder}/part-*.{kind}")))
     for k, part in enumerate(parts):
         files.rename(path(part), path(f"{target}/{name}-{k:05d}.csv"))
 
@@ -385,7 +439,8 @@ def q_bronze_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_validate_parquet_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files by validity, with one that is not Parquet and one without rows."""
+    """Files by validity, with one that is not Parquet, one without rows, and one with a
+    damaged page below a sound footer."""
     def build():
         root = scratch_dir(spark, "validate")
         orders = read_table(spark, sf_dir, "orders").select(
@@ -397,8 +452,11 @@ def q_validate_parquet_set(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{root}/processed/{SOURCE_FILE}=empty.parquet")
         orders.select("o_orderkey").write.text(f"{root}/bad")
         publish_as(spark, f"{root}/bad", f"{root}/processed/{SOURCE_FILE}=bad.parquet")
+        # one file, uncompressed, so that its first bytes are those of a page
+        orders.select("o_orderkey").coalesce(1).write.option("compression", "none").parquet(f"{root}/sound")
+        damage(spark, f"{root}/sound", f"{root}/processed/{SOURCE_FILE}=damaged.parquet")
         names = [f"group{i}.parquet" for i in range(len(ENCODINGS))] + [
-            "empty.parquet", "bad.parquet", "absent.parquet"]
+            "empty.parquet", "bad.parquet", "damaged.parquet", "absent.parquet"]
         expected = spark.createDataFrame([(n,) for n in names], f"{SOURCE_FILE} string")
         return validate_parquet(spark, f"{root}/processed", expected, bronze_schema(["o_orderkey"]))
     checked = _memo(spark, sf_dir, "validate", build)
@@ -415,6 +473,29 @@ def publish_as(spark: SparkSession, folder: str, target: str) -> None:
         files.rename(f.getPath(), path(f"{target}/part-{k:05d}.parquet"))
 
 
+def damage(spark: SparkSession, folder: str, target: str) -> None:
+    """Copy the Parquet files of a folder with one byte changed in the middle of their pages.
+
+    Spark reads the bytes and writes them in pieces; the footer stays as it is.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(target))
+    for k, f in enumerate(files.globStatus(path(f"{folder}/part-*.parquet"))):
+        size = f.getLen()
+        out = files.create(path(f"{target}/part-{k:05d}.parquet"), True)
+        read = files.open(f.getPath())
+        try:
+            copy = jvm.org.apache.hadoop.io.IOUtils.copyBytes
+            copy(read, out, size // 4, False)
+            out.write(255 - read.read())
+            copy(read, out, size - size // 4 - 1, False)
+        finally:
+            out.close()
+            read.close()
+
+
 def q_seed_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An airport seed written as CSV from the tables and loaded back as declared."""
     def build():
@@ -434,6 +515,7 @@ INGEST_QUERIES = {
     "sample_rows": q_sample_rows,
     "ingest_text_edge_cases": q_ingest_text_edge_cases,
     "ingest_republished_file": q_ingest_republished_file,
+    "ingest_bad_republish": q_ingest_bad_republish,
     "bronze_schema_drift": q_bronze_schema_drift,
     "validate_parquet_set": q_validate_parquet_set,
     "seed_airports": q_seed_airports,

@@ -3,18 +3,21 @@
 Stage order and gates:
 
 1. list the input files; stop if none match;
-2. extract the file versions not extracted before -> processed Parquet; stop if
-   there were new files and none succeeded;
+2. extract the file versions not tried before -> processed Parquet, check what was
+   written and commit the good ones; stop if no file was ever extracted. A version that
+   fails is recorded with its reason and not tried again until its file changes; the
+   earlier version of that file stays in use;
 3. validate the processed files; stop if none is valid, and name the others;
-4. load valid files whose version bronze lacks, replacing their partitions; a
-   failure here is reported and the run continues with what bronze already holds;
+4. load valid files whose version bronze lacks; a failure here is reported and the
+   run continues with what bronze already holds;
 5. materialise silver (partitioned by year/month) and create the gold views;
    skipped when there is no bronze yet;
 6. run the declared data tests (report; ``strict=True`` raises on failures).
 
-Each stage adds one row to the returned stats frame. Extract and load keep a
-manifest of file versions (``sources/manifest.py``): a file published again under its
-name replaces its rows in processed and in bronze.
+Each stage adds one row to the returned stats frame. Extract and load write every file
+version to a folder of its own and commit it in a manifest (``sources/manifest.py``): a
+file published again replaces its rows at that commit, never before. What no reader
+can see any more is removed at the end of the run.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from aerolake.operators import quality
 from aerolake.operators.silver import require_columns
 from aerolake.schema import SOURCE_FILE
 from aerolake.sources import catalog
-from aerolake.sources.manifest import Manifest
-from aerolake.sources.parquet import bronze_schema, drop_partitions, validate_parquet
+from aerolake.sources.manifest import KEY_SCHEMA, WITHDRAWN, Manifest, VersionedFiles, new_version
+from aerolake.sources.parquet import bronze_schema, validate_parquet
 from aerolake.sources.seed import load_airport_seed
 from aerolake.sources.text import (
     PATTERN_TXT,
@@ -42,7 +45,6 @@ from aerolake.streaming.incremental import load_files
 
 log = logging.getLogger(__name__)
 
-VERSION = "path string, length bigint, modificationTime timestamp"
 STATS_SCHEMA = "stage string, status string, files bigint, rows bigint, detail string"
 
 
@@ -79,6 +81,16 @@ class WorkflowConfig:
     def silver_dir(self) -> str:
         return f"{self.lake_root}/silver/silver_voos"
 
+    def current_bronze(self, spark: SparkSession, columns: list[str]) -> DataFrame:
+        """Bronze as committed: its last good version of every file."""
+        return self.bronze_files(spark).read(bronze_schema(columns))
+
+    def processed_files(self, spark: SparkSession) -> VersionedFiles:
+        return VersionedFiles(spark, self.processed_dir, Manifest(spark, self.extract_manifest))
+
+    def bronze_files(self, spark: SparkSession) -> VersionedFiles:
+        return VersionedFiles(spark, self.bronze_dir, Manifest(spark, self.load_manifest))
+
 
 @dataclass
 class WorkflowRun:
@@ -95,9 +107,45 @@ class LoadedBronze:
     bronze: DataFrame | None = None
     columns: list[str] = field(default_factory=list)
     loaded: dict[str, int] = field(default_factory=dict)
+    failed: dict[str, str] = field(default_factory=dict)
     stopped: bool = False
 
 
+def extract_new(spark: SparkSession, cfg: WorkflowConfig, todo: list, names: dict[str, str],
+                root: str | None) -> int:
+    """Extract, check and commit file versions; returns how many succeeded.
+
+    All are written to one new version folder. A file that cannot be read, or whose
+    processed Parquet cannot, is recorded as failed with the reason; its earlier version, if
+    it has one, stays what readers see.
+    """
+    processed = cfg.processed_files(spark)
+    version = new_version()
+    result = extract_text_files(spark, [f.path for f in todo], processed.folder(version),
+                                replace_files=False, encoding_overrides=cfg.encoding_overrides, root=root)
+    read = {names[f.path]: f for f in todo if names[f.path] in result.columns}
+    schema = bronze_schema(sorted({c for n in read for c in result.columns[n]}))
+    rows = processed.file_rows(version, schema)
+    checked = validate_parquet(
+        spark, processed.folder(version),
+        spark.createDataFrame([(n,) for n in rows], f"{SOURCE_FILE} string"), schema,
+        None if rows else []).collect()
+    damaged = {r[SOURCE_FILE] for r in checked if not r.valid}
+    processed.discard(version, damaged)
+    entries, good = [], 0
+    for f in todo:
+        name = names[f.path]
+        reason = result.reasons.get(f.path, "not read")
+        if name in read:
+            reason = "processed file damaged" if name in damaged else None
+        good += reason is None
+        entries.append((f.path, f.length, f.modificationTime, name,
+                        result.columns.get(name) if reason is None else None,
+                        version if reason is None else None, rows.get(name, 0), reason))
+    processed.manifest.add(entries)
+    return good
+
+
 def extract_and_load(spark: SparkSession, cfg: WorkflowConfig, recursive: bool = False,
                      stage=lambda *a: None) -> LoadedBronze:
     """Stages 1 to 4; ``stage(name, status, files, rows, detail)`` is told of each."""
@@ -111,56 +159,52 @@ def extract_and_load(spark: SparkSession, cfg: WorkflowConfig, recursive: bool =
 
     root = cfg.input_dir if recursive else None
     names = unique_names([f.path for f in files], root)
-    extracted, loaded = Manifest(spark, cfg.extract_manifest), Manifest(spark, cfg.load_manifest)
-    listed = spark.createDataFrame(files, VERSION)
-    # Only versions not extracted before: a re-run with the same inputs adds nothing.
+    processed, bronze = cfg.processed_files(spark), cfg.bronze_files(spark)
+    extracted, loaded = processed.manifest, bronze.manifest
+    listed = spark.createDataFrame(files, KEY_SCHEMA)
+    # Only versions neither extracted nor failed before: a re-run with the same inputs
+    # adds nothing, and a file that cannot be read is not tried until it changes.
     todo = extracted.pending(listed).collect()
-    known = {r.path for r in loaded.latest().select("path").collect()}
-    again = [names[f.path] for f in todo if f.path in known]
-    if todo:
-        # a version without rows writes no partition, so the old one must go first
-        drop_partitions(spark, cfg.processed_dir, again)
-        result = extract_text_files(spark, [f.path for f in todo], cfg.processed_dir,
-                                    encoding_overrides=cfg.encoding_overrides, root=root)
-        good = [(f.path, f.length, f.modificationTime, names[f.path], result.columns[names[f.path]])
-                for f in todo if names[f.path] in result.columns]
-        if not good:
-            stage("extract", "stopped", 0, None, "no file could be read")
-            return LoadedBronze(stopped=True)
-        extracted.add(spark.createDataFrame(good, f"{VERSION}, source_file string, "
-                                                  "columns array<string>"))
-        stage("extract", "ok", len(good), None,
-              "failed: " + ",".join(result.failed) if result.failed else "")
-    else:
-        stage("extract", "ok", 0, None, "no new input file")
+    good = extract_new(spark, cfg, todo, names, root) if todo else 0
+    failed = extracted.quarantined(listed).collect()
+    detail = "failed: " + ", ".join(f"{names[r.path]} ({r.reason})" for r in failed) if failed else ""
+    versions = extracted.latest().join(listed.select("path"), "path", "left_semi")
+    current = versions.collect()
+    if not current:
+        stage("extract", "stopped", 0, None, detail or "no file could be read")
+        return LoadedBronze(stopped=True)
+    stage("extract", "failures" if failed else "ok", good, None,
+          detail or ("" if todo else "no new input file"))
 
     columns = extracted.columns()
     schema = bronze_schema(columns)
-    versions = extracted.latest().join(listed.select("path"), "path", "left_semi")
-    checked = validate_parquet(spark, cfg.processed_dir, versions.select(SOURCE_FILE), schema).collect()
-    valid = sorted(r[SOURCE_FILE] for r in checked if r.valid)
+    # Content was checked before the commit; here the footers, as files may be lost since.
+    with_rows = [e[SOURCE_FILE] for e in current if e.rows]
+    checked = validate_parquet(spark, cfg.processed_dir, versions.where("rows > 0").select(SOURCE_FILE),
+                               schema, processed.paths(with_rows), content=False).collect()
+    valid = {r[SOURCE_FILE] for r in checked if r.valid}
     invalid = sorted(r[SOURCE_FILE] for r in checked if not r.valid)
-    # published again without rows: nothing to load, and nothing to keep
-    drop_partitions(spark, cfg.bronze_dir,
-                    [r[SOURCE_FILE] for r in checked if not r.files and r[SOURCE_FILE] in again])
-    if not valid:
+    if with_rows and not valid:
         stage("validate", "stopped", 0, None, "no valid Parquet file")
         return LoadedBronze(stopped=True)
     stage("validate", "ok", len(valid), None, "invalid: " + ",".join(invalid) if invalid else "")
 
-    out = LoadedBronze(columns=columns)
+    out = LoadedBronze(columns=columns, failed={names[r.path]: r.reason for r in failed})
     try:
-        new = loaded.pending(versions.join(
-            spark.createDataFrame([(n,) for n in valid], f"{SOURCE_FILE} string"), SOURCE_FILE))
-        load = load_files(spark, cfg.processed_dir, cfg.bronze_dir, new, loaded, schema,
-                          cfg.max_files_per_batch)
+        new = loaded.pending(versions).collect()
+        lost = [e for e in new if e[SOURCE_FILE] in invalid]
+        if lost:  # damaged before bronze had them: the next run takes their text again
+            extracted.add((e.path, WITHDRAWN, e.modificationTime, e[SOURCE_FILE], None, None, None,
+                           "processed file damaged") for e in lost)
+        load = load_files(processed, bronze, [e for e in new if e[SOURCE_FILE] not in invalid],
+                          schema, cfg.max_files_per_batch)
         out.loaded = load.per_file
         stage("load_bronze", "ok", load.files, load.rows_added, "")
     except Exception as exc:  # reported; later stages use what bronze holds
         log.exception("bronze load")
         stage("load_bronze", "failed", None, None, type(exc).__name__)
-    if loaded.rows().limit(1).count():
-        out.bronze = spark.read.schema(schema).parquet(cfg.bronze_dir)
+    if not loaded.rows().isEmpty():
+        out.bronze = cfg.current_bronze(spark, columns)
     return out
 
 
@@ -200,6 +244,8 @@ def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
     failed = report.filter(~F.col("passed")).count()
     stage("tests", "ok" if failed == 0 else "failures", None, failed,
           f"{failed} of 21 declared tests failed")
+    for files in (cfg.processed_files(spark), cfg.bronze_files(spark)):
+        files.vacuum()
     if cfg.strict_tests:
         quality.enforce(report)
     return done(silver_table=silver_table, gold_views=views, tests=report)

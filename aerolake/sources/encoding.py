@@ -13,14 +13,13 @@ aggregation grouped by file decides the encoding of every file at once:
 The same pass records what the reader needs next: the header line, its field
 count, the largest field count of any line (a line with more fields than the
 header makes the whole file fail, as a pandas reader would), whether a field
-opens with a quote and leaves it open (the file then needs ``multiLine``; a
-stray quote inside a field does not), and whether UTF-16 lines end with CR LF.
+opens with a quote and leaves it open (records then span lines, see
+``records.py``; a stray quote inside a field does not), and whether UTF-16 lines end with CR LF.
 Every byte is inspected, not a leading sample, so a late accent is not missed.
 """
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,27 +51,58 @@ def _count_char(text: Column, ch: str) -> Column:
     return F.octet_length(text.cast("binary")) - F.octet_length(without.cast("binary"))
 
 
-def _without_quoted_fields(line: Column, sep: str) -> Column:
-    """The line without the fields that open with a quote and close it.
+OUTSIDE, INSIDE, CLOSED = 0, 1, 2
 
-    A quote elsewhere in a field is an ordinary character. The regex only runs
-    on lines that contain a quote.
+
+def scan_quotes(line: Column, sep: str = FIELD_SEPARATOR, inside: bool = False) -> Column:
+    """struct(open, separators) of a line that begins outside (or inside) a quoted field.
+
+    ``open`` says whether the line ends inside a quoted field; ``separators`` counts
+    those outside of one. A quote opens a field only as its first character and closes
+    it unless it is doubled; a quote elsewhere is an ordinary character.
+
+    The text between quotes is folded once from left to right, so time is linear in the
+    line and nothing recurses, however long a field is. Lines without a quote are only
+    counted.
     """
-    mark = re.escape(sep)
-    closed = F.regexp_replace(line, f'(^|{mark})"(?:[^"]|"")*"', "$1")
-    return F.when(F.instr(line, QUOTE) > 0, closed).otherwise(line)
+    parts = F.split(line, QUOTE)
+    begin = F.lit(INSIDE if inside else OUTSIDE)
+
+    def behind_quote(last: Column, text: Column) -> Column:
+        """State behind a quote; ``last`` is what stands before it."""
+        before, state = last["text"], last["state"]
+        opens = F.endswith(before, F.lit(sep)) | (last["first"] & (before == ""))
+        doubled = (state == CLOSED) & (before == "")
+        return (F.when(state == INSIDE, F.lit(CLOSED))
+                .when(doubled, F.lit(INSIDE))
+                .when((state == OUTSIDE) | (before != ""),
+                      F.when(opens, F.lit(INSIDE)).otherwise(F.lit(OUTSIDE)))
+                .otherwise(F.lit(OUTSIDE)))
+
+    def fold(last: Column, text: Column) -> Column:
+        state = behind_quote(last, text)
+        return F.struct(
+            state.alias("state"), text.alias("text"), F.lit(False).alias("first"),
+            (last["separators"] + F.when(state == INSIDE, F.lit(0)).otherwise(_count_char(text, sep)))
+            .alias("separators"))
+
+    head = F.struct(begin.alias("state"), parts[0].alias("text"), F.lit(not inside).alias("first"),
+                    (F.lit(0) if inside else _count_char(parts[0], sep)).alias("separators"))
+    folded = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), head, fold,
+                         lambda last: F.struct((last["state"] == INSIDE).alias("open"), last["separators"]))
+    plain = F.struct(F.lit(inside).alias("open"),
+                     (F.lit(0) if inside else _count_char(line, sep)).alias("separators"))
+    return F.when(F.instr(line, QUOTE) > 0, folded).otherwise(plain)
 
 
 def field_count(line: Column, sep: str = FIELD_SEPARATOR) -> Column:
     """Fields of one record, separators inside quoted fields not counted."""
-    return _count_char(_without_quoted_fields(line, sep), sep) + F.lit(1)
+    return scan_quotes(line, sep)["separators"] + F.lit(1)
 
 
 def opens_quote(line: Column, sep: str = FIELD_SEPARATOR) -> Column:
     """Whether a field of the line opens with a quote and is left open."""
-    rest = _without_quoted_fields(line, sep)
-    return F.when(F.instr(line, QUOTE) > 0, rest.rlike(f'(^|{re.escape(sep)})"')) \
-        .otherwise(F.lit(False))
+    return scan_quotes(line, sep)["open"]
 
 
 def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
@@ -82,8 +112,8 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     header_bytes, header_key (64-bit hash of the header line), header_fields,
     max_fields, too_many_fields. ``too_many_fields`` is final for files of one
     byte a separator and one line a record; in UTF-16 files and files with
-    quoted fields over several lines the parser's records decide (see
-    ``text.ragged_files``).
+    quoted fields over several lines the decoded records decide (see
+    ``text.utf16_fields`` and ``records.stitch_records``).
     """
     raw_value = F.col("value")
     # UTF-16 as bytes: without its zero bytes, quotes and separators stand side by side.
@@ -104,11 +134,11 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         raw_value.alias("line"),
         utf8.alias("utf8"),
         undefined.alias("undefined"),
-        opens_quote(value, sep).alias("open_quote"),
+        scan_quotes(value, sep).alias("scan"),
         # between the bytes of a UTF-16 CR LF, and after a last little-endian LF
         (as_bytes == F.unhex(F.lit("00"))).alias("stub"),
-        field_count(value, sep).alias("fields"),
-    )
+    ).select("*", F.col("scan.open").alias("open_quote"),
+             (F.col("scan.separators") + 1).alias("fields"))
     per_file = lines.groupBy("file_path", "file_name").agg(
         F.count(F.lit(1)).alias("lines"),
         F.min_by("line", "order").alias("header"),

@@ -1,25 +1,50 @@
-"""What has been extracted and loaded, by file version.
+"""Versioned files: what a step has finished, by file version.
 
-A manifest is a small Parquet dataset below the lake root with one row per file
-version (path, length, modification time), appended after the data of that version
-has been committed. A run that is lost before the append does the file again, and
-replacing the file's partition makes that harmless. A file that is published again
-under the same name has another version and is taken again.
+A lake step (extract, load) writes the rows of its input files into a fresh folder
+``version=<id>/source_file=<name>/`` of its own and then appends one row per file to
+its manifest, a small Parquet dataset. That append is the commit: readers resolve
+their files through the manifest, so a folder that no row names does not exist for
+them, whatever a lost run left behind. Nothing is deleted or replaced before the commit;
+``vacuum`` removes folders that no current file needs afterwards.
+
+Each manifest row is of one file version (path, length, modification time). A row with
+a ``reason`` is a failure: that version is quarantined, which leaves the last good
+version of the file in place, and is not tried again until the file changes.
+
+One run at a time may write to a lake.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from aerolake.schema import SOURCE_FILE
 
 KEY = ("path", "length", "modificationTime")
-SCHEMA = ("path string, length bigint, modificationTime timestamp, source_file string, "
-          "columns array<string>, written timestamp")
+KEY_SCHEMA = "path string, length bigint, modificationTime timestamp"
+ENTRY = (f"{KEY_SCHEMA}, source_file string, columns array<string>, version string, rows bigint, "
+         "reason string")
+SCHEMA = f"{ENTRY}, written timestamp"
+ENTRY_COLUMNS = (*KEY, "source_file", "columns", "version", "rows", "reason")
+
+VERSION = "version"
+#: Length of a withdrawn file version: no listed file has it, so the file is taken again.
+WITHDRAWN = -1
+
+
+def new_version() -> str:
+    """A folder name of its own for every attempt."""
+    return uuid.uuid4().hex[:16]
 
 
 class Manifest:
-    """Versions of files that a step has finished."""
+    """Versions of files that a step has finished or given up."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
@@ -32,24 +57,132 @@ class Manifest:
                 raise
             return self.spark.createDataFrame([], SCHEMA)
 
+    @staticmethod
+    def _last(rows: DataFrame) -> DataFrame:
+        last = F.max_by(F.struct(*ENTRY_COLUMNS[1:], "written"), "written").alias("last")
+        return rows.groupBy("path").agg(last).select("path", "last.*")
+
     def latest(self) -> DataFrame:
-        """The last row of each path."""
-        last = F.max_by(F.struct("length", "modificationTime", "source_file", "columns", "written"),
-                        "written").alias("last")
-        return self.rows().groupBy("path").agg(last).select("path", "last.*")
+        """The last good row of each path: the files that readers see."""
+        return self._last(self.rows().where(F.col("reason").isNull()))
 
     def pending(self, files: DataFrame) -> DataFrame:
-        """The rows of ``files`` (with the key columns) whose version is not the last one here."""
-        last = self.latest().select(*KEY)
+        """The rows of ``files`` (with the key columns) whose version is not the last one here,
+        good or failed."""
+        last = self._last(self.rows()).select(*KEY)
         return files.join(last, [files[c].eqNullSafe(last[c]) for c in KEY], "left_anti")
 
-    def add(self, rows: DataFrame) -> None:
-        """Append versions: key columns, source_file and columns."""
-        (rows.select(*KEY, "source_file", "columns", F.current_timestamp().alias("written"))
+    def quarantined(self, files: DataFrame) -> DataFrame:
+        """path, reason of the rows of ``files`` whose present version has failed."""
+        last = self._last(self.rows()).where(F.col("reason").isNotNull())
+        return (last.join(files.select(*KEY), list(KEY), "left_semi")
+                .select("path", "reason").orderBy("path"))
+
+    def add(self, entries: Iterable[tuple]) -> None:
+        """Append rows of ``ENTRY_COLUMNS`` in one commit (one file, so all or none)."""
+        rows = self.spark.createDataFrame(list(entries), ENTRY)
+        (rows.withColumn("written", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(self.directory))
 
     def columns(self) -> list[str]:
         """Every column name seen so far, in the order of first sight."""
-        seen = (self.rows().select("written", "path", F.posexplode("columns").alias("at", "name"))
+        seen = (self.rows().where(F.col("reason").isNull())
+                .select("written", "path", F.posexplode("columns").alias("at", "name"))
                 .groupBy("name").agg(F.min(F.struct("written", "at", "path")).alias("first")))
         return [r["name"] for r in seen.orderBy("first", "name").collect()]
+
+
+class VersionedFiles:
+    """Rows by source file in version folders, seen through a manifest."""
+
+    def __init__(self, spark: SparkSession, directory: str, manifest: Manifest):
+        self.spark, self.directory, self.manifest = spark, directory.rstrip("/"), manifest
+
+    def folder(self, version: str) -> str:
+        return f"{self.directory}/{VERSION}={version}"
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return path, path(self.directory).getFileSystem(conf)
+
+    def file_folder(self, version: str, name: str) -> str:
+        escape = self.spark.sparkContext._jvm \
+            .org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return f"{self.folder(version)}/{SOURCE_FILE}={escape(name)}"
+
+    def paths(self, names: Iterable[str] | None = None) -> list[str]:
+        """Folders of the current files (or of those named).
+
+        A version all of whose files are current and wanted is one folder; of others each
+        file is named. Files without rows have no folder.
+        """
+        wanted = None if names is None else set(names)
+        of_version = self.manifest.rows().where("reason IS NULL AND rows > 0") \
+            .groupBy(VERSION).agg(F.count(F.lit(1)).alias("n")).collect()
+        size = {r[VERSION]: r.n for r in of_version}
+        current: dict[str, list[str]] = {}
+        for r in self.manifest.latest().where("rows > 0").select(VERSION, SOURCE_FILE).collect():
+            if wanted is None or r[SOURCE_FILE] in wanted:
+                current.setdefault(r[VERSION], []).append(r[SOURCE_FILE])
+        out = []
+        for version, files in sorted(current.items()):
+            if len(files) == size[version]:
+                out.append(self.folder(version))
+            else:
+                out += [self.file_folder(version, f) for f in sorted(files)]
+        return out
+
+    def read(self, schema: T.StructType, names: Iterable[str] | None = None) -> DataFrame:
+        """The current rows, with the columns of ``schema``."""
+        paths = self.paths(names)
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])
+        return (self.spark.read.schema(stored).option("basePath", self.directory).parquet(*paths)
+                .select(*(f"`{c}`" for c in schema.names)))
+
+    def read_version(self, version: str, schema: T.StructType) -> DataFrame:
+        """Rows of one version folder, committed or not."""
+        path, fs = self._fs()
+        if not fs.exists(path(self.folder(version))):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.folder(version))
+
+    def file_rows(self, version: str, schema: T.StructType) -> dict[str, int]:
+        """Rows of each file of one version folder (reads footers only)."""
+        counts = self.read_version(version, schema).groupBy(SOURCE_FILE).count()
+        return {r[SOURCE_FILE]: r["count"] for r in counts.collect()}
+
+    def discard(self, version: str, names: Iterable[str]) -> None:
+        """Remove files of a version folder that is not committed."""
+        path, fs = self._fs()
+        for name in names:
+            fs.delete(path(self.file_folder(version, name)), True)
+
+    def vacuum(self) -> int:
+        """Remove what no reader can see: superseded files and folders of lost runs.
+
+        Call it when no reader still works on an earlier snapshot. Returns the number of
+        folders removed.
+        """
+        path, fs = self._fs()
+        if not fs.exists(path(self.directory)):
+            return 0
+        keep = set(self.paths())
+        held = {p.rsplit(f"/{SOURCE_FILE}=", 1)[0] for p in keep}
+        removed = 0
+        for status in fs.listStatus(path(self.directory)):
+            name = status.getPath().getName()
+            folder = f"{self.directory}/{name}"
+            if not name.startswith(f"{VERSION}=") or folder in keep:
+                continue
+            if folder not in held:
+                removed += bool(fs.delete(status.getPath(), True))
+                continue
+            for child in fs.listStatus(status.getPath()):
+                at = f"{folder}/{child.getPath().getName()}"
+                if child.isDirectory() and at not in keep:
+                    removed += bool(fs.delete(child.getPath(), True))
+        return removed

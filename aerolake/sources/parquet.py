@@ -38,24 +38,47 @@ def parquet_profile(spark: SparkSession, directory: str) -> DataFrame:
     return file_row_counts(df).withColumn("columns", F.lit(n_cols))
 
 
-def validate_parquet(spark: SparkSession, directory: str, expected: DataFrame,
-                     schema: T.StructType) -> DataFrame:
-    """Per expected file (column ``source_file``): rows read and whether it is valid.
+VERIFY_PAGES = "parquet.page.verify-checksum.enabled"
+
 
-    A file is valid when it has rows and every Parquet file below its partition
-    could be read. With a given ``schema`` no footer is needed to plan, so a file that
-    is not Parquet at all is passed over by the scan and shows up as unread here.
+def validate_parquet(spark: SparkSession, directory: str, expected: DataFrame,
+                     schema: T.StructType, paths: list[str] | None = None,
+                     content: bool = True) -> DataFrame:
+    """Per expected file (column ``source_file``): its rows and whether it is valid.
+
+    A file is valid when it has rows and every Parquet file below its partition can be
+    read. With a given ``schema`` no footer is needed to plan, so a file that is not
+    Parquet at all is passed over by the scan and shows up as unread here. With
+    ``content`` every page of every column is read and its checksum verified (Parquet
+    writers store one for each page): a file whose pages give fewer rows than its footer
+    names is not valid. Without it only footers are read. ``paths`` limits the check to
+    some folders below ``directory``.
     """
+    paths = [directory] if paths is None else paths
+    if not paths:
+        return expected.select(SOURCE_FILE, F.lit(0).cast("bigint").alias("rows"),
+                               F.lit(False).alias("valid"), F.lit(0).cast("bigint").alias("files"))
     part = F.regexp_extract("path", f"{SOURCE_FILE}=([^/]+)/[^/]+$", 1)
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.parquet").load(directory).select("path")
+              .option("pathGlobFilter", "*.parquet").load(paths).select("path")
               .select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"),
                       F.url_decode(F.regexp_replace(part, "\\+", "%2B")).alias(SOURCE_FILE))
               .groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("files")))
-    read = (spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(directory)
-            .groupBy(SOURCE_FILE, F.col("_metadata.file_name").alias("file"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .groupBy(SOURCE_FILE).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("read")))
+    scan = (spark.read.schema(schema).option("ignoreCorruptFiles", "true").option(VERIFY_PAGES, "true")
+            .option("basePath", directory).parquet(*paths))
+    file = F.col("_metadata.file_name").alias("file")
+    per_file = scan.groupBy(SOURCE_FILE, file).agg(F.count(F.lit(1)).alias("rows"))
+    if content:
+        stored = [F.col(f"`{c}`") for c in schema.names if c != SOURCE_FILE]
+        # the hashes are summed, or the optimiser would count rows without any column
+        decoded = scan.select(SOURCE_FILE, file, F.xxhash64(*stored).alias("h")) \
+            .groupBy(SOURCE_FILE, "file").agg(F.count(F.lit(1)).alias("decoded"), F.bit_xor("h").alias("h"))
+        per_file = per_file.join(decoded, [SOURCE_FILE, "file"], "left")
+        sound = F.coalesce((F.col("decoded") == F.col("rows")) & F.col("h").isNotNull(), F.lit(False))
+    else:
+        sound = F.lit(True)
+    read = per_file.groupBy(SOURCE_FILE).agg(F.sum("rows").alias("rows"),
+                                             F.count_if(sound).alias("read"))
     return (
         expected.select(SOURCE_FILE).distinct()
         .join(listed, SOURCE_FILE, "left").join(read, SOURCE_FILE, "left")
@@ -66,16 +89,6 @@ def validate_parquet(spark: SparkSession, directory: str, expected: DataFrame,
     )
 
 
-def drop_partitions(spark: SparkSession, directory: str, names: list[str]) -> None:
-    """Remove the partitions of the given source files, if they exist."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(directory)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for name in names:
-        files.delete(jvm.org.apache.hadoop.fs.Path(path, f"{SOURCE_FILE}={escape(name)}"), True)
-
-
 def consolidate(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One dataset from many Parquet files/dirs (by column name, missing -> NULL),
     with ``source_file`` lineage when the files do not carry it already."""

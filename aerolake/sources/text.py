@@ -6,15 +6,17 @@
   an error.
 * One distributed pass profiles every file (encoding, header, ragged lines)
   and is written once as a small table in the shared folder; then one CSV
-  scan per (encoding, multiLine, header) group reads the rows as STRING with
+  scan per (encoding, header) group reads the rows as STRING with
   a schema taken from the header (UTF-16 in splittable line mode by its byte
   order), normalises the missing-value tokens a pandas reader turns into
   NULL, and adds the lineage column ``source_file`` (the processed Parquet
-  name of the file, ``<stem>.parquet``).
+  name of the file, ``<stem>.parquet``). Files whose quoted fields span lines are
+  split over tasks as well: ``records.py`` stitches their records.
 * A file fails as a whole (S13) when it has a record with more fields than its
-  header, or is empty when passed explicitly (Spark's listing already skips
-  zero-length files); short records are kept with NULLs. Failed files are
-  dropped before the write, and the per-file status is returned.
+  header, ends inside a quoted field, or is empty when passed explicitly (Spark's
+  listing already skips zero-length files); short records are kept with NULLs.
+  Failed files are dropped before the write; the status and the reason of each are
+  returned.
 * The schema always comes from the header. Names of the documented record are
   matched without regard to case; a repeated name gets ``.1``, ``.2``, ... as a
   pandas reader would name it, so the first column keeps its name and values.
@@ -38,13 +40,13 @@ from aerolake.schema import BRONZE_COLUMNS, SOURCE_FILE
 from aerolake.session import scratch_dir
 from aerolake.sources.encoding import (
     FIELD_SEPARATOR,
-    UTF16,
     UTF16_BE,
     UTF16_LE,
     decode_header,
     field_count,
     profile_text_files,
 )
+from aerolake.sources.records import read_lines, stitch_records
 
 log = logging.getLogger(__name__)
 
@@ -53,6 +55,9 @@ PATTERN_TXT = "*.txt"
 PATTERN_CSV = "*.csv"
 PATTERN_PARQUET = "*.parquet"
 
+# Why a file with a record longer than its header fails.
+MORE_FIELDS = "a record has more fields than the header"
+
 LEGACY_CHARSETS_CONF = "spark.sql.legacy.javaCharsets"
 
 
@@ -134,6 +139,8 @@ class ExtractResult:
     failed: list[str] = field(default_factory=list)
     rows_written: int = 0
     profile: DataFrame | None = None
+    # path of each file that failed -> why
+    reasons: dict[str, str] = field(default_factory=dict)
     # processed name -> column names of each file that succeeded
     columns: dict[str, list[str]] = field(default_factory=dict)
 
@@ -172,81 +179,92 @@ def _schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _reader(spark: SparkSession, encoding: str, multiline: bool, sep: str, crlf: bool):
-    utf16 = encoding in (UTF16_BE, UTF16_LE)
-    reader = (
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("encoding", UTF16 if (utf16 and multiline) else encoding)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("inferSchema", False)
-        # a file's own header may differ in case or repeat a name
-        .option("enforceSchema", True)
-    )
-    if utf16 and not multiline:
-        reader = reader.option("lineSep", "\r\n" if crlf else "\n")
-    return reader
+def _utf16(encoding: str) -> bool:
+    return encoding in (UTF16_BE, UTF16_LE)
 
 
-CORRUPT = "__record"
+def utf16_fields(spark: SparkSession, paths: list[str], encoding: str, sep: str) -> dict[str, int]:
+    """path -> most fields of a line of each UTF-16 file (one record a line), decoded."""
+    lines = read_lines(spark, paths, encoding)
+    most = lines.groupBy("file_path").agg(F.max(field_count(F.col("text"), sep)).alias("fields"))
+    return {_plain(r.file_path): r.fields for r in most.collect()}
 
 
-def ragged_files(spark: SparkSession, paths: list[str], encoding: str, multiline: bool, sep: str,
-                 columns: list[str], crlf: bool = False) -> set[str]:
-    """Paths of the files in which some record has more fields than the header.
-
-    The parser reports records whose field count differs from the schema with
-    their text, in which the fields are counted (quoted fields may span lines).
-    """
-    schema = _schema(columns).add(CORRUPT, T.StringType())
-    rows = (_reader(spark, encoding, multiline, sep, crlf)
-            .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(paths))
-    # a plain IS NOT NULL would be pushed into the parser, before it fills the column
-    odd = rows.where(F.coalesce(F.length(CORRUPT), F.lit(0)) > 0).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.hash(*(F.col(f"`{c}`") for c in columns)).alias("all"),
-        field_count(F.col(CORRUPT), sep).alias("fields"))
-    # The parser only sees odd records when every column is asked of it.
-    per_file = odd.groupBy("path").agg(F.max("fields").alias("fields"), F.max("all").alias("all"))
-    return {_plain(r.path) for r in
-            per_file.where((F.col("fields") > len(columns)) & F.col("all").isNotNull()).collect()}
+def _lineage(path: str, name: str, root: str | None) -> str:
+    """SQL of ``<stem>.parquet`` (string functions only), given SQL of path and name."""
+    if root is not None:
+        plain = _plain(root).rstrip("/").replace("\\", "\\\\").replace("'", "\\'")
+        name = (f"replace(substring({path}, instr({path}, '{plain}') + "
+                f"{len(_plain(root).rstrip('/')) + 1}), '/', '__')")
+    return (f"concat(CASE WHEN instr({name}, '.') > 0 THEN left({name}, length({name}) "
+            f"- length(substring_index({name}, '.', -1)) - 1) ELSE {name} END, '.parquet') "
+            f"AS {SOURCE_FILE}")
 
 
 def read_text_group(spark: SparkSession, paths: list[str], encoding: str,
-                    multiline: bool, sep: str = FIELD_SEPARATOR,
-                    columns: list[str] | None = None, crlf: bool = False,
-                    root: str | None = None) -> DataFrame:
+                    sep: str = FIELD_SEPARATOR, columns: list[str] | None = None,
+                    crlf: bool = False, root: str | None = None) -> DataFrame:
     """One CSV scan of files sharing encoding and header; every column STRING.
 
     With ``columns`` known from the profile the schema is given (no inference
-    job); the header line of every file is skipped. UTF-16 files are read in
-    line mode with the byte order taken from their mark (``lineSep`` is then
-    encoded in that charset), so they are split like any other text file;
-    only files with a quoted field spanning lines need ``multiLine`` (one task
-    per file).
+    job); the header line of every file is skipped. Files are split by lines, UTF-16
+    ones too: their byte order is taken from the mark, and ``lineSep`` is then encoded
+    in that charset. Records that span lines are read by ``read_spanning_group``.
     """
-    reader = _reader(spark, encoding, multiline, sep, crlf)
+    reader = (
+        spark.read.option("sep", sep)
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("inferSchema", False)
+        # a file's own header may differ in case or repeat a name
+        .option("enforceSchema", True)
+    )
+    if _utf16(encoding):
+        reader = reader.option("lineSep", "\r\n" if crlf else "\n")
     if columns:
         reader = reader.schema(_schema(columns))
     df = reader.csv(paths)
     exprs = [normalise_na_sql(c) for c in df.columns]
-    if encoding in (UTF16_BE, UTF16_LE) and not crlf and not multiline and exprs:
+    if _utf16(encoding) and not crlf and exprs:
         # line ends are mixed: the last column of some lines ends with a carriage return
         last = "`" + df.columns[-1].replace("`", "``") + "`"
         bare = f"regexp_replace({last}, '\\r$', '')"
         df = df.withColumn(df.columns[-1], F.expr(bare))
-    # <stem>.parquet with string functions only (no regex per row)
-    name = "_metadata.file_name"
-    if root is not None:
-        plain = _plain(root).rstrip("/").replace("\\", "\\\\").replace("'", "\\'")
-        name = (f"replace(substring(_metadata.file_path, instr(_metadata.file_path, '{plain}') + "
-                f"{len(_plain(root).rstrip('/')) + 1}), '/', '__')")
-    lineage = (f"concat(CASE WHEN instr({name}, '.') > 0 THEN left({name}, length({name}) "
-               f"- length(substring_index({name}, '.', -1)) - 1) ELSE {name} END, '.parquet') "
-               f"AS {SOURCE_FILE}")
-    return df.selectExpr(*exprs, lineage)
+    return df.selectExpr(*exprs, _lineage("_metadata.file_path", "_metadata.file_name", root))
+
+
+def read_spanning_group(spark: SparkSession, paths: list[str], encoding: str, sep: str,
+                        columns: list[str], root: str | None) -> tuple[DataFrame, dict[str, str]]:
+    """S4 for files with quoted fields over several lines, which stay split over tasks.
+
+    Returns the rows of the good files and path -> reason of the others. Records are
+    stitched from the lines of all splits (``records.py``), written once, and parsed.
+    """
+    records, unclosed = stitch_records(spark, paths, encoding, sep)
+    folder = scratch_dir(spark, "text-records")
+    records.write.parquet(folder)
+    records = spark.read.schema(records.schema).parquet(folder)
+    bad = {path: "a quote is never closed" for path in unclosed}
+    ragged = records.where(F.col("fields") > len(columns)).select("file_path").distinct()
+    bad.update((r.file_path, MORE_FIELDS) for r in ragged.collect())
+    if bad:
+        records = records.where(~F.col("file_path").isin(sorted(bad)))
+    parsed = F.from_csv("text", _ddl(columns),
+                        {"sep": sep, "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"})
+    rows = records.select("file_path", parsed.alias("r"))
+    names = [f"r{i}" for i in range(len(columns))]
+    flat = rows.select("file_path", *(F.col("r").getField(n) for n in names)) \
+        .toDF("__file_path", *columns)
+    name = "substring_index(__file_path, '/', -1)"
+    frame = flat.selectExpr(*(normalise_na_sql(c) for c in columns), _lineage("__file_path", name, root))
+    return frame, {_plain(p): reason for p, reason in bad.items()}
+
+
+def _ddl(columns: list[str]) -> str:
+    """A schema of as many STRING columns, named by position."""
+    return ", ".join(f"r{i} STRING" for i in range(len(columns)))
 
 
 # Java charset names of the legacy encodings that the byte rules
@@ -284,29 +302,39 @@ def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPA
             F.first("header_bytes").alias("header_bytes")).collect()
     }
     seen = {_plain(r.file_path) for r in rows}
-    failed = {p.rsplit("/", 1)[-1] for p in paths if _plain(p) not in seen}  # empty files
-    failed |= {r.file_name for r in rows if r.too_many_fields}
-    groups: dict[tuple, list] = {}
+    reasons = {p: "empty" for p in paths if _plain(p) not in seen}
+    by_plain = {_plain(p): p for p in paths}
+    groups: dict[tuple, list[str]] = {}
     for r in rows:
-        if not r.too_many_fields:
-            enc = overrides.get(r.file_name, r.encoding)
-            groups.setdefault((enc, r.multiline, r.crlf, r.header_key, r.encoding), []).append(r)
+        path = by_plain.get(_plain(r.file_path), r.file_path)
+        if r.too_many_fields:
+            reasons[path] = MORE_FIELDS
+            continue
+        enc = overrides.get(r.file_name, r.encoding)
+        groups.setdefault((enc, r.multiline, r.crlf, r.header_key, r.encoding), []).append(path)
     result, data = ExtractResult(profile=profile), None
-    for (enc, ml, crlf, key, detected), files in sorted(groups.items(), key=lambda kv: kv[1][0].file_path):
+    for (enc, spanning, crlf, key, detected), files in sorted(groups.items(), key=lambda kv: kv[1][0]):
         columns = header_columns(decode_header(headers[key, detected], enc), sep)
-        if columns and (ml or enc in (UTF16_BE, UTF16_LE)):
-            ragged = ragged_files(spark, [r.file_path for r in files], enc, ml, sep, columns, crlf)
-            failed |= {r.file_name for r in files if _plain(r.file_path) in ragged}
-            files = [r for r in files if _plain(r.file_path) not in ragged]
+        if spanning and columns:
+            frame, bad = read_spanning_group(spark, files, enc, sep, columns, root)
+        else:
+            frame, bad = None, {}
+            if columns and _utf16(enc):
+                bad = {p: MORE_FIELDS for p, n in utf16_fields(spark, files, enc, sep).items()
+                       if n > len(columns)}
+        reasons.update((by_plain[p], reason) for p, reason in bad.items())
+        files = [p for p in files if _plain(p) not in bad]
         if not files:
             continue
-        frame = read_text_group(spark, [r.file_path for r in files], enc, ml, sep, columns, crlf, root)
-        result.succeeded += [r.file_name for r in files]
+        if frame is None:
+            frame = read_text_group(spark, files, enc, sep, columns, crlf, root)
+        result.succeeded += [p.rsplit("/", 1)[-1] for p in files]
         shape = [c for c in frame.columns if c != SOURCE_FILE]
-        result.columns.update((names[_plain(r.file_path)], shape) for r in files)
+        result.columns.update((names[_plain(p)], shape) for p in files)
         data = frame if data is None else data.unionByName(frame, allowMissingColumns=True)
     result.succeeded.sort()
-    result.failed = sorted(failed)
+    result.reasons = reasons
+    result.failed = sorted(p.rsplit("/", 1)[-1] for p in reasons)
     return data, result
 
 

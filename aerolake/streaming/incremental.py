@@ -4,8 +4,8 @@ Two loads, for two kinds of source:
 
 * ``load_incremental`` for folders to which files are only added: a Structured
   Streaming query;
-* ``load_files`` for folders whose files may be published again: a batch that
-  replaces the partitions of the given file versions and records them.
+* ``load_files`` for folders whose files may be published again: a batch that writes
+  file versions to folders of their own and commits them in a manifest.
 
 ``load_incremental`` is a Structured Streaming query over the processed directory with
 ``trigger(availableNow=True)``: it takes every file not yet seen, writes it to
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.schema import SOURCE_FILE
-from aerolake.sources.manifest import Manifest
+from aerolake.sources.manifest import VersionedFiles, new_version
 
 
 @dataclass
@@ -46,14 +46,22 @@ class LoadStats:
         return {"total_linhas": self.rows_added, "arquivos": self.files, "falhas": len(self.failed)}
 
 
-def bronze_file_rows(spark: SparkSession, bronze_dir: str, schema: T.StructType) -> dict[str, int]:
-    """Rows of each source file in bronze (one entry per file; reads no data pages)."""
+def sink_files(spark: SparkSession, bronze_dir: str, schema: T.StructType) -> set[str]:
+    """Data files of the sink, from its listing (no data or footer is read)."""
     try:
-        rows = spark.read.schema(schema).parquet(bronze_dir)
+        return set(spark.read.schema(schema).parquet(bronze_dir).inputFiles())
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
+        return set()
+
+
+def count_rows(spark: SparkSession, bronze_dir: str, schema: T.StructType,
+               files: set[str]) -> dict[str, int]:
+    """Rows of each source file in some data files of the sink (reads footers only)."""
+    if not files:
         return {}
+    rows = spark.read.schema(schema).option("basePath", bronze_dir).parquet(*sorted(files))
     key = F.col(SOURCE_FILE) if SOURCE_FILE in schema.fieldNames() else F.lit(bronze_dir)
     counts = rows.groupBy(key.alias("f")).agg(F.count(F.lit(1)).alias("n"))
     return {r["f"]: r["n"] for r in counts.collect()}
@@ -82,39 +90,39 @@ def load_incremental(spark: SparkSession, processed_dir: str, bronze_dir: str,
     )
     if SOURCE_FILE in schema.fieldNames():
         writer = writer.partitionBy(SOURCE_FILE)
-    # Rows are counted in the sink; a query's progress keeps its last batches only.
-    before = bronze_file_rows(spark, bronze_dir, schema)
+    # Rows are counted in the sink, in the files this run adds; a query's progress keeps
+    # its last batches only.
+    before = sink_files(spark, bronze_dir, schema)
     writer.start().awaitTermination()
-    after = bronze_file_rows(spark, bronze_dir, schema)
-    added = {f: n - before.get(f, 0) for f, n in after.items() if n > before.get(f, 0)}
+    new = sink_files(spark, bronze_dir, schema) - before
+    added = count_rows(spark, bronze_dir, schema, new)
     return LoadStats(sum(added.values()), len(added), bronze_dir, added)
 
 
-def load_files(spark: SparkSession, processed_dir: str, bronze_dir: str, versions: DataFrame,
-               manifest: Manifest, schema: T.StructType, max_files: int = 1000) -> LoadStats:
-    """Put file versions into bronze, replacing the partitions of their files.
+def load_files(source: VersionedFiles, target: VersionedFiles, entries: list,
+               schema: T.StructType, max_files: int = 1000) -> LoadStats:
+    """Put the current rows of files of ``source`` into ``target``, as new versions.
 
-    ``versions`` has the manifest's columns. Files are taken ``max_files`` at a time; each
-    piece is one dynamic partition overwrite, recorded after its commit, so repeating
-    a lost piece changes nothing.
+    ``entries`` are rows of the source's manifest. Files are taken ``max_files`` at a
+    time; each piece is written to a version folder of its own, counted there (nothing
+    else is) and then committed. Until that commit readers see the files' earlier
+    versions; a piece that is lost leaves nothing that a reader sees.
     """
-    todo = versions.select("path", "length", "modificationTime", SOURCE_FILE, "columns").collect()
     total: dict[str, int] = {}
-    for start in range(0, len(todo), max_files):
-        piece = todo[start:start + max_files]
-        names = [v[SOURCE_FILE] for v in piece]
-        rows = (spark.read.schema(schema).parquet(processed_dir)
-                .where(F.col(SOURCE_FILE).isin(names)))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(SOURCE_FILE).parquet(bronze_dir))
-        manifest.add(spark.createDataFrame(
-            piece, "path string, length bigint, modificationTime timestamp, source_file string, "
-                   "columns array<string>"))
-        counts = (spark.read.schema(schema).parquet(bronze_dir)
-                  .where(F.col(SOURCE_FILE).isin(names))
-                  .groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("n")).collect())
-        total.update({r[SOURCE_FILE]: r["n"] for r in counts})
-    return LoadStats(sum(total.values()), len(total), bronze_dir, total)
+    for start in range(0, len(entries), max_files):
+        piece = entries[start:start + max_files]
+        version = new_version()
+        rows = source.read(schema, [e[SOURCE_FILE] for e in piece])
+        rows.write.partitionBy(SOURCE_FILE).parquet(target.folder(version))
+        counts = target.file_rows(version, schema)
+        short = {e[SOURCE_FILE]: (e.rows, counts.get(e[SOURCE_FILE], 0)) for e in piece
+                 if e.rows != counts.get(e[SOURCE_FILE], 0)}
+        if short:
+            raise RuntimeError(f"rows extracted and loaded differ: {short}")
+        target.manifest.add((e.path, e.length, e.modificationTime, e[SOURCE_FILE], e.columns, version,
+                             e.rows, None) for e in piece)
+        total.update(counts)
+    return LoadStats(sum(total.values()), len(total), target.directory, total)
 
 
 def bronze_row_count(spark: SparkSession, bronze_dir: str) -> int:

@@ -372,6 +372,10 @@ _PRIORITY_WORD = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'urgente' WHEN '2-H
                   "WHEN '5-LOW' THEN 'baixa' END")
 
 
+# characters of the text column where the least order has a field of 1 MB
+_LONG = "CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders) THEN 1000000 ELSE 1 END"
+
+
 def ingest_oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["ingest_text_roundtrip"] = (
@@ -413,7 +417,8 @@ def ingest_oracle_queries() -> dict[str, str]:
     kept = [("extra_fields", None), ("extra_after_accent", None), ("extra_in_quoted_lines", None),
             ("accent_at_end", "6"), ("missing_fields", "1"), ("repeated_header", "7"),
             ("utf16_crlf", "CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 2 END"),
-            ("stray_quote", "10"), ("quoted_lines", "8")]
+            ("stray_quote", "10"), ("quoted_lines", "8"), ("long_quoted", _LONG), ("long_quoted_lines", _LONG),
+            ("unclosed_quote", None)]
     q["ingest_text_edge_cases"] = "\nUNION ALL\n".join(
         f"SELECT '{name}' AS variant, " + (
             "'failed' AS status, CAST(0 AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS key_sum, "
@@ -421,8 +426,7 @@ def ingest_oracle_queries() -> dict[str, str]:
             "'ok' AS status, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, "
             f"count({chars}) AS texts, CAST(sum({chars}) AS BIGINT) AS text_chars FROM orders")
         for name, chars in kept)
-    published = (f"SELECT *, {_GROUP} AS grp FROM orders "
-                 f"WHERE {_GROUP} = 0 OR o_orderkey IS NULL OR o_orderkey % 4 <> 1")
+    published = f"SELECT *, {_GROUP} AS grp FROM orders"
     q["ingest_republished_file"] = (
         "SELECT count(*) AS rows, count(DISTINCT o_orderkey) AS keys, "
         "CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(0 AS BIGINT) AS third_run_files "
@@ -431,11 +435,16 @@ def ingest_oracle_queries() -> dict[str, str]:
         "SELECT o_orderstatus, count(*) AS rows, "
         "count(CASE WHEN grp = 0 THEN o_orderdate END) AS dated_rows "
         f"FROM ({published}) p GROUP BY o_orderstatus")
+    q["ingest_bad_republish"] = (
+        f"SELECT CASE WHEN {_GROUP} = 1 THEN o_orderstatus ELSE '?' END AS o_orderstatus, "
+        "count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, false AS stopped, "
+        "CAST(0 AS BIGINT) AS loaded_with_bad_only, CAST(0 AS BIGINT) AS tried_again, true AS reported "
+        "FROM orders GROUP BY 1")
     q["validate_parquet_set"] = "\nUNION ALL\n".join(
         [f"SELECT 'group{i}.parquet' AS source_file, count(*) AS rows, count(*) > 0 AS valid "
          f"FROM orders WHERE {_GROUP} = {i}" for i in range(3)]
         + [f"SELECT '{n}.parquet' AS source_file, CAST(0 AS BIGINT) AS rows, false AS valid"
-           for n in ("empty", "bad", "absent")])
+           for n in ("empty", "bad", "damaged", "absent")])
     base = oracle_queries()
     q["seed_airports"] = _with("SELECT * FROM airports")
     n_files = "(SELECT count(DISTINCT coalesce(CAST(nr_voo AS BIGINT) % 12, 11)) FROM bronze)"

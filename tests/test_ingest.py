@@ -102,6 +102,102 @@ def test_reextract_is_idempotent(spark, inputs, scratch):
     assert read_processed(spark, out).count() == n1
 
 
+LONG_QUOTED = [
+    ("plain", "x" * 1_000_000), ("doubled", '""' * 500_000), ("separators", "a;" * 500_000),
+    ("lines", "line one\nline two;\n\n" * 40_000)]
+
+
+def test_long_quoted_fields_and_unclosed_quotes(spark, scratch):
+    """Fields of 1 MB are read whole; a quote that is never closed fails its file only."""
+    d, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    os.makedirs(d)
+    for name, text in LONG_QUOTED:
+        write(f"{d}/{name}.txt", f'id_combinada;nr_voo;ds_di\n1;"{text}";k\n2;b;c\n')
+    write(f"{d}/unclosed.txt", 'id_combinada;nr_voo;ds_di\n1;"tela 12;k\n' + "2;b;c\n" * 5000)
+    res = extract_text_files(spark, [r.path for r in list_inputs(spark, d).collect()], out)
+    assert res.failed == ["unclosed.txt"] and list(res.reasons.values()) == ["a quote is never closed"]
+    got = {(r.source_file[:-8], r.id_combinada): (r.nr_voo, r.ds_di) for r in read_processed(spark, out).collect()}
+    for name, text in LONG_QUOTED:
+        assert got.pop((name, "1")) == (text.replace('""', '"'), "k")
+        assert got.pop((name, "2")) == ("b", "c")
+    assert not got
+
+
+def spanning_text(rng, n):
+    """Records with quoted fields over several lines, and the rows a reader gives."""
+    rows, lines = [], []
+    for i in range(n):
+        parts = [rng.choice(["a", ";", "\n", '""', "x y", "\r\n", "é"]) for _ in range(rng.randrange(0, 9))]
+        quoted = rng.random() < 0.5
+        text = "".join(parts) if quoted else rng.choice(["plain", 'tela 12" x', "", "é"])
+        lines.append(f'{i};"{text}";k{i}' if quoted else f"{i};{text};k{i}")
+        value = text.replace('""', '"') if quoted else text
+        rows.append((str(i), value or None, f"k{i}"))
+    return lines, rows
+
+
+@pytest.mark.parametrize("encoding, end", [("utf-8", "\n"), ("utf-8", "\r\n"), ("cp1252", "\n"), ("utf-16", "\n")])
+def test_spanning_records_are_read_by_many_tasks(spark, scratch, encoding, end):
+    import random
+
+    lines, rows = spanning_text(random.Random(4), 600)
+    d, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    os.makedirs(d)
+    with open(f"{d}/m.txt", "wb") as f:
+        f.write(end.join(["id_combinada;nr_voo;ds_di", *lines, ""]).encode(encoding))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        from aerolake.sources.records import read_lines, stitch_records
+
+        charset = {"utf-8": "UTF-8", "cp1252": "windows-1252", "utf-16": "UTF-16LE"}[encoding]
+        path = [r.path for r in list_inputs(spark, d).collect()]
+        read = read_lines(spark, path, charset)
+        assert read.rdd.getNumPartitions() > 10 and read.select("block").distinct().count() > 10
+        records, unclosed = stitch_records(spark, path, charset)
+        assert not unclosed and {r.fields for r in records.collect()} == {3}
+        assert extract_text_files(spark, path, out).failed == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    got = [(r.id_combinada, r.nr_voo, r.ds_di) for r in read_processed(spark, out).collect()]
+    assert sorted(got, key=lambda r: int(r[0])) == rows
+
+
+def test_quote_scanner_equals_a_plain_one(spark):
+    """Every short line over the characters that matter, begun outside and inside."""
+    import itertools
+
+    from aerolake.sources.encoding import scan_quotes
+
+    def plain(line, inside):
+        state, at_start, separators = ("in" if inside else "out"), not inside, 0
+        i = 0
+        while i < len(line):
+            c = line[i]
+            if state == "in":
+                if c == '"' and line[i + 1:i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    state, at_start = "out", False
+            elif c == ";":
+                separators, at_start = separators + 1, True
+            else:
+                state = "in" if c == '"' and at_start else "out"
+                at_start = False
+            i += 1
+        return state == "in", separators
+
+    lines = ["".join(p) for n in range(7) for p in itertools.product('";x', repeat=n)]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    got = df.select("line", scan_quotes(F.col("line")).alias("out"),
+                    scan_quotes(F.col("line"), inside=True).alias("in")).collect()
+    for r in got:
+        assert tuple(r["out"]) == plain(r.line, False), r.line
+        assert tuple(r["in"]) == plain(r.line, True), r.line
+
+
 def test_incremental_load_once(spark, inputs, scratch):
     paths = [r.path for r in list_inputs(spark, inputs).collect()]
     out, bronze, ckpt = (os.path.join(scratch, x) for x in ("processed", "bronze", "ckpt"))
@@ -142,7 +238,7 @@ def test_incremental_load_in_bounded_batches(spark, inputs, scratch):
     out, bronze, ckpt = (os.path.join(scratch, x) for x in ("processed", "bronze", "ckpt"))
     extract_text_files(spark, paths, out)
     total = read_processed(spark, out).count()
-    files = len([f for _, _, fs in os.walk(out) for f in fs if f.endswith(".parquet")])
+    files = len([d for d in os.listdir(out) if d.startswith("source_file=")])
     stats = load_incremental(spark, out, bronze, ckpt, max_files_per_batch=3)
     spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert stats.rows_added == total and stats.files == files

@@ -79,7 +79,7 @@ def test_bad_files_do_not_stop_the_run(spark, scratch):
     stages = []
     first = extract_and_load(spark, cfg, stage=lambda *a: stages.append(a))
     assert first.loaded == {"m1.parquet": 1, "m2.parquet": 2}
-    part = glob.glob(f"{lake}/processed/source_file=m1.parquet/*.parquet")[0]
+    part = glob.glob(f"{lake}/processed/version=*/source_file=m1.parquet/*.parquet")[0]
     with open(part, "w") as f:
         f.write("not parquet")
     with open(f"{src}/m2.txt", "a") as f:
@@ -90,6 +90,117 @@ def test_bad_files_do_not_stop_the_run(spark, scratch):
     assert again.loaded == {"m2.parquet": 3} and again.bronze.count() == 4
 
 
+def write_text(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write(text)
+
+
+def rows_of(bronze):
+    return sorted((r.id_combinada, r.nr_voo) for r in bronze.collect())
+
+
+def test_bad_republication_keeps_the_last_good_rows(spark, scratch):
+    """Nothing of an earlier version goes before a later one is committed."""
+    src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
+    head = "id_combinada;nr_voo\n"
+    write_text(src, "a.txt", head + "1;10\n2;20\n")
+    write_text(src, "b.txt", head + "3;30\n")
+    cfg = WorkflowConfig(input_dir=src, lake_root=lake)
+    assert extract_and_load(spark, cfg).loaded == {"a.parquet": 2, "b.parquet": 1}
+    kept = [("1", "10"), ("2", "20"), ("3", "30")]
+
+    write_text(src, "a.txt", head + "1;10;LOST\n2;20;LOST\n")
+    for _ in range(2):  # the lone bad file, and once more without any change
+        stages = []
+        again = extract_and_load(spark, cfg, stage=lambda *a: stages.append(a))
+        assert not again.stopped and again.loaded == {} and rows_of(again.bronze) == kept
+        assert again.failed == {"a.parquet": "a record has more fields than the header"}
+        assert ("extract", "failures", 0, None,
+                "failed: a.parquet (a record has more fields than the header)") in stages
+    failures = cfg.processed_files(spark).manifest.rows().where("reason IS NOT NULL")
+    assert failures.count() == 1  # quarantined: not tried again
+
+    write_text(src, "c.txt", head + "4;40\n")
+    more = extract_and_load(spark, cfg)
+    assert more.loaded == {"c.parquet": 1} and rows_of(more.bronze) == [*kept, ("4", "40")]
+
+    write_text(src, "a.txt", head + "5;50\n")
+    mended = extract_and_load(spark, cfg)
+    assert mended.failed == {} and mended.loaded == {"a.parquet": 1}
+    assert rows_of(mended.bronze) == [("3", "30"), ("4", "40"), ("5", "50")]
+    # superseded folders stay until they are asked to go, and readers never saw them
+    assert cfg.bronze_files(spark).vacuum() == 1 and cfg.processed_files(spark).vacuum() == 1
+    assert rows_of(cfg.current_bronze(spark, mended.columns)) == [("3", "30"), ("4", "40"), ("5", "50")]
+    assert not glob.glob(f"{lake}/*/*/source_file=a.parquet/*") or len(
+        glob.glob(f"{lake}/processed/version=*/source_file=a.parquet")) == 1
+
+
+def test_a_lost_run_leaves_nothing_that_readers_see(spark, scratch, monkeypatch):
+    """The driver is lost after the data of a step is written and before its commit."""
+    from aerolake.sources.manifest import Manifest
+
+    src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
+    write_text(src, "a.txt", "id_combinada;nr_voo\n1;10\n")
+    cfg = WorkflowConfig(input_dir=src, lake_root=lake)
+    assert extract_and_load(spark, cfg).loaded == {"a.parquet": 1}
+    write_text(src, "a.txt", "id_combinada;nr_voo\n1;11\n2;22\n")
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    for manifest in (cfg.extract_manifest, cfg.load_manifest):
+        add = Manifest.add
+        monkeypatch.setattr(Manifest, "add", lambda self, rows, at=manifest: (
+            lost() if self.directory == at else add(self, rows)))
+        with pytest.raises(KeyboardInterrupt):
+            extract_and_load(spark, cfg)
+        monkeypatch.undo()
+        assert rows_of(cfg.current_bronze(spark, ["id_combinada", "nr_voo"])) == [("1", "10")]
+    again = extract_and_load(spark, cfg)
+    assert again.loaded == {"a.parquet": 2} and rows_of(again.bronze) == [("1", "11"), ("2", "22")]
+    assert cfg.processed_files(spark).vacuum() == 2 and cfg.bronze_files(spark).vacuum() == 2
+    assert rows_of(cfg.current_bronze(spark, again.columns)) == [("1", "11"), ("2", "22")]
+
+
+def test_processed_file_lost_before_the_load_is_taken_again(spark, scratch, monkeypatch):
+    from aerolake.plans import workflow
+
+    src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
+    write_text(src, "a.txt", "id_combinada;nr_voo\n1;10\n")
+    write_text(src, "b.txt", "id_combinada;nr_voo\n2;20\n")
+    cfg = WorkflowConfig(input_dir=src, lake_root=lake)
+    monkeypatch.setattr(workflow, "load_files", lambda *a: 1 / 0)
+    assert extract_and_load(spark, cfg).bronze is None
+    monkeypatch.undo()
+    with open(glob.glob(f"{lake}/processed/version=*/source_file=a.parquet/*.parquet")[0], "w") as f:
+        f.write("not parquet")
+    assert extract_and_load(spark, cfg).loaded == {"b.parquet": 1}
+    last = extract_and_load(spark, cfg)
+    assert last.loaded == {"a.parquet": 1} and rows_of(last.bronze) == [("1", "10"), ("2", "20")]
+
+
+def test_validation_reads_pages(spark, scratch):
+    """A damaged page below a sound footer: only reading the content shows it."""
+    out = os.path.join(scratch, "processed")
+    rows = spark.range(20_000).selectExpr("cast(id * 7919 as string) v", "concat('f', id % 2) source_file")
+    rows.coalesce(1).write.option("compression", "none").partitionBy("source_file").parquet(out)
+    part = glob.glob(f"{out}/source_file=f1/*.parquet")[0]
+    with open(part, "r+b") as f:
+        f.seek(os.path.getsize(part) // 3)
+        f.write(b"\x00" * 64)
+    for crc in glob.glob(f"{out}/source_file=f1/.*.crc"):
+        os.remove(crc)
+    expected = spark.createDataFrame([("f0",), ("f1",)], "source_file string")
+
+    def valid(**kw):
+        found = validate_parquet(spark, out, expected, bronze_schema(["v"]), **kw).collect()
+        return {r.source_file: r.valid for r in found}
+
+    assert valid(content=False) == {"f0": True, "f1": True}
+    assert valid() == {"f0": True, "f1": False}
+
+
 def test_versions_and_names(spark, scratch):
     """Files of one name in two folders, a file published again, one without rows, a new column."""
     src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
