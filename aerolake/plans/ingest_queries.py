@@ -44,7 +44,9 @@ from aerolake.sources.parquet import (
     validate_parquet,
 )
 from aerolake.sources.encoding import UTF16_LE_BOM
+from aerolake.sources.manifest import Manifest, new_version
 from aerolake.sources.seed import load_airport_seed
+from aerolake.sources.silver_table import refresh_silver
 from aerolake.sources.text import (
     PATTERN_CSV,
     allow_java_charsets,
@@ -505,7 +507,59 @@ def q_seed_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, sf_dir, "seed", build)
 
 
+def q_silver_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file of the first month is published again with another airline; silver's rows
+    and that airline's by month, and whether any file of the month was written anew."""
+    def build():
+        from aerolake.plans.workflow import WorkflowConfig
+        root = scratch_dir(spark, "months")
+        cfg = WorkflowConfig(input_dir=f"{root}/none", lake_root=f"{root}/lake")
+        dt = F.col("dt_referencia")
+        month = F.when(F.substring(dt, 3, 1) == "/", F.concat(F.substring(dt, 7, 4), F.substring(dt, 4, 2))) \
+            .otherwise(F.concat(F.substring(dt, 1, 4), F.substring(dt, 6, 2)))
+        flights = flights_from_tables(spark, sf_dir).withColumn(
+            SOURCE_FILE, F.concat(F.coalesce(month, F.lit("none")), F.lit(".parquet")))
+        flights.repartition(SOURCE_FILE).write.parquet(f"{root}/flights")
+        flights = spark.read.parquet(f"{root}/flights")
+        bronze, columns = cfg.bronze_files(spark), [c for c in flights.columns if c != SOURCE_FILE]
+        schema = bronze_schema(columns)
+
+        def load(rows: DataFrame, length: int) -> None:
+            version = new_version()
+            rows.write.partitionBy(SOURCE_FILE).parquet(bronze.folder(version))
+            bronze.manifest.add((name, length, None, name, columns, version, n, None)
+                                for name, n in bronze.file_rows(version, schema).items())
+
+        def refresh() -> set[str]:
+            dbs = catalog.create_layers(spark, cfg.lake_root, "m" + root.rsplit("-", 1)[-1] + "_")
+            done = refresh_silver(spark, bronze, schema, airports_from_tables(spark, sf_dir), dbs["silver"],
+                                  cfg.silver_dir, Manifest(spark, cfg.silver_manifest))
+            return done.table
+
+        load(flights, 1)
+        table = refresh()
+        earlier = silver_files(spark, table)
+        first = flights.agg(F.min(SOURCE_FILE)).first()[0]
+        load(flights.where(F.col(SOURCE_FILE) == first).withColumn("sg_empresa_icao", F.lit("ZZZ")), 2)
+        refresh()
+        return spark.table(table), earlier
+    silver, earlier = _memo(spark, sf_dir, "months", build)
+    return silver.select("ano", "mes", "sg_empresa_icao", F.col("_metadata.file_path").alias("file")).join(
+        earlier, "file", "left").groupBy("ano", "mes").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("sg_empresa_icao") == "ZZZ").alias("changed"),
+            F.bool_or(F.col("earlier").isNull()).alias("rewritten"))
+
+
+def silver_files(spark: SparkSession, table: str) -> DataFrame:
+    """file, earlier: the data files of a table as they are now, written to keep them."""
+    path = scratch_dir(spark, "silver-files")
+    (spark.table(table).select(F.col("_metadata.file_path").alias("file")).distinct()
+     .withColumn("earlier", F.lit(True)).write.parquet(path))
+    return spark.read.parquet(path)
+
+
 INGEST_QUERIES = {
+    "silver_changed_months": q_silver_changed_months,
     "ingest_text_roundtrip": q_ingest_text_roundtrip,
     "parquet_profile": q_parquet_profile,
     "ingest_unified_append": q_ingest_unified_append,

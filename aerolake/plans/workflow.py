@@ -10,7 +10,7 @@ Stage order and gates:
 3. validate the processed files; stop if none is valid, and name the others;
 4. load valid files whose version bronze lacks; a failure here is reported and the
    run continues with what bronze already holds;
-5. materialise silver (partitioned by year/month) and create the gold views;
+5. rewrite the months of silver that changed files touch and create the gold views;
    skipped when there is no bronze yet;
 6. run the declared data tests (report; ``strict=True`` raises on failures).
 
@@ -35,6 +35,7 @@ from aerolake.sources import catalog
 from aerolake.sources.manifest import KEY_SCHEMA, WITHDRAWN, Manifest, VersionedFiles, new_version
 from aerolake.sources.parquet import bronze_schema, validate_parquet
 from aerolake.sources.seed import load_airport_seed
+from aerolake.sources.silver_table import refresh_silver
 from aerolake.sources.text import (
     PATTERN_TXT,
     extract_text_files,
@@ -77,6 +78,10 @@ class WorkflowConfig:
     def load_manifest(self) -> str:
         return f"{self.lake_root}/_manifests/load"
 
+    @property
+    def silver_manifest(self) -> str:
+        return f"{self.lake_root}/_manifests/silver"
+
     @property
     def silver_dir(self) -> str:
         return f"{self.lake_root}/silver/silver_voos"
@@ -228,10 +233,12 @@ def run_workflow(spark: SparkSession, cfg: WorkflowConfig,
     require_columns(load.columns)
     seed = airports if airports is not None else load_airport_seed(spark)
     dbs = catalog.create_layers(spark, cfg.lake_root, cfg.database_prefix)
-    silver_table = catalog.materialise_silver_from_bronze(load.bronze, seed, dbs["silver"],
-                                                          cfg.silver_dir)
+    refresh = refresh_silver(spark, cfg.bronze_files(spark), bronze_schema(load.columns), seed,
+                             dbs["silver"], cfg.silver_dir, Manifest(spark, cfg.silver_manifest))
+    silver_table = refresh.table
     views = catalog.create_gold_views(spark, dbs["gold"], silver_table)
-    stage("silver", "ok", None, spark.table(silver_table).count())
+    stage("silver", "ok", None, spark.table(silver_table).count(),
+          f"{len(refresh.months)} months written from {refresh.files_read} files")
     stage("gold", "ok", len(views))
 
     gold_db = dbs["gold"]

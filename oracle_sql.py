@@ -464,6 +464,14 @@ def ingest_oracle_queries() -> dict[str, str]:
         f"SELECT {i} AS position, '{c}' AS column_name, '{types.get(c, 'string')}' AS data_type, "
         f"{str(c not in NEVER_NULL).lower()} AS nullable, count({c}) AS non_null FROM silver"
         for i, c in enumerate(SILVER_COLUMNS, 1)))
+    # the file of a row: its month as written, whether or not that is a date
+    file_month = ("CASE WHEN dt_referencia[3] = '/' THEN dt_referencia[7:10] || dt_referencia[4:5] "
+                  "ELSE dt_referencia[1:4] || dt_referencia[6:7] END")
+    q["silver_changed_months"] = _with(f"""
+SELECT ano, mes, count(*) AS rows, count(CASE WHEN f = first THEN 1 END) AS changed,
+  bool_or(f = first) AS rewritten
+FROM (SELECT ano, mes, {file_month} AS f, min({file_month}) OVER () AS first FROM silver) s
+GROUP BY ano, mes""")
     q["catalog_layers"] = base["gold_volume_by_period"]
     q["workflow_gold_volume"] = base["gold_volume_by_period"]
     q["workflow_declared_tests"] = base["dq_declared_tests"]

@@ -17,7 +17,7 @@ FAST = ["date_guard", "calendar_parts", "flight_status", "route_key", "airport_e
         "dq_enrichment_coverage", "ingest_text_roundtrip", "ingest_unified_append",
         "workflow_gold_volume", "workflow_stages", "workflow_declared_tests", "dq_type_profile",
         "dq_load_reconciliation", "catalog_layers", "silver_flights", "dq_column_catalogue",
-        "ingest_text_edge_cases", "ingest_republished_file", "ingest_bad_republish", "bronze_schema_drift",
+        "ingest_text_edge_cases", "ingest_republished_file", "ingest_bad_republish", "silver_changed_months", "bronze_schema_drift",
         "validate_parquet_set", "seed_airports", "consolidate_files", "parquet_profile"]
 
 

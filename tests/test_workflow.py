@@ -234,3 +234,50 @@ def test_missing_required_column_raises(spark, scratch):
         f.write("id_combinada;nr_voo\n1;2\n")
     with pytest.raises(ValueError, match="sg_empresa_icao"):
         run_workflow(spark, WorkflowConfig(input_dir=src, lake_root=os.path.join(scratch, "lake")))
+
+
+def test_silver_rewrites_touched_months_only(spark, scratch):
+    """New, changed and emptied months; another airport dimension; a session that starts anew."""
+    from aerolake.sources.manifest import Manifest
+    from aerolake.sources.seed import load_airport_seed
+    from aerolake.sources.silver_table import refresh_silver
+
+    src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
+    seed = load_airport_seed(spark)
+
+    def publish(name, dates):
+        rows = [("GLO", "SBGR", "SBSP", d, d, d) for d in dates]
+        write_text(src, name, fixture_text(rows))
+
+    def run(airports=seed, prefix="mo_"):
+        load = extract_and_load(spark, cfg)
+        from aerolake.sources import catalog
+        dbs = catalog.create_layers(spark, lake, prefix)
+        done = refresh_silver(spark, cfg.bronze_files(spark), bronze_schema(load.columns), airports,
+                              dbs["silver"], cfg.silver_dir, Manifest(spark, cfg.silver_manifest))
+        table = spark.table(done.table)
+        months = {(r.ano, r.mes): r["count"] for r in table.groupBy("ano", "mes").count().collect()}
+        return done, months, {f for f in table.inputFiles()}
+
+    cfg = WorkflowConfig(input_dir=src, lake_root=lake)
+    publish("a.txt", ["05/01/2025", "06/01/2025", "bad"])
+    publish("b.txt", ["07/02/2025"])
+    done, months, files = run()
+    assert done.months == ["0", "202501", "202502"]
+    assert months == {(2025, 1): 2, (2025, 2): 1, (None, None): 1}
+    done, months, same = run()
+    assert done.months == [] and same == files
+    publish("c.txt", ["08/02/2025", "09/03/2025"])
+    done, months, more = run()
+    assert done.months == ["202502", "202503"] and done.files_read == 2
+    assert months == {(2025, 1): 2, (2025, 2): 2, (2025, 3): 1, (None, None): 1}
+    assert {f for f in files if "mes=1" in f or "HIVE" in f} <= more
+    publish("a.txt", ["05/04/2025"])  # January and the rows without a date are gone
+    done, months, _ = run()
+    assert done.months == ["0", "202501", "202504"]
+    assert months == {(2025, 2): 2, (2025, 3): 1, (2025, 4): 1}
+    done, months, _ = run(airports=seed.where("icao_aerodromo <> 'SBGR'"))
+    assert done.months == ["202502", "202503", "202504"]
+    assert spark.table(done.table).where("origem_cidade IS NOT NULL").count() == 0
+    done, months, _ = run(airports=seed.where("icao_aerodromo <> 'SBGR'"), prefix="mo2_")  # not in this catalog
+    assert done.months == [] and months == {(2025, 2): 2, (2025, 3): 1, (2025, 4): 1}
