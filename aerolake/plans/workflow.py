@@ -3,8 +3,8 @@
 Stage order and gates:
 
 1. list the input files; stop if none match;
-2. extract the file versions not tried before -> processed Parquet, check what was
-   written and commit the good ones; stop if no file was ever extracted. A version that
+2. extract the file versions not tried before -> processed Parquet, and commit the good
+   ones; stop if no file was ever extracted. A version that
    fails is recorded with its reason and not tried again until its file changes; the
    earlier version of that file stays in use;
 3. validate the processed files; stop if none is valid, and name the others;
@@ -32,7 +32,7 @@ from aerolake.operators import quality
 from aerolake.operators.silver import require_columns
 from aerolake.schema import SOURCE_FILE
 from aerolake.sources import catalog
-from aerolake.sources.manifest import KEY_SCHEMA, WITHDRAWN, Manifest, VersionedFiles, new_version
+from aerolake.sources.manifest import WITHDRAWN, Manifest, VersionedFiles, new_version
 from aerolake.sources.parquet import bronze_schema, validate_parquet
 from aerolake.sources.seed import load_airport_seed
 from aerolake.sources.silver_table import refresh_silver
@@ -42,7 +42,7 @@ from aerolake.sources.text import (
     list_inputs,
     unique_names,
 )
-from aerolake.streaming.incremental import load_files
+from aerolake.streaming.incremental import LoadStats, load_files
 
 log = logging.getLogger(__name__)
 
@@ -116,33 +116,23 @@ class LoadedBronze:
     stopped: bool = False
 
 
-def extract_new(spark: SparkSession, cfg: WorkflowConfig, todo: list, names: dict[str, str],
-                root: str | None) -> int:
+def extract_new(spark: SparkSession, processed: VersionedFiles, cfg: WorkflowConfig, todo: list,
+                names: dict[str, str], root: str | None) -> int:
     """Extract, check and commit file versions; returns how many succeeded.
 
-    All are written to one new version folder. A file that cannot be read, or whose
-    processed Parquet cannot, is recorded as failed with the reason; its earlier version, if
-    it has one, stays what readers see.
+    All are written to one new version folder. A file that cannot be read is recorded as
+    failed with the reason; its earlier version, if it has one, stays what readers see.
     """
-    processed = cfg.processed_files(spark)
     version = new_version()
     result = extract_text_files(spark, [f.path for f in todo], processed.folder(version),
                                 replace_files=False, encoding_overrides=cfg.encoding_overrides, root=root)
     read = {names[f.path]: f for f in todo if names[f.path] in result.columns}
     schema = bronze_schema(sorted({c for n in read for c in result.columns[n]}))
     rows = processed.file_rows(version, schema)
-    checked = validate_parquet(
-        spark, processed.folder(version),
-        spark.createDataFrame([(n,) for n in rows], f"{SOURCE_FILE} string"), schema,
-        None if rows else []).collect()
-    damaged = {r[SOURCE_FILE] for r in checked if not r.valid}
-    processed.discard(version, damaged)
     entries, good = [], 0
     for f in todo:
         name = names[f.path]
-        reason = result.reasons.get(f.path, "not read")
-        if name in read:
-            reason = "processed file damaged" if name in damaged else None
+        reason = None if name in read else result.reasons.get(f.path, "not read")
         good += reason is None
         entries.append((f.path, f.length, f.modificationTime, name,
                         result.columns.get(name) if reason is None else None,
@@ -151,6 +141,41 @@ def extract_new(spark: SparkSession, cfg: WorkflowConfig, todo: list, names: dic
     return good
 
 
+def load_checked(processed: VersionedFiles, bronze: VersionedFiles, entries: list, invalid: list[str],
+                 schema, max_files: int) -> LoadStats:
+    """Load file versions into bronze; damaged processed files are withdrawn.
+
+    If a load fails, the content of its files is checked; those with damaged pages are
+    left out and the others loaded. The text of a withdrawn file is taken again by the
+    next run.
+    """
+    spark = processed.spark
+    damaged = {e[SOURCE_FILE] for e in entries} & set(invalid)
+    total = LoadStats(0, 0, bronze.directory)
+    for start in range(0, len(entries), max_files):
+        piece = [e for e in entries[start:start + max_files] if e[SOURCE_FILE] not in damaged]
+        try:
+            done = load_files(processed, bronze, piece, schema)
+        except Exception:
+            names = [e[SOURCE_FILE] for e in piece if e.rows]
+            checked = validate_parquet(
+                spark, processed.directory, spark.createDataFrame([(n,) for n in names], f"{SOURCE_FILE} string"),
+                schema, processed.paths(names)).collect()
+            bad = {r[SOURCE_FILE] for r in checked if not r.valid}
+            if not bad:
+                raise
+            damaged |= bad
+            done = load_files(processed, bronze, [e for e in piece if e[SOURCE_FILE] not in bad], schema)
+        total.per_file.update(done.per_file)
+    lost = [e for e in entries if e[SOURCE_FILE] in damaged]
+    if lost:
+        processed.manifest.add((e.path, WITHDRAWN, e.modificationTime, e[SOURCE_FILE], None, None, None,
+                                "processed file damaged") for e in lost)
+    total.rows_added, total.files = sum(total.per_file.values()), len(total.per_file)
+    total.failed = sorted(damaged)
+    return total
+
+
 def extract_and_load(spark: SparkSession, cfg: WorkflowConfig, recursive: bool = False,
                      stage=lambda *a: None) -> LoadedBronze:
     """Stages 1 to 4; ``stage(name, status, files, rows, detail)`` is told of each."""
@@ -166,15 +191,14 @@ def extract_and_load(spark: SparkSession, cfg: WorkflowConfig, recursive: bool =
     names = unique_names([f.path for f in files], root)
     processed, bronze = cfg.processed_files(spark), cfg.bronze_files(spark)
     extracted, loaded = processed.manifest, bronze.manifest
-    listed = spark.createDataFrame(files, KEY_SCHEMA)
     # Only versions neither extracted nor failed before: a re-run with the same inputs
     # adds nothing, and a file that cannot be read is not tried until it changes.
-    todo = extracted.pending(listed).collect()
-    good = extract_new(spark, cfg, todo, names, root) if todo else 0
-    failed = extracted.quarantined(listed).collect()
-    detail = "failed: " + ", ".join(f"{names[r.path]} ({r.reason})" for r in failed) if failed else ""
-    versions = extracted.latest().join(listed.select("path"), "path", "left_semi")
-    current = versions.collect()
+    todo = extracted.pending(files)
+    good = extract_new(spark, processed, cfg, todo, names, root) if todo else 0
+    failed = {names[path]: reason for path, reason in extracted.quarantined(files)}
+    detail = "failed: " + ", ".join(f"{n} ({r})" for n, r in failed.items()) if failed else ""
+    listed = {f.path for f in files}
+    current = sorted((r for p, r in extracted.latest().items() if p in listed), key=lambda r: r.path)
     if not current:
         stage("extract", "stopped", 0, None, detail or "no file could be read")
         return LoadedBronze(stopped=True)
@@ -183,10 +207,11 @@ def extract_and_load(spark: SparkSession, cfg: WorkflowConfig, recursive: bool =
 
     columns = extracted.columns()
     schema = bronze_schema(columns)
-    # Content was checked before the commit; here the footers, as files may be lost since.
+    # Footers only: the load reads every page and verifies its checksum.
     with_rows = [e[SOURCE_FILE] for e in current if e.rows]
-    checked = validate_parquet(spark, cfg.processed_dir, versions.where("rows > 0").select(SOURCE_FILE),
-                               schema, processed.paths(with_rows), content=False).collect()
+    expected = spark.createDataFrame([(n,) for n in with_rows], f"{SOURCE_FILE} string")
+    checked = validate_parquet(spark, cfg.processed_dir, expected, schema, processed.paths(with_rows),
+                               content=False).collect()
     valid = {r[SOURCE_FILE] for r in checked if r.valid}
     invalid = sorted(r[SOURCE_FILE] for r in checked if not r.valid)
     if with_rows and not valid:
@@ -194,22 +219,18 @@ def extract_and_load(spark: SparkSession, cfg: WorkflowConfig, recursive: bool =
         return LoadedBronze(stopped=True)
     stage("validate", "ok", len(valid), None, "invalid: " + ",".join(invalid) if invalid else "")
 
-    out = LoadedBronze(columns=columns, failed={names[r.path]: r.reason for r in failed})
+    out = LoadedBronze(columns=columns, failed=failed)
     try:
-        new = loaded.pending(versions).collect()
-        lost = [e for e in new if e[SOURCE_FILE] in invalid]
-        if lost:  # damaged before bronze had them: the next run takes their text again
-            extracted.add((e.path, WITHDRAWN, e.modificationTime, e[SOURCE_FILE], None, None, None,
-                           "processed file damaged") for e in lost)
-        load = load_files(processed, bronze, [e for e in new if e[SOURCE_FILE] not in invalid],
-                          schema, cfg.max_files_per_batch)
+        load = load_checked(processed, bronze, loaded.pending(current), invalid, schema,
+                            cfg.max_files_per_batch)
         out.loaded = load.per_file
-        stage("load_bronze", "ok", load.files, load.rows_added, "")
+        stage("load_bronze", "ok", load.files, load.rows_added,
+              "damaged: " + ",".join(load.failed) if load.failed else "")
     except Exception as exc:  # reported; later stages use what bronze holds
         log.exception("bronze load")
         stage("load_bronze", "failed", None, None, type(exc).__name__)
-    if not loaded.rows().isEmpty():
-        out.bronze = cfg.current_bronze(spark, columns)
+    if loaded.latest():
+        out.bronze = bronze.read(schema)
     return out
 
 

@@ -38,6 +38,8 @@ LATIN1 = "ISO-8859-1"
 CP1252 = "windows-1252"
 
 FIELD_SEPARATOR = ";"
+# What a line of a file may show, as bits.
+NOT_UTF8, UNDEFINED, OPEN_QUOTE = 1, 2, 4
 QUOTE = '"'
 
 
@@ -111,14 +113,12 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     Columns: file_path, file_name, lines, encoding, multiline, crlf, header,
     header_bytes, header_key (64-bit hash of the header line), header_fields,
     max_fields, too_many_fields. ``too_many_fields`` is final for files of one
-    byte a separator and one line a record; in UTF-16 files and files with
-    quoted fields over several lines the decoded records decide (see
-    ``text.utf16_fields`` and ``records.stitch_records``).
+    byte a separator and one line a record. In UTF-16 files, whose lines are not split at
+    characters here, the decoded lines decide that and ``multiline`` (false here), see
+    ``text.utf16_lines``; in files with quoted fields over several lines the stitched
+    records do (``records.stitch_records``).
     """
     raw_value = F.col("value")
-    # UTF-16 as bytes: without its zero bytes, quotes and separators stand side by side.
-    value = F.when(F.instr(raw_value, "\x00") > 0,
-                   F.replace(raw_value, F.lit("\x00"), F.lit(""))).otherwise(raw_value)
     as_bytes = raw_value.cast("binary")
     utf8 = F.is_valid_utf8(raw_value)
     # byte checks only on lines that are not valid UTF-8 (CASE branches are lazy)
@@ -128,28 +128,39 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     )).otherwise(F.lit(False))
     lines = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
         F.struct(F.input_file_block_start().alias("block"),
                  F.monotonically_increasing_id().alias("pos")).alias("order"),
         raw_value.alias("line"),
         utf8.alias("utf8"),
         undefined.alias("undefined"),
-        scan_quotes(value, sep).alias("scan"),
+        scan_quotes(raw_value, sep).alias("scan"),
         # between the bytes of a UTF-16 CR LF, and after a last little-endian LF
         (as_bytes == F.unhex(F.lit("00"))).alias("stub"),
-    ).select("*", F.col("scan.open").alias("open_quote"),
-             (F.col("scan.separators") + 1).alias("fields"))
-    per_file = lines.groupBy("file_path", "file_name").agg(
+    )
+    # What a line shows, as a small set: most lines show nothing. (A set is also gathered
+    # by hash; the header alone would have all lines sorted by file.)
+    shown = (F.when(F.col("utf8"), F.lit(0)).otherwise(F.lit(NOT_UTF8))
+             + F.when(F.col("undefined"), F.lit(UNDEFINED)).otherwise(F.lit(0))
+             + F.when(F.col("scan.open"), F.lit(OPEN_QUOTE)).otherwise(F.lit(0)))
+    lines = lines.select("file_path", "order", "line", "stub", F.nullif(shown, F.lit(0)).alias("shown"),
+                         (F.col("scan.separators") + 1).alias("fields"))
+    per_file = lines.groupBy("file_path").agg(
         F.count(F.lit(1)).alias("lines"),
-        F.min_by("line", "order").alias("header"),
-        F.min_by("fields", "order").alias("header_fields"),
+        F.min_by(F.struct("line", "fields"), "order").alias("first"),
         F.max("fields").alias("max_fields"),
-        F.bool_and("utf8").alias("all_utf8"),
-        F.bool_or("undefined").alias("any_undefined"),
-        F.bool_or("open_quote").alias("any_open_quote"),
+        F.collect_set("shown").alias("shown"),
         F.count_if("stub").alias("stubs"),
         F.max_by("stub", "order").alias("last_is_stub"),
     )
+
+    def any_shows(flag: int) -> Column:
+        return F.exists("shown", lambda s: s.bitwiseAND(flag) != 0)
+
+    per_file = per_file.select(
+        "*", F.substring_index("file_path", "/", -1).alias("raw_name"), F.col("first.line").alias("header"),
+        F.col("first.fields").alias("header_fields"), (~any_shows(NOT_UTF8)).alias("all_utf8"),
+        any_shows(UNDEFINED).alias("any_undefined"), any_shows(OPEN_QUOTE).alias("any_open_quote"),
+    ).withColumn("file_name", F.url_decode(F.replace("raw_name", F.lit("+"), F.lit("%2B"))))
     head_hex = F.hex(F.substring(F.col("header").cast("binary"), 1, 2))
     encoding = (
         F.when(head_hex == UTF16_BE_BOM, F.lit(UTF16_BE))
@@ -158,7 +169,7 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         .when(F.col("any_undefined"), F.lit(LATIN1))
         .otherwise(F.lit(CP1252))
     )
-    multiline = F.col("any_open_quote")
+    multiline = F.col("any_open_quote") & ~encoding.isin(UTF16_BE, UTF16_LE)
     # Every line ends with CR LF, but perhaps a last one without any line end.
     ended = F.col("last_is_stub").cast("int")
     pairs = F.col("stubs") - F.when(encoding == UTF16_LE, ended).otherwise(F.lit(0))
@@ -170,7 +181,7 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         crlf.alias("crlf"),
         "header", F.col("header").cast("binary").alias("header_bytes"),
         F.xxhash64("header").alias("header_key"), "header_fields", "max_fields",
-        (~multiline & ~encoding.isin(UTF16_BE, UTF16_LE)
+        (~F.col("any_open_quote") & ~encoding.isin(UTF16_BE, UTF16_LE)
          & (F.col("max_fields") > F.col("header_fields"))).alias("too_many_fields"),
     )
 

@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +35,7 @@ SCHEMA = f"{ENTRY}, written timestamp"
 ENTRY_COLUMNS = (*KEY, "source_file", "columns", "version", "rows", "reason")
 
 VERSION = "version"
+VERIFY_PAGES = "parquet.page.verify-checksum.enabled"
 #: Length of a withdrawn file version: no listed file has it, so the file is taken again.
 WITHDRAWN = -1
 
@@ -43,11 +45,28 @@ def new_version() -> str:
     return uuid.uuid4().hex[:16]
 
 
+@dataclass
+class State:
+    """One small row per file, as any file index has on the driver."""
+
+    last: dict[str, Row]  # path -> its last row, good or failed
+    good: dict[str, Row]  # path -> its last good row
+    sizes: dict[str, int]  # version -> files with rows that were committed with it
+
+
+def _key(row: Row) -> tuple:
+    return row.path, row.length, row.modificationTime
+
+
 class Manifest:
-    """Versions of files that a step has finished or given up."""
+    """Versions of files that a step has finished or given up.
+
+    The rows are read once by an object and followed through its own commits.
+    """
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
+        self._state: State | None = None
 
     def rows(self) -> DataFrame:
         try:
@@ -57,32 +76,50 @@ class Manifest:
                 raise
             return self.spark.createDataFrame([], SCHEMA)
 
-    @staticmethod
-    def _last(rows: DataFrame) -> DataFrame:
-        last = F.max_by(F.struct(*ENTRY_COLUMNS[1:], "written"), "written").alias("last")
-        return rows.groupBy("path").agg(last).select("path", "last.*")
-
-    def latest(self) -> DataFrame:
-        """The last good row of each path: the files that readers see."""
-        return self._last(self.rows().where(F.col("reason").isNull()))
-
-    def pending(self, files: DataFrame) -> DataFrame:
+    @property
+    def state(self) -> State:
+        """The manifest as of the last read or commit of this object."""
+        if self._state is None:
+            row = F.struct(*(c for c in ENTRY_COLUMNS if c != "columns"), "written")
+            good = F.when(F.col("reason").isNull(), F.col("written"))
+            last = self.rows().groupBy("path").agg(F.max_by(row, "written").alias("last"),
+                                                   F.max_by(row, good).alias("good")).collect()
+            sizes = (self.rows().where("reason IS NULL AND rows > 0").groupBy(VERSION)
+                     .agg(F.count(F.lit(1)).alias("n")).collect())
+            self._state = State({r.path: r.last for r in last}, {r.path: r.good for r in last if r.good},
+                                {r[VERSION]: r.n for r in sizes})
+        return self._state
+
+    def latest(self) -> dict[str, Row]:
+        """path -> the last good row of each file: what readers see."""
+        return self.state.good
+
+    def pending(self, files: Iterable[Row]) -> list[Row]:
         """The rows of ``files`` (with the key columns) whose version is not the last one here,
         good or failed."""
-        last = self._last(self.rows()).select(*KEY)
-        return files.join(last, [files[c].eqNullSafe(last[c]) for c in KEY], "left_anti")
+        last = self.state.last
+        return [f for f in files if f.path not in last or _key(last[f.path]) != _key(f)]
 
-    def quarantined(self, files: DataFrame) -> DataFrame:
-        """path, reason of the rows of ``files`` whose present version has failed."""
-        last = self._last(self.rows()).where(F.col("reason").isNotNull())
-        return (last.join(files.select(*KEY), list(KEY), "left_semi")
-                .select("path", "reason").orderBy("path"))
+    def quarantined(self, files: Iterable[Row]) -> list[tuple[str, str]]:
+        """(path, reason) of the rows of ``files`` whose present version has failed."""
+        last = self.state.last
+        return sorted((f.path, last[f.path].reason) for f in files
+                      if f.path in last and last[f.path].reason is not None and _key(last[f.path]) == _key(f))
 
     def add(self, entries: Iterable[tuple]) -> None:
         """Append rows of ``ENTRY_COLUMNS`` in one commit (one file, so all or none)."""
-        rows = self.spark.createDataFrame(list(entries), ENTRY)
+        entries = list(entries)
+        rows = self.spark.createDataFrame(entries, ENTRY)
         (rows.withColumn("written", F.current_timestamp())
          .coalesce(1).write.mode("append").parquet(self.directory))
+        if self._state is not None:
+            for e in entries:
+                row = Row(**dict(zip(ENTRY_COLUMNS, e)))
+                self._state.last[row.path] = row
+                if row.reason is None:
+                    self._state.good[row.path] = row
+                    if row.rows:
+                        self._state.sizes[row.version] = self._state.sizes.get(row.version, 0) + 1
 
     def columns(self) -> list[str]:
         """Every column name seen so far, in the order of first sight."""
@@ -91,6 +128,12 @@ class Manifest:
                 .groupBy("name").agg(F.min(F.struct("written", "at", "path")).alias("first")))
         return [r["name"] for r in seen.orderBy("first", "name").collect()]
 
+    def lists(self) -> dict[str, list[str]]:
+        """path -> ``columns`` of its last good row."""
+        last = self.rows().where("reason IS NULL").groupBy("path").agg(
+            F.max_by("columns", "written").alias("columns"))
+        return {r.path: list(r["columns"] or ()) for r in last.collect()}
+
 
 class VersionedFiles:
     """Rows by source file in version folders, seen through a manifest."""
@@ -119,12 +162,10 @@ class VersionedFiles:
         file is named. Files without rows have no folder.
         """
         wanted = None if names is None else set(names)
-        of_version = self.manifest.rows().where("reason IS NULL AND rows > 0") \
-            .groupBy(VERSION).agg(F.count(F.lit(1)).alias("n")).collect()
-        size = {r[VERSION]: r.n for r in of_version}
+        size = self.manifest.state.sizes
         current: dict[str, list[str]] = {}
-        for r in self.manifest.latest().where("rows > 0").select(VERSION, SOURCE_FILE).collect():
-            if wanted is None or r[SOURCE_FILE] in wanted:
+        for r in self.manifest.latest().values():
+            if r.rows and (wanted is None or r[SOURCE_FILE] in wanted):
                 current.setdefault(r[VERSION], []).append(r[SOURCE_FILE])
         out = []
         for version, files in sorted(current.items()):
@@ -134,13 +175,15 @@ class VersionedFiles:
                 out += [self.file_folder(version, f) for f in sorted(files)]
         return out
 
-    def read(self, schema: T.StructType, names: Iterable[str] | None = None) -> DataFrame:
-        """The current rows, with the columns of ``schema``."""
+    def read(self, schema: T.StructType, names: Iterable[str] | None = None,
+             verify: bool = False) -> DataFrame:
+        """The current rows, with the columns of ``schema``; ``verify`` checks page checksums."""
         paths = self.paths(names)
         if not paths:
             return self.spark.createDataFrame([], schema)
         stored = T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])
-        return (self.spark.read.schema(stored).option("basePath", self.directory).parquet(*paths)
+        return (self.spark.read.schema(stored).option("basePath", self.directory)
+                .option(VERIFY_PAGES, str(verify).lower()).parquet(*paths)
                 .select(*(f"`{c}`" for c in schema.names)))
 
     def read_version(self, version: str, schema: T.StructType) -> DataFrame:
@@ -155,12 +198,6 @@ class VersionedFiles:
         counts = self.read_version(version, schema).groupBy(SOURCE_FILE).count()
         return {r[SOURCE_FILE]: r["count"] for r in counts.collect()}
 
-    def discard(self, version: str, names: Iterable[str]) -> None:
-        """Remove files of a version folder that is not committed."""
-        path, fs = self._fs()
-        for name in names:
-            fs.delete(path(self.file_folder(version, name)), True)
-
     def vacuum(self) -> int:
         """Remove what no reader can see: superseded files and folders of lost runs.
 

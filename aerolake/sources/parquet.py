@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.schema import BRONZE_COLUMNS, SOURCE_FILE
+from aerolake.sources.manifest import VERIFY_PAGES
 
 
 def read_processed(spark: SparkSession, directory: str) -> DataFrame:
@@ -38,9 +39,6 @@ def parquet_profile(spark: SparkSession, directory: str) -> DataFrame:
     return file_row_counts(df).withColumn("columns", F.lit(n_cols))
 
 
-VERIFY_PAGES = "parquet.page.verify-checksum.enabled"
-
-
 def validate_parquet(spark: SparkSession, directory: str, expected: DataFrame,
                      schema: T.StructType, paths: list[str] | None = None,
                      content: bool = True) -> DataFrame:

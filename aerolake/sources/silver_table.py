@@ -97,12 +97,12 @@ def refresh_silver(spark: SparkSession, bronze: VersionedFiles, schema: T.Struct
     """Bring the silver table to the current versions of bronze's files."""
     name = f"`{database}`.`{table}`"
     # One row per file each, as in any file index.
-    current = {r.path: r for r in bronze.manifest.latest().collect()}
-    taken = {r.path: r for r in manifest.latest().collect()}
+    current, taken = bronze.manifest.latest(), manifest.latest()
     dimension = airports_fingerprint(airports)
     whole = (AIRPORTS not in taken or taken[AIRPORTS].version != dimension
              or not _table_exists(spark, name, path))
-    known = {p: set(r.columns or ()) for p, r in taken.items() if p != AIRPORTS}
+    # the manifest's lists are here of the months that a file has rows in
+    known = {p: set(m) for p, m in (manifest.lists() if taken else {}).items() if p != AIRPORTS}
     changed = [p for p, r in current.items() if p not in taken or taken[p].version != r.version]
 
     months: dict[str, set[str]] = {p: set(m) for p, m in known.items() if p in current}

@@ -43,8 +43,8 @@ from aerolake.sources.encoding import (
     UTF16_BE,
     UTF16_LE,
     decode_header,
-    field_count,
     profile_text_files,
+    scan_quotes,
 )
 from aerolake.sources.records import read_lines, stitch_records
 
@@ -183,11 +183,12 @@ def _utf16(encoding: str) -> bool:
     return encoding in (UTF16_BE, UTF16_LE)
 
 
-def utf16_fields(spark: SparkSession, paths: list[str], encoding: str, sep: str) -> dict[str, int]:
-    """path -> most fields of a line of each UTF-16 file (one record a line), decoded."""
-    lines = read_lines(spark, paths, encoding)
-    most = lines.groupBy("file_path").agg(F.max(field_count(F.col("text"), sep)).alias("fields"))
-    return {_plain(r.file_path): r.fields for r in most.collect()}
+def utf16_lines(spark: SparkSession, paths: list[str], encoding: str, sep: str) -> dict[str, tuple]:
+    """path -> (most fields of a line, whether some line leaves a quote open), decoded."""
+    lines = read_lines(spark, paths, encoding).select("file_path", scan_quotes(F.col("text"), sep).alias("scan"))
+    seen = lines.groupBy("file_path").agg(F.max("scan.separators").alias("most"),
+                                          F.bool_or("scan.open").alias("open"))
+    return {_plain(r.file_path): (r.most + 1, r.open) for r in seen.collect()}
 
 
 def _lineage(path: str, name: str, root: str | None) -> str:
@@ -313,15 +314,22 @@ def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPA
         enc = overrides.get(r.file_name, r.encoding)
         groups.setdefault((enc, r.multiline, r.crlf, r.header_key, r.encoding), []).append(path)
     result, data = ExtractResult(profile=profile), None
+    # UTF-16: what the profile sees of other files is seen on decoded lines
+    for group in [g for g in groups if _utf16(g[0])]:
+        files = groups.pop(group)
+        lines = utf16_lines(spark, files, group[0], sep)
+        for p in files:
+            most, spans = lines.get(_plain(p), (0, False))
+            columns = header_columns(decode_header(headers[group[3], group[4]], group[0]), sep)
+            if columns and most > len(columns) and not spans:
+                reasons[p] = MORE_FIELDS
+            else:
+                groups.setdefault((group[0], spans, *group[2:]), []).append(p)
     for (enc, spanning, crlf, key, detected), files in sorted(groups.items(), key=lambda kv: kv[1][0]):
         columns = header_columns(decode_header(headers[key, detected], enc), sep)
+        frame, bad = None, {}
         if spanning and columns:
             frame, bad = read_spanning_group(spark, files, enc, sep, columns, root)
-        else:
-            frame, bad = None, {}
-            if columns and _utf16(enc):
-                bad = {p: MORE_FIELDS for p, n in utf16_fields(spark, files, enc, sep).items()
-                       if n > len(columns)}
         reasons.update((by_plain[p], reason) for p, reason in bad.items())
         files = [p for p in files if _plain(p) not in bad]
         if not files:

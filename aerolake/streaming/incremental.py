@@ -100,29 +100,27 @@ def load_incremental(spark: SparkSession, processed_dir: str, bronze_dir: str,
 
 
 def load_files(source: VersionedFiles, target: VersionedFiles, entries: list,
-               schema: T.StructType, max_files: int = 1000) -> LoadStats:
-    """Put the current rows of files of ``source`` into ``target``, as new versions.
+               schema: T.StructType) -> LoadStats:
+    """Put the current rows of files of ``source`` into ``target``, as one new version.
 
-    ``entries`` are rows of the source's manifest. Files are taken ``max_files`` at a
-    time; each piece is written to a version folder of its own, counted there (nothing
-    else is) and then committed. Until that commit readers see the files' earlier
-    versions; a piece that is lost leaves nothing that a reader sees.
+    ``entries`` are rows of the source's manifest. The files are written to a version
+    folder of their own, counted there (nothing else is) and then committed. Until that
+    commit readers see the files' earlier versions; a load that is lost leaves nothing
+    that a reader sees. Page checksums of the source are verified on the way.
     """
-    total: dict[str, int] = {}
-    for start in range(0, len(entries), max_files):
-        piece = entries[start:start + max_files]
-        version = new_version()
-        rows = source.read(schema, [e[SOURCE_FILE] for e in piece])
-        rows.write.partitionBy(SOURCE_FILE).parquet(target.folder(version))
-        counts = target.file_rows(version, schema)
-        short = {e[SOURCE_FILE]: (e.rows, counts.get(e[SOURCE_FILE], 0)) for e in piece
-                 if e.rows != counts.get(e[SOURCE_FILE], 0)}
-        if short:
-            raise RuntimeError(f"rows extracted and loaded differ: {short}")
-        target.manifest.add((e.path, e.length, e.modificationTime, e[SOURCE_FILE], e.columns, version,
-                             e.rows, None) for e in piece)
-        total.update(counts)
-    return LoadStats(sum(total.values()), len(total), target.directory, total)
+    if not entries:
+        return LoadStats(0, 0, target.directory)
+    version = new_version()
+    rows = source.read(schema, [e[SOURCE_FILE] for e in entries], verify=True)
+    rows.write.partitionBy(SOURCE_FILE).parquet(target.folder(version))
+    counts = target.file_rows(version, schema)
+    short = {e[SOURCE_FILE]: (e.rows, counts.get(e[SOURCE_FILE], 0)) for e in entries
+             if e.rows != counts.get(e[SOURCE_FILE], 0)}
+    if short:
+        raise RuntimeError(f"rows extracted and loaded differ: {short}")
+    target.manifest.add((e.path, e.length, e.modificationTime, e[SOURCE_FILE], None, version,
+                         e.rows, None) for e in entries)
+    return LoadStats(sum(counts.values()), len(counts), target.directory, counts)
 
 
 def bronze_row_count(spark: SparkSession, bronze_dir: str) -> int:

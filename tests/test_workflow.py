@@ -163,18 +163,27 @@ def test_a_lost_run_leaves_nothing_that_readers_see(spark, scratch, monkeypatch)
     assert rows_of(cfg.current_bronze(spark, again.columns)) == [("1", "11"), ("2", "22")]
 
 
-def test_processed_file_lost_before_the_load_is_taken_again(spark, scratch, monkeypatch):
+@pytest.mark.parametrize("damage", ["file", "page"])
+def test_processed_file_lost_before_the_load_is_taken_again(spark, scratch, monkeypatch, damage):
     from aerolake.plans import workflow
 
     src, lake = os.path.join(scratch, "in"), os.path.join(scratch, "lake")
     write_text(src, "a.txt", "id_combinada;nr_voo\n1;10\n")
     write_text(src, "b.txt", "id_combinada;nr_voo\n2;20\n")
     cfg = WorkflowConfig(input_dir=src, lake_root=lake)
-    monkeypatch.setattr(workflow, "load_files", lambda *a: 1 / 0)
+    monkeypatch.setattr(workflow, "load_checked", lambda *a: 1 / 0)
     assert extract_and_load(spark, cfg).bronze is None
     monkeypatch.undo()
-    with open(glob.glob(f"{lake}/processed/version=*/source_file=a.parquet/*.parquet")[0], "w") as f:
-        f.write("not parquet")
+    part = glob.glob(f"{lake}/processed/version=*/source_file=a.parquet/*.parquet")[0]
+    if damage == "file":
+        with open(part, "w") as f:
+            f.write("not parquet")
+    else:  # a page, the footer stays sound
+        with open(part, "r+b") as f:
+            f.seek(10)
+            f.write(b"\xff\xff")
+    for crc in glob.glob(f"{os.path.dirname(part)}/.*.crc"):
+        os.remove(crc)
     assert extract_and_load(spark, cfg).loaded == {"b.parquet": 1}
     last = extract_and_load(spark, cfg)
     assert last.loaded == {"a.parquet": 1} and rows_of(last.bronze) == [("1", "10"), ("2", "20")]
