@@ -52,7 +52,6 @@ from aerolake.sources.text import (
     allow_java_charsets,
     extract_text_files,
     list_inputs,
-    processed_name,
 )
 from aerolake.streaming.incremental import load_incremental
 
@@ -67,6 +66,8 @@ PRIORITY_WORDS = (
 QUOTED_NOTE = 'atenção; "urgente"'
 # Encoding by order key modulo the number of encodings; a NULL key takes the last.
 ENCODINGS = ("UTF-8", "windows-1252", "UTF-16")
+# The order text is written in all single-file encodings the reader knows, by order key.
+ORDER_ENCODINGS = ("UTF-8", "windows-1252", "UTF-16", "ISO-8859-1", "IBM860", "x-MacTurkish")
 # Text files the flights are written to, by order key.
 FLIGHT_FILES = 12
 
@@ -89,9 +90,9 @@ def write_text(df: DataFrame, path: str, encoding: str, partition_by: str | None
      .option("encoding", encoding).option("escape", '"').csv(path))
 
 
-def encoding_group(key: str):
-    """Which of ``ENCODINGS`` a row is written in: every row has one."""
-    return F.coalesce(F.pmod(F.col(key), F.lit(len(ENCODINGS))), F.lit(len(ENCODINGS) - 1)).cast("int")
+def encoding_group(key: str, encodings: tuple[str, ...] = ENCODINGS):
+    """Which of ``encodings`` a row is written in: every row has one."""
+    return F.coalesce(F.pmod(F.col(key), F.lit(len(encodings))), F.lit(len(encodings) - 1)).cast("int")
 
 
 def order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,9 +122,9 @@ def order_ingest(spark: SparkSession, sf_dir: str):
     """(text dir, processed dir, extract result) for the order text; once per session."""
     def build():
         root = scratch_dir(spark, "orders-ingest")
-        group = encoding_group("o_orderkey")
+        group = encoding_group("o_orderkey", ORDER_ENCODINGS)
         text = order_text(spark, sf_dir)
-        for i, encoding in enumerate(ENCODINGS):
+        for i, encoding in enumerate(ORDER_ENCODINGS):
             write_text(text.filter(group == i), f"{root}/text/{encoding}", encoding)
         listing = list_inputs(spark, f"{root}/text", PATTERN_CSV, recursive=True)
         paths = [r.path for r in listing.select("path").collect()]
@@ -134,10 +135,8 @@ def order_ingest(spark: SparkSession, sf_dir: str):
 
 def q_ingest_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detected encoding and decoded values by status and encoding."""
-    root, processed, result = order_ingest(spark, sf_dir)
-    below = F.substring_index(F.col("file_path"), f"{root.rsplit('/', 1)[-1]}/text/", -1)
-    encodings = result.profile.select(
-        processed_name(F.replace(below, F.lit("/"), F.lit("__"))).alias(SOURCE_FILE), "encoding")
+    _, processed, result = order_ingest(spark, sf_dir)
+    encodings = spark.createDataFrame(list(result.encodings.items()), f"{SOURCE_FILE} string, encoding string")
     rows = read_processed(spark, processed).join(bounded_broadcast(encodings), SOURCE_FILE)
     return rows.groupBy("o_orderstatus", "encoding").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -181,16 +180,26 @@ def q_ingest_unified_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dq_load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q12: per file, rows in the processed source = rows loaded into bronze."""
+    """Q12: per file, the rows and values of the processed source are those of bronze; and how
+    many files differ when two values of one order are swapped."""
     _, processed, _ = order_ingest(spark, sf_dir)
     bronze, _, _ = order_bronze(spark, sf_dir)
-    expected = file_row_counts(read_processed(spark, processed))
-    rec = quality.load_reconciliation(expected, spark.read.parquet(bronze))
+    source, loaded = read_processed(spark, processed), spark.read.parquet(bronze)
+    columns = sorted(c for c in source.columns if c != SOURCE_FILE)
+    rec = quality.content_reconciliation(source, loaded, columns)
+    least = source.agg(F.min(F.col("o_orderkey").cast("bigint")).alias("least"))
+    hit = F.col("o_orderkey").cast("bigint") == F.col("least")
+    swapped = loaded.crossJoin(F.broadcast(least)).select(  # one row
+        SOURCE_FILE, *(c for c in columns if c not in ("o_custkey", "o_orderstatus")),
+        F.when(hit, F.col("o_orderstatus")).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        F.when(hit, F.col("o_custkey")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"))
+    differ = quality.content_reconciliation(source, swapped, columns).agg(
+        F.count_if(~F.col("reconciled")).alias("files_with_swap"))
     return rec.agg(
         F.sum("source_rows").cast("bigint").alias("source_rows"),
         F.sum("loaded_rows").cast("bigint").alias("loaded_rows"),
         F.bool_and("reconciled").alias("all_reconciled"),
-    )
+    ).crossJoin(differ)  # a row each
 
 
 def q_dq_type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from aerolake.operators import gold, quality
 from aerolake.operators.silver import build_silver
@@ -109,8 +110,31 @@ def q_dq_declared_tests(spark, sf_dir):
 
 
 def q_dq_row_reconciliation(spark, sf_dir):
+    """Q7: rows of bronze and of the silver table as it was written."""
     bronze, _, s = _layers(spark, sf_dir)
-    return quality.row_reconciliation(bronze, s)
+    path = scratch_dir(spark, "reconciled-silver")
+    s.write.parquet(path)
+    return quality.row_reconciliation(bronze, spark.read.parquet(path))
+
+
+def q_route_ranking_order(spark, sf_dir):
+    """O1: where each rank stands in the ordered result: its first and last position.
+
+    The result is written as it comes, each row with its task and place there; a place
+    in the whole is that place and the rows of all tasks before (one number a task).
+    """
+    ranked = gold.gold_route_ranking(spark, silver(spark, sf_dir), ordered=True)
+    path = scratch_dir(spark, "ordered-ranking")
+    place = F.monotonically_increasing_id()
+    ranked.select(F.col("ranking_volume_em_voo").alias("rank"), place.alias("place")).write.parquet(path)
+    rows = spark.read.parquet(path).select(
+        "rank", F.shiftright("place", 33).alias("task"), F.col("place").bitwiseAND((1 << 33) - 1).alias("at"))
+    tasks = rows.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
+    before = tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"))
+    position = F.col("before") + F.col("at") + 1
+    return rows.join(F.broadcast(before), "task").groupBy("rank").agg(
+        F.min(position).alias("first_position"), F.max(position).alias("last_position"),
+        F.count(F.lit(1)).alias("rows"))
 
 
 def q_dq_null_routes(spark, sf_dir):
@@ -138,6 +162,7 @@ QUERIES: dict[str, Query] = {
     "airport_enrichment": q_airport_enrichment,
     "gold_punctuality": q_gold_punctuality,
     "gold_volume_by_period": q_gold_volume_by_period,
+    "route_ranking_order": q_route_ranking_order,
     "gold_route_ranking": q_gold_route_ranking,
     "route_ranking_top10": q_route_ranking_top10,
     "dq_not_null": q_dq_not_null,

@@ -10,6 +10,9 @@ aggregation grouped by file decides the encoding of every file at once:
 3. some byte is one that windows-1252 leaves undefined -> ``ISO-8859-1``;
 4. otherwise ``windows-1252``, the safe default for these files.
 
+Files of 3 and 4 with bytes that older code pages use for accented letters are marked
+``may_be_legacy``; ``codepages.py`` decides on those.
+
 The same pass records what the reader needs next: the header line, its field
 count, the largest field count of any line (a line with more fields than the
 header makes the whole file fail, as a pandas reader would), whether a field
@@ -39,7 +42,7 @@ CP1252 = "windows-1252"
 
 FIELD_SEPARATOR = ";"
 # What a line of a file may show, as bits.
-NOT_UTF8, UNDEFINED, OPEN_QUOTE = 1, 2, 4
+NOT_UTF8, UNDEFINED, OPEN_QUOTE, LEGACY = 1, 2, 4, 8
 QUOTE = '"'
 
 
@@ -126,6 +129,8 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         lambda a, b: a | b,
         [F.contains(as_bytes, F.unhex(F.lit(x))) for x in CP1252_UNDEFINED_BYTES],
     )).otherwise(F.lit(False))
+    # bytes that MS-DOS and Mac code pages use for small accented letters
+    legacy = F.when(~utf8, F.decode(as_bytes, "ISO-8859-1").rlike(r"[\x80-\xa3]")).otherwise(F.lit(False))
     lines = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.struct(F.input_file_block_start().alias("block"),
@@ -133,6 +138,7 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
         raw_value.alias("line"),
         utf8.alias("utf8"),
         undefined.alias("undefined"),
+        legacy.alias("legacy"),
         scan_quotes(raw_value, sep).alias("scan"),
         # between the bytes of a UTF-16 CR LF, and after a last little-endian LF
         (as_bytes == F.unhex(F.lit("00"))).alias("stub"),
@@ -141,7 +147,8 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     # by hash; the header alone would have all lines sorted by file.)
     shown = (F.when(F.col("utf8"), F.lit(0)).otherwise(F.lit(NOT_UTF8))
              + F.when(F.col("undefined"), F.lit(UNDEFINED)).otherwise(F.lit(0))
-             + F.when(F.col("scan.open"), F.lit(OPEN_QUOTE)).otherwise(F.lit(0)))
+             + F.when(F.col("scan.open"), F.lit(OPEN_QUOTE)).otherwise(F.lit(0))
+             + F.when(F.col("legacy"), F.lit(LEGACY)).otherwise(F.lit(0)))
     lines = lines.select("file_path", "order", "line", "stub", F.nullif(shown, F.lit(0)).alias("shown"),
                          (F.col("scan.separators") + 1).alias("fields"))
     per_file = lines.groupBy("file_path").agg(
@@ -159,7 +166,8 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     per_file = per_file.select(
         "*", F.substring_index("file_path", "/", -1).alias("raw_name"), F.col("first.line").alias("header"),
         F.col("first.fields").alias("header_fields"), (~any_shows(NOT_UTF8)).alias("all_utf8"),
-        any_shows(UNDEFINED).alias("any_undefined"), any_shows(OPEN_QUOTE).alias("any_open_quote"),
+        any_shows(UNDEFINED).alias("any_undefined"), any_shows(LEGACY).alias("any_legacy"),
+        any_shows(OPEN_QUOTE).alias("any_open_quote"),
     ).withColumn("file_name", F.url_decode(F.replace("raw_name", F.lit("+"), F.lit("%2B"))))
     head_hex = F.hex(F.substring(F.col("header").cast("binary"), 1, 2))
     encoding = (
@@ -177,6 +185,7 @@ def profile_text_files(raw: DataFrame, sep: str = FIELD_SEPARATOR) -> DataFrame:
     return per_file.select(
         "file_path", "file_name", "lines",
         encoding.alias("encoding"),
+        (F.col("any_legacy") & encoding.isin(CP1252, LATIN1)).alias("may_be_legacy"),
         multiline.alias("multiline"),
         crlf.alias("crlf"),
         "header", F.col("header").cast("binary").alias("header_bytes"),

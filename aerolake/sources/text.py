@@ -46,6 +46,7 @@ from aerolake.sources.encoding import (
     profile_text_files,
     scan_quotes,
 )
+from aerolake.sources.codepages import CP860, MAC_TURKISH, choose, likely_pages  # noqa: F401
 from aerolake.sources.records import read_lines, stitch_records
 
 log = logging.getLogger(__name__)
@@ -139,6 +140,8 @@ class ExtractResult:
     failed: list[str] = field(default_factory=list)
     rows_written: int = 0
     profile: DataFrame | None = None
+    # processed name -> encoding that each file was read with
+    encodings: dict[str, str] = field(default_factory=dict)
     # path of each file that failed -> why
     reasons: dict[str, str] = field(default_factory=dict)
     # processed name -> column names of each file that succeeded
@@ -268,12 +271,6 @@ def _ddl(columns: list[str]) -> str:
     return ", ".join(f"r{i} STRING" for i in range(len(columns)))
 
 
-# Java charset names of the legacy encodings that the byte rules
-# cannot tell from windows-1252 (MS-DOS Portuguese, Mac Turkish).
-CP860 = "IBM860"
-MAC_TURKISH = "x-MacTurkish"
-
-
 def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPARATOR,
                     encoding_overrides: dict[str, str] | None = None,
                     root: str | None = None) -> tuple[DataFrame | None, ExtractResult]:
@@ -296,7 +293,9 @@ def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPA
     # the driver, as any file scan's index does. Header text comes once per
     # distinct header, grouped on the executors.
     rows = profile.select("file_path", "file_name", "encoding", "multiline", "crlf", "header_key",
-                          "too_many_fields").collect()
+                          "too_many_fields", "may_be_legacy").collect()
+    legacy = [r.file_path for r in rows if r.may_be_legacy and r.file_name not in overrides]
+    likely = likely_pages(spark, legacy) if legacy else {}
     headers = {
         (r.header_key, r.encoding): r.header_bytes
         for r in profile.groupBy("header_key", "encoding").agg(
@@ -306,14 +305,16 @@ def read_text_files(spark: SparkSession, paths: list[str], sep: str = FIELD_SEPA
     reasons = {p: "empty" for p in paths if _plain(p) not in seen}
     by_plain = {_plain(p): p for p in paths}
     groups: dict[tuple, list[str]] = {}
+    result = ExtractResult(profile=profile)
     for r in rows:
         path = by_plain.get(_plain(r.file_path), r.file_path)
         if r.too_many_fields:
             reasons[path] = MORE_FIELDS
             continue
-        enc = overrides.get(r.file_name, r.encoding)
+        enc = overrides.get(r.file_name) or choose(r.encoding, likely.get(r.file_path))
+        result.encodings[names[_plain(path)]] = enc
         groups.setdefault((enc, r.multiline, r.crlf, r.header_key, r.encoding), []).append(path)
-    result, data = ExtractResult(profile=profile), None
+    data = None
     # UTF-16: what the profile sees of other files is seen on decoded lines
     for group in [g for g in groups if _utf16(g[0])]:
         files = groups.pop(group)

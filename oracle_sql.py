@@ -341,6 +341,10 @@ def oracle_queries() -> dict[str, str]:
     q["gold_punctuality"] = _with("SELECT * FROM gold_pontualidade", GOLD_PUNCTUALITY_CTE)
     q["gold_volume_by_period"] = _with("SELECT * FROM gold_volume_periodo", GOLD_VOLUME_CTE)
     q["gold_route_ranking"] = _with("SELECT * FROM gold_ranking_rotas_atrasadas", GOLD_RANKING_CTE)
+    q["route_ranking_order"] = _with(
+        "SELECT ranking_volume_em_voo AS rank, ranking_volume_em_voo AS first_position, "
+        "ranking_volume_em_voo + count(*) - 1 AS last_position, count(*) AS rows "
+        "FROM gold_ranking_rotas_atrasadas GROUP BY ranking_volume_em_voo", GOLD_RANKING_CTE)
     q["route_ranking_top10"] = _with(
         "SELECT * FROM gold_ranking_rotas_atrasadas WHERE ranking_volume_em_voo <= 10",
         GOLD_RANKING_CTE)
@@ -366,7 +370,9 @@ def oracle_queries() -> dict[str, str]:
 
 
 _GROUP = "coalesce(o_orderkey % 3, 2)"
-_ENCODING = (f"CASE {_GROUP} WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'windows-1252' ELSE 'UTF-16BE' END")
+# ISO-8859-1 text without control characters is windows-1252 text
+_ENCODING = ("CASE coalesce(o_orderkey % 6, 5) WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'windows-1252' "
+             "WHEN 2 THEN 'UTF-16BE' WHEN 3 THEN 'windows-1252' WHEN 4 THEN 'IBM860' ELSE 'x-MacTurkish' END")
 _PRIORITY_WORD = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'urgente' WHEN '2-HIGH' THEN 'alta' "
                   "WHEN '3-MEDIUM' THEN 'média' WHEN '4-NOT SPECIFIED' THEN 'não especificada' "
                   "WHEN '5-LOW' THEN 'baixa' END")
@@ -392,7 +398,8 @@ def ingest_oracle_queries() -> dict[str, str]:
         "SELECT o_orderstatus, count(*) AS bronze_rows, count(DISTINCT o_orderkey) AS distinct_orders, "
         "CAST(0 AS BIGINT) AS second_run_rows FROM orders GROUP BY o_orderstatus")
     q["dq_load_reconciliation"] = (
-        "SELECT count(*) AS source_rows, count(*) AS loaded_rows, true AS all_reconciled FROM orders")
+        "SELECT count(*) AS source_rows, count(*) AS loaded_rows, true AS all_reconciled, "
+        "CAST(1 AS BIGINT) AS files_with_swap FROM orders")
     texts = (
         "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
         "o_orderstatus, strftime(o_orderdate, '%d/%m/%Y') AS dt_pedido, "

@@ -260,20 +260,45 @@ def test_processed_names_agree(spark):
     assert got[:2] == ["a.parquet", "combinada2025-01.parquet"] and got[3] == "noext.parquet"
 
 
-def test_legacy_encoding_override(spark, scratch):
-    """cp860 bytes look like windows-1252; an explicit override reads them right."""
+PORTUGUESE = ("São Paulo Goiânia Belém Brasília Maceió Florianópolis Cuiabá Macapá Vitória "
+              "Ribeirão Preto ação não atenção três pôde à noite avô saúde órgão índio").split()
+
+
+def test_code_pages_are_told_apart(spark, scratch):
+    """cp860, Mac Turkish and windows-1252 text, in small and capital letters, long and short."""
+    from aerolake.sources.text import CP860, MAC_TURKISH
+
+    d, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    os.makedirs(d)
+    pages = {"cp1252": "windows-1252", "cp860": CP860, "mac_turkish": MAC_TURKISH}
+    want = {}
+    for codec, java in pages.items():
+        for kind, words in (("all", PORTUGUESE), ("caps", [w.upper() for w in PORTUGUESE]), ("one", ["São"])):
+            name = f"{codec}_{kind}"
+            write(f"{d}/{name}.txt", HEADER + "\n" + "".join(f"{i};GLO;{w}\n" for i, w in enumerate(words)), codec)
+            want[f"{name}.parquet"] = (java, words)
+    # signs of typesetting do not make a file another page's
+    signs = ["“aspas” – e…", "l’água", "R$ 5 • 1º"] * 200
+    write(f"{d}/signs.txt", HEADER + "\n" + "".join(f"{i};GLO;{w}\n" for i, w in enumerate(signs)), "cp1252")
+    want["signs.parquet"] = ("windows-1252", signs)
+    res = extract_text_files(spark, [r.path for r in list_inputs(spark, d).collect()], out)
+    assert res.encodings == {n: java for n, (java, _) in want.items()}
+    got = {}
+    for r in read_processed(spark, out).collect():
+        got.setdefault(r.source_file, {})[int(r.id_combinada)] = r.nm_municipio_origem
+    assert got == {n: dict(enumerate(words)) for n, (_, words) in want.items()}
+
+
+def test_encoding_override_is_followed(spark, scratch):
     from aerolake.sources.text import CP860
 
-    d = os.path.join(scratch, "dos")
+    d, out = os.path.join(scratch, "dos"), os.path.join(scratch, "p")
     os.makedirs(d)
-    write(f"{d}/dos.txt", HEADER + "\n1;GLO;São Paulo\n", "cp860")
+    write(f"{d}/dos.txt", HEADER + "\n1;GLO;\u201cx\u201d\n", "cp1252")
     paths = [r.path for r in list_inputs(spark, d).collect()]
-    guess = extract_text_files(spark, paths, os.path.join(scratch, "p1"))
-    assert {r.encoding for r in guess.profile.collect()} == {"windows-1252"}
-    wrong = read_processed(spark, os.path.join(scratch, "p1")).first().nm_municipio_origem
-    assert wrong != "São Paulo"
-    extract_text_files(spark, paths, os.path.join(scratch, "p2"), encoding_overrides={"dos.txt": CP860})
-    assert read_processed(spark, os.path.join(scratch, "p2")).first().nm_municipio_origem == "São Paulo"
+    res = extract_text_files(spark, paths, out, encoding_overrides={"dos.txt": CP860})
+    assert res.encodings == {"dos.parquet": CP860}
+    assert read_processed(spark, out).first().nm_municipio_origem == "ôxö".replace("ö", "õ")
 
 
 def test_reader_keeps_or_fails(spark, scratch):

@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem").split()
 FAST = ["date_guard", "calendar_parts", "flight_status", "route_key", "airport_enrichment",
-        "gold_punctuality", "gold_volume_by_period", "gold_route_ranking", "route_ranking_top10",
+        "gold_punctuality", "gold_volume_by_period", "gold_route_ranking", "route_ranking_top10", "route_ranking_order",
         "dq_declared_tests", "dq_row_reconciliation", "dq_status_distribution",
         "dq_enrichment_coverage", "ingest_text_roundtrip", "ingest_unified_append",
         "workflow_gold_volume", "workflow_stages", "workflow_declared_tests", "dq_type_profile",

@@ -98,3 +98,20 @@ def test_consolidate_and_sample(spark, scratch):
     assert sample.count() == 2
     again = sample_rows(both, f"{scratch}/sample", n=1)       # replace mode
     assert again.count() == 1
+
+
+def test_content_reconciliation_flags_swapped_values(spark):
+    """Equal rows in any order agree; a value moved to another row, column or file does not."""
+    from aerolake.operators.quality import content_reconciliation
+
+    shape = "a string, b string, source_file string"
+    source = [("1", "x", "f"), ("2", "y", "f"), ("2", "y", "f"), (None, "z", "g"), ("7", None, "h"), ("8", "8", "i")]
+    loaded = [("2", "y", "f"), ("1", "x", "f"), ("2", "y", "f"), ("z", None, "g"), ("7", None, "h"), ("8", "8", "k")]
+    got = {r.source_file: (r.source_rows, r.loaded_rows, r.reconciled) for r in content_reconciliation(
+        spark.createDataFrame(source, shape), spark.createDataFrame(loaded, shape), ["a", "b"]).collect()}
+    assert got == {"f": (3, 3, True), "g": (1, 1, False), "h": (1, 1, True), "i": (1, 0, False),
+                   "k": (0, 1, False)}
+    swapped = [("1", "y", "f"), ("2", "x", "f"), ("2", "y", "f")]
+    (row,) = content_reconciliation(spark.createDataFrame(source[:3], shape),
+                                    spark.createDataFrame(swapped, shape), ["a", "b"]).collect()
+    assert not row.reconciled
