@@ -126,7 +126,7 @@ class Ledger:
     def scan(self, versions: DataFrame, text_col: str = "text") -> None:
         """Scan the blobs of ``versions`` that are new under today's rules.
 
-        Copies of a text are reduced to one map-side, before anything is shuffled.
+        Copies of a text meet at the exchange by blob and are scanned once.
         """
         text = F.coalesce(F.col(text_col), F.lit(""))
         blobs = versions.select(blob_id(F.col(text_col)).alias("blob"), text.alias("text"))
