@@ -95,13 +95,17 @@ def part_radii(radius: int) -> list[int]:
     return [whole if t <= extra else whole - 1 for t in range(PARTS)]
 
 
+def _usable(v):
+    """Whether a vector is there, finite throughout and not zero."""
+    return (v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+            & F.exists(v, lambda x: x != 0))
+
+
 def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id, v of the vectors that take part."""
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(
-        F.col("vec_id").isNotNull() & F.col("v").isNotNull()
-        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        & F.exists("v", lambda x: x != 0))
+        F.col("vec_id").isNotNull() & _usable(F.col("v")))
     usual = (rows.groupBy(F.size("v").alias("d")).count()
              .orderBy(F.desc("count"), F.desc("d")).limit(1).collect())
     return rows.where(F.size("v") == (usual[0]["d"] if usual else 0))
@@ -286,7 +290,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
             vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of each query among all other vectors.
 
-    ``queries``: rows of the same columns as ``vectors``, each of an id of its own.
+    ``queries``: rows of the same columns as ``vectors``. Of an id that is repeated among
+    them the least vector (compared entry by entry) that can take part is asked.
     """
     spark = vectors.sparkSession
     prepare(spark)
@@ -300,8 +305,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
         return spark.createDataFrame([], out)
     asked = queries.select(F.col(id_col).cast("long").alias("query_id"),
                            F.col(vector_col).cast("array<double>").alias("v"))
-    asked = asked.join(rows.select(F.col("vec_id").alias("query_id")).distinct(), "query_id",
-                       "left_semi").where(F.size("v") == facts["d"]).dropDuplicates(["query_id"])
+    # an id may be repeated: of its vectors that can be asked, the least is
+    asked = (asked.where(F.col("query_id").isNotNull() & _usable(F.col("v")) & (F.size("v") == facts["d"]))
+             .groupBy("query_id").agg(F.min("v").alias("v")))
     sample = np.array([r["v"] for r in entries.orderBy("key").limit(SAMPLE).collect()])
     coder = fit(sample, float(np.sqrt(facts["m"])))
     shared = spark.sparkContext.broadcast(coder)

@@ -55,6 +55,22 @@ def test_recall_and_scores(spark):
     assert [v for _, v, _ in copies if v < 900 and v >= 500][:3] == [501, 502, 503]
 
 
+def test_repeated_ids_with_a_vector_that_takes_no_part(spark):
+    """The valid vector of the id is asked, whichever row comes first."""
+    good = fixture()[:400]
+    odd = [(20, [0.0] * 32), (40, [float("nan")] * 32), (60, None), (80, [1.0] * 5)]
+    truth = brute(good, 20, range(0, 400, 20))
+    for rows in (good + odd, odd + good):
+        df = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], ROWS).coalesce(1)
+        answers = {}
+        for r in ann.nearest(df, df.where("vec_id % 20 = 0")).collect():
+            answers.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert set(answers) == set(truth)
+        for q in (20, 40, 60, 80):
+            assert len(answers[q]) == 20 and all(s != 0 for _, s in answers[q])
+            assert len({v for v, _ in answers[q]} & {v for v, _ in truth[q]}) >= 16
+
+
 def test_fewer_candidates_than_asked_and_empty(spark):
     rows = [(i, [1.0, float(i)], 0, "x") for i in range(0, 5)]
     df = spark.createDataFrame(rows, ROWS)
