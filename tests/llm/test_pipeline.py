@@ -71,4 +71,4 @@ def test_stages(spark, sf_dir):
 
 
 def test_queries_are_registered():
-    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 14))
