@@ -17,9 +17,13 @@ each language. A gram that no language has backs off: the weights of its context
 added and the next lower order is looked up.
 
 A text gets the language of the lowest cross-entropy per character. Rejection is
-calibrated for each language on the labelled texts: the 99.9th percentile of the
-cross-entropy, less an allowance for short texts, plus a margin. A text that is above
-it, or has no letters, is rejected.
+calibrated on labelled texts that the model did not see: one labelled text in FOLDS (by
+its digest, so copies stay together) is kept from the model, and a language's limit is a
+high percentile of the entropies of its texts among those, less an allowance for short texts,
+plus a small margin. A language with few such texts takes the highest limit of all. For
+rejection an entropy is that of pieces of the text, each in the language that suits
+it, so a text that mixes learned languages is not rejected for that. A text above its
+language's limit, or without letters, is rejected.
 
 Nulls, empties, ties, repeats: a null text and one without letters are ``und`` with
 score 0, and rejected; rows with a null language teach nothing; equal entropies go to
@@ -41,9 +45,14 @@ from aerolake.llm.textops import chunks, mix64
 
 ORDER = 5
 BITS = 12
-#: Rejection: percentile of the labelled texts' entropies, margin in bits, allowance in
-#: bits for a text of one character (it falls with the square root of the length).
-PERCENTILE, MARGIN, SHORT = 0.999, 2.5, 8.0
+#: Rejection: percentile of the unseen labelled texts' entropies, margin in bits, allowance in
+#: bits for a text of one character (it falls with the square root of the length, and is the
+#: same for all texts from LONG characters on).
+PERCENTILE, MARGIN, SHORT, LONG = 0.999, 0.3, 8.0, 400
+#: One labelled text in FOLDS calibrates; a language needs ENOUGH of them for a limit of its own.
+FOLDS, ENOUGH = 5, 20
+#: Characters of a piece of a text.
+PIECE = 128
 UNKNOWN = "und"
 
 _letters: list[np.ndarray] = []
@@ -277,25 +286,38 @@ def fit(labelled: DataFrame) -> Model | None:
     return _build(langs, counts, discounts)
 
 
-def entropies(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(characters, cross-entropy per character in each language) of whole texts."""
+def entropies(model: Model, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+    """(characters, cross-entropy per character in each language, and that of the pieces,
+    each in its best language) of whole texts."""
     codes = [grams(letter_codes(t)) for t in texts]
     n = np.array([len(c) for c in codes], dtype=np.int64)
-    total = np.zeros((len(texts), len(model.langs)))
     ends = np.cumsum(n)
     keys = np.concatenate(codes) if codes else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(texts)), n)
+    # Pieces are numbered text by text; the rest of a text is part of its last piece.
+    counts = np.maximum(n // PIECE, 1)
+    first = np.cumsum(counts) - counts
+    place = np.arange(len(keys)) - np.repeat(ends - n, n)
+    piece = first[owner] + np.minimum(place // PIECE, counts[owner] - 1)
+    cost = np.zeros((int(counts.sum()), len(model.langs)))
     for s in range(0, len(keys), 1 << 19):
         part = slice(s, s + (1 << 19))
         logs = model.log_probs(keys[part])
+        base = int(piece[s])
         for i in range(len(model.langs)):
-            total[:, i] -= np.bincount(owner[part], weights=logs[:, i], minlength=len(texts))
-    return n, total / np.maximum(n, 1)[:, None]
+            sums = np.bincount(piece[part] - base, weights=logs[:, i])
+            cost[base:base + len(sums), i] -= sums
+    if not len(texts):
+        return n, cost, np.zeros(0)
+    size = np.maximum(n, 1)
+    return (n, np.add.reduceat(cost, first) / size[:, None],
+            np.add.reduceat(cost.min(axis=1), first) / size)
 
 
 def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
              text_col: str = "text", carry: dict[str, F.Column] | None = None) -> DataFrame:
-    """doc_id, digest, lang_pred, score (0 to 1), n_letters, entropy, adjusted.
+    """doc_id, digest, lang_pred, score (0 to 1), n_letters, entropy, adjusted (that of the
+    pieces, less the allowance for short texts).
 
     ``carry``: further columns of the result, which predictions do not see.
     """
@@ -316,8 +338,9 @@ def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
             for a, b in chunks(texts):
                 if model is None:
                     n, h = np.zeros(b - a, dtype=np.int64), np.zeros((b - a, 1))
+                    mixed = np.zeros(b - a)
                 else:
-                    n, h = entropies(model, texts[a:b])
+                    n, h, mixed = entropies(model, texts[a:b])
                 best = h.argmin(axis=1)
                 low = h[np.arange(b - a), best]
                 odds = np.exp2(-(h - low[:, None]) * np.minimum(n, 50)[:, None]).sum(axis=1)
@@ -326,7 +349,7 @@ def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
                     batch.column("doc_id").slice(a, b - a), batch.column("digest").slice(a, b - a),
                     pa.array(names[np.where(known, best, -1)].tolist(), pa.string()),
                     pa.array(np.where(known, 1 / odds, 0.0)), pa.array(n), pa.array(low),
-                    pa.array(low - SHORT / np.sqrt(np.maximum(n, 1))),
+                    pa.array(mixed - SHORT / np.sqrt(np.clip(n, 1, LONG))),
                     *(batch.column(k).slice(a, b - a) for k in names_too)],
                     names=["doc_id", "digest", "lang_pred", "score", "n_letters", "entropy",
                            "adjusted", *names_too])
@@ -339,13 +362,14 @@ def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
 
 
 def limits(scored: DataFrame) -> DataFrame:
-    """lang_pred, limit: the adjusted entropy above which a text is rejected.
+    """lang_pred, limit (the adjusted entropy above which a text is rejected), n (texts).
 
-    ``scored``: rows of ``classify`` with lang, the label where there is one.
+    ``scored``: rows of ``classify`` with lang, the label where there is one, of texts that
+    the model did not see. One row for each language.
     """
     return (scored.where("lang_pred = lang").groupBy("lang_pred")
             .agg((F.percentile_approx("adjusted", PERCENTILE, 10_000) + F.lit(MARGIN))
-                 .alias("limit")))
+                 .alias("limit"), F.count("*").alias("n")))
 
 
 def held_out(doc_id) -> F.Column:
@@ -369,16 +393,25 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           "score")
 
 
+def calibrates(text) -> F.Column:
+    """Whether a text is kept from the model to calibrate rejection."""
+    return F.crc32(text_digest(text)) % FOLDS == 0
+
+
 def rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """Digests of the texts that no language accepts."""
-    model = learn(docs, id_col, text_col, lang_col)
+    kept_out = calibrates(F.col(text_col))
+    model = learn(docs.where(~kept_out), id_col, text_col, lang_col)
     teaches = F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
     scored = materialise(classify(docs, model, id_col, text_col, {
-        "lang": F.when(teaches, F.col(lang_col))}), "languages")
-    limit = limits(scored).withColumnRenamed("lang_pred", "of")
+        "lang": F.when(teaches & kept_out, F.col(lang_col))}), "languages")
+    limit = materialise(limits(scored).withColumnRenamed("lang_pred", "of"), "language-limits")
+    highest = limit.agg(F.max("limit").alias("limit")).first()["limit"]
+    own = F.when(F.col("n") >= ENOUGH, F.col("limit"))
     return (scored.join(F.broadcast(limit), F.col("lang_pred") == F.col("of"), "left")
-            .where((F.col("lang_pred") == UNKNOWN) | (F.col("adjusted") > F.col("limit")))
+            .where((F.col("lang_pred") == UNKNOWN)
+                   | (F.col("adjusted") > F.coalesce(own, F.lit(highest).cast("double"))))
             .select(F.col("digest").alias("__digest")).distinct())
 
 

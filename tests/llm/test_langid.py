@@ -124,3 +124,19 @@ def test_rare_grams_of_a_long_text_are_kept(spark):
                                              "lang string, text string"))
     key = np.array([sum(ord(c) << 12 * (4 - i) for i, c in enumerate("zyxwv"))])
     assert np.exp2(model.log_probs(key)[0, 0]) > 0.3
+
+
+def test_a_language_left_out_is_rejected_and_known_texts_are_kept(spark):
+    """Unlabelled texts of other syllables in the same letters go; mixtures stay."""
+    rng = random.Random(12)
+    latin = {"aa": "ka lo mi tu re sa ne".split(), "bb": "tor uni che sal em pra is".split(),
+             "xx": "kul ost irm ase tep unl oce".split()}
+    text = lambda lang, n: " ".join(
+        "".join(rng.choice(latin[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    rows = [(i, text(lang, rng.randrange(30, 120)), None if lang == "xx" else lang, lang, 1, "x")
+            for i in range(1500) for lang in ["aabbxx"[i % 3 * 2:i % 3 * 2 + 2]]]
+    rows += [(2000 + i, text("aa", 200) + " " + text("bb", 200), None, "mix", 1, "x")
+             for i in range(20)]
+    df = spark.createDataFrame(rows, DOCS)
+    kept = Counter(r.source for r in langid.drop_rejected(df).collect())
+    assert kept["xx"] <= 25 and kept["aa"] >= 495 and kept["bb"] >= 495 and kept["mix"] == 20
