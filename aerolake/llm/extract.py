@@ -8,11 +8,13 @@ labelled pages: those with exactly one article (or main) element, whose words ar
 content and all others boilerplate. Counts cover all labelled pages; the features are
 a fixed list of tags and word contexts, so the table of weights has a fixed size.
 
-Elements that are never main text take no part: scripts, styles, navigation, page
-headers and footers, asides, forms, and elements whose class, id or role names an
-advert, menu, sidebar, notice or comment section. A class that speaks of such a part
-without being it (no-sidebar, search-result) is none of these, and neither is an element
-that holds most of the page's plain words (a comment section: nine tenths).
+Elements that are never main text take no part, however long they are: scripts, styles,
+navigation, page headers and footers, asides, forms, and elements whose class, id or role
+names an advert, menu, sidebar, notice or comment section; articles inside them (teasers,
+comments) neither, unless the page has no other. A class that speaks of such a part without
+being it (no-sidebar, search-result, share-price) is none of these, and names that main text
+may bear too (PARTS) do not count where they leave no word. On a page with articles, words
+between them are no text.
 
 Text: character references are decoded, white space inside a block becomes one blank,
 blocks are trimmed and joined in page order by an empty line. Nulls, empties, ties,
@@ -47,22 +49,31 @@ INLINE = {"a", "abbr", "b", "br", "cite", "code", "em", "font", "i", "img", "lab
           "small", "span", "strong", "sub", "sup", "td", "th", "time", "u"}
 NEVER = {"nav", "header", "footer", "aside", "form", "button", "select", "dialog", "menu", "svg",
          "head", "object", "audio", "video", "canvas", "map"}
-#: Words in class, id or role that mark an element as something else than main text.
+#: Words in class, id or role that mark an element as something else than main text
+#: whatever stands beside them.
 HINTS = {"ad", "ads", "advert", "advertisement", "advertising", "adsense", "sponsor", "sponsored",
-         "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice",
-         "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "signup",
-         "login", "paywall", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb",
-         "breadcrumbs", "footer", "masthead", "topbar", "toolbar", "share", "sharing", "social",
-         "related", "recommended", "widget", "pagination", "pager", "search", "contentinfo",
-         "complementary", "form", "hidden"}
+         "cookie", "cookies", "consent", "gdpr", "newsletter", "subscribe", "signup", "paywall",
+         "navbar", "breadcrumb", "breadcrumbs", "masthead", "topbar", "toolbar", "pagination",
+         "contentinfo", "complementary"}
+#: Words that do so alone or with others of these sets and of PLACES only, and not beside a
+#: name in MAIN.
+MAIN = {"main", "article"}
+PARTS = {"sidebar", "promo", "promotion", "banner", "notice", "notices", "alert", "popup", "modal", "overlay",
+         "login", "menu", "nav", "navigation", "footer", "share", "sharing", "social", "related",
+         "recommended", "widget", "pager", "search", "form", "hidden"}
 COMMENT_HINTS = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply",
                  "discussion"}
+#: Words that say where and in what shape a part stands.
+PLACES = {"area", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "card",
+          "cards", "column", "container", "content", "desktop", "dialog", "element", "fixed",
+          "global", "group", "header", "icons", "inner", "item", "items", "left", "link", "links",
+          "list", "media", "message", "mobile", "module", "outer", "panel", "posts", "primary",
+          "right", "row", "secondary", "section", "site", "sticky", "stories", "text", "title",
+          "tools", "top", "unit", "wrap", "wrapper"}
 #: Words before a hint that say of an element what it has or has not, and words after it
 #: that make it another thing.
 BEFORE = {"no", "not", "non", "has", "have", "with", "without", "hide", "show", "is"}
 AFTER = {"result", "results", "page", "layout"}
-#: Share of a page's plain words above which a hinted element is not boilerplate.
-MOST = {"other": 0.5, "comment": 0.9}
 #: Weights of features without labelled cases: a word, a word in a link, a word inside
 #: and outside the article of a page that has one, a tag.
 DEFAULTS = {"word": 1.0, "word:link": -0.5, "word:in": 1.0, "word:out": -1.0, "tag": -2.0}
@@ -78,70 +89,65 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s
 _NAME = re.compile("[a-z]+")
 
 
-def _names_part(token: str) -> str | None:
-    """"comment" or "other" if a class, id or role names a part that is not main text."""
+def _names_part(token: str, sure: bool) -> bool:
+    """Whether a class, id or role names a part that is not main text (``sure``: always)."""
     names = _NAME.findall(token)
     if not names or names[-1] in AFTER or any(n in BEFORE for n in names[:-1]):
-        return None
-    if any(n in COMMENT_HINTS for n in names):
-        return "comment"
-    return "other" if any(n in HINTS for n in names) else None
+        return False
+    if any(n in HINTS or n in COMMENT_HINTS for n in names):
+        return True
+    return not sure and any(n in PARTS for n in names) and all(n in PARTS or n in PLACES for n in names)
 
 
-def _hinted(attributes: str) -> str | None:
-    """"comment", "other" or "hidden" if the attributes mark an element as not main text."""
+def _hinted(attributes: str, sure: bool) -> bool:
+    """Whether the attributes mark an element as hidden or no main text.
+
+    ``sure``: names in PARTS do not count; nor do they beside a name in MAIN.
+    """
     if not attributes or attributes.isspace():
-        return None
+        return False
     if _HIDDEN.search(_ATTRIBUTE.sub("", attributes)):
-        return "hidden"
-    for _, value in _ATTRIBUTE.findall(attributes):
-        found = {_names_part(token) for token in value.strip("\"'").lower().split()}
-        for hint in ("comment", "other"):
-            if hint in found:
-                return hint
-    return None
+        return True
+    tokens = [token for _, value in _ATTRIBUTE.findall(attributes)
+              for token in value.strip("\"'").lower().split()]
+    sure = sure or any(token in MAIN for token in tokens)
+    return any(_names_part(token, sure) for token in tokens)
 
 
 def parse(page: str | None) -> tuple[list[tuple], int]:
     """(items, number of article elements, or else of main elements) of a page.
 
     Items: ("text", text, skipped, in_article, in_link) and ("tag", name, skipped,
-    in_article, in_link). Unclosed and misplaced tags are taken as they come. Hinted
-    elements that hold most of the page's plain words are read as others are.
+    in_article, in_link). Unclosed and misplaced tags are taken as they come. Articles in
+    skipped elements count only where there is none outside them.
     """
-    opened: set[int] = set()
-    while True:
-        items, articles, plain, hinted = _scan(page or "", opened)
-        large = [at for at, (hint, n) in hinted.items() if n > MOST[hint] * plain]
-        if not large:
-            return items, articles
-        opened.update(large)
+    for sure in (False, True):
+        items, articles, inner = _scan(page or "", sure, enter=False)
+        if not articles and inner:
+            items, articles, _ = _scan(page or "", sure, enter=True)
+        if any(kind == "text" and not skipped and (inside or not articles)
+               and not what.isspace() for kind, what, skipped, inside, _ in items):
+            break
+    return items, articles
 
 
-def _scan(page: str, opened: set[int]) -> tuple[list[tuple], int, int, dict[int, list]]:
-    """Items and articles of a page, its plain words outside links and elements of NEVER,
-    and by place the hint and plain words of each element that is skipped for a hint.
+def _scan(page: str, sure: bool, enter: bool) -> tuple[list[tuple], int, int]:
+    """Items and articles of a page, and the articles inside skipped elements.
 
-    ``opened``: places of elements whose hints do not count.
+    ``sure``: names in PARTS do not count. ``enter``: an article ends the skipped element
+    that it is in.
     """
     items: list[tuple] = []
-    articles = mains = depth = links = at = plain = 0
-    skip, nested, reason = None, 0, None
-    hinted: dict[int, list] = {}
-    part: list | None = None  # the hinted element that is skipped now
+    articles = mains = inner = depth = links = at = 0
+    skip, nested = None, 0
     position = 0
     while True:
         m = _TAG.search(page, position)
         text = page[at:m.start()] if m else page[at:]
         if text:
             items.append(("text", text, skip is not None, depth > 0, links > 0))
-            if not links and (skip is None or part):
-                n = len(text.split())
-                plain += n
-                if skip is not None:
-                    part[1] += n
         if not m:
-            return items, articles or mains, plain, hinted
+            return items, articles or mains, inner
         at = position = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
@@ -155,8 +161,8 @@ def _scan(page: str, opened: set[int]) -> tuple[list[tuple], int, int, dict[int,
             continue
         container = name in ("article", "main")
         if skip is not None:
-            if container and not closing and reason != "comment" or closing and name in ("body",
-                                                                                        "html"):
+            inner += container and not closing
+            if container and not closing and enter or closing and name in ("body", "html"):
                 skip = None
             elif skip == "p" and name in BLOCK:
                 skip = None
@@ -171,13 +177,10 @@ def _scan(page: str, opened: set[int]) -> tuple[list[tuple], int, int, dict[int,
                 if nested == 0:
                     skip = None
         if skip is None and not closing and name not in VOID:
-            hint = None if container or name in ("body", "html") else _hinted(m[3])
-            if m.start() in opened:
-                hint = None
-            if name in NEVER or hint:
-                skip, nested, reason, part = name, 1, hint, None
-                if hint in MOST and name not in NEVER:
-                    part = hinted[m.start()] = [hint, 0]
+            if name in NEVER or (name not in ("body", "html") and not (container and enter)
+                                 and _hinted(m[3], sure)):
+                skip, nested = name, 1
+                inner += container
         skipped = skip is not None
         if not skipped:
             if container:
@@ -273,9 +276,9 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
             best, start, end = total, low, i + 1
     blocks: list[str] = []
     words: list[str] = []
-    for kind, what, skipped, _, _ in items[start:end]:
+    for kind, what, skipped, inside, _ in items[start:end]:
         if kind == "text":
-            if not skipped:
+            if not skipped and (inside or not articles):
                 words.append(entities.unescape(what))
         elif what in BLOCK:
             blocks.append("".join(words))

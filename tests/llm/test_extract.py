@@ -85,3 +85,31 @@ def test_hinted_wrappers_keep_the_main_text():
     page = f"<div>{story}</div><div id='comments'>{story}<p>I agree</p></div>"
     assert extract.main_text(page, weights) == plain
     assert extract.main_text(f"<div hidden>{story}</div><p>few words</p>", weights) == "few words"
+
+
+def test_parts_are_left_out_whatever_their_share():
+    weights = dict(extract.DEFAULTS)
+    story = "<p>" + "one two three four five six seven. " * 6 + "</p>"
+    plain = " ".join(("one two three four five six seven. " * 6).split())
+    many = "buy this now " * 20
+    check = lambda html, text: extract.main_text(html, weights) == text
+    for name in ("ad", "ad-slot-300", "cookie-notice", "newsletter", "related-articles", "comments"):
+        part = f"<div class='{name}'>{many}</div>"
+        assert check(f"<article>Short text here</article>{part}", "Short text here"), name
+        assert check(f"<article>Short text here{part}</article>", "Short text here"), name
+    comments = "<div class=comments>" + "<p>I agree with this fully</p>" * 40 + "</div>"
+    eleven = "one two three four five six seven eight nine ten eleven"
+    assert check(f"<article><p>{eleven}</p>{comments}</article>", eleven)
+    for part in ("<aside><article>TEASER one two</article></aside>",
+                 "<footer><article>TEASER one two</article></footer>",
+                 "<div class=related><article>TEASER one</article></div>",
+                 "<article class='comment'>I agree</article>"):
+        assert check(f"<article>{story}</article>{part}", plain), part
+        assert check(f"{part}<article>{story}</article>", plain), part
+    assert check(f"<main>{story}<section class=related><article>a b</article></section></main>", plain)
+    assert check(f"<form id=all><div>menu</div><article>{story}</article></form>", plain)
+    assert check(f"<article>{story}</article><p>between words</p><article>{story}</article>",
+                 f"{plain}\n\n{plain}")
+    for name in ("alert-level", "share-price", "promotion-history"):
+        assert check(f"<article>{story}<p class={name}>level three</p></article>",
+                     f"{plain}\n\nlevel three"), name
