@@ -3,8 +3,10 @@
 For tokenizers that split at white space before anything else and drop it, the ids of
 a text are those of its parts between ASCII white space, one after the other. Parts are
 found and hashed (64 bits) over whole batches with numpy; a table of bounded size keeps
-the ids of parts by hash, and only parts it lacks go through the tokenizer: plain words
-(Latin-1 letters) all together, cut where tokens end a word, others one by one.
+the bytes and ids of parts by hash, and only parts it lacks go through the tokenizer: plain
+words (Latin-1 letters) all together, cut where tokens end a word, others one by one. The
+bytes of every part found are compared; a batch with a part whose hash is another's goes
+through the tokenizer text by text.
 """
 
 from __future__ import annotations
@@ -13,12 +15,13 @@ import re
 
 import numpy as np
 
-from aerolake.llm.textops import _power_tables, mix64
+from aerolake.llm.textops import block_hashes, blocks, ragged
 
-#: Bytes of a batch that are hashed at once, and the longest part that is kept.
-PIECE, LONGEST = 1 << 16, 1 << 12
-#: Slots of the table (two thirds of them are used at most) and ids kept in all.
-SLOT_BITS, IDS = 20, 4_000_000
+#: The longest part that is kept, in bytes.
+LONGEST = 1 << 12
+#: Slots of the table (two thirds of them are used at most), ids and blocks of eight bytes
+#: kept in all.
+SLOT_BITS, IDS, BLOCKS = 20, 4_000_000, 2_000_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 13, 32]] = True
 _LETTER = np.zeros(256, dtype=bool)
@@ -27,7 +30,6 @@ _LETTER[ord("A"):ord("Z") + 1] = True
 _MARK = np.zeros(256, dtype=bool)
 _MARK[[ord("."), ord(",")]] = True
 _WIDE = re.compile("[^\x00-\xff]")
-_GAP = re.compile(rb"[ \t\r\n]")
 
 
 def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,17 +47,8 @@ def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each part; parts do not cross the pieces' borders, which are white space."""
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
-    h = (total[ends] - total[starts]) * inverse[starts]
-    return mix64(h ^ (ends - starts).astype(np.uint64) << np.uint64(40))
-
-
 class PartTable:
-    """Ids by hash of a part: open addressing in arrays of fixed size."""
+    """Ids and bytes by hash of a part: open addressing in arrays of fixed size."""
 
     def __init__(self, width: np.dtype):
         self.mask = np.uint64((1 << SLOT_BITS) - 1)
@@ -68,7 +61,10 @@ class PartTable:
         self.start = np.zeros(1 << SLOT_BITS, dtype=np.int32)
         self.count = np.zeros(1 << SLOT_BITS, dtype=np.int32)
         self.ids = np.zeros(IDS, dtype=self.width)
-        self.parts = self.used = 0
+        self.first = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+        self.length = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+        self.blocks = np.zeros(BLOCKS, dtype=np.uint64)
+        self.parts = self.used = self.held = 0
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of the part with each hash; -1 if it is not here."""
@@ -86,15 +82,28 @@ class PartTable:
             rest, slot = rest[on], slot[on]
         return found
 
-    def room(self, parts: int, ids: int) -> bool:
-        return 3 * (self.parts + parts) < 2 << SLOT_BITS and self.used + ids < IDS
+    def same(self, number: np.ndarray, lengths: np.ndarray, values: np.ndarray,
+             sizes: np.ndarray) -> bool:
+        """Whether the parts of these numbers have these lengths and blocks."""
+        return (np.array_equal(self.length[number], lengths) and
+                np.array_equal(self.blocks[ragged(self.first[number].astype(np.int64), sizes)],
+                               values))
+
+    def room(self, parts: int, ids: int, held: int) -> bool:
+        return (3 * (self.parts + parts) < 2 << SLOT_BITS and self.used + ids < IDS
+                and self.held + held < BLOCKS)
 
-    def add(self, h: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Add distinct new parts; return their numbers."""
+    def add(self, h: np.ndarray, ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray,
+            values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Add parts of distinct new hashes; return their numbers."""
         number = np.arange(self.parts, self.parts + len(h), dtype=np.int32)
         self.start[number] = self.used + np.concatenate([[0], np.cumsum(counts)[:-1]])
         self.count[number] = counts
         self.ids[self.used:self.used + len(ids)] = ids
+        self.first[number] = self.held + np.cumsum(sizes) - sizes
+        self.length[number] = lengths
+        self.blocks[self.held:self.held + len(values)] = values
+        self.held += len(values)
         self.parts, self.used = self.parts + len(h), self.used + len(ids)
         slot, rest = (h & self.mask).astype(np.int64), np.arange(len(h))
         while len(rest):
@@ -156,7 +165,7 @@ class ChunkEncoder:
         sizes[order] = counts
         starts = np.zeros(len(parts), dtype=np.int64)
         starts[order] = np.cumsum(counts) - counts
-        return flat[_ragged(starts, sizes)], sizes
+        return flat[ragged(starts, sizes)], sizes
 
     def _folded(self, text: str) -> str:
         """The text in lower case where the tokenizer would do no more than that to it."""
@@ -173,14 +182,9 @@ class ChunkEncoder:
         starts, ends = _spans(data)
         if len(starts) and int((ends - starts).max()) > LONGEST:
             return [e.tobytes() for e in self._whole([t or "" for t in texts])]
-        hashes, at = [np.zeros(0, dtype=np.uint64)], 0
-        while at < len(data):
-            gap = _GAP.search(joined, at + PIECE)
-            to = gap.start() + 1 if gap else len(data)
-            a, b = np.searchsorted(starts, [at, to])
-            hashes.append(_hashes(data[at:to], starts[a:b] - at, ends[a:b] - at))
-            at = to
-        h = np.concatenate(hashes)
+        lengths = ends - starts
+        values, sizes = blocks(data, starts, ends)
+        h = block_hashes(values, sizes, lengths)
         number = self.table.find(h)
         new = np.flatnonzero(number < 0)
         if len(new):
@@ -189,21 +193,18 @@ class ChunkEncoder:
             parts = [joined[s:e].decode("utf-8", "surrogatepass")
                      for s, e in zip(starts[spans].tolist(), ends[spans].tolist())]
             ids, counts = self._learn(parts)
-            if not self.table.room(len(distinct), len(ids)):
+            held = values[ragged((np.cumsum(sizes) - sizes)[spans], sizes[spans])]
+            if not self.table.room(len(distinct), len(ids), len(held)):
                 self.table.clear()
-                if not self.table.room(len(distinct), len(ids)):
+                if not self.table.room(len(distinct), len(ids), len(held)):
                     return [e.tobytes() for e in self._whole([t or "" for t in texts])]
                 return self.encode(texts)
-            number[new] = self.table.add(distinct, ids, counts)[back]
+            number[new] = self.table.add(distinct, ids, counts, lengths[spans], held,
+                                         sizes[spans])[back]
+        if not self.table.same(number, lengths, values, sizes):
+            return [e.tobytes() for e in self._whole([t or "" for t in texts])]
         counts = self.table.count[number].astype(np.int64)
-        data = self.table.ids[_ragged(self.table.start[number].astype(np.int64), counts)].tobytes()
+        data = self.table.ids[ragged(self.table.start[number].astype(np.int64), counts)].tobytes()
         bounds = np.concatenate([[0], np.cumsum(counts)]) * self.width.itemsize
         cuts = bounds[np.searchsorted(starts, offsets)].tolist()
         return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-
-
-def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Indices of runs: starts[i], starts[i] + 1, ... of counts[i] each."""
-    total = np.cumsum(counts)
-    n = int(total[-1]) if len(total) else 0
-    return np.repeat(starts - total + counts, counts) + np.arange(n)

@@ -10,12 +10,11 @@ import numpy as np
 
 #: Bytes hashed at once; a longer text is cut between words.
 PIECE = 1 << 16
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[128:] = True
 for _range in (b"az", b"AZ", b"09"):
     _IS_WORD[_range[0]:_range[1] + 1] = True
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -28,19 +27,35 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    size = 1 << max(12, (n - 1).bit_length())
-    if size not in _powers:
-        _powers.clear()  # one table at a time stays in memory
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        both = []
-        for base in (_BASE, inverse):
-            p = np.full(size, base, dtype=np.uint64)
-            p[0] = 1
-            both.append(np.multiply.accumulate(p))
-        _powers[size] = (both[0], both[1])
-    return _powers[size]
+def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Indices of runs: starts[i], starts[i] + 1, ... of counts[i] each."""
+    total = np.cumsum(counts)
+    n = int(total[-1]) if len(total) else 0
+    return np.repeat(starts - total + counts, counts) + np.arange(n)
+
+
+def blocks(data: np.ndarray, starts: np.ndarray,
+           ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(blocks, counts): the bytes of each part, eight to a number, zeros after its end."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    counts = (ends - starts + 7) >> 3
+    first = np.cumsum(counts) - counts
+    at = np.repeat(starts, counts) + (ragged(np.zeros_like(first), counts) << 3)
+    left = np.minimum(8, np.repeat(ends, counts) - at).astype(np.uint64)
+    return eight[at] & (~np.uint64(0) >> (np.uint64(64) - (left << np.uint64(3)))), counts
+
+
+def block_hashes(values: np.ndarray, counts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of each part from its blocks: each is mixed with its place in the part before
+    they are added, so that no difference of one block undoes that of another."""
+    place = ragged(np.zeros(len(counts), dtype=np.int64), counts).astype(np.uint64)
+    mixed = mix64(mix64(values + _STEP) + (place + np.uint64(1)) * _STEP)
+    total = np.zeros(len(counts), dtype=np.uint64)
+    some = counts > 0
+    if some.any():
+        total[some] = np.add.reduceat(mixed, (np.cumsum(counts) - counts)[some])
+    return mix64(total ^ (lengths.astype(np.uint64) << np.uint64(32)))
 
 
 def _hash_piece(data: np.ndarray, prefixes: tuple[int, ...] = ()):
@@ -48,18 +63,14 @@ def _hash_piece(data: np.ndarray, prefixes: tuple[int, ...] = ()):
     word = _IS_WORD[data]
     edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=0, append=0))
     starts, ends = edge[::2], edge[1::2]
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
-    length = ends - starts
-    at, h = [starts], [(total[ends] - total[starts]) * inverse[starts] ^ length.astype(np.uint64)]
+    at, h = [starts], [block_hashes(*blocks(data, starts, ends), ends - starts)]
     for k in prefixes:
-        longer = starts[length > k]
+        longer = starts[ends - starts > k]
         at.append(longer)
-        h.append((total[longer + k] - total[longer]) * inverse[longer] ^ np.uint64(k << 32))
-    if not prefixes:
-        return starts, mix64(h[0])
-    return np.concatenate(at), mix64(np.concatenate(h))
+        # Not the hash of a word of k bytes.
+        h.append(mix64(block_hashes(*blocks(data, longer, longer + k),
+                                    np.full(len(longer), k)) + _STEP))
+    return np.concatenate(at), np.concatenate(h)
 
 
 def _pieces(data: bytes):

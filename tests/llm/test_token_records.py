@@ -63,3 +63,38 @@ def test_shuffled_reads_and_damage(spark, tmp_path):
 def test_empty_table(spark):
     df = spark.createDataFrame([], DOCS)
     assert tr.encode_to_records(df, tr.default_tokenizer()).count() == 0
+
+
+def thue_morse(n, flip=0):
+    return "".join("ab"[(bin(i).count("1") + flip) & 1] for i in range(n))
+
+
+def test_words_made_to_collide_under_polynomial_hashes():
+    import json
+
+    from aerolake.llm.chunk_encoder import ChunkEncoder
+    from aerolake.llm.textops import word_hashes
+
+    path = tr.default_tokenizer()
+    whole = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        lower = "Lowercase" in json.dumps(json.load(f)["normalizer"])
+    encoder = ChunkEncoder(whole, "u2", lower=lower)
+    for n in (512, 1024, 2048, 4096, 8192):
+        a, b = thue_morse(n), thue_morse(n, 1)
+        text = f"start {a} mid {b} end"
+        expected = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], dtype="u2").tolist() == expected
+        assert len(set(word_hashes([f"{a} {b}"])[0].tolist())) == 2
+
+
+def test_a_part_with_another_parts_hash_goes_through_the_tokenizer(monkeypatch):
+    from aerolake.llm import chunk_encoder
+
+    whole = Tokenizer.from_file(tr.default_tokenizer())
+    monkeypatch.setattr(chunk_encoder, "block_hashes",
+                        lambda values, counts, lengths: np.full(len(counts), 7, dtype=np.uint64))
+    encoder = chunk_encoder.ChunkEncoder(whole, "u2")
+    for text in ("one one one", "one two three", "two", "one"):
+        expected = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], dtype="u2").tolist() == expected
