@@ -3,13 +3,16 @@
 A mask of a spaced seed looks at some of a window's words and ignores the others, so
 a window still hashes alike when ignored words were substituted. Hashes of all
 windows of the benchmark items, under each mask, are joined with those of all
-windows of the documents. A hit fixes a diagonal (where in the document the item
-would start); on each diagonal the words are compared one by one, and of the contiguous
-overlaps with at least four matches to each substitution the one with most matches is
-kept. An
-overlap counts from 13 matching words on, or from four fifths of an item for which
-that is less. An item of fewer words than the shortest mask (six) is no evidence of
-anything and matches nothing.
+windows of the documents. Items of at most FEW words also have the masks of four words,
+which hit every substitution that such an item accepts; documents are looked at under
+these masks only if there are such items. Of the patterns of whole items that are accepted,
+those of 13, 14 and 17 to 30 words miss none, those of 15 and 16 under one in a hundred.
+
+A hit fixes a diagonal (where in the document the item would start); on each diagonal the
+words are compared one by one, and of the contiguous overlaps with at least four matches
+to each substitution the one with most matches is kept. An overlap counts from 13 matching
+words on, or from four fifths of an item for which that is less. An item of fewer words
+than the shortest mask (six) is no evidence of anything and matches nothing.
 
 Before the join, windows are dropped whose hash cannot be an item's: a bitmap of
 fixed size holds one bit for each item hash and is the only thing broadcast. A
@@ -34,6 +37,10 @@ from aerolake.llm.textops import chunks, mix64, word_hashes
 
 #: Positions with 1 are compared; each mask has six of them.
 MASKS = ("111111", "11011011", "1100101011", "101100100101")
+#: Masks of items of at most FEW words, besides those above.
+FINE, FEW = ("1111", "11011"), 12
+#: Seeds of a document that are compared together; the text is there once for each so many.
+SEEDS = 1000
 #: Bits of the bitmap of item hashes (4 MiB).
 FILTER_BITS = 25
 MIN_MATCHES = 13
@@ -52,28 +59,24 @@ def masked_hashes(words: np.ndarray, mask: str, seed: int) -> np.ndarray:
     return mix64(acc)
 
 
-def window_hashes(words: np.ndarray, bounds: np.ndarray, masks=MASKS):
-    """(hash, text number, position) of every window of every text, mask by mask."""
+def window_hashes(words: np.ndarray, bounds: np.ndarray, fine: bool, few: int | None = None):
+    """(hash, text number, position) of every window of every text, mask by mask.
+
+    ``fine``: under the masks FINE too, of texts of at most ``few`` words (None: all) and
+    at least as many as the shortest of MASKS has.
+    """
     counts = np.diff(bounds)
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(words)) - bounds[:-1][owner]
-    for seed, mask in enumerate(masks):
+    for seed, mask in enumerate((*MASKS, *FINE) if fine else MASKS):
         h = masked_hashes(words, mask, seed)
-        ok = place[:len(h)] + len(mask) <= counts[owner[:len(h)]]
+        size = counts[owner[:len(h)]]
+        ok = place[:len(h)] + len(mask) <= size
+        if mask in FINE and few is not None:
+            ok &= (size <= few) & (size >= len(MASKS[0]))
         yield h[ok], owner[:len(h)][ok], place[:len(h)][ok]
 
 
-def best_overlap(same: np.ndarray) -> tuple[int, int, int]:
-    """(from, to, matches) of the contiguous part with the most matches less costs."""
-    if not same.any():
-        return 0, 0, 0
-    score = np.concatenate([[0], np.cumsum(np.where(same, 1, -COST))])
-    low = np.minimum.accumulate(score)
-    end = int(np.argmax(score - low))
-    start = int(np.flatnonzero(score[:end + 1] == low[end])[-1])
-    return start, end, int(same[start:end].sum())
-
-
 def most_matches(same: np.ndarray) -> tuple[int, int, int]:
     """(from, to, matches) of the contiguous part with most matches, then the first, among
     those with at least COST matches to each substitution; it starts and ends in a match."""
@@ -111,7 +114,7 @@ def item_windows(items: DataFrame) -> DataFrame:
                 words, bounds = word_hashes(texts[a:b])
                 each = [words[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
                 found = [[], [], []]
-                for h, owner, place in window_hashes(words, bounds):
+                for h, owner, place in window_hashes(words, bounds, True, FEW):
                     for out, x in zip(found, (h, owner, place)):
                         out.append(x)
                 h, owner, place = map(np.concatenate, found)
@@ -152,8 +155,8 @@ def hash_bitmap(windows: DataFrame) -> np.ndarray:
 
 
 def compare(rows: DataFrame) -> DataFrame:
-    """Best overlap of each (digest, item). ``rows``: digest, text and seeds, an array of
-    (item, words, diagonal)."""
+    """Best overlap of each (digest, item) of a row. ``rows``: digest, text and seeds, an array
+    of (item, words, diagonal)."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -207,6 +210,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                            "distinct-items")
     windows = materialise(distinct.select("item", F.inline("windows")), "item-windows")
     bitmap = spark.sparkContext.broadcast(hash_bitmap(windows))
+    fine = bool(distinct.where(F.size("words").between(len(MASKS[0]), FEW)).take(1))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("digest"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
@@ -218,7 +222,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             texts, digests = batch.column("text").to_pylist(), batch.column("digest")
             for a, b in chunks(texts):
                 words, bounds = word_hashes(texts[a:b])
-                for h, owner, place in window_hashes(words, bounds):
+                for h, owner, place in window_hashes(words, bounds, fine):
                     slot = h >> np.uint64(64 - FILTER_BITS)
                     byte = bits[slot >> np.uint64(3)]
                     k = np.flatnonzero((byte << (slot & np.uint64(7)).astype(np.uint8)) & 128)
@@ -233,13 +237,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         hits.join(windows, "hash")
         .select("digest", "item", (F.col("at") - F.col("place")).alias("diagonal")).distinct(),
         "diagonals")
+    # A document's seeds are compared in parts of about SEEDS.
+    parts = diagonals.groupBy("digest").agg(F.ceil(F.count("*") / SEEDS).alias("parts"))
     seeds = materialise(
-        diagonals.join(distinct.select("item", "words"), "item")
-        .groupBy("digest").agg(F.collect_list(F.struct("item", "words", "diagonal")).alias("seeds")),
-        "seeds")
-    texts = (rows.join(seeds.select("digest"), "digest", "left_semi")
+        diagonals.join(parts, "digest")
+        .withColumn("part", F.pmod(F.xxhash64("item", "diagonal"), "parts"))
+        .join(distinct.select("item", "words"), "item")
+        .groupBy("digest", "part")
+        .agg(F.collect_list(F.struct("item", "words", "diagonal")).alias("seeds")), "seeds")
+    texts = (rows.join(parts.select("digest"), "digest", "left_semi")
              .groupBy("digest").agg(F.first("text").alias("text")))
-    overlaps = materialise(compare(texts.join(seeds, "digest")), "overlaps")
+    best = F.min(F.struct((-F.col("n_matches")).alias("fewer"), "doc_word", "item_word", "n_words",
+                          "n_matches", "coverage"))
+    overlaps = materialise(compare(texts.join(seeds, "digest")).groupBy("digest", "item")
+                           .agg(best.alias("best")).select("digest", "item", "best.*").drop("fewer"),
+                           "overlaps")
     found = overlaps.join(ids, "item").drop("item")
     return rows.select("doc_id", "digest").join(found, "digest").select(
         "doc_id", "digest", "item_id", "doc_word", "item_word", "n_words", "n_matches", "coverage")
