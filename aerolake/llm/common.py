@@ -28,6 +28,8 @@ from aerolake.session import scratch_dir
 #: Rows and bytes of an Arrow batch: a batch of long texts must fit a Python worker.
 ARROW_ROWS = 512
 ARROW_BYTES = 4 << 20
+#: Keys that are broadcast rather than exchanged, at most (some 100 bytes each).
+BROADCAST_KEYS = 1 << 16
 _shipped: set[str] = set()
 
 
@@ -77,6 +79,21 @@ def text_digest(text) -> F.Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def texts_of(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``key``, text: one text of ``rows`` for each of ``keys``, a stored table of distinct keys.
+
+    Rows of one key have one text. Few keys are broadcast, so texts of no key stay where
+    they are. Copies collapse in their task before the exchange, which a key leaves with
+    at most one row a task; beyond the bound the keys meet what is left, dealt alike.
+    """
+    texts = rows.select(key, "text")
+    few = keys.count() <= BROADCAST_KEYS
+    if few:
+        texts = texts.join(F.broadcast(keys), key, "left_semi")
+    texts = texts.groupBy(key).agg(F.first("text").alias("text"))
+    return texts if few else texts.join(keys.hint("merge"), key, "left_semi")
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path) of a shared folder; executors call this too."""
     from pyarrow import fs

@@ -28,7 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import prepare
+from aerolake.llm.common import materialise, prepare, texts_of
 from aerolake.session import scratch_dir
 
 # Patterns of the three base kinds and their least lengths.
@@ -126,13 +126,14 @@ class Ledger:
     def scan(self, versions: DataFrame, text_col: str = "text") -> None:
         """Scan the blobs of ``versions`` that are new under today's rules.
 
-        Copies of a text meet at the exchange by blob and are scanned once.
+        The ledger is asked by blob alone; then one text of each new blob is fetched, with
+        copies collapsed in their task, and scanned once. Without a new blob no text moves.
         """
         text = F.coalesce(F.col(text_col), F.lit(""))
         blobs = versions.select(blob_id(F.col(text_col)).alias("blob"), text.alias("text"))
-        new = (blobs.join(self.rows(), "blob", "left_anti")
-               .groupBy("blob").agg(F.first("text").alias("text")))
-        scan_blobs(new, rule_version()).write.mode("append").parquet(self.path)
+        new = materialise(blobs.select("blob").distinct()
+                          .join(self.rows().select("blob"), "blob", "left_anti"), "new-blobs")
+        scan_blobs(texts_of(blobs, new, "blob"), rule_version()).write.mode("append").parquet(self.path)
 
     def report(self, versions: DataFrame, path_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:

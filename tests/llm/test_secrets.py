@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 
-from aerolake.llm import secrets
+from pyspark.sql import functions as F
+
+from aerolake.llm import common, secrets
 from aerolake.session import scratch_dir
 
 DOCS = "doc_id long, text string, blob string, spans int"
@@ -72,5 +74,26 @@ def test_ledger_scans_only_new_pairs(spark, monkeypatch):
     assert report == {1: ["assign"], 2: [], 3: [], 4: []}
 
 
+def test_one_text_for_each_key_within_and_beyond_the_bound(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 40, f"text {i % 40}") for i in range(400)],
+                                 "key int, text string").repartition(8)
+    wanted = spark.range(0, 50, 3).select(F.col("id").cast("int").alias("key"))
+    expected = sorted((i, f"text {i}") for i in range(0, 40, 3))
+    for bound in (common.BROADCAST_KEYS, 5):
+        monkeypatch.setattr(common, "BROADCAST_KEYS", bound)
+        got = common.texts_of(rows, common.materialise(wanted, "test-keys"), "key")
+        assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_copies_beyond_the_bound_are_scanned_once(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 2)
+    ledger = secrets.Ledger(spark, scratch_dir(spark, "test-ledger"))
+    docs = spark.createDataFrame([(i, f"token: abcdefgh{i % 7}", "", 0) for i in range(70)]
+                                 + [(70, None, "", 0), (71, "", "", 0)], DOCS)
+    got = secrets.scan_documents(docs, ledger=ledger).collect()
+    assert ledger.rows().count() == 8
+    assert sorted((r.doc_id, r.n_assign) for r in got) == [(i, int(i < 70)) for i in range(72)]
+
+
 def test_empty_table(spark):
     assert secrets.scan_documents(spark.createDataFrame([], DOCS)).count() == 0
