@@ -42,7 +42,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import materialise, prepare, text_digest
+from aerolake.llm.common import materialise, prepare, text_digest, texts_of
 from aerolake.llm.components import connected_components
 from aerolake.llm.textops import chunks, mix64, shingle_hashes, word_hashes
 
@@ -274,9 +274,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.max(F.struct("company", "digest")).alias("hub")).select("band", "hub.digest")
         .withColumnRenamed("digest", "hub"), "hubs")
     members = materialise(found.join(hubs, "band"), "bucket-members")
-    texts = materialise(
-        rows.join(members.select("digest").distinct(), "digest", "left_semi")
-        .groupBy("digest").agg(F.first("text").alias("text")), "bucket-texts")
+    met = materialise(members.select("digest").distinct(), "bucket-digests")
+    texts = materialise(texts_of(rows, met, "digest"), "bucket-texts")
 
     spokes = members.where("digest != hub").select(
         F.col("digest").alias("a"), F.col("hub").alias("b")).distinct()
