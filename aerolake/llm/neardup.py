@@ -365,10 +365,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
 
     Of repeated rows (equal id and text) one stays.
     """
-    classes = near_duplicates(docs, id_col, text_col)
-    best = (classes.groupBy("class_digest")
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest"))
-                 .alias("k")))
+    # Both are read again: a large class is then combined before its exchange, and the
+    # join deals its rows by all three keys.
+    classes = materialise(near_duplicates(docs, id_col, text_col), "named-classes")
+    best = materialise(
+        classes.groupBy("class_digest")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest"))
+             .alias("k")), "class-firsts")
     kept = classes.select("class_digest", "doc_id", "digest").alias("c")
     keep = materialise(
         best.select("k.doc_id", "k.digest", "class_digest").alias("k")
