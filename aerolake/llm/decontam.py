@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import materialise, prepare, text_digest
+from aerolake.llm.common import materialise, prepare, text_digest, texts_of
 from aerolake.llm.textops import chunks, mix64, word_hashes
 
 #: Positions with 1 are compared; each mask has six of them.
@@ -245,8 +245,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         .join(distinct.select("item", "words"), "item")
         .groupBy("digest", "part")
         .agg(F.collect_list(F.struct("item", "words", "diagonal")).alias("seeds")), "seeds")
-    texts = (rows.join(parts.select("digest"), "digest", "left_semi")
-             .groupBy("digest").agg(F.first("text").alias("text")))
+    texts = texts_of(rows, materialise(parts.select("digest"), "hit-digests"), "digest")
     best = F.min(F.struct((-F.col("n_matches")).alias("fewer"), "doc_word", "item_word", "n_words",
                           "n_matches", "coverage"))
     overlaps = materialise(compare(texts.join(seeds, "digest")).groupBy("digest", "item")
