@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,27 @@ def table_version(spark: SparkSession, folder: str) -> tuple:
     return int(row[0]), int(row[1] or 0), int(row[2] or 0)
 
 
+# Partitions of the output that a task keeps open at once.
+OPEN_PARTITIONS = 8
+OPEN_PARTITIONS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def open_partitions(spark: SparkSession, most: int = OPEN_PARTITIONS):
+    """Partitioned writes inside do not sort rows whose tasks meet few partitions.
+
+    Without it every task sorts its rows by partition, wide as they are, and spills them;
+    a task that meets more partitions than ``most`` sorts the rows that come after. The
+    session's own setting is back afterwards.
+    """
+    before = spark.conf.get(OPEN_PARTITIONS_CONF)
+    spark.conf.set(OPEN_PARTITIONS_CONF, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_PARTITIONS_CONF, before)
+
+
 def scale_settings(input_bytes: int, executors: int, cores_per_executor: int,
                    target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Session settings sized for a run over ``input_bytes`` of input on a cluster.

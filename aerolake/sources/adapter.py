@@ -28,13 +28,13 @@ every region but MIDDLE EAST, so the silver LEFT joins also see misses.
 
 Join order and strategy (fact-sized shuffles at scale: 2, not 3):
 
-1. nation x region -> geography (25 rows; probed, broadcast);
-2. customer x geography, supplier x geography (broadcast of the 25 rows);
-3. orders x customers on the customer key;
-4. lineitem x (orders x customers) on the order key;
-5. x suppliers on the supplier key.
+1. orders x customers on the customer key;
+2. lineitem x (orders x customers) on the order key;
+3. x suppliers on the supplier key;
+4. x nation x region for each endpoint (25 rows; probed, broadcast), after all shuffles, so
+   that what they carry is a nation key and not the eight texts of an endpoint.
 
-Steps 3-5 broadcast the smaller side only when the stored size of the table
+Steps 1-3 broadcast the smaller side only when the stored size of the table
 that bounds it (customer, orders, supplier) is small (file metadata only); otherwise they
 are sort-merge joins, hinted so the fact side is never chosen for broadcast,
 and AQE splits a skewed key (one customer or order holding a large share).
@@ -52,6 +52,7 @@ from aerolake.operators.joins import (
 )
 from aerolake.operators.partitioning import spread_small_scan
 from aerolake.operators.silver import conform_bronze
+from aerolake.schema import SOURCE_FILE
 
 # Fixed values of the mapping.
 ICAO_PREFIX = "SB"
@@ -136,46 +137,64 @@ def _day_text(ts: Column, pattern: str = "dd/MM/yyyy") -> Column:
     return F.date_format(ts, pattern)
 
 
-def flights_from_tables(spark: SparkSession, sf_dir: str,
-                        max_broadcast_bytes: int = TABLE_BROADCAST_MAX_BYTES) -> DataFrame:
-    """Bronze-shaped flight rows (all STRING, 92 columns + ``source_file``)."""
-    geo = bounded_broadcast(nation_geography(spark, sf_dir), GEOGRAPHY_MAX_ROWS)
-    customer = read_table(spark, sf_dir, "customer")
-    supplier = read_table(spark, sf_dir, "supplier")
-    orders = read_table(spark, sf_dir, "orders")
-    customers = (
-        customer.select(
-            "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("sg_empresa_icao"),
-            _text(F.col("c_custkey")).alias("id_empresa"), F.col("c_name").alias("nm_empresa"),
-            F.upper(F.substring("c_mktsegment", 1, 2)).alias("sg_empresa_iata"),
-            F.when(F.col("c_acctbal") < 0, F.lit("ESTRANGEIRA")).otherwise(F.lit("NACIONAL"))
-            .alias("ds_tipo_empresa"))
-        .join(_endpoint(geo, "c_nationkey", "origem"), "c_nationkey")
-        .drop("c_nationkey")
-    )
-    suppliers = (
-        supplier.select("s_suppkey", "s_nationkey")
-        .join(_endpoint(geo, "s_nationkey", "destino"), "s_nationkey")
-        .drop("s_nationkey")
-    )
+def flight_keys(spark: SparkSession, sf_dir: str,
+                max_broadcast_bytes: int = TABLE_BROADCAST_MAX_BYTES) -> DataFrame:
+    """One narrow row per flight: table columns as stored, endpoints by their nation key.
+
+    What a job shuffles, sorts or keeps of the flights is this row; the texts of
+    ``flight_rows`` are several times as wide.
+    """
+    customers = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_mktsegment", "c_name", "c_acctbal")
+    suppliers = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     orders_c = join_with_checked_side(
-        orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
+        read_table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
         customers,
         F.col("o_custkey") == F.col("c_custkey"), table_path(sf_dir, "customer"),
         max_broadcast_bytes,
-    ).drop("o_custkey", "c_custkey")
+    ).drop("o_custkey")
     items = spread_small_scan(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
-        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_name").alias(SOURCE_FILE),
     ), table_path(sf_dir, "lineitem"))
     joined = join_with_checked_side(
         items, orders_c, F.col("l_orderkey") == F.col("o_orderkey"), table_path(sf_dir, "orders"),
         max_broadcast_bytes,
     )
-    joined = join_with_checked_side(
+    return join_with_checked_side(
         joined, suppliers, F.col("l_suppkey") == F.col("s_suppkey"), table_path(sf_dir, "supplier"),
         max_broadcast_bytes,
+    ).drop("o_orderkey", "s_suppkey")
+
+
+def reference_date() -> Column:
+    """``dt_referencia`` of a flight, over the columns of ``flight_keys``."""
+    line = F.col("l_linenumber")
+    return (F.when(line == LEGACY_DATE_LINE, _day_text(F.col("o_orderdate"), "yyyy-MM-dd"))
+            .when((line == IMPOSSIBLE_DATE_LINE) & (F.col("l_orderkey") % 10 == 3),
+                  F.concat(F.lit("31/02/"), _day_text(F.col("o_orderdate"), "yyyy")))
+            .otherwise(_day_text(F.col("o_orderdate"))))
+
+
+def flights_from_tables(spark: SparkSession, sf_dir: str,
+                        max_broadcast_bytes: int = TABLE_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Bronze-shaped flight rows (all STRING, 92 columns + ``source_file``)."""
+    return flight_rows(spark, sf_dir, flight_keys(spark, sf_dir, max_broadcast_bytes))
+
+
+def flight_rows(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFrame:
+    """The bronze-shaped rows of ``flight_keys`` (kept or dealt out anew in between)."""
+    geo = bounded_broadcast(nation_geography(spark, sf_dir), GEOGRAPHY_MAX_ROWS)
+    joined = (
+        keys.join(_endpoint(geo, "c_nationkey", "origem"), "c_nationkey")
+        .join(_endpoint(geo, "s_nationkey", "destino"), "s_nationkey")
+        .withColumns({
+            "id_empresa": _text(F.col("c_custkey")), "nm_empresa": F.col("c_name"),
+            "sg_empresa_icao": F.col("c_mktsegment"),
+            "sg_empresa_iata": F.upper(F.substring("c_mktsegment", 1, 2)),
+            "ds_tipo_empresa": F.when(F.col("c_acctbal") < 0, F.lit("ESTRANGEIRA")).otherwise(F.lit("NACIONAL"))})
     )
     # the ship date text feeds both departure and arrival: format it once
     joined = joined.withColumn("_ship_text", _day_text(F.col("l_shipdate")))
@@ -198,10 +217,7 @@ def flights_from_tables(spark: SparkSession, sf_dir: str,
         _kind(F.col("nm_regiao_origem") == F.col("nm_regiao_destino")).alias("ds_natureza_tipo_linha"),
         F.col("o_orderstatus").alias("ds_servico_tipo_linha"),
         _kind(F.col("nm_pais_origem") == F.col("nm_pais_destino")).alias("ds_natureza_etapa"),
-        F.when(line == LEGACY_DATE_LINE, _day_text(F.col("o_orderdate"), "yyyy-MM-dd"))
-         .when((line == IMPOSSIBLE_DATE_LINE) & (F.col("l_orderkey") % 10 == 3),
-               F.concat(F.lit("31/02/"), _day_text(F.col("o_orderdate"), "yyyy")))
-         .otherwise(_day_text(F.col("o_orderdate"))).alias("dt_referencia"),
+        reference_date().alias("dt_referencia"),
         _hour(0).alias("hr_partida_real"),
         F.when(F.col("l_returnflag") != "N", F.col("_ship_text")).alias("dt_partida_real"),
         _hour(1).alias("hr_chegada_real"),
@@ -220,7 +236,7 @@ def flights_from_tables(spark: SparkSession, sf_dir: str,
         F.translate(F.format_number(price, 2), ",.", ".,").alias("kg_carga_paga"),
         F.when(line % 2 == 0, F.concat(_text(line), F.lit(",5"))).alias("kg_carga_gratis"),
         F.concat(F.lit("1."), F.lpad(_text(line * 100), 3, "0"), F.lit(",5")).alias("kg_correio"),
-        "source_file",
+        SOURCE_FILE,
     )
     return conform_bronze(flights)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from aerolake.operators import gold
 from aerolake.operators.silver import build_silver
+from aerolake.session import open_partitions
 
 LAYERS = ("bronze", "silver", "gold")
 SILVER_TABLE = "silver_voos"
@@ -43,8 +44,8 @@ def create_layers(spark: SparkSession, lake_root: str, prefix: str = "") -> dict
 MIN_ROWS_PER_FILE = 200_000
 
 
-def rows_per_output_file(silver: DataFrame) -> float:
-    """Average rows per (input partition, month) pair, i.e. per file a direct
+def output_files(silver: DataFrame) -> DataFrame:
+    """task, ym, count: rows per (input partition, month) pair, i.e. per file a direct
     partitioned write would create.
 
     Only the raw reference-date text is read (column pruning): text shaped
@@ -56,8 +57,24 @@ def rows_per_output_file(silver: DataFrame) -> float:
     dt = F.col("dt_referencia")
     shaped = (F.substring(dt, 3, 1) == "/") & (F.substring(dt, 6, 1) == "/")
     ym = F.when(shaped, F.substring(dt, 4, 7)).otherwise(F.lit(""))
-    pairs = silver.groupBy(F.spark_partition_id().alias("task"), ym.alias("ym")).count()
-    return float(pairs.agg(F.avg("count")).first()[0] or 0.0)
+    return silver.groupBy(F.spark_partition_id().alias("task"), ym.alias("ym")).count()
+
+
+def rows_per_output_file(silver: DataFrame) -> float:
+    """Average rows per (input partition, month) pair, i.e. per file a direct
+    partitioned write would create."""
+    return float(output_files(silver).agg(F.avg("count")).first()[0] or 0.0)
+
+
+def needs_clustering(silver: DataFrame) -> bool:
+    """Whether a direct partitioned write would leave small files that clustering avoids:
+    few rows a file, and more than twice as many files as months and tasks call for.
+    """
+    row = output_files(silver).agg(
+        F.avg("count"), F.count(F.lit(1)), F.count_distinct("task"), F.count_distinct("ym")).first()
+    mean, files, tasks, months = (x or 0 for x in row)
+    # input in the order of months: each task begins a month anew and holds undated rows
+    return mean < MIN_ROWS_PER_FILE and files > 2 * (months + tasks)
 
 
 def materialise_silver(silver: DataFrame, database: str, path: str,
@@ -76,10 +93,11 @@ def materialise_silver(silver: DataFrame, database: str, path: str,
     """
     name = f"{_ident(database)}.{_ident(table)}"
     if cluster is None:
-        cluster = rows_per_output_file(silver) < MIN_ROWS_PER_FILE
+        cluster = needs_clustering(silver)
     out = silver.hint("rebalance", "ano", "mes") if cluster else silver
-    (out.write.mode("overwrite").format("parquet")
-     .partitionBy("ano", "mes").option("path", path).saveAsTable(name))
+    with open_partitions(out.sparkSession):
+        (out.write.mode("overwrite").format("parquet")
+         .partitionBy("ano", "mes").option("path", path).saveAsTable(name))
     return name
 
 
@@ -88,7 +106,7 @@ def materialise_silver_from_bronze(bronze: DataFrame, airports: DataFrame, datab
     """S19 from bronze: probe the direct write's file sizes on bronze's date column; when
     clustering is needed, cluster before the airport joins (narrower shuffle)."""
     # one column of bronze, without the joins: silver has its rows
-    cluster = rows_per_output_file(bronze) < MIN_ROWS_PER_FILE
+    cluster = needs_clustering(bronze)
     silver = build_silver(bronze, airports, cluster_by_month=cluster)
     return materialise_silver(silver, database, path, table, cluster=False)
 

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from aerolake.functions.dates import guarded_date
 from aerolake.operators.silver import build_silver
 from aerolake.schema import SILVER_COLUMNS, SOURCE_FILE
+from aerolake.session import open_partitions
 from aerolake.sources import catalog
 from aerolake.sources.manifest import Manifest, VersionedFiles
 
@@ -125,9 +126,10 @@ def refresh_silver(spark: SparkSession, bronze: VersionedFiles, schema: T.Struct
         rows = bronze.read(schema, read)
         if not whole:
             rows = rows.where(month_key(guarded_date("dt_referencia")).isin(sorted(touched)))
-        cluster = catalog.rows_per_output_file(rows) < catalog.MIN_ROWS_PER_FILE
+        cluster = catalog.needs_clustering(rows)
         silver = build_silver(rows, airports, cluster_by_month=cluster).select(*SILVER_COLUMNS)
-        _write_months(spark, silver, name, path)
+        with open_partitions(spark):
+            _write_months(spark, silver, name, path)
     if touched - held:
         _drop_months(spark, name, path, sorted(touched - held))
     if whole or changed or gone:

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from aerolake.functions.text import normalise_na_sql
 from aerolake.schema import BRONZE_COLUMNS, SOURCE_FILE
-from aerolake.session import scratch_dir
+from aerolake.session import open_partitions, scratch_dir
 from aerolake.sources.encoding import (
     FIELD_SEPARATOR,
     UTF16_BE,
@@ -368,5 +368,6 @@ def extract_text_files(spark: SparkSession, paths: list[str], processed_dir: str
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode("append")
-    writer.parquet(processed_dir)
+    with open_partitions(spark):  # a split is of one file, or of a few small ones
+        writer.parquet(processed_dir)
     return result

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.schema import SOURCE_FILE
+from aerolake.session import open_partitions
 from aerolake.sources.manifest import VersionedFiles, new_version
 
 
@@ -112,7 +113,8 @@ def load_files(source: VersionedFiles, target: VersionedFiles, entries: list,
         return LoadStats(0, 0, target.directory)
     version = new_version()
     rows = source.read(schema, [e[SOURCE_FILE] for e in entries], verify=True)
-    rows.write.partitionBy(SOURCE_FILE).parquet(target.folder(version))
+    with open_partitions(source.spark):  # a split is of one file, or of a few small ones
+        rows.write.partitionBy(SOURCE_FILE).parquet(target.folder(version))
     counts = target.file_rows(version, schema)
     short = {e[SOURCE_FILE]: (e.rows, counts.get(e[SOURCE_FILE], 0)) for e in entries
              if e.rows != counts.get(e[SOURCE_FILE], 0)}
