@@ -50,9 +50,9 @@ def test_flights_are_wide_only_after_the_joins(spark, scratch):
                    ("10-2", "SB03", "FRANCE", "SB04", "JAPAN", "ESTRANGEIRA", "1.234,50")}
 
 
-def test_partitioned_write_does_not_sort_few_partitions(spark, scratch):
-    """The rows of a partition stay in the order they came in, which a sort by partition does
-    not promise; the session's setting is back afterwards, after an error too."""
+def test_partitioned_write_with_open_partitions(spark, scratch):
+    """Every row lands in its partition, also with more partitions than are kept open; the
+    session's setting is back afterwards, after an error too."""
     before = spark.conf.get(OPEN_PARTITIONS_CONF)
     with open_partitions(spark, 4):
         spark.range(0, 1000, 1, 2).withColumn("p", F.col("id") % 20).write.partitionBy("p").parquet(f"{scratch}/out")
