@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import aerolake
-from aerolake.session import scratch_dir
+from aerolake.session import default_parallelism, scratch_dir
 
 #: Rows and bytes of an Arrow batch: a batch of long texts must fit a Python worker.
 ARROW_ROWS = 512
@@ -66,14 +66,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared scratch folder and read it back."""
+def materialise(df: DataFrame, tag: str, few: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet in the shared scratch folder and read it back.
+
+    ``few``: its short rows are known to be some multiple of ``BROADCAST_KEYS`` at most,
+    so a task for each core writes them, however many partitions exchanges have.
+    """
     spark = df.sparkSession
+    if few:
+        df = df.coalesce(default_parallelism(spark))
     path = scratch_dir(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(keyed: DataFrame) -> DataFrame:
+    """A stored table of short rows as the right side of a join: broadcast if it has few
+    rows, so the other side stays where it is; exchanged like any other beyond the bound."""
+    return F.broadcast(keyed) if keyed.count() <= BROADCAST_KEYS else keyed
+
+
 def text_digest(text) -> F.Column:
     """16-byte content address of a text column (null counts as empty)."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))

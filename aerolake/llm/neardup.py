@@ -42,7 +42,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import materialise, prepare, text_digest, texts_of
+from aerolake.llm.common import BROADCAST_KEYS, materialise, prepare, small, text_digest, texts_of
 from aerolake.llm.components import connected_components
 from aerolake.llm.textops import chunks, mix64, shingle_hashes, word_hashes
 
@@ -213,8 +213,9 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                  *(pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 3))],
                 names=["a", "b", "n_a", "n_b", "common"])
 
-    rows = (pairs.select("a", "b")
-            .join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a")
+    pairs = small(materialise(pairs.select("a", "b"), "to-compare"))
+    rows = (texts.select(F.col("digest").alias("a"), F.col("text").alias("ta"))
+            .join(pairs, "a")
             .join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")).hint("merge"),
                   "b").select("a", "b", "ta", "tb"))
     return rows.mapInArrow(run, "a binary, b binary, n_a long, n_b long, common long")
@@ -226,7 +227,7 @@ def similar(common: str, n: str, m: str) -> F.Column:
     return F.expr(f"({common}) > 0 and ({common}) * {q} >= (({n}) + ({m}) - ({common})) * {p}")
 
 
-def single_counts(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def single_counts(nodes: DataFrame, texts: DataFrame, few: bool = False) -> DataFrame:
     """digest, single: how much of each node's bag occurs in no other node of ``nodes``.
 
     Shingles are counted as (hash, least node number, texts, weight), with partial
@@ -245,14 +246,14 @@ def single_counts(nodes: DataFrame, texts: DataFrame) -> DataFrame:
                      pa.array(w.astype(np.int32))], names=["shingle", "number", "weight"])
 
     number = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long").alias("number")
-    own = nodes.select("digest").distinct().join(texts, "digest").select("digest", number, "text")
+    keys = materialise(nodes.select("digest").distinct().select("digest", number), "open-digests", few)
+    own = texts.join(small(keys), "digest")
     single = (own.select("number", "text")
               .mapInArrow(run, "shingle long, number long, weight int")
               .groupBy("shingle").agg(F.count("*").alias("texts"), F.min("number").alias("number"),
                                       F.sum("weight").alias("weight"))
               .where("texts = 1").groupBy("number").agg(F.sum("weight").alias("single")))
-    return nodes.select("digest").distinct().select("digest", number).join(
-        single, "number", "left").select("digest", F.coalesce("single", F.lit(0)).alias("single"))
+    return keys.join(small(materialise(single, "single-counts", few)), "number", "left").select("digest", F.coalesce("single", F.lit(0)).alias("single"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,14 +269,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = materialise(nodes.select("digest", "n", F.explode("bands").alias("band")), "bands")
     buckets = materialise(banded.groupBy("band").agg(F.count("*").alias("size"))
                           .where("size > 1"), "buckets")
-    found = materialise(banded.join(buckets, "band"), "bucket-nodes")
-    company = found.groupBy("digest").agg(F.sum("size").alias("company"))
-    hubs = materialise(found.join(company, "digest").groupBy("band").agg(
+    found = materialise(banded.join(small(buckets), "band"), "bucket-nodes")
+    company = materialise(
+        found.groupBy("digest").agg(F.sum("size").alias("company")), "company")
+    # of at most that many texts in buckets, what is kept of each bucket is a few rows
+    few = company.count() <= BROADCAST_KEYS
+    hubs = materialise(found.join(small(company), "digest").groupBy("band").agg(
         F.max(F.struct("company", "digest")).alias("hub")).select("band", "hub.digest")
-        .withColumnRenamed("digest", "hub"), "hubs")
-    members = materialise(found.join(hubs, "band"), "bucket-members")
-    met = materialise(members.select("digest").distinct(), "bucket-digests")
-    texts = materialise(texts_of(rows, met, "digest"), "bucket-texts")
+        .withColumnRenamed("digest", "hub"), "hubs", few)
+    members = materialise(found.join(small(hubs), "band"), "bucket-members", few)
+    texts = materialise(texts_of(rows, company.select("digest"), "digest"), "bucket-texts")
 
     spokes = members.where("digest != hub").select(
         F.col("digest").alias("a"), F.col("hub").alias("b")).distinct()
@@ -283,37 +286,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = tested.where(similar("common", "n_a", "n_b")).select("a", "b")
     labels = connected_components(links)
     labelled = _label(members.join(
-        tested.select(F.col("a").alias("digest"), F.col("b").alias("hub"), "common"),
+        small(tested.select(F.col("a").alias("digest"), F.col("b").alias("hub"), "common")),
         ["digest", "hub"], "left").withColumn("common", F.coalesce("common", "n")), labels)
-    open_ = materialise(_mixed(labelled), "open-buckets")
+    open_ = materialise(_mixed(labelled, few), "open-buckets", few)
     # What is in no other text, counted among all nodes of open buckets.
     # A node's anchor is the hub, of all its buckets, that it has most in common with.
-    anchors = tested.groupBy(F.col("a").alias("digest")).agg(
-        F.max(F.struct("common", "b")).alias("anchor"))
+    anchors = materialise(tested.groupBy(F.col("a").alias("digest")).agg(
+        F.max(F.struct("common", "b")).alias("anchor")), "anchors", few)
     open_ = materialise(
-        open_.join(materialise(single_counts(open_, texts), "single"), "digest")
-        .join(anchors, "digest", "left")
+        open_.join(small(materialise(single_counts(open_, texts, few), "single", few)), "digest")
+        .join(small(anchors), "digest", "left")
         .withColumn("rest", F.greatest(F.expr("n - common - single"), F.lit(0)))
         .withColumn("near", F.coalesce("anchor.common", "n"))
         .withColumn("far", F.greatest(F.expr("n - near - single"), F.lit(0)))
-        .withColumn("anchor", F.coalesce("anchor.b", "digest")), "open-nodes")
+        .withColumn("anchor", F.coalesce("anchor.b", "digest")), "open-nodes", few)
     reach = materialise(open_.groupBy("band").agg(F.min("n").alias("least"),
-                                                  F.max("rest").alias("most")), "reach")
-    open_ = (open_.join(reach, "band").withColumn("bound", F.expr("common + least(rest, most)"))
+                                                  F.max("rest").alias("most")), "reach", few)
+    open_ = (open_.join(small(reach), "band").withColumn("bound", F.expr("common + least(rest, most)"))
              .where(similar("bound", "n", "greatest(least, bound)"))
              .select("band", "label", *OPEN))
     done = 0
     seen = tested.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a"))
     while True:
-        open_ = materialise(_mixed(open_), "open-nodes")
+        open_ = materialise(_mixed(open_, few), "open-nodes", few)
         sizes = materialise(open_.groupBy("band").agg(F.count("*").alias("size"))
-                            .where(F.col("size") > done), "open-sizes")
+                            .where(F.col("size") > done), "open-sizes", few)
         if not sizes.limit(1).count():
             break
         now = HUBS if not done else done * MORE_HUBS
         # a pair is taken in the least of the buckets that both are in
-        sized = open_.join(sizes, "band").join(
-            open_.groupBy("digest").agg(F.collect_set("band").alias("bands")), "digest")
+        sets = materialise(open_.groupBy("digest").agg(F.collect_set("band").alias("bands")),
+                           "band-sets", few)
+        sized = open_.join(small(sizes), "band").join(small(sets), "digest")
         place = F.expr("pmod(xxhash64(band, digest), 1073741824) / 1073741824.0 * size")
         some = sized.where((place >= done) & (place < now)).select(
             "band", *(F.col(c).alias("_" + c) for c in ("label", "bands", *OPEN)))
@@ -335,7 +339,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         done = now
 
     classed = (signed.select("doc_id", "digest")
-               .join(labels.withColumnRenamed("node", "digest"), "digest", "left")
+               .join(small(labels.withColumnRenamed("node", "digest")), "digest", "left")
                .select("doc_id", "digest", F.coalesce("label", "digest").alias("class_digest")))
     classed = materialise(classed, "classes")
     names = materialise(classed.groupBy("class_digest").agg(
@@ -346,17 +350,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _label(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """Add the component's label; a node without links is a component of its own."""
-    return (nodes.join(labels.withColumnRenamed("node", "digest"), "digest", "left")
+    return (nodes.join(small(labels.withColumnRenamed("node", "digest")), "digest", "left")
             .withColumn("label", F.coalesce("label", "digest")))
 
 
-def _mixed(nodes: DataFrame) -> DataFrame:
+def _mixed(nodes: DataFrame, few: bool) -> DataFrame:
     """The rows of buckets whose nodes lie in several components."""
-    nodes = materialise(nodes, "bucket-labels")
+    nodes = materialise(nodes, "bucket-labels", few)
     mixed = materialise(
         nodes.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high").select("band"), "mixed-buckets")
-    return nodes.join(mixed, "band")
+        .where("low != high").select("band"), "mixed-buckets", few)
+    return nodes.join(small(mixed), "band")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
