@@ -139,13 +139,16 @@ def _day_text(ts: Column, pattern: str = "dd/MM/yyyy") -> Column:
 
 def flight_keys(spark: SparkSession, sf_dir: str,
                 max_broadcast_bytes: int = TABLE_BROADCAST_MAX_BYTES) -> DataFrame:
-    """One narrow row per flight: table columns as stored, endpoints by their nation key.
+    """One narrow row per flight: table columns as stored and a short code, endpoints by their
+    nation key.
 
     What a job shuffles, sorts or keeps of the flights is this row; the texts of
     ``flight_rows`` are several times as wide.
     """
     customers = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment", "c_name", "c_acctbal")
+        "c_custkey", "c_nationkey", "c_mktsegment", "c_name", "c_acctbal",
+        # once a customer: changing case costs more than the two letters do in the joins
+        F.upper(F.substring("c_mktsegment", 1, 2)).alias("sg_empresa_iata"))
     suppliers = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     orders_c = join_with_checked_side(
         read_table(spark, sf_dir, "orders").select(
@@ -193,7 +196,6 @@ def flight_rows(spark: SparkSession, sf_dir: str, keys: DataFrame) -> DataFrame:
         .withColumns({
             "id_empresa": _text(F.col("c_custkey")), "nm_empresa": F.col("c_name"),
             "sg_empresa_icao": F.col("c_mktsegment"),
-            "sg_empresa_iata": F.upper(F.substring("c_mktsegment", 1, 2)),
             "ds_tipo_empresa": F.when(F.col("c_acctbal") < 0, F.lit("ESTRANGEIRA")).otherwise(F.lit("NACIONAL"))})
     )
     # the ship date text feeds both departure and arrival: format it once

@@ -1,10 +1,14 @@
 """What jobs shuffle, sort and keep: narrow flight rows, no sort or clustering without need."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from aerolake.operators.silver import conform_bronze
+from aerolake.operators.joins import TABLE_BROADCAST_MAX_BYTES
+from aerolake.operators.silver import build_silver, conform_bronze
 from aerolake.session import OPEN_PARTITIONS_CONF, open_partitions
 from aerolake.sources import catalog
+from aerolake.sources.adapter import airports_from_tables, flights_from_tables
 
 
 def days(spark):
@@ -64,3 +68,42 @@ def test_partitioned_write_with_open_partitions(spark, scratch):
     assert spark.conf.get(OPEN_PARTITIONS_CONF) == before
     out = spark.read.parquet(f"{scratch}/out")
     assert (out.count(), out.agg(F.sum("id")).first()[0], out.where("id % 20 <> p").count()) == (1000, 499500, 0)
+
+
+def small_tables(spark, folder):
+    rows = {
+        "region": ("r_regionkey int, r_name string", [(1, "EUROPE")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(3, "FRANCE", 1)]),
+        "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double",
+                     [(1, "a", 3, "auto", -1.0), (2, "b", 3, None, 1.0)]),
+        "supplier": ("s_suppkey bigint, s_nationkey int", [(8, 3)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_orderpriority string, "
+                   "o_orderstatus string", [(10, 1, None, "1-URGENT", "F"), (11, 2, None, "5-LOW", "O")]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string, "
+                     "l_shipdate timestamp",
+                     [(10, 5, 8, 1, 2.0, 1234.5, 0.1, "N", "F", None), (11, 5, 8, 2, None, None, None, "N", "F", None)])}
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_methods_of_silver_are_small_enough_to_be_compiled(spark, scratch, capsys):
+    """The JVM compiles no method above 8,000 bytes; it interprets them, row by row. With
+    broadcast and with sorted joins; the values of the measures are the same."""
+    small_tables(spark, scratch)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    airports = airports_from_tables(spark, scratch)
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # the whole plan is known at once
+        for most in (TABLE_BROADCAST_MAX_BYTES, 0):
+            silver = build_silver(flights_from_tables(spark, scratch, most), airports)
+            capsys.readouterr()
+            silver.explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+            assert sizes and max(sizes) < 7500
+            got = {(r.id_combinada, r.sg_empresa_iata, r.kg_bagagem_livre, r.kg_bagagem_excesso, r.kg_carga_paga,
+                    r.kg_carga_gratis, r.kg_correio, r.nr_passag_pagos) for r in silver.collect()}
+            assert got == {("10-1", "AU", 2.0, 10.0, 1234.5, None, 1100.5, 10),
+                           ("11-2", None, None, None, None, 2.5, 1200.5, 20)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
