@@ -78,7 +78,7 @@ def cast_measures(df: DataFrame) -> DataFrame:
     """
     doubles = [c for c, t in SILVER_MEASURE_TYPES.items() if t == "double"]
     others = {c: t for c, t in SILVER_MEASURE_TYPES.items() if t != "double"}
-    numbers = F.transform(F.array(*doubles), lambda c: measure_text(c).try_cast("double"))
+    numbers = F.transform(F.array(*map(measure_text, doubles)), lambda c: c.try_cast("double"))
     return df.withColumn("_doubles", numbers).withColumns({
         **{c: measure_cast(c, t) for c, t in others.items()},
         **{c: F.col("_doubles")[i] for i, c in enumerate(doubles)},

@@ -7,9 +7,12 @@ survives the session and any executor loss.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.functions.dates import calendar_parts, guarded_date
 from aerolake.operators import gold
 from aerolake.operators.silver import build_silver
 from aerolake.session import open_partitions
@@ -101,13 +104,29 @@ def materialise_silver(silver: DataFrame, database: str, path: str,
     return name
 
 
+def cluster_by_month(rows: DataFrame) -> DataFrame:
+    """``rows`` with those of a month of ``dt_referencia`` together (REBALANCE), as they are otherwise."""
+    parts = calendar_parts(guarded_date("dt_referencia"))
+    keys = {"_ano": parts["ano"], "_mes": parts["mes"]}
+    return rows.withColumns(keys).hint("rebalance", *keys).drop(*keys)
+
+
 def materialise_silver_from_bronze(bronze: DataFrame, airports: DataFrame, database: str,
-                                   path: str, table: str = SILVER_TABLE) -> str:
+                                   path: str, table: str = SILVER_TABLE,
+                                   widen: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """S19 from bronze: probe the direct write's file sizes on bronze's date column; when
-    clustering is needed, cluster before the airport joins (narrower shuffle)."""
+    clustering is needed, cluster before the airport joins (narrower shuffle).
+
+    Bronze that is not stored yet may be given as the narrow rows it is made of, with their
+    ``dt_referencia``, and ``widen``, which makes the bronze row of each. They are probed and
+    clustered as they are: the shuffle moves no text that its reader can make.
+    """
     # one column of bronze, without the joins: silver has its rows
     cluster = needs_clustering(bronze)
-    silver = build_silver(bronze, airports, cluster_by_month=cluster)
+    if widen is None:
+        silver = build_silver(bronze, airports, cluster_by_month=cluster)
+    else:
+        silver = build_silver(widen(cluster_by_month(bronze) if cluster else bronze), airports)
     return materialise_silver(silver, database, path, table, cluster=False)
 
 

@@ -107,3 +107,70 @@ def test_methods_of_silver_are_small_enough_to_be_compiled(spark, scratch, capsy
                            ("11-2", None, None, None, None, 2.5, 1200.5, 20)}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_silver_is_clustered_as_narrow_rows(spark, scratch):
+    """Bronze given as narrow rows is clustered before its texts are made; rows are the same."""
+    from tests.test_plans import plan
+
+    keys = days(spark).select("dt_referencia").repartition(4)
+    seen = []
+
+    def widen(rows):
+        seen.append(rows)
+        return conform_bronze(rows.withColumn("sg_icao_origem", F.lit("SB03")))
+
+    airports = spark.createDataFrame([("SB03", "a", "b", "c", "d", "e")],
+                                     "icao_aerodromo string, nome_aeroporto string, cidade string, "
+                                     "estado string, uf string, regiao string")
+    dbs = catalog.create_layers(spark, scratch, prefix="n_")
+    table = catalog.materialise_silver_from_bronze(keys, airports, dbs["silver"], f"{scratch}/silver", widen=widen)
+    (rows,) = seen
+    assert rows.columns == ["dt_referencia"] and "REBALANCE_PARTITIONS_BY_COL" in plan(rows)
+    assert rows.select(F.substring("dt_referencia", 4, 7).alias("m"), F.spark_partition_id().alias("p")).distinct() \
+        .groupBy("m").count().where("count > 1").isEmpty()  # a month is together
+    columns = ["dt_referencia", "ano", "mes", "nome_mes", "sg_icao_origem", "origem_cidade"]
+    plain = build_silver(widen(keys), airports).select(columns)
+    got = spark.table(table).select(columns)
+    assert got.count() == 720 and got.exceptAll(plain).isEmpty()
+
+
+def test_catalog_layers_gives_narrow_rows(spark, scratch, monkeypatch):
+    """What the query has clustered are table columns, not the texts of bronze; its view has all flights."""
+    from aerolake.plans import ingest_queries
+
+    small_tables(spark, scratch)
+    orders = spark.read.parquet(f"{scratch}/orders.parquet").withColumn("o_orderdate", F.lit("2024-02-29").cast("timestamp"))
+    orders.localCheckpoint().write.mode("overwrite").parquet(f"{scratch}/orders.parquet")
+    given, write = [], catalog.materialise_silver_from_bronze
+
+    def noted(bronze, *args, **kw):
+        given.append(bronze)
+        return write(bronze, *args, **kw)
+
+    monkeypatch.setattr(catalog, "materialise_silver_from_bronze", noted)
+    got = ingest_queries.q_catalog_layers(spark, scratch).collect()
+    (bronze,) = given
+    assert len(bronze.columns) < 25 and not {"nm_pais_origem", "id_combinada"} & set(bronze.columns)
+    assert [(r.ano, r.mes, r.total_voos) for r in got] == [(2024, 2, 2)]
+
+
+def test_dates_are_not_parsed_by_pattern(spark):
+    """A guarded date and its names are what a parse by pattern gives, for every day and none."""
+    from aerolake.functions.dates import DATE_TEXT_PATTERN, guarded_date, pg_day_name, pg_month_name
+
+    years = spark.createDataFrame([(0,), (4,), (1900,), (2024,), (2025,), (9999,)], "y int")
+    texts = (spark.range(0, 33).selectExpr("id AS d").crossJoin(spark.range(0, 14).selectExpr("id AS m"))
+             .crossJoin(years).select(F.format_string("%02d/%02d/%04d", "d", "m", "y").alias("t")))
+    odd = [(None,), ("",), ("01/01/2024\n",), (" 01/01/2024",), ("1/1/2024",), ("2024-01-01",), ("01/01/20245",)]
+    texts = texts.unionByName(spark.createDataFrame(odd, "t string")).localCheckpoint()
+    old = F.when(F.col("t").rlike(DATE_TEXT_PATTERN), F.try_to_date("t", "dd/MM/yyyy"))
+    new = guarded_date("t")
+    day = F.col("d").cast("string").alias("d")  # Python has no year 0
+    by_pattern = texts.select("t", old.alias("d")).select("t", day, F.rpad(F.date_format("d", "MMMM"), 9, " "),
+                                                         F.rpad(F.date_format("d", "EEEE"), 9, " "))
+    by_parts = texts.select("t", new.alias("d")).select("t", day, pg_month_name("d"), pg_day_name("d"))
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert sorted(map(key, by_parts.collect())) == sorted(map(key, by_pattern.collect()))
+    assert by_parts.where("d IS NOT NULL").count() == 3 * 366 + 3 * 365
+    assert "gettimestamp" not in by_parts._jdf.queryExecution().optimizedPlan().toString().lower()
