@@ -108,12 +108,33 @@ def open_partitions(spark: SparkSession, most: int = OPEN_PARTITIONS):
     a task that meets more partitions than ``most`` sorts the rows that come after. The
     session's own setting is back afterwards.
     """
-    before = spark.conf.get(OPEN_PARTITIONS_CONF)
-    spark.conf.set(OPEN_PARTITIONS_CONF, str(most))
+    with _setting(spark, OPEN_PARTITIONS_CONF, str(most)):
+        yield
+
+
+# Whether a query's shuffle files go when it ends.
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Shuffle files of the writes inside go as soon as each has ended.
+
+    Without it they lie on the executors' disks until the driver happens to collect its
+    garbage, so that those of many steps add up. The session's own setting is back afterwards.
+    """
+    with _setting(spark, SHUFFLE_CLEANUP_CONF, "true"):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, conf: str, value: str):
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, value)
     try:
         yield
     finally:
-        spark.conf.set(OPEN_PARTITIONS_CONF, before)
+        spark.conf.set(conf, before)
 
 
 def scale_settings(input_bytes: int, executors: int, cores_per_executor: int,

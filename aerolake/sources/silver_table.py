@@ -11,6 +11,10 @@ that no file has rows in any more are dropped after that.
 All months are rewritten, in the same way, when there is no manifest yet or the airport
 dimension has changed (its fingerprint is kept in the manifest). A run that is lost
 before its manifest rows are written does the same months again.
+
+Rows that must be clustered by month are written in slices of some months each, one after
+the other, and the shuffle files of a slice go before the next begins. So the disk holds
+the shuffle of a part of the rows; each slice reads bronze's files once more.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import types as T
 from aerolake.functions.dates import guarded_date
 from aerolake.operators.silver import build_silver
 from aerolake.schema import SILVER_COLUMNS, SOURCE_FILE
-from aerolake.session import open_partitions
+from aerolake.session import open_partitions, shuffles_removed
 from aerolake.sources import catalog
 from aerolake.sources.manifest import Manifest, VersionedFiles
 
@@ -32,6 +36,9 @@ from aerolake.sources.manifest import Manifest, VersionedFiles
 AIRPORTS = "#airports"
 #: Month of rows without a reference date, which land in the default partition.
 NO_MONTH = "0"
+#: Clustered rows are written in slices of so many rows on average, in so many slices at most.
+ROWS_PER_SLICE = 1_000_000
+MOST_SLICES = 8
 
 
 @dataclass
@@ -92,6 +99,23 @@ def _drop_months(spark: SparkSession, name: str, path: str, months: list[str]) -
         files.delete(hadoop(path, folder), True)
 
 
+def month_slices(rows: dict[str, float]) -> list[list[str]]:
+    """The months of ``rows`` (month -> its rows) in order, cut into slices of about as many rows
+    each. A month is never cut, so one with more rows than that is a slice by itself.
+    """
+    total = sum(rows.values())
+    share = total / max(1, min(MOST_SLICES, -(-total // ROWS_PER_SLICE)))
+    slices: list[list[str]] = [[]]
+    held = 0.0
+    for month in sorted(rows):
+        if slices[-1] and held + rows[month] > share:
+            slices.append([])
+            held = 0.0
+        slices[-1].append(month)
+        held += rows[month]
+    return slices
+
+
 def refresh_silver(spark: SparkSession, bronze: VersionedFiles, schema: T.StructType,
                    airports: DataFrame, database: str, path: str, manifest: Manifest,
                    table: str = catalog.SILVER_TABLE) -> Refresh:
@@ -107,15 +131,18 @@ def refresh_silver(spark: SparkSession, bronze: VersionedFiles, schema: T.Struct
     changed = [p for p, r in current.items() if p not in taken or taken[p].version != r.version]
 
     months: dict[str, set[str]] = {p: set(m) for p, m in known.items() if p in current}
+    # rows by file and month; those of a file that is not read here count as dealt evenly
+    rows_in = {p: dict.fromkeys(m, current[p].rows / len(m)) for p, m in months.items() if m}
     for p in changed:
-        months[p] = set()
+        months[p], rows_in[p] = set(), {}
     if changed:
         names = {current[p][SOURCE_FILE]: p for p in changed}
         rows = bronze.read(schema, names)
-        found = (rows.select(SOURCE_FILE, month_key(guarded_date("dt_referencia")).alias("month"))
-                 .distinct().collect())
+        found = (rows.groupBy(SOURCE_FILE, month_key(guarded_date("dt_referencia")).alias("month"))
+                 .count().collect())
         for r in found:
             months[names[r[SOURCE_FILE]]].add(r.month)
+            rows_in[names[r[SOURCE_FILE]]][r.month] = r["count"]
     gone = [p for p in known if p not in current]
     touched = set().union(*(months[p] | known.get(p, set()) for p in changed), *(known[p] for p in gone))
     if whole:
@@ -124,12 +151,20 @@ def refresh_silver(spark: SparkSession, bronze: VersionedFiles, schema: T.Struct
     read = [current[p][SOURCE_FILE] for p in current if months[p] & touched]
     if touched & held or whole:
         rows = bronze.read(schema, read)
+        month = month_key(guarded_date("dt_referencia"))
         if not whole:
-            rows = rows.where(month_key(guarded_date("dt_referencia")).isin(sorted(touched)))
+            rows = rows.where(month.isin(sorted(touched)))
         cluster = catalog.needs_clustering(rows)
-        silver = build_silver(rows, airports, cluster_by_month=cluster).select(*SILVER_COLUMNS)
-        with open_partitions(spark):
-            _write_months(spark, silver, name, path)
+        sizes = dict.fromkeys(touched, 0.0)
+        for in_file in rows_in.values():
+            for m in in_file.keys() & touched:
+                sizes[m] += in_file[m]
+        slices = month_slices(sizes) if cluster else [sorted(touched)]
+        for part in slices:
+            of_part = rows.where(month.isin(part)) if len(slices) > 1 else rows
+            silver = build_silver(of_part, airports, cluster_by_month=cluster).select(*SILVER_COLUMNS)
+            with open_partitions(spark), shuffles_removed(spark):
+                _write_months(spark, silver, name, path)
     if touched - held:
         _drop_months(spark, name, path, sorted(touched - held))
     if whole or changed or gone:

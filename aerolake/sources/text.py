@@ -54,6 +54,7 @@ log = logging.getLogger(__name__)
 # Input file patterns.
 PATTERN_TXT = "*.txt"
 PATTERN_CSV = "*.csv"
+PATTERN_CSV_GZIP = "*.csv.gz"
 PATTERN_PARQUET = "*.parquet"
 
 # Why a file with a record longer than its header fails.
